@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pixelloom.llm.common import scratch_path
 from pixelloom.llm.decontaminate import decontaminate
 from pixelloom.llm.simhash import near_duplicate_classes
+from pixelloom.llm.toxicity import learn, sample_labelled, score_texts
 from pixelloom.llm.url_filter import judge_urls
+from pixelloom.llm.warc import read_archives, write_archives
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
@@ -15,6 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Labelled rows at most that the toxicity grammar is fitted on.
+MAX_LABELLED = 12_000
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 3
+    grammar = learn(sample_labelled(docs, labels.where(fold != 1), MAX_LABELLED))
+    return score_texts(docs, grammar).select("doc_id", (fold == 1).alias("held_out"), "score", "predicted")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"), shingle_words=3, max_distance=2)
 
@@ -27,7 +42,24 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), RULES)
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    records = read_archives(spark, path)
+    whole = F.col("warc_type") == "response"
+    return records.select(
+        "page_id", F.when(whole, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(whole, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"), F.col("warc_type").alias("record_type"), "refers_to",
+    )
+
+
 ORACLE = {
+    "op10_warc": """
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM p LEFT JOIN f USING (payload_digest)
+""",
     "op5_decontaminate": r"""
 WITH d AS (SELECT doc_id, xxhash AS h, w FROM (SELECT doc_id, hash(text) AS xxhash,
   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents)),
