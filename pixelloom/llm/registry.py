@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from pixelloom.llm.common import scratch_path
 from pixelloom.llm.decontaminate import decontaminate
+from pixelloom.llm.permutation_index import nearest_neighbours
 from pixelloom.llm.simhash import near_duplicate_classes
+from pixelloom.llm.suffix_array import repeated_passages
 from pixelloom.llm.toxicity import learn, sample_labelled, score_texts
 from pixelloom.llm.url_filter import judge_urls
 from pixelloom.llm.warc import read_archives, write_archives
@@ -19,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"), min_words=50)
+
+
 #: Labelled rows at most that the toxicity grammar is fitted on.
 MAX_LABELLED = 12_000
 
@@ -42,6 +48,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), RULES)
 
 
+def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
