@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pixelloom.llm import language_id
 from pixelloom.llm.common import scratch_path
 from pixelloom.llm.decontaminate import decontaminate
+from pixelloom.llm.mixing import schedule
 from pixelloom.llm.permutation_index import nearest_neighbours
 from pixelloom.llm.simhash import near_duplicate_classes
 from pixelloom.llm.suffix_array import repeated_passages
+from pixelloom.llm.token_shards import write_shards
 from pixelloom.llm.toxicity import learn, sample_labelled, score_texts
 from pixelloom.llm.url_filter import judge_urls
 from pixelloom.llm.warc import read_archives, write_archives
@@ -36,6 +40,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(docs, grammar).select("doc_id", (fold == 1).alias("held_out"), "score", "predicted")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schedule(table(spark, sf_dir, "documents").select("doc_id", "source"), block_rows=64, temperature=0.5)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"), shingle_words=3, max_distance=2)
 
@@ -52,6 +60,16 @@ def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = write_shards(table(spark, sf_dir, "documents"), scratch_path(spark, "shards"))
+    return written.select("slot", "shard", "offset", "n_tokens", "sha256")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.learn(docs), declared=F.col("lang"), host=F.col("source"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
@@ -98,8 +116,9 @@ SELECT s.page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM s LEFT
 
 def queries() -> dict:
     """Every query op<N>_<name> of this module, and the pipeline."""
-    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+    found = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:
-    return dict(ORACLE)
+    return ORACLE | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
