@@ -17,6 +17,8 @@ from pixelloom.llm.common import BROADCAST_IDS, materialise
 BUCKETS, MAX_LANGUAGES = 1 << 15, 64
 #: The class of text that is in none of the languages.
 NONE = "und"
+#: How much less likely than chance a trigram is under NONE, so that names and codes amid little text don't reject it.
+NONE_PENALTY = 2.5
 #: Weight of one trigram's log-likelihood: overlapping trigrams aren't independent evidence.
 TEMPER = 0.2
 
@@ -40,7 +42,7 @@ TABLE = _table()
 
 @dataclass
 class TextModel:
-    """Log-probabilities of trigram buckets, a column for each language and one for NONE (uniform)."""
+    """Log-probabilities of trigram buckets, a column for each language and one for NONE (uniform, less a penalty)."""
 
     languages: list[str]
     logp: np.ndarray
@@ -80,7 +82,7 @@ def learn(rows: DataFrame, max_rows: int = 8_000) -> TextModel:
     seen = np.full((BUCKETS, len(languages)), 0.01)
     seen[sums.column("g").to_numpy(), sums.column("k").to_numpy()] += sums.column("n").to_numpy()
     logp = np.log(seen / seen.sum(axis=0, keepdims=True)) if languages else np.empty((BUCKETS, 0))
-    return TextModel(languages, np.c_[logp, np.full(BUCKETS, -np.log(BUCKETS))].astype(np.float32))
+    return TextModel(languages, np.c_[logp, np.full(BUCKETS, -np.log(BUCKETS) - NONE_PENALTY)].astype(np.float32))
 
 
 def _join_small(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
