@@ -152,7 +152,8 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, window: int = 25, id
        min_words - window + 1 words, its core; suffixes whose core no other document has are dropped.
     2. The others are sorted by core and following words (and again by core and preceding words) over range partitions;
        neighbours tell how far any match can extend to the right (and to the left).
-    3. Within those bounds each extension to min_words is tested for a second document.
+    3. Surroundings that two documents share are certain. Of the others each extension to min_words within those bounds is
+       tested for a second document.
 
     Equal suffixes with equal surroundings count as one before sorting, and range partitions split a frequent core by its
     surroundings, so copies make no partition large. Texts below min_words words, empty texts, and rows with a null id or
@@ -177,14 +178,15 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, window: int = 25, id
 
     words = lambda c: (F.octet_length(c) / 2).cast("int")
     whole = F.col("a") != F.col("b")
-    right = F.least(F.when(whole, reach).otherwise(F.col("to_right")), words("right"))
-    left = F.least(F.when(whole, reach).otherwise(F.col("to_left")), words("left"))
-    wide = once.withColumn("least", F.lit(reach) - right).withColumn("most", left).where("least <= most")
-    tried = wide.select("sig", "context", "a", "b", "left", "right", F.explode(F.sequence("least", "most")).alias("l"))
+    bounds = [(F.lit(reach) - F.least("to_right", words("right"))).alias("least"), F.least("to_left", words("left")).alias("most")]
+    tried = once.select("sig", "context", "a", "b", "left", "right", *bounds).where("least <= most")
+    tried = tried.select("sig", "context", "a", "b", "left", "right", F.explode(F.sequence("least", "most")).alias("l"))
     tried = tried.select("sig", "context", "a", "b", "l", F.xxhash64("sig", "l", F.expr("substring(left, 1, 2 * l)"), F.expr(f"substring(right, 1, 2 * ({reach} - l))")).alias("passage"))
     tried = materialise(tried, "passages")
     shared = tried.groupBy("passage").agg(F.min("a").alias("x"), F.max("b").alias("y")).where("x <> y").select("passage")
-    ends = tried.join(shared, "passage", "left_semi").groupBy("sig", "context").agg(F.min("l").alias("least"), F.max("l").alias("most"))
+    parts_of = tried.where("a = b").join(shared, "passage", "left_semi").groupBy("sig", "context").agg(F.min("l").alias("least"), F.max("l").alias("most"))
+    sure = once.where(whole).select("sig", "context", (F.lit(reach) - words("right")).alias("least"), words("left").alias("most")).where("least <= most")
+    ends = parts_of.unionByName(sure)
     found = around.select("sig", "context", "doc_id", "pos").join(ends, ["sig", "context"])
     span = F.struct((F.col("pos") - F.col("most")).alias("start"), (F.col("pos") - F.col("least") + min_words).alias("stop"))
     merged = found.groupBy("doc_id").agg(F.array_sort(F.collect_set(span)).alias("spans")).withColumn("spans", merge_spans(F.col("spans")))
