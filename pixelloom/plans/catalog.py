@@ -1,11 +1,14 @@
-"""Registry of the queries over the test tables and their DuckDB counterparts."""
+"""All queries over the test tables."""
 
 from __future__ import annotations
 
+from pixelloom.plans import queries_cube, queries_grid, queries_pixel, queries_table  # noqa: F401  (they register)
+from pixelloom.plans.registry import ORACLES, QUERIES
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(ORACLES)
