@@ -154,7 +154,7 @@ def udm2_valid_mask(spark, d):
 
 
 # Oracle text of the indices over reflectances in 0 to 1.
-_B = {k: f"(least(greatest({c}, 0.0), 10000.0) / 10000)" for k, c in indices.SENTINEL2.items()}
+_B = {k: f"(CASE WHEN {c} IS NOT NULL THEN least(greatest({c}, 0.0), 10000.0) / 10000 END)" for k, c in indices.SENTINEL2.items()}
 
 
 def _nd(a: str, b: str) -> str:
@@ -186,7 +186,7 @@ def optical_indices(spark, d):
     return rounded(_day(view(spark, d, "refl_wide")).select("x", "y", "t", "B04", "B08", *indices.optical(scale=10_000)))
 
 
-_PB = {k: f"(least(greatest({c}, 0.0), 10000.0) / 10000)" for k, c in indices.PLANET.items()}
+_PB = {k: f"(CASE WHEN {c} IS NOT NULL THEN least(greatest({c}, 0.0), 10000.0) / 10000 END)" for k, c in indices.PLANET.items()}
 _PP = f"({_PB['N']} * (1 - {_PB['R']}) * ({_PB['N']} - {_PB['R']}))"
 _PLANET = {
     "NDVI": _nd(_PB["N"], _PB["R"]), "AVI": f"CASE WHEN {_PP} >= 0 THEN pow({_PP}, 1.0 / 3) END", "CIRE": f"{_PB['N']} / nullif({_PB['RE1']}, 0) - 1",

@@ -33,14 +33,19 @@ def query(name: str, sql: str | None = None, use: str = "") -> Callable:
     return add
 
 
+#: Part of the last kept digit that is added before rounding, so that short fractions are never at the edge between two.
+OFFSET = 0.123
+
+
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Doubles rounded, negative zero as zero: sums in another order then compare equal."""
-    return df.select(*[(F.round(F.col(f"`{c}`"), digits) + 0.0).alias(c) if k in ("double", "float") else F.col(f"`{c}`") for c, k in df.dtypes])
+    """Doubles rounded (see OFFSET), negative zero as zero: sums in another order then compare equal."""
+    fix = lambda c: (F.round(F.col(f"`{c}`") + OFFSET / 10**digits, digits) + 0.0).alias(c)
+    return df.select(*[fix(c) if k in ("double", "float") else F.col(f"`{c}`") for c, k in df.dtypes])
 
 
 def rounds(sql: str, columns: str, digits: int = 4) -> str:
     """The same in SQL, for the named columns."""
-    return f"SELECT * REPLACE ({', '.join(f'round({c}, {digits}) + 0.0 AS {c}' for c in columns.split())}) FROM ({sql})"
+    return f"SELECT * REPLACE ({', '.join(f'round({c} + {OFFSET / 10**digits!r}::DOUBLE, {digits}) + 0.0 AS {c}' for c in columns.split())}) FROM ({sql})"
 
 
 def with_rounds(ctes: str, sql: str, columns: str, digits: int = 4) -> str:
