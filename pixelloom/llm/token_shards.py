@@ -6,6 +6,7 @@ import base64
 import hashlib
 import json
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,7 +25,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Id that ends every document and fills the last sequence; free in the vocabulary.
 END = 50256
-CACHE = 300_000
+#: Pieces that a worker process remembers (about 200 bytes each, for ids and for counts).
+CACHE = 600_000
 MANIFEST = "_MANIFEST.json"
 FIELDS = "slot long, shard int, file string, offset long, n_tokens int, sha256 string"
 
@@ -36,16 +38,21 @@ def _encoding(vocabulary: bytes) -> tiktoken.Encoding:
 
 
 class _Pieces(dict):
-    """Space-separated pieces to what ``make`` gives for them; emptied when it holds CACHE entries."""
+    """Space-separated pieces to what ``make`` gives for them. Once it holds CACHE entries the frequent ones, which come first, stay; it starts anew if they no longer help."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.missed = make, 0
 
     def __missing__(self, piece: str):
-        if len(self) >= CACHE:
-            self.clear()
-        out = self[piece] = self.make(piece)
+        out = self.make(piece)
+        if len(self) < CACHE:
+            self[piece] = out
+        else:
+            self.missed += 1
+            if self.missed > 8 * CACHE:
+                self.clear()
+                self.missed = 0
         return out
 
 
@@ -53,9 +60,9 @@ class Encoder:
     """Token ids of whole texts. A text without runs of spaces is encoded piece by piece, which gives the same ids."""
 
     def __init__(self, vocabulary: bytes):
-        self.encode = _encoding(vocabulary).encode_ordinary
-        self.ids = _Pieces(lambda p: np.array(self.encode(p), np.uint16).tobytes())
-        self.counts = _Pieces(lambda p: len(self.encode(p)))
+        self.encode = encode = _encoding(vocabulary).encode_ordinary
+        self.ids = _Pieces(lambda p: array("H", encode(p)).tobytes())
+        self.counts = _Pieces(lambda p: len(encode(p)))
 
     @staticmethod
     def _split(text: str) -> list[str] | None:
@@ -69,7 +76,7 @@ class Encoder:
         if not text:
             return b""
         pieces = self._split(text)
-        return np.array(self.encode(text), np.uint16).tobytes() if pieces is None else b"".join(map(self.ids.__getitem__, pieces))
+        return array("H", self.encode(text)).tobytes() if pieces is None else b"".join(map(self.ids.__getitem__, pieces))
 
     def count(self, text: str | None) -> int:
         if not text:
@@ -78,6 +85,12 @@ class Encoder:
         return len(self.encode(text)) if pieces is None else sum(map(self.counts.__getitem__, pieces))
 
 
+@lru_cache(maxsize=2)
+def encoder(vocabulary: bytes) -> Encoder:
+    """The worker process's encoder: what it remembers serves all its tasks."""
+    return Encoder(vocabulary)
+
+
 class Feistel:
     """Keyed permutation of 0 to n - 1: a balanced Feistel network over the next even number of bits, walked until below n."""
 
@@ -145,7 +158,7 @@ def write_shards(
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, n = Encoder(vocab.value), 0
+        coder, n = encoder(vocab.value), 0
         for b in batches:
             n += sum(coder.count(t.as_py()) + 1 for t in b.column(0))
         yield _batches([(TaskContext.get().partitionId(), n)], {"part": pa.int32(), "n": pa.int64()})
@@ -162,7 +175,7 @@ def write_shards(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"slot": pa.int64(), "shard": pa.int32(), "at": pa.int32(), "ids": pa.binary()}
         part = TaskContext.get().partitionId()
-        coder, order = Encoder(vocab.value), Feistel(max(1, n_sequences), key)
+        coder, order = encoder(vocab.value), Feistel(max(1, n_sequences), key)
         place, held, end = 2 * base.get(part, 0), bytearray(), np.uint16(END).tobytes()
 
         def ready(last: bool) -> list[tuple]:
