@@ -58,36 +58,57 @@ def _conformal(t: Column, e: float) -> Column:
     return t * F.sqrt(1 + s * s) - s * F.sqrt(1 + t * t)
 
 
+def _let(value: Column, use) -> Column:
+    """use(value) with value evaluated once: keeps nested formulas from growing with every use."""
+    return F.transform(F.array(value), use)[0]
+
+
 def to_utm(lon: Column, lat: Column, zone: Column, north: Column) -> tuple[Column, Column]:
     """(easting, northing) in a UTM zone."""
     radius, series, _ = _krueger(WGS84.n)
-    t = _conformal(F.tan(F.radians(lat)), WGS84.e)
-    dl = F.radians(lon - (zone * 6 - 183))
-    xi, eta = F.atan2(t, F.cos(dl)), F.asinh(F.sin(dl) / F.sqrt(t * t + F.cos(dl) * F.cos(dl)))
-    x, y = eta, xi
-    for j, c in enumerate(series, 1):
-        x = x + c * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-        y = y + c * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
     k = UTM_SCALE * WGS84.a * radius
-    return FALSE_EAST + k * x, F.when(north, 0.0).otherwise(FALSE_NORTH) + k * y
+    dl = F.radians(lon - (zone * 6 - 183))
+
+    def sphere(t: Column) -> Column:
+        return F.struct(F.atan2(t, F.cos(dl)).alias("xi"), F.asinh(F.sin(dl) / F.sqrt(t * t + F.cos(dl) * F.cos(dl))).alias("eta"))
+
+    def place(s: Column) -> Column:
+        xi, eta = s["xi"], s["eta"]
+        x, y = eta, xi
+        for j, c in enumerate(series, 1):
+            x = x + c * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+            y = y + c * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        return F.struct((FALSE_EAST + k * x).alias("e"), (F.when(north, 0.0).otherwise(FALSE_NORTH) + k * y).alias("n"))
+
+    tangent = _let(F.tan(F.radians(lat)), lambda t: _conformal(t, WGS84.e))
+    out = _let(_let(tangent, sphere), place)
+    return out["e"], out["n"]
 
 
 def from_utm(easting: Column, northing: Column, zone: Column, north: Column) -> tuple[Column, Column]:
     """(lon, lat) of UTM coordinates."""
-    radius, _, series = _krueger(WGS84.n)
+    n = WGS84.n
+    radius, _, series = _krueger(n)
     k = UTM_SCALE * WGS84.a * radius
-    eta, xi = (easting - FALSE_EAST) / k, (northing - F.when(north, 0.0).otherwise(FALSE_NORTH)) / k
-    x, y = eta, xi
-    for j, c in enumerate(series, 1):
-        x = x - c * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-        y = y - c * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    goal = F.sin(y) / F.sqrt(F.sinh(x) * F.sinh(x) + F.cos(y) * F.cos(y))
-    e2 = WGS84.e**2
-    t = goal / math.sqrt(1 - e2)
-    for _ in range(3):  # Newton steps for the tangent of the latitude
-        c = _conformal(t, WGS84.e)
-        t = t + (goal - c) / F.sqrt(1 + c * c) * (1 + (1 - e2) * t * t) / ((1 - e2) * F.sqrt(1 + t * t))
-    return F.degrees(F.atan2(F.sinh(x), F.cos(y))) + (zone * 6 - 183), F.degrees(F.atan(t))
+    # latitude from conformal latitude, in the third flattening to its fourth power
+    to_lat = [2 * n - 2 * n**2 / 3 - 2 * n**3 + 116 * n**4 / 45, 7 * n**2 / 3 - 8 * n**3 / 5 - 227 * n**4 / 45, 56 * n**3 / 15 - 136 * n**4 / 35, 4279 * n**4 / 630]
+
+    def sphere(s: Column) -> Column:
+        xi, eta = s["xi"], s["eta"]
+        x, y = eta, xi
+        for j, c in enumerate(series, 1):
+            x = x - c * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+            y = y - c * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    def place(s: Column) -> Column:
+        lon = F.degrees(F.atan2(F.sinh(s["x"]), F.cos(s["y"]))) + (zone * 6 - 183)
+        chi = F.asin(F.sin(s["y"]) / F.cosh(s["x"]))
+        return F.struct(lon.alias("lon"), _let(chi, lambda v: F.degrees(v + sum((c * F.sin(2 * j * v) for j, c in enumerate(to_lat, 1)), F.lit(0.0)))).alias("lat"))
+
+    start = F.struct(((northing - F.when(north, 0.0).otherwise(FALSE_NORTH)) / k).alias("xi"), ((easting - FALSE_EAST) / k).alias("eta"))
+    out = _let(_let(start, sphere), place)
+    return out["lon"], out["lat"]
 
 
 def _authalic(s: Column, e: float) -> Column:
@@ -116,22 +137,30 @@ def _laea() -> tuple[float, float, float, float]:
 def to_laea(lon: Column, lat: Column) -> tuple[Column, Column]:
     """(x, y) on EPSG:3035."""
     qp, rq, beta0, d = _laea()
-    beta = F.asin(_authalic(F.sin(F.radians(lat)), GRS80.e) / qp)
     dl = F.radians(lon - LAEA_LON)
-    b = rq * F.sqrt(2 / (1 + math.sin(beta0) * F.sin(beta) + math.cos(beta0) * F.cos(beta) * F.cos(dl)))
-    x = LAEA_X + b * d * F.cos(beta) * F.sin(dl)
-    return x, LAEA_Y + b / d * (math.cos(beta0) * F.sin(beta) - math.sin(beta0) * F.cos(beta) * F.cos(dl))
+
+    def place(beta: Column) -> Column:
+        b = rq * F.sqrt(2 / (1 + math.sin(beta0) * F.sin(beta) + math.cos(beta0) * F.cos(beta) * F.cos(dl)))
+        x = LAEA_X + b * d * F.cos(beta) * F.sin(dl)
+        return F.struct(x.alias("x"), (LAEA_Y + b / d * (math.cos(beta0) * F.sin(beta) - math.sin(beta0) * F.cos(beta) * F.cos(dl))).alias("y"))
+
+    out = _let(F.asin(_let(F.sin(F.radians(lat)), lambda s: _authalic(s, GRS80.e)) / qp), place)
+    return out["x"], out["y"]
 
 
 def from_laea(x: Column, y: Column) -> tuple[Column, Column]:
     """(lon, lat) of EPSG:3035 coordinates."""
     qp, rq, beta0, d = _laea()
     u, v = (x - LAEA_X) / d, (y - LAEA_Y) * d
-    rho = F.sqrt(u * u + v * v)
-    c = 2 * F.asin(rho / (2 * rq))
-    beta = F.asin(F.cos(c) * math.sin(beta0) + F.coalesce(F.try_divide(v * F.sin(c) * math.cos(beta0), rho), F.lit(0.0)))
-    lon = LAEA_LON + F.degrees(F.atan2(u * F.sin(c), rho * math.cos(beta0) * F.cos(c) - v * math.sin(beta0) * F.sin(c)))
-    return lon, F.degrees(_latitude(beta, GRS80.e))
+
+    def place(rho: Column) -> Column:
+        c = 2 * F.asin(rho / (2 * rq))
+        beta = F.asin(F.cos(c) * math.sin(beta0) + F.coalesce(F.try_divide(v * F.sin(c) * math.cos(beta0), rho), F.lit(0.0)))
+        lon = LAEA_LON + F.degrees(F.atan2(u * F.sin(c), rho * math.cos(beta0) * F.cos(c) - v * math.sin(beta0) * F.sin(c)))
+        return F.struct(lon.alias("lon"), _let(beta, lambda b: F.degrees(_latitude(b, GRS80.e))).alias("lat"))
+
+    out = _let(F.sqrt(u * u + v * v), place)
+    return out["lon"], out["lat"]
 
 
 def to_equal_area(lon: Column, lat: Column) -> tuple[Column, Column]:
