@@ -25,10 +25,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Id that ends every document and fills the last sequence; free in the vocabulary.
 END = 50256
-#: Pieces that a worker process remembers (about 200 bytes each, for ids and for counts).
-CACHE = 600_000
 MANIFEST = "_MANIFEST.json"
-FIELDS = "slot long, shard int, file string, offset long, n_tokens int, sha256 string"
+FIELDS = "shard int, place int, sequence long, file string, n_tokens int, sha256 string"
 
 
 @lru_cache(maxsize=2)
@@ -37,58 +35,9 @@ def _encoding(vocabulary: bytes) -> tiktoken.Encoding:
     return tiktoken.Encoding(f"own-{len(ranks)}", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-class _Pieces(dict):
-    """Space-separated pieces to what ``make`` gives for them. Once it holds CACHE entries the frequent ones, which come first, stay; it starts anew if they no longer help."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make, self.missed = make, 0
-
-    def __missing__(self, piece: str):
-        out = self.make(piece)
-        if len(self) < CACHE:
-            self[piece] = out
-        else:
-            self.missed += 1
-            if self.missed > 8 * CACHE:
-                self.clear()
-                self.missed = 0
-        return out
-
-
-class Encoder:
-    """Token ids of whole texts. A text without runs of spaces is encoded piece by piece, which gives the same ids."""
-
-    def __init__(self, vocabulary: bytes):
-        self.encode = encode = _encoding(vocabulary).encode_ordinary
-        self.ids = _Pieces(lambda p: array("H", encode(p)).tobytes())
-        self.counts = _Pieces(lambda p: len(encode(p)))
-
-    @staticmethod
-    def _split(text: str) -> list[str] | None:
-        if "  " in text or text[:1] == " " or text[-1:] == " ":
-            return None
-        first, *rest = text.split(" ")
-        return [first, *[" " + p for p in rest]]
-
-    def tokens(self, text: str | None) -> bytes:
-        """Little-endian 16-bit ids."""
-        if not text:
-            return b""
-        pieces = self._split(text)
-        return array("H", self.encode(text)).tobytes() if pieces is None else b"".join(map(self.ids.__getitem__, pieces))
-
-    def count(self, text: str | None) -> int:
-        if not text:
-            return 0
-        pieces = self._split(text)
-        return len(self.encode(text)) if pieces is None else sum(map(self.counts.__getitem__, pieces))
-
-
-@lru_cache(maxsize=2)
-def encoder(vocabulary: bytes) -> Encoder:
-    """The worker process's encoder: what it remembers serves all its tasks."""
-    return Encoder(vocabulary)
+def encode(vocabulary: bytes, text: str | None) -> bytes:
+    """Little-endian 16-bit token ids of a whole text; none for null and empty."""
+    return array("H", _encoding(vocabulary).encode_ordinary(text)).tobytes() if text else b""
 
 
 class Feistel:
@@ -130,119 +79,102 @@ class Feistel:
         return self._walk(slot, True)
 
 
-def _batches(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
-
-
 def write_shards(
     docs: DataFrame, path: str, seq_len: int = 2048, shard_sequences: int = 4096, key: int = 20_24, vocabulary: str = VOCABULARY, text_col: str = "text",
 ) -> DataFrame:
     """Tokenise whole texts, cut the stream into sequences, and write them in permuted order as binary shards under path.
 
-    Each document's ids are followed by END; the stream of all documents is cut every seq_len ids and the last sequence
-    filled with END. Sequence i goes to slot Feistel(N, key).slot(i). Shard s is one file with the slots from s *
-    shard_sequences on, each 2 * seq_len bytes, so slot t is at offset (t mod shard_sequences) * stride and a reader can
-    start or resume at any slot. Returns (slot, shard, file, offset, n_tokens, sha256), a row for each sequence; n_tokens
-    leaves out the filling. Null and empty texts are END alone; an empty table writes no shard.
+    Each document's ids are followed by END; each input partition's stream is cut every seq_len ids and its last sequence
+    filled with END. Sequences are numbered by partition: one has room for as many as its bytes, which bound its ids, so
+    numbers are known before a text is encoded. A Feistel permutation of all numbers gives each sequence its place; equal
+    ranges of places form the shards, and as numbers that no sequence has drop out everywhere alike, slots are the places
+    closed up. A shard is one file of at most about shard_sequences records of 2 * seq_len bytes in slot order, and the
+    manifest has each shard's first slot, so a reader can start or resume at any slot.
 
-    Documents stand in the stream in the order in which the input's partitions hold them. A first pass counts ids by
-    partition (a number for each comes to the driver), a second encodes and shuffles each sequence once to its shard. The
-    passes must see the same partitions, as scans of files do; a second pass that counts otherwise fails. Tasks name their
+    Returns (slot, shard, offset, sequence, n_tokens, sha256), a row for each sequence; n_tokens leaves out the filling.
+    Null and empty texts are END alone; an empty table writes no shard. Other columns are ignored.
+
+    Texts are encoded once, and each sequence is shuffled once. The sizes of the partitions and the first slots of the
+    shards are all that the driver holds. A partition that has grown since its size was taken fails. Tasks name their
     files anew at each attempt and only those of finished tasks enter the manifest, so lost executors leave nothing behind.
     """
     spark = docs.sparkSession
-    sc = spark.sparkContext
     with open(vocabulary, "rb") as f:
-        vocab = sc.broadcast(f.read())  # about 1 MB
+        vocab = spark.sparkContext.broadcast(f.read())  # about 1 MB
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, n = encoder(vocab.value), 0
-        for b in batches:
-            n += sum(coder.count(t.as_py()) + 1 for t in b.column(0))
-        yield _batches([(TaskContext.get().partitionId(), n)], {"part": pa.int32(), "n": pa.int64()})
-
-    counts = {r.part: r.n for r in texts.mapInArrow(count, "part int, n long").collect()}
-    total = sum(counts.values())
-    base, at = {}, 0
-    for part in sorted(counts):
-        base[part], at = at, at + counts[part]
-    n_sequences = -(-total // seq_len)
-    stride = 2 * seq_len
-    meta = {"seq_len": seq_len, "stride": stride, "shard_sequences": shard_sequences, "n_sequences": n_sequences, "n_tokens": total, "key": key}
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("n")
+    sizes = {r.part: r.n for r in texts.groupBy(F.spark_partition_id().alias("part")).agg(size).collect()}
+    room = {part: -(-n // seq_len) for part, n in sizes.items()}
+    first, numbers = {}, 0
+    for part in sorted(room):
+        first[part], numbers = numbers, numbers + room[part]
+    stride, n_shards = 2 * seq_len, max(1, -(-numbers // shard_sequences))
+    width = max(1, -(-numbers // n_shards))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"slot": pa.int64(), "shard": pa.int32(), "at": pa.int32(), "ids": pa.binary()}
+        kinds = {"shard": pa.int32(), "at": pa.int64(), "sequence": pa.int64(), "ids": pa.binary()}
         part = TaskContext.get().partitionId()
-        coder, order = encoder(vocab.value), Feistel(max(1, n_sequences), key)
-        place, held, end = 2 * base.get(part, 0), bytearray(), np.uint16(END).tobytes()
-
-        def ready(last: bool) -> list[tuple]:
-            nonlocal place
-            out, used = [], 0
-            while used < len(held):
-                room = stride - place % stride
-                piece = bytes(held[used : used + room])
-                if len(piece) < room and not last:
-                    break
-                slot = int(order.slot(place // stride)[0])
-                out.append((slot, slot // shard_sequences, place % stride, piece))
-                used, place = used + len(piece), place + len(piece)
-            del held[:used]
-            return out
+        order, held, end, done = Feistel(max(1, numbers), key), bytearray(), np.uint16(END).tobytes(), 0
+
+        def ready(last: bool) -> pa.RecordBatch:
+            nonlocal done
+            n = -(-len(held) // stride) if last else len(held) // stride
+            if done + n > room.get(part, 0):
+                raise RuntimeError(f"partition {part} has grown between the passes")
+            own = np.arange(done, done + n) + first.get(part, 0)
+            at = order.slot(own) if n else own
+            ids = [bytes(held[i * stride : (i + 1) * stride]) for i in range(n)]
+            del held[: n * stride]
+            done += n
+            columns = (at // width, at, own, ids)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
 
         for b in batches:
             for t in b.column(0):
-                held += coder.tokens(t.as_py()) + end
+                held += encode(vocab.value, t.as_py()) + end
                 if len(held) > 4 << 20:
-                    yield _batches(ready(False), kinds)
-        yield _batches(ready(True), kinds)
-        if place != 2 * (base.get(part, 0) + counts.get(part, 0)):
-            raise RuntimeError(f"partition {part} has changed between the passes")
+                    yield ready(False)
+        yield ready(True)
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"slot": pa.int64(), "shard": pa.int32(), "file": pa.string(), "offset": pa.int64(), "n_tokens": pa.int32(), "sha256": pa.string()}
+        kinds = {"shard": pa.int32(), "place": pa.int32(), "sequence": pa.int64(), "file": pa.string(), "n_tokens": pa.int32(), "sha256": pa.string()}
         target, root = fs.FileSystem.from_uri(path)
-        out, shard, name, slot, held, done = None, None, None, None, bytearray(), []
-
-        def flush() -> None:
-            if slot is not None:
-                n = len(held) // 2
-                record = bytes(held) + np.uint16(END).tobytes() * (seq_len - n)
-                out.write(record)
-                done.append((slot, shard, name, (slot % shard_sequences) * stride, n, hashlib.sha256(record).hexdigest()))
-
+        out, shard, name, place = None, None, None, 0
         for b in batches:
-            for s, f, _, ids in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if s != slot:
-                    flush()
-                    held.clear()
-                    if f != shard:
-                        if out:
-                            out.close()
-                        name = f"shard-{f:06d}-{uuid.uuid4().hex}.bin"
-                        target.create_dir(root, recursive=True)
-                        out = target.open_output_stream(f"{root}/{name}", compression=None)
-                    slot, shard = s, f
-                held += ids
-            if len(done) > 2000:
-                yield _batches(done, kinds)
-                done.clear()
-        flush()
+            done = []
+            for s, own, ids in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3), strict=True):
+                if s != shard:
+                    if out:
+                        out.close()
+                    shard, place, name = s, 0, f"shard-{s:06d}-{uuid.uuid4().hex}.bin"
+                    target.create_dir(root, recursive=True)
+                    out = target.open_output_stream(f"{root}/{name}", compression=None)
+                ids = ids.as_py()
+                n = len(ids) // 2
+                record = ids + np.uint16(END).tobytes() * (seq_len - n)
+                out.write(record)
+                done.append((shard, place, own, name, n, hashlib.sha256(record).hexdigest()))
+                place += 1
+            columns = zip(*done, strict=True) if done else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
         if out:
             out.close()
-        yield _batches(done, kinds)
 
-    pieces = texts.mapInArrow(cut, "slot long, shard int, at int, ids binary")
-    dealt = pieces.repartition(max(1, -(-n_sequences // shard_sequences)), "shard").sortWithinPartitions("shard", "slot", "at")
+    pieces = texts.mapInArrow(cut, "shard int, at long, sequence long, ids binary")
+    dealt = pieces.repartition(n_shards, "shard").sortWithinPartitions("shard", "at")
     written = materialise(dealt.mapInArrow(store, FIELDS), "slots")
+    shards, n_sequences = [], 0
+    for r in written.groupBy("shard", "file").agg(F.count("*").alias("n")).orderBy("shard").collect():  # a row for each shard
+        shards.append((r.shard, r.file, n_sequences, r.n))
+        n_sequences += r.n
     target, root = fs.FileSystem.from_uri(path)
     target.create_dir(root, recursive=True)
-    meta["shards"] = {str(r.shard): r.file for r in written.select("shard", "file").distinct().collect()}  # a name for each shard
+    meta = {"seq_len": seq_len, "stride": stride, "n_sequences": n_sequences, "numbers": numbers, "key": key, "shards": shards}
     with target.open_output_stream(f"{root}/{MANIFEST}", compression=None) as f:
         f.write(json.dumps(meta).encode())
-    return written
+    start = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps([{"shard": s, "start": n} for s, _, n, _ in shards])), "array<struct<shard int, start bigint>>")))
+    slots = written.join(F.broadcast(start), "shard")
+    return slots.select((F.col("start") + F.col("place")).alias("slot"), "shard", (F.col("place").cast("long") * stride).alias("offset"), "sequence", "n_tokens", "sha256")
 
 
 def read_manifest(path: str) -> dict:
@@ -254,19 +186,18 @@ def read_manifest(path: str) -> dict:
 def read_slots(spark: SparkSession, path: str, start: int = 0, stop: int | None = None) -> DataFrame:
     """(slot, ids array<int>) of the slots from start up to stop: each shard in a task of its own, read in sequence from the first slot wanted."""
     meta = read_manifest(path)
-    per, stop = meta["shard_sequences"], min(meta["n_sequences"], stop if stop is not None else meta["n_sequences"])
-    wanted = [int(s) for s in meta["shards"] if int(s) * per < stop and (int(s) + 1) * per > start]
+    stop = meta["n_sequences"] if stop is None else stop
+    wanted = [(name, max(start, at) - at, min(stop, at + n) - at, at) for _, name, at, n in meta["shards"] if at < stop and at + n > start]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, root = fs.FileSystem.from_uri(path)
         for b in batches:
-            for s in b.column(0).to_pylist():
-                first, last = max(start, s * per), min(stop, (s + 1) * per)
-                with target.open_input_file(f"{root}/{meta['shards'][str(s)]}") as f:
-                    f.seek((first - s * per) * meta["stride"])
-                    for slot in range(first, last):
+            for name, low, high, at in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                with target.open_input_file(f"{root}/{name}") as f:
+                    f.seek(low * meta["stride"])
+                    for place in range(low, high):
                         ids = np.frombuffer(f.read(meta["stride"]), np.uint16)
-                        yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int64()), pa.array([ids.astype(np.int32)], pa.list_(pa.int32()))], names=["slot", "ids"])
+                        yield pa.RecordBatch.from_arrays([pa.array([at + place], pa.int64()), pa.array([ids.astype(np.int32)], pa.list_(pa.int32()))], names=["slot", "ids"])
 
-    shards = spark.createDataFrame([(s,) for s in wanted], "shard int").repartition(max(1, len(wanted)))
+    shards = spark.createDataFrame(wanted, "name string, low long, high long, at long").repartition(max(1, len(wanted)))
     return shards.mapInArrow(read, "slot long, ids array<int>")
