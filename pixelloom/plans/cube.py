@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pixelloom.functions import indices, pixel
 from pixelloom.operators import joins, spatial, temporal
 
-S1_BANDS, S2_BANDS = ("VV", "VH"), ("B02", "B03", "B04", "B05", "B06", "B07", "B08", "B11", "B12")
+S1_BANDS, S2_BANDS = ("VV", "VH"), ("B02", "B03", "B04", "B05", "B06", "B07", "B08", "B8A", "B11", "B12")
 # Feature bands without meaning.
 MEANINGLESS = (
     "S2REP_sd", "S2REP_sum", "S2REP_iqr", "VV_sum", "VH_sum", "VHVVD_sum", *(f"S2-CLOUD-MASK_{s}" for s in temporal.FEATURES),

@@ -17,7 +17,22 @@ _ZONE = "lpad(CAST(zone_number AS VARCHAR), 2, '0')"
 _G100 = f"{_ZONE} || {_GREEK} || {_COL} || {_ROW}"
 _G20 = f"{_G100} || CAST(CAST(floor((easting % 100000) / 20000) AS INT) AS VARCHAR) || CAST(CAST(floor((northing % 100000) / 20000) AS INT) AS VARCHAR)"
 
-E, N, Z, NORTH = F.col("easting"), F.col("northing"), F.col("zone_number"), F.col("zone_letter") >= "N"
+
+
+def E():
+    return F.col("easting")
+
+
+def N():
+    return F.col("northing")
+
+
+def Z():
+    return F.col("zone_number")
+
+
+def NORTH():
+    return F.col("zone_letter") >= "N"
 
 
 def _points(spark, d):
@@ -37,22 +52,22 @@ def utm_zone_number(spark, d):
 
 @query("utm_epsg", "SELECT point_id, CASE WHEN zone_letter >= 'N' THEN 32600 ELSE 32700 END + zone_number AS epsg FROM ref_points", "ref_points")
 def utm_epsg(spark, d):
-    return _points(spark, d).select("point_id", grid.utm_epsg(Z, NORTH).alias("epsg"))
+    return _points(spark, d).select("point_id", grid.utm_epsg(Z(), NORTH()).alias("epsg"))
 
 
 @query("mgrs_100k_letters", f"SELECT point_id, {_COL} || {_ROW} AS letters FROM ref_points", "ref_points")
 def mgrs_100k_letters(spark, d):
-    return _points(spark, d).select("point_id", grid.mgrs_100k(Z, E, N).alias("letters"))
+    return _points(spark, d).select("point_id", grid.mgrs_100k(Z(), E(), N()).alias("letters"))
 
 
 @query("mgrs_2mil_letter", f"SELECT point_id, {_GREEK} AS letter FROM ref_points", "ref_points")
 def mgrs_2mil_letter(spark, d):
-    return _points(spark, d).select("point_id", grid.greek_letter(N, NORTH).alias("letter"))
+    return _points(spark, d).select("point_id", grid.greek_letter(N(), NORTH()).alias("letter"))
 
 
 @query("mgrs_id", f"SELECT point_id, {_ZONE} || zone_letter || {_COL} || {_ROW} AS mgrs FROM ref_points", "ref_points")
 def mgrs_id(spark, d):
-    return _points(spark, d).select("point_id", grid.mgrs_id(Z, F.col("zone_letter"), E, N).alias("mgrs"))
+    return _points(spark, d).select("point_id", grid.mgrs_id(Z(), F.col("zone_letter"), E(), N()).alias("mgrs"))
 
 
 def _digits(v: str, unit: int, n: int) -> str:
@@ -63,37 +78,37 @@ for _name, _n in (("mgrs_id10", 4), ("mgrs_id1", 5)):
 
     @query(_name, f"SELECT point_id, {_ZONE} || zone_letter || {_COL} || {_ROW} || {_digits('easting', 10 ** (5 - _n), _n)} || {_digits('northing', 10 ** (5 - _n), _n)} AS mgrs FROM ref_points", "ref_points")
     def _mgrs(spark, d, n=_n):
-        return _points(spark, d).select("point_id", grid.mgrs_metres(Z, F.col("zone_letter"), E, N, n).alias("mgrs"))
+        return _points(spark, d).select("point_id", grid.mgrs_metres(Z(), F.col("zone_letter"), E(), N(), n).alias("mgrs"))
 
 
 @query("pixel_center", "SELECT point_id, floor(easting / 10) * 10 + 5 AS e, floor(-northing / 20) * 20 + 10 AS n FROM ref_points", "ref_points")
 def pixel_center(spark, d):
-    return _points(spark, d).select("point_id", grid.pixel_centre(E, 10).alias("e"), grid.pixel_centre(-N, 20).alias("n"))
+    return _points(spark, d).select("point_id", grid.pixel_centre(E(), 10).alias("e"), grid.pixel_centre(-N(), 20).alias("n"))
 
 
 @query("grid100id", f"SELECT point_id, {_G100} AS id FROM ref_points", "ref_points")
 def grid100id(spark, d):
-    return _points(spark, d).select("point_id", grid.grid100_id(Z, NORTH, E, N).alias("id"))
+    return _points(spark, d).select("point_id", grid.grid100_id(Z(), NORTH(), E(), N()).alias("id"))
 
 
 @query("grid20id", f"SELECT point_id, {_G20} AS id FROM ref_points", "ref_points")
 def grid20id(spark, d):
-    return _points(spark, d).select("point_id", grid.grid20_id(Z, NORTH, E, N).alias("id"))
+    return _points(spark, d).select("point_id", grid.grid20_id(Z(), NORTH(), E(), N()).alias("id"))
 
 
 @query("point_in_tile", f"SELECT id, count(*) AS n FROM (SELECT {_G20} AS id FROM ref_points) GROUP BY id", "ref_points")
 def point_in_tile(spark, d):
-    return _points(spark, d).groupBy(grid.grid20_id(Z, NORTH, E, N).alias("id")).agg(F.count("*").alias("n"))
+    return _points(spark, d).groupBy(grid.grid20_id(Z(), NORTH(), E(), N()).alias("id")).agg(F.count("*").alias("n"))
 
 
 @query("gridid_to_epsg", "SELECT point_id, CASE WHEN zone_letter >= 'N' THEN 32600 ELSE 32700 END + zone_number AS epsg FROM ref_points", "ref_points")
 def gridid_to_epsg(spark, d):
-    return _points(spark, d).select("point_id", grid.grid_epsg(grid.grid20_id(Z, NORTH, E, N)).alias("epsg"))
+    return _points(spark, d).select("point_id", grid.grid_epsg(grid.grid20_id(Z(), NORTH(), E(), N())).alias("epsg"))
 
 
 @query("mgrsid_to_epsg", "SELECT point_id, CASE WHEN zone_letter >= 'N' THEN 32600 ELSE 32700 END + zone_number AS epsg FROM ref_points", "ref_points")
 def mgrsid_to_epsg(spark, d):
-    return _points(spark, d).select("point_id", grid.mgrs_epsg(grid.mgrs_id(Z, F.col("zone_letter"), E, N)).alias("epsg"))
+    return _points(spark, d).select("point_id", grid.mgrs_epsg(grid.mgrs_id(Z(), F.col("zone_letter"), E(), N())).alias("epsg"))
 
 
 @query("point_info")
@@ -104,7 +119,7 @@ def point_info(spark, d):
 
 @query("mgrs_center_ll")
 def mgrs_center_ll(spark, d):
-    lon, lat = crs.from_utm(grid.pixel_centre(E, 10), grid.pixel_centre(N, 10), Z, NORTH)
+    lon, lat = crs.from_utm(grid.pixel_centre(E(), 10), grid.pixel_centre(N(), 10), Z(), NORTH())
     return _points(spark, d).select("point_id", F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
 
 
@@ -205,7 +220,7 @@ def read_grid_bbox(spark, d):
 p AS (SELECT zone_number, zone_letter, w, s, w + 10000 AS easting, s + 10000 AS northing FROM c)
 SELECT {_G20} AS grid20id, CASE WHEN zone_letter >= 'N' THEN 32600 ELSE 32700 END + zone_number AS epsg, CAST(w AS BIGINT) AS west, CAST(s AS BIGINT) AS south, CAST(w + 20000 AS BIGINT) AS east, CAST(s + 20000 AS BIGINT) AS north FROM p""", "ref_points")
 def grid_utm20_global(spark, d):
-    return grids.utm_20k(_points(spark, d).withColumn("north", NORTH))
+    return grids.utm_20k(_points(spark, d).withColumn("north", NORTH()))
 
 
 _KIDS = f"{_BIG}, k AS (SELECT name AS parent, west + i * 20000 AS west, south + j * 20000 AS south, west + (i + 1) * 20000 AS east, south + (j + 1) * 20000 AS north FROM g JOIN laea_tiles USING (name), range(5) a(i), range(5) b(j))"
@@ -222,7 +237,7 @@ _U = f"""u AS (SELECT DISTINCT {_G20} AS grid20id, floor(easting / 20000) * 2000
 
 @query("processing_grid", f"WITH {_U}, l AS (SELECT *, unnest([7, 5, 6]) AS n FROM u) SELECT substr(grid20id, 1, n) AS id, CASE n WHEN 7 THEN 'tile' WHEN 5 THEN 'grid100' ELSE 'strip' END AS level, CAST(min(west) AS BIGINT) AS west, CAST(min(south) AS BIGINT) AS south, CAST(max(west) + 20000 AS BIGINT) AS east, CAST(max(south) + 20000 AS BIGINT) AS north, count(*) AS n_tiles FROM l GROUP BY ALL", "ref_points")
 def processing_grid(spark, d):
-    return grids.processing_grid(grids.utm_20k(_points(spark, d).withColumn("north", NORTH)))
+    return grids.processing_grid(grids.utm_20k(_points(spark, d).withColumn("north", NORTH())))
 
 
 _META = f"{_KIDS}, m AS (SELECT parent, 'T' || CAST(west // 150000 AS VARCHAR) || ',T' || CAST(south // 150000 AS VARCHAR) AS tiles FROM k)"
