@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gzip
-import hashlib
 import json
 import uuid
 from collections.abc import Iterator
@@ -270,6 +269,3 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
     spark.dataSource.register(WarcSource)
     return spark.read.format("warc").option("path", path).option("payload", str(payload).lower()).load()
 
-
-def digest(payload: bytes) -> str:
-    return hashlib.sha256(payload).hexdigest()
