@@ -63,8 +63,8 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def to_utm(lon: Column, lat: Column, zone: Column, north: Column) -> tuple[Column, Column]:
-    """(easting, northing) in a UTM zone."""
+def utm_struct(lon: Column, lat: Column, zone: Column, north: Column) -> Column:
+    """Struct (e, n) in a UTM zone; select it before its fields are used more than once."""
     radius, series, _ = _krueger(WGS84.n)
     k = UTM_SCALE * WGS84.a * radius
     dl = F.radians(lon - (zone * 6 - 183))
@@ -81,12 +81,17 @@ def to_utm(lon: Column, lat: Column, zone: Column, north: Column) -> tuple[Colum
         return F.struct((FALSE_EAST + k * x).alias("e"), (F.when(north, 0.0).otherwise(FALSE_NORTH) + k * y).alias("n"))
 
     tangent = _let(F.tan(F.radians(lat)), lambda t: _conformal(t, WGS84.e))
-    out = _let(_let(tangent, sphere), place)
+    return _let(_let(tangent, sphere), place)
+
+
+def to_utm(lon: Column, lat: Column, zone: Column, north: Column) -> tuple[Column, Column]:
+    """(easting, northing) in a UTM zone."""
+    out = utm_struct(lon, lat, zone, north)
     return out["e"], out["n"]
 
 
-def from_utm(easting: Column, northing: Column, zone: Column, north: Column) -> tuple[Column, Column]:
-    """(lon, lat) of UTM coordinates."""
+def lonlat_struct(easting: Column, northing: Column, zone: Column, north: Column) -> Column:
+    """Struct (lon, lat) of UTM coordinates."""
     n = WGS84.n
     radius, _, series = _krueger(n)
     k = UTM_SCALE * WGS84.a * radius
@@ -107,7 +112,12 @@ def from_utm(easting: Column, northing: Column, zone: Column, north: Column) ->
         return F.struct(lon.alias("lon"), _let(chi, lambda v: F.degrees(v + sum((c * F.sin(2 * j * v) for j, c in enumerate(to_lat, 1)), F.lit(0.0)))).alias("lat"))
 
     start = F.struct(((northing - F.when(north, 0.0).otherwise(FALSE_NORTH)) / k).alias("xi"), ((easting - FALSE_EAST) / k).alias("eta"))
-    out = _let(_let(start, sphere), place)
+    return _let(_let(start, sphere), place)
+
+
+def from_utm(easting: Column, northing: Column, zone: Column, north: Column) -> tuple[Column, Column]:
+    """(lon, lat) of UTM coordinates."""
+    out = lonlat_struct(easting, northing, zone, north)
     return out["lon"], out["lat"]
 
 

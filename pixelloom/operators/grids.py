@@ -114,13 +114,18 @@ def segmentize(ring: Column, step: float) -> Column:
     return F.concat(F.flatten(F.transform(edges, split)), F.array(F.struct(last["x"].cast("double").alias("x"), last["y"].cast("double").alias("y"))))
 
 
-def point_info(lon: Column, lat: Column) -> dict[str, Column]:
-    """MGRS ids at 100 km, 10 m and 1 m, centre of the 10 m pixel in degrees, and the 20 km grid id of a position."""
-    zone, north = grid.zone_number(lon, lat), lat >= 0
-    e, n = crs.to_utm(lon, lat, zone, north)
-    letter = grid.zone_letter(lat)
-    c_lon, c_lat = crs.from_utm(grid.pixel_centre(e, 10), grid.pixel_centre(n, 10), zone, north)
-    return {
-        "mgrs_id": grid.mgrs_id(zone, letter, e, n), "mgrs_id10": grid.mgrs_metres(zone, letter, e, n, 4), "mgrs_id1": grid.mgrs_metres(zone, letter, e, n, 5),
-        "center_lon": F.round(c_lon, 7), "center_lat": F.round(c_lat, 7), "grid20id": grid.grid20_id(zone, north, e, n),
-    }
+def point_info(points: DataFrame, keep: list[str], lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """(keep, mgrs_id, mgrs_id10, mgrs_id1, center_lon, center_lat, grid20id) of positions in degrees.
+
+    The ids are of 100 km, 10 m and 1 m squares and the 20 km grid; the centre is that of the 10 m pixel. Each projection is
+    a column of its own, so it is evaluated once a row.
+    """
+    zone, north = F.col("_zone"), F.col("_north")
+    at = points.select(*keep, grid.zone_letter(F.col(lat)).alias("_letter"), grid.zone_number(F.col(lon), F.col(lat)).alias("_zone"), (F.col(lat) >= 0).alias("_north"), F.col(lon).alias("_lon"), F.col(lat).alias("_lat"))
+    at = at.withColumn("_utm", crs.utm_struct(F.col("_lon"), F.col("_lat"), zone, north))
+    e, n = F.col("_utm.e"), F.col("_utm.n")
+    at = at.withColumn("_mid", crs.lonlat_struct(grid.pixel_centre(e, 10), grid.pixel_centre(n, 10), zone, north))
+    return at.select(
+        *keep, grid.mgrs_id(zone, F.col("_letter"), e, n).alias("mgrs_id"), grid.mgrs_metres(zone, F.col("_letter"), e, n, 4).alias("mgrs_id10"), grid.mgrs_metres(zone, F.col("_letter"), e, n, 5).alias("mgrs_id1"),
+        F.round("_mid.lon", 7).alias("center_lon"), F.round("_mid.lat", 7).alias("center_lat"), grid.grid20_id(zone, north, e, n).alias("grid20id"),
+    )

@@ -113,8 +113,7 @@ def mgrsid_to_epsg(spark, d):
 
 @query("point_info")
 def point_info(spark, d):
-    p = _points(spark, d)
-    return p.select("point_id", *[c.alias(n) for n, c in grids.point_info(F.col("lon"), F.col("lat")).items()])
+    return grids.point_info(_points(spark, d), ["point_id"])
 
 
 @query("mgrs_center_ll")
