@@ -29,3 +29,13 @@ def unique_id(day: Column, seed: Column, length: int = 40) -> Column:
         raise ValueError("length must be 25 to 88")
     code = F.regexp_replace(F.sha2(seed.cast("string"), 256), "(.{6})", "$1-")
     return F.substring(F.concat(F.date_format(day, "yyyyMMdd"), F.lit("-"), code), 1, length)
+
+
+def metadata_map(key: Column, value: Column) -> Column:
+    """Aggregate: the key-value metadata of a file as one map."""
+    return F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value))))
+
+
+def metadata_field(metadata: Column, key: str, schema: str) -> Column:
+    """A JSON value of such a map, parsed; null if there is none."""
+    return F.from_json(F.try_element_at(metadata, F.lit(key)), schema)

@@ -451,3 +451,23 @@ def stream_dedup_items(spark, d):
     once = streams.first_items(rows.unionByName(rows), ["id"], "60 days")
     once.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/out").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{root}/out").agg(F.count("*").alias("n"))
+
+
+@query("parquet_kv_metadata", "SELECT id, 'B' || tile_id AS first_band, attempt AS version FROM job_tracker", "job_tracker")
+def parquet_kv_metadata(spark, d):
+    j = view(spark, d, "job_tracker")
+    bands = F.format_string('{"bands": ["B%d", "x"]}', "tile_id")
+    pairs = j.select("id", F.lit("model").alias("key"), bands.alias("value")).unionByName(j.select("id", F.lit("info").alias("key"), F.format_string('{"version": %d}', "attempt").alias("value")))
+    kv = pairs.groupBy("id").agg(text.metadata_map(F.col("key"), F.col("value")).alias("kv"))
+    model, info = text.metadata_field(F.col("kv"), "model", "bands array<string>"), text.metadata_field(F.col("kv"), "info", "version int")
+    return kv.select("id", model["bands"][0].alias("first_band"), info["version"].alias("version"))
+
+
+@query("read_xml_tiles", "SELECT lpad(CAST(zone_number AS VARCHAR), 2, '0') || 'U' || point_id AS tile_id, 32600 + zone_number AS epsg FROM ref_points WHERE zone_number IN (31, 32, 33)", "ref_points")
+def read_xml_tiles(spark, d):
+    root = _shared(spark) + "/kml"
+    mark = F.format_string("<Placemark><name>%02dU%d</name><description>EPSG 326%02d POLYGON((0 0,1 0,1 1,0 0))</description></Placemark>", "zone_number", "point_id", "zone_number")
+    rows = view(spark, d, "ref_points").select("zone_number", F.floor(F.col("point_id") / 60_000).alias("part"), mark.alias("mark"))
+    documents = rows.groupBy("zone_number", "part").agg(F.array_join(F.collect_list("mark"), "\n").alias("marks"))  # about 1,000 marks each
+    documents.select(F.concat(F.lit("<kml>"), "marks", F.lit("</kml>"))).write.option("maxRecordsPerFile", 1).text(root)
+    return files.read_xml_tiles(spark, root, [31, 32, 33]).select("tile_id", "epsg")
