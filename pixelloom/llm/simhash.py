@@ -7,7 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -105,10 +105,6 @@ def _sketch(h: np.ndarray, n: int) -> np.ndarray:
     return np.packbits(2 * ones > len(h), bitorder="little").view(np.uint64)
 
 
-#: Sets of at most so many shingles are always compared exactly.
-SMALL_SET = 64
-
-
 def shingle_set(raw: bytes | None, shingle_words: int) -> np.ndarray:
     """Hashes of the distinct shingles of a text; a text of fewer words is one shingle."""
     words = raw.lower().split() if raw else []
@@ -121,45 +117,25 @@ def _hashed_text(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.md5(text).alias("text_hash"), text.alias("raw"))
 
 
-def sketches(docs: DataFrame, shingle_words: int, tables: int, bits: int, sketch_words: int) -> DataFrame:
-    """For each row: doc_id, text_hash (MD5), prints (``tables`` fingerprints of ``bits`` bits of its set of words), n (its
-    distinct shingles) and sketch (a long SimHash of them)."""
-    kinds = {"doc_id": docs.schema["doc_id"].dataType, "text_hash": T.StringType(), "prints": T.ArrayType(T.LongType()), "n": T.IntegerType(), "sketch": T.BinaryType()}
+def sketches(docs: DataFrame, tables: int, bits: int) -> DataFrame:
+    """For each row: doc_id, text_hash (MD5) and prints (``tables`` fingerprints of ``bits`` bits of its set of words)."""
+    kinds = {"doc_id": docs.schema["doc_id"].dataType, "text_hash": T.StringType(), "prints": T.ArrayType(T.LongType())}
     schema = T.StructType([T.StructField(c, k) for c, k in kinds.items()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            prints, count, long = [], [], []
+            prints = []
             for x in b.column(2):
                 raw = x.as_py()
                 single = np.array([xxh64_intdigest(w, SEED) for w in set(raw.lower().split())], dtype=np.uint64)
                 set_bits = np.unpackbits(_sketch(single, -(-tables * bits // 64)).view(np.uint8), bitorder="little")[: tables * bits].reshape(tables, bits)
                 prints.append((set_bits.astype(np.int64) << np.arange(bits)).sum(axis=1))
-                shingled = shingle_set(raw, shingle_words)
-                count.append(len(shingled))
-                long.append(_sketch(shingled, sketch_words).tobytes())
-            columns = [b.column(0), b.column(1), pa.array(prints, pa.list_(pa.int64())), pa.array(count, pa.int32()), pa.array(long, pa.binary())]
+            columns = [b.column(0), b.column(1), pa.array(prints, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return _hashed_text(docs).mapInArrow(run, schema)
 
 
-def hamming(x: Column, y: Column, words: int) -> Column:
-    """Differing bits of two binary columns of 8 x words bytes."""
-    part = lambda c, i: F.conv(F.hex(F.substring(c, 4 * i + 1, 4)), 16, 10).cast("bigint")
-    return sum((F.bit_count(part(x, i).bitwiseXOR(part(y, i))) for i in range(2 * words)), F.lit(0))
-
-
-def estimated_similarity(a: Column, b: Column, sketch_words: int) -> Column:
-    """Jaccard similarity of two sets from structs (n, sketch).
-
-    The share of differing SimHash bits is the angle between the sets over pi; its cosine and the sizes give the overlap.
-    """
-    angle = hamming(a["sketch"], b["sketch"], sketch_words) * (np.pi / (64.0 * sketch_words))
-    overlap = F.greatest(F.cos(angle), F.lit(0.0)) * F.sqrt(a["n"] * b["n"].cast("double"))
-    return overlap / (a["n"] + b["n"] - overlap)
-
-
 def exact_pairs(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
     """The (a, b) of pairs whose texts' sets of shingles have at least this Jaccard similarity; reads only those texts again."""
     wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "text_hash", "first_id"), "node"), "unsure")
@@ -177,23 +153,22 @@ def exact_pairs(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle_wor
     return both.where(overlap / (F.size("x") + F.size("y") - overlap) >= similarity).select("a", "b")
 
 
-def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, tables: int = 6, bits: int = 36, sketch_words: int = 8, slack: float = 0.06) -> DataFrame:
+def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, tables: int = 6, bits: int = 36) -> DataFrame:
     """(doc_id, component_id) for every row of docs: classes of documents whose sets of shingles are similar.
 
     At a Jaccard similarity of 0.8 about ten of 64 SimHash bits of the shingles differ, a ball too large to list. So
     candidates come from ``tables`` shorter fingerprints of the words, which differ in few bits, each with a ball of one
-    bit: documents within two bits in any table meet. They are verified by the similarity of their sets of shingles: by
-    an estimate from 64 x sketch_words SimHash bits (standard error about 0.02) where that is more than slack away from
-    the bound, else, and for small sets, exactly.
+    bit: documents within two bits in any table meet. Every pair is verified by the similarity of its whole sets of
+    shingles.
 
     Rows with equal texts count as one before anything is shuffled, and texts with equal fingerprints meet the least and
     greatest of them rather than each other; a variant then has at most bits + 1 fingerprints. component_id: the smallest
     doc_id that links reach. Texts without words form a class; null ids keep their rows. Other columns are ignored; an
     empty table gives no rows.
     """
-    rows = materialise(sketches(docs, shingle_words, tables, bits, sketch_words), "sketches")
-    nodes = rows.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"), F.first(F.struct("prints", "n", "sketch")).alias("one"))
-    nodes = materialise(nodes.select(F.xxhash64("text_hash").alias("node"), "text_hash", "first_id", "one.prints", F.struct("one.n", "one.sketch").alias("set")), "nodes")
+    rows = materialise(sketches(docs, tables, bits), "sketches")
+    nodes = rows.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"), F.first("prints").alias("prints"))
+    nodes = materialise(nodes.select(F.xxhash64("text_hash").alias("node"), "text_hash", "first_id", "prints"), "nodes")
     posted = nodes.select("node", F.posexplode("prints").alias("table", "print"))
     same = materialise(posted.groupBy("table", "print").agg(F.min("node").alias("low"), F.max("node").alias("high")), "prints")
     alike = posted.join(same.where("low <> high"), ["table", "print"]).select("node", F.explode(F.array("low", "high")).alias("other"))
@@ -203,12 +178,7 @@ def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float =
     near = balls.select(F.col("low").alias("node"), F.lag("low").over(group).alias("before"), F.first("low").over(group).alias("least"))
     near = near.where("node <> least").select("node", F.explode(F.array("before", "least")).alias("other"))
     pairs = alike.unionByName(near).where("node <> other").select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
-    side = nodes.select("node", "set")
-    pairs = pairs.join(side.toDF("a", "x"), "a").join(side.toDF("b", "y"), "b").withColumn("s", estimated_similarity(F.col("x"), F.col("y"), sketch_words))
-    small = F.least("x.n", "y.n") <= SMALL_SET
-    pairs = materialise(pairs.select("a", "b", "s", small.alias("small")).where(F.col("small") | (F.col("s") >= similarity - slack)), "pairs")
-    unsure = F.col("small") | (F.col("s") < similarity + slack)
-    close = pairs.where(~unsure).select("a", "b").unionByName(exact_pairs(docs, nodes, pairs.where(unsure).select("a", "b"), shingle_words, similarity))
+    close = exact_pairs(docs, nodes, materialise(pairs, "pairs"), shingle_words, similarity)
     roots = components(close)
     rooted = nodes.select("node", "text_hash", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
