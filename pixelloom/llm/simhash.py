@@ -1,4 +1,4 @@
-"""Near-duplicate classes by SimHash and meet-in-the-middle ball hashing."""
+"""Near-duplicate classes: by SimHash and meet-in-the-middle ball hashing, and by an exact join of sets of shingles."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -88,21 +88,8 @@ def near_duplicate_classes(docs: DataFrame, shingle_words: int = 3, max_distance
     return fps.join(by_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _mixed(h: np.ndarray, n: int) -> np.ndarray:
-    """n further 64-bit hashes of each hash."""
-    x = h[:, None] + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _sketch(h: np.ndarray, n: int) -> np.ndarray:
-    """n x 64 SimHash bits of a set of hashes, as n numbers."""
-    ones = np.zeros(64 * n, np.int64)
-    for at in range(0, len(h), 1 << 14):
-        part = _mixed(h[at : at + (1 << 14)], n)
-        ones += np.unpackbits(part.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * ones > len(h), bitorder="little").view(np.uint64)
+#: Largest size over smallest of the sets that share one division into parts.
+LEVEL = 1.5
 
 
 def shingle_set(raw: bytes | None, shingle_words: int) -> np.ndarray:
@@ -112,75 +99,120 @@ def shingle_set(raw: bytes | None, shingle_words: int) -> np.ndarray:
     return np.array([xxh64_intdigest(s, SEED) for s in several], dtype=np.uint64)
 
 
-def _hashed_text(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return docs.select("doc_id", F.md5(text).alias("text_hash"), text.alias("raw"))
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
 
+def _parts(h: np.ndarray, level: int, parts: int, most: int) -> np.ndarray:
+    """Keys of the parts of a set that may differ in at most ``most`` elements from another."""
+    name = lambda i: i.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level)
+    at = (h % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    keys = _mixed(_mixed(np.add.reduceat(h[order], starts)) + name(at[starts]))
+    if len(keys) <= most:
+        return np.r_[keys, _mixed(name(np.setdiff1d(np.arange(parts), at)))]
+    return keys[np.lexsort((keys, -np.diff(np.r_[starts, len(h)])))[: most + 1]]
 
-def sketches(docs: DataFrame, tables: int, bits: int) -> DataFrame:
-    """For each row: doc_id, text_hash (MD5) and prints (``tables`` fingerprints of ``bits`` bits of its set of words)."""
-    kinds = {"doc_id": docs.schema["doc_id"].dataType, "text_hash": T.StringType(), "prints": T.ArrayType(T.LongType())}
-    schema = T.StructType([T.StructField(c, k) for c, k in kinds.items()])
+
+def part_keys(h: np.ndarray, similarity: float) -> np.ndarray:
+    """Keys of a set of hashes: two sets of at least this Jaccard similarity share one, for certain.
+
+    Sets of a and b elements then differ in at most (a + b)(1 - s) / (1 + s), so in at most as many parts of any division
+    of all hashes. Of its parts with elements, the largest first, each set gives one more than that; the first part that
+    two similar sets have in common is among those of both. A set with too few such parts gives all, and the empty
+    ones too. The division depends on the level of the larger set, so a set answers for each level that it reaches.
+    """
+    gap, reach = (1 - similarity) / (1 + similarity), len(h) / similarity + 1e-6
+    low, out = 1, []
+    while low <= reach:
+        after = max(low + 1, int(low * LEVEL))
+        if len(h) < after:
+            out.append(_parts(h, low, int(2.25 * gap * after) + 7, int(gap * (len(h) + min(after - 1, reach)) + 1e-6)))
+        low = after
+    return np.concatenate(out)
+
+
+def _node() -> Column:
+    return F.xxhash64(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+
+
+def _texts(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """(node, raw): docs without the rows that repeat the text of another; copies has (same, first_id) of repeated texts."""
+    side = F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies
+    joined = docs.select("doc_id", _node().alias("node"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw")).join(side, F.col("node") == F.col("same"), "left")
+    return joined.where("same IS NULL OR doc_id <=> first_id").select("node", "raw")
+
+
+def posts(texts: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
+    """(node, n, key): the keys of each text and its number of distinct shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            prints = []
-            for x in b.column(2):
-                raw = x.as_py()
-                single = np.array([xxh64_intdigest(w, SEED) for w in set(raw.lower().split())], dtype=np.uint64)
-                set_bits = np.unpackbits(_sketch(single, -(-tables * bits // 64)).view(np.uint8), bitorder="little")[: tables * bits].reshape(tables, bits)
-                prints.append((set_bits.astype(np.int64) << np.arange(bits)).sum(axis=1))
-            columns = [b.column(0), b.column(1), pa.array(prints, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            sets = [shingle_set(x.as_py(), shingle_words) for x in b.column(1)]
+            keys = [part_keys(h, similarity).view(np.int64) for h in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int32()), pa.array(keys, pa.list_(pa.int64()))], names=["node", "n", "keys"])
 
-    return _hashed_text(docs).mapInArrow(run, schema)
+    return texts.mapInArrow(run, "node long, n int, keys array<long>").select("node", "n", F.explode("keys").alias("key"))
 
 
-def exact_pairs(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
+def exact_pairs(texts: DataFrame, pairs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
     """The (a, b) of pairs whose texts' sets of shingles have at least this Jaccard similarity; reads only those texts again."""
-    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "text_hash", "first_id"), "node"), "unsure")
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS // 10 else wanted
-    texts = _hashed_text(docs).join(side, "text_hash").where("doc_id <=> first_id").select("node", "raw")
+    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingle_set(x.as_py(), shingle_words).view(np.int64) for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"])
+            sets = [np.sort(shingle_set(x.as_py(), shingle_words)).tobytes() for x in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["node", "set"])
+
+    sets = texts.join(side, "node").mapInArrow(run, "node long, set binary").groupBy("node").agg(F.first("set").alias("set"))
+    sets = materialise(sets, "sets")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kept = []
+            for x, y in zip(b.column(2), b.column(3), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                overlap = len(np.intersect1d(x, y, assume_unique=True))
+                kept.append(overlap / (len(x) + len(y) - overlap) >= similarity)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    both = pairs.select("a", "b").join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    return materialise(both.mapInArrow(compare, "a long, b long"), "close")
+
 
-    sets = materialise(texts.mapInArrow(run, "node long, set array<long>").groupBy("node").agg(F.first("set").alias("set")), "sets")
-    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    overlap = F.size(F.array_intersect("x", "y"))
-    return both.where(overlap / (F.size("x") + F.size("y") - overlap) >= similarity).select("a", "b")
+def _ordered(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Distinct (a, b) with a > b of pairs of structs p and q (node, n) whose sizes allow this similarity."""
+    fits = F.least("p.n", "q.n") >= similarity * F.greatest("p.n", "q.n") - 1e-6
+    return pairs.where((F.col("p.node") != F.col("q.node")) & fits).select(F.greatest("p.node", "q.node").alias("a"), F.least("p.node", "q.node").alias("b")).distinct()
 
 
-def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, tables: int = 6, bits: int = 36) -> DataFrame:
+def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, component_id) for every row of docs: classes of documents whose sets of shingles are similar.
 
-    At a Jaccard similarity of 0.8 about ten of 64 SimHash bits of the shingles differ, a ball too large to list. So
-    candidates come from ``tables`` shorter fingerprints of the words, which differ in few bits, each with a ball of one
-    bit: documents within two bits in any table meet. Every pair is verified by the similarity of its whole sets of
-    shingles.
+    Two documents are linked if the Jaccard similarity of their sets of shingles is at least ``similarity``. Candidates share a key of part_keys, which every such
+    pair does, and each is verified by the whole sets. Each text is compared with the least text of its key and the one
+    before it.
 
-    Rows with equal texts count as one before anything is shuffled, and texts with equal fingerprints meet the least and
-    greatest of them rather than each other; a variant then has at most bits + 1 fingerprints. component_id: the smallest
-    doc_id that links reach. Texts without words form a class; null ids keep their rows. Other columns are ignored; an
-    empty table gives no rows.
+    Rows with equal texts count as one. component_id: the smallest doc_id that links reach. Texts without words form a
+    class; null ids keep their rows. Other columns are ignored; an empty table gives no rows.
     """
-    rows = materialise(sketches(docs, tables, bits), "sketches")
-    nodes = rows.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"), F.first("prints").alias("prints"))
-    nodes = materialise(nodes.select(F.xxhash64("text_hash").alias("node"), "text_hash", "first_id", "prints"), "nodes")
-    posted = nodes.select("node", F.posexplode("prints").alias("table", "print"))
-    same = materialise(posted.groupBy("table", "print").agg(F.min("node").alias("low"), F.max("node").alias("high")), "prints")
-    alike = posted.join(same.where("low <> high"), ["table", "print"]).select("node", F.explode(F.array("low", "high")).alias("other"))
-    masks = F.array(F.lit(0), *[F.lit(1 << i) for i in range(bits)])
-    balls = same.select("table", "low", "print", F.explode(masks).alias("mask")).select("table", "low", F.col("print").bitwiseXOR(F.col("mask")).alias("variant"))
-    group = Window.partitionBy("table", "variant").orderBy("low")
-    near = balls.select(F.col("low").alias("node"), F.lag("low").over(group).alias("before"), F.first("low").over(group).alias("least"))
-    near = near.where("node <> least").select("node", F.explode(F.array("before", "least")).alias("other"))
-    pairs = alike.unionByName(near).where("node <> other").select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
-    close = exact_pairs(docs, nodes, materialise(pairs, "pairs"), shingle_words, similarity)
-    roots = components(close)
-    rooted = nodes.select("node", "text_hash", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = materialise(docs.select("doc_id", _node().alias("node")), "rows")
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows"))
+    nodes = materialise(nodes, "nodes")
+    texts = _texts(docs, nodes.where("rows > 1").select(F.col("node").alias("same"), "first_id"))
+    me, of_key = F.struct("node", "n"), Window.partitionBy("key")
+    in_order = of_key.orderBy("node")
+    shared = posts(texts, shingle_words, similarity).withColumn("least", F.first(me).over(in_order)).withColumn("before", F.lag(me).over(in_order))
+    shared = materialise(shared.withColumn("last", F.max("node").over(of_key)).where("least.node <> last").drop("last"), "shared")
+    first = shared.select(me.alias("p"), F.explode(F.array("least", "before")).alias("q"))
+    first = materialise(_ordered(first, similarity), "pairs")
+    close = exact_pairs(texts, first, shingle_words, similarity)
+    rooted = nodes.join(components(close), "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(ids, "root").select("text_hash", "component_id")
-    return rows.select("doc_id", "text_hash").join(named, "text_hash").select("doc_id", "component_id")
+    named = rooted.join(ids, "root").select("node", "component_id")
+    return rows.join(named, "node").select("doc_id", "component_id")

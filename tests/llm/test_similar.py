@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from pixelloom.llm import simhash
 
 
@@ -36,3 +38,34 @@ def test_pairs_just_above_and_below_the_bound(documents):
     got = classes(documents, texts)
     wrong = [n for i, n in enumerate(near) if (got[2 * i] == got[2 * i + 1]) != n]
     assert not wrong, f"{wrong.count(True)} of {sum(near)} pairs lost, {wrong.count(False)} of {near.count(False)} linked wrongly"
+
+
+def test_truncated_and_extended_copies(documents, prose):
+    texts = []
+    for i in range(120):
+        more = (30, 50, 70, 85, 100)[i % 5]
+        if i % 2:
+            texts += [prose(f"b{i}", 404), f"{prose(f'b{i}', 404)} {prose(f'm{i}', more)}"]
+        else:
+            texts += [prose(f"b{i}", 404 + more), prose(f"b{i}", 404)]
+    near = [similarity(*texts[i : i + 2]) >= 0.8 for i in range(0, len(texts), 2)]
+    assert all(near)
+    got = classes(documents, texts)
+    lost = sum(got[2 * i] != got[2 * i + 1] for i in range(len(near)))
+    assert lost == 0, f"{lost} of {len(near)} pairs lost"
+    assert len(set(got.values())) == len(near)
+
+
+def test_similar_sets_share_a_key():
+    random.seed(2)
+    number = lambda n: [random.getrandbits(64) for _ in range(n)]
+    for bound in (0.5, 0.8, 0.95):
+        for n in [*range(1, 60), 100, 333, 1000] * 4:
+            both = number(n)
+            most = int(n / bound + 1e-9) - n  # as many elements as may differ
+            mine = random.randint(0, most)
+            a, b = (np.array(both + number(m), dtype=np.uint64) for m in (mine, most - mine))
+            assert n / (n + most) >= bound
+            assert np.intersect1d(simhash.part_keys(a, bound), simhash.part_keys(b, bound)).size, (bound, n, mine)
+    apart = [simhash.part_keys(np.array(number(300), dtype=np.uint64), 0.8) for _ in range(50)]
+    assert max(map(len, apart)) <= 160 and len(np.unique(np.concatenate(apart))) == sum(map(len, apart))
