@@ -88,8 +88,8 @@ def near_duplicate_classes(docs: DataFrame, shingle_words: int = 3, max_distance
     return fps.join(by_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-#: Largest size over smallest of the sets that share one division into parts.
-LEVEL = 1.5
+#: Largest size over smallest of the sets that share one division into parts, and most members of a key in one block of pairs.
+LEVEL, BLOCK = 1.5, 256
 
 
 def shingle_set(raw: bytes | None, shingle_words: int) -> np.ndarray:
@@ -191,12 +191,28 @@ def _ordered(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.where((F.col("p.node") != F.col("q.node")) & fits).select(F.greatest("p.node", "q.node").alias("a"), F.least("p.node", "q.node").alias("b")).distinct()
 
 
+def _across(shared: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of nodes that share a key and have different roots. A key of many nodes is dealt to pairs of blocks."""
+    rooted = shared.join(roots.withColumnRenamed("root", "r"), "node", "left").withColumn("r", F.coalesce("r", "node"))
+    keys = rooted.groupBy("key").agg(F.min("r").alias("low"), F.max("r").alias("high"), F.count("*").alias("m")).where("low <> high")
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    open_ = rooted.join(keys.select("key", blocks.alias("blocks")), "key").withColumn("mine", F.pmod(F.hash("node"), F.col("blocks")))
+    open_ = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = [F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")]
+    one = open_.select("key", *cell, "mine", F.struct("node", "n").alias("p"), F.col("r").alias("rp"))
+    two = one.select("key", "i", "j", F.col("mine").alias("his"), F.col("p").alias("q"), F.col("rp").alias("rq"))
+    met = one.join(two, ["key", "i", "j"]).where("rp <> rq AND p.node > q.node AND (i = j OR mine <> his)")
+    return _ordered(met, similarity)
+
+
 def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, component_id) for every row of docs: classes of documents whose sets of shingles are similar.
 
-    Two documents are linked if the Jaccard similarity of their sets of shingles is at least ``similarity``. Candidates share a key of part_keys, which every such
-    pair does, and each is verified by the whole sets. Each text is compared with the least text of its key and the one
-    before it.
+    Exact: two documents are linked if and only if the Jaccard similarity of their sets of shingles is at least
+    ``similarity``, and classes are the components of these links. Candidates share a key of part_keys, which every such
+    pair does, and each is verified by the whole sets. First each text is compared with the least text of its key and
+    the one before it; then all texts that share a key and aren't in one class yet are compared with each other, so a
+    large group of copies costs no square, and an unrelated least text breaks no class.
 
     Rows with equal texts count as one. component_id: the smallest doc_id that links reach. Texts without words form a
     class; null ids keep their rows. Other columns are ignored; an empty table gives no rows.
@@ -212,6 +228,10 @@ def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float =
     first = shared.select(me.alias("p"), F.explode(F.array("least", "before")).alias("q"))
     first = materialise(_ordered(first, similarity), "pairs")
     close = exact_pairs(texts, first, shingle_words, similarity)
+    rest = _across(shared.select("key", "node", "n"), components(close), similarity)
+    rest = materialise(rest.join(first, ["a", "b"], "left_anti"), "rest")
+    if not rest.isEmpty():
+        close = close.unionByName(exact_pairs(texts, rest, shingle_words, similarity))
     rooted = nodes.join(components(close), "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(ids, "root").select("node", "component_id")

@@ -69,3 +69,50 @@ def test_similar_sets_share_a_key():
             assert np.intersect1d(simhash.part_keys(a, bound), simhash.part_keys(b, bound)).size, (bound, n, mine)
     apart = [simhash.part_keys(np.array(number(300), dtype=np.uint64), 0.8) for _ in range(50)]
     assert max(map(len, apart)) <= 160 and len(np.unique(np.concatenate(apart))) == sum(map(len, apart))
+
+
+def components(texts, bound=0.8):
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    sets = [shingles(t) for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= bound:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i in range(len(texts))}
+
+
+def test_families_that_share_a_template(documents, monkeypatch):
+    """Copy families with a long passage in common, so that texts of many families share each key."""
+    monkeypatch.setattr(simhash, "BLOCK", 16, raising=False)
+    random.seed(4)
+    template = [f"t{i}" for i in range(304)]
+    texts = []
+    for f in range(60):  # two texts of a family are at 0.805, others at 0.777
+        for c in range(2):
+            texts.append(" ".join([*[f"f{f}w{i}" for i in range(6)], *template, *[f"f{f}c{c}n{i}" for i in range(37)]]))
+    random.shuffle(texts)
+    want = components(texts)
+    assert len(set(want.values())) == 60
+    got = classes(documents, texts)
+    assert got == want, f"{len(set(got.values())) - 60} of 60 families torn"
+
+
+def test_families_of_one_vocabulary(documents):
+    random.seed(6)
+    vocabulary = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(30):
+        base = random.choices(vocabulary, k=240) + vocabulary
+        random.shuffle(base)
+        for c in range(4):
+            at = random.randrange(len(base) - 20)
+            texts.append(" ".join(base[: at] + random.sample(base[at : at + 5 * c], 5 * c) + base[at + 5 * c :]))
+    random.shuffle(texts)
+    assert classes(documents, texts) == components(texts)
