@@ -10,11 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from pixelloom.llm.common import BROADCAST_IDS, materialise
 
-#: Hash buckets of byte trigrams; the most languages that a model tells apart.
-BUCKETS, MAX_LANGUAGES = 1 << 15, 64
+#: Hash buckets of byte trigrams; languages whose counts a task holds at once.
+BUCKETS, HELD_LANGUAGES = 1 << 15, 64
 #: The class of text that is in none of the languages.
 NONE = "und"
 #: How much less likely than chance a trigram is under NONE, so that names and codes amid little text don't reject it.
@@ -55,27 +56,41 @@ class TextModel:
         return TEMPER * total
 
 
-def learn(rows: DataFrame, max_rows: int = 8_000) -> TextModel:
-    """Model of (text, lang) rows, thinned by a hash of the text to about max_rows.
+def learn(rows: DataFrame, per_language: int = 4_000) -> TextModel:
+    """Model of (text, lang) rows: every language of the table, each from a sample of at most per_language of its rows.
 
-    Trigrams are counted for each language in the tasks and summed by a shuffle; at most MAX_LANGUAGES x BUCKETS sums
-    come back. Rows with a null or empty text or lang take no part. Without rows there are no languages.
+    Languages and their counts are taken from all rows. A language of more rows is thinned by a hash of doc_id (of the text
+    where there is none), so copies have no more weight than their number. Trigrams are counted for each language in the
+    tasks and summed by a shuffle; languages x BUCKETS sums come back. Rows with a null or empty text or lang take no part.
+    Without rows there are no languages.
     """
-    rows = rows.select("text", "lang").where("lang IS NOT NULL AND length(text) > 0")
-    n = rows.count()
-    if n > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < max(1, int(1_000_000 * max_rows / n)))
-    rows = materialise(rows, "lang-sample")
-    languages = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
+    code = F.xxhash64("doc_id", "text") if "doc_id" in rows.columns else F.xxhash64("text")
+    rows = rows.select("text", "lang", code.alias("code")).where("lang IS NOT NULL AND length(text) > 0")
+    found = rows.groupBy("lang").count()
+    found = materialise(found, "languages")
+    languages = [r.lang for r in found.orderBy(F.desc("count"), "lang").collect()]
+    place = {lang: i for i, lang in enumerate(languages)}
+    share = 1_000_000 * (1.1 * per_language + 50) / F.col("count")  # somewhat more than wanted; the rest goes by rank
+    thin = rows.join(F.broadcast(found), "lang").where(F.pmod("code", F.lit(1_000_000)) < share)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("code", F.lit(1_000_000)), "code"))
+    rows = materialise(thin.withColumn("rank", rank).where(F.col("rank") <= per_language).select("text", "lang"), "lang-sample")
+
+    def sums_of(seen: dict[int, np.ndarray]) -> pa.RecordBatch:
+        at = [(k, np.flatnonzero(v)) for k, v in seen.items()]
+        k, g, n = ([np.full(len(g), k) for k, g in at], [g for _, g in at], [seen[k][g] for k, g in at])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in ((k, pa.int32()), (g, pa.int32()), (n, pa.int64()))], names=["k", "g", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((len(languages), BUCKETS), np.int64)
+        seen: dict[int, np.ndarray] = {}
         for b in batches:
             for text, lang in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                if lang in languages:
-                    seen[languages.index(lang)] += np.bincount(trigram_buckets(text.as_py()), minlength=BUCKETS)
-        k, g = np.nonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(g, pa.int32()), pa.array(seen[k, g], pa.int64())], names=["k", "g", "n"])
+                if place[lang] not in seen and len(seen) == HELD_LANGUAGES:
+                    yield sums_of(seen)
+                    seen = {}
+                found = np.bincount(trigram_buckets(text.as_py()), minlength=BUCKETS)
+                seen[place[lang]] = seen[place[lang]] + found if place[lang] in seen else found
+        if seen:
+            yield sums_of(seen)
 
     raw = rows.select(F.col("text").cast("binary").alias("text"), "lang")
     sums = raw.mapInArrow(count, "k int, g int, n long").groupBy("k", "g").agg(F.sum("n").alias("n")).toArrow()
