@@ -7,18 +7,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
-#: Most ids whose hash table may be broadcast (about 40 bytes an id); beyond it a shuffle join is used.
-BROADCAST_IDS = 1_000_000
+#: Most bytes of a table that may be broadcast, counted before it is; beyond it the join shuffles.
+BROADCAST_BYTES = 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only if that is unset (tests), a temporary one."""
+    """The folder of ``spark.checkpoint.dir``. Where it is unset a local session, as in tests, gets a temporary one; a cluster is an error."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="checkpoint-")
-        sc.setCheckpointDir(found)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(found)
     return found
@@ -37,14 +39,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_ids(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of docs whose key isn't in gone (one column ``key``, no nulls).
+def small_side(df: DataFrame) -> DataFrame:
+    """df, which should be materialised, with a hint to broadcast if its rows take at most BROADCAST_BYTES."""
+    kinds = (StringType, BinaryType)
+    width = sum(8 if isinstance(f.dataType, kinds) else 16 for f in df.schema) + 24
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if isinstance(f.dataType, kinds)]
+    size = df.agg(F.sum(sum(texts, F.lit(width)))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
-    gone is broadcast only while it holds at most BROADCAST_IDS rows; beyond that both sides shuffle on the key.
-    """
+
+def drop_ids(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of docs whose key isn't in gone (one column ``key``; nulls drop nothing). gone is broadcast only while it is small."""
     gone = materialise(gone.select(key).where(F.col(key).isNotNull()).distinct(), "gone")
-    side = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(side, key, "left_anti").select(*docs.columns)
+    return docs.join(small_side(gone), key, "left_anti").select(*docs.columns)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -8,9 +8,6 @@ from pyspark.sql.window import Window
 
 from pixelloom.llm.common import materialise
 
-#: Most distinct shingles, or windows, of the benchmark that are broadcast (about 200 bytes each); beyond it the joins shuffle.
-BROADCAST_ROWS = 500_000
-
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from pixelloom.llm.common import BROADCAST_IDS, materialise
+from pixelloom.llm.common import materialise, small_side
 
 #: Hash buckets of byte trigrams; languages whose counts a task holds at once.
 BUCKETS, HELD_LANGUAGES = 1 << 15, 64
@@ -102,8 +102,7 @@ def learn(rows: DataFrame, per_language: int = 4_000) -> TextModel:
 
 def _join_small(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join on a null-safe key; right has a row for each key and is broadcast while it is small."""
-    side = right.withColumnRenamed(key, f"_{key}")
-    side = F.broadcast(side) if side.count() <= BROADCAST_IDS // 10 else side
+    side = small_side(right.withColumnRenamed(key, f"_{key}"))
     return left.join(side, F.col(key).eqNullSafe(F.col(f"_{key}")), "left").drop(f"_{key}")
 
 

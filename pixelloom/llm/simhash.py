@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 from xxhash import xxh64_intdigest
 
-from pixelloom.llm.common import BROADCAST_IDS, components, materialise
+from pixelloom.llm.common import components, materialise, small_side
 
 SEED = 42
 
@@ -88,52 +89,51 @@ def near_duplicate_classes(docs: DataFrame, shingle_words: int = 3, max_distance
     return fps.join(by_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-#: Largest size over smallest of the sets that share one division into parts, and most members of a key in one block of pairs.
-LEVEL, BLOCK = 1.5, 256
+#: Texts at most whose shingles set the order that all texts are read in, and shingles at most that it names. Both bear on
+#: speed alone: any order gives every pair.
+ORDER_TEXTS, ORDER_SHINGLES = 20_000, 100_000
+#: A shared shingle whose texts need more comparisons than the square of this is set aside for a longer look.
+CROWD = 32
+#: Bits of the parity sketch that rules out pairs before whole sets are compared.
+SKETCH = 1024
 
 
 def shingle_set(raw: bytes | None, shingle_words: int) -> np.ndarray:
-    """Hashes of the distinct shingles of a text; a text of fewer words is one shingle."""
+    """Sorted hashes of the distinct shingles of a text; a text of fewer words is one shingle."""
     words = raw.lower().split() if raw else []
     several = set(map(b" ".join, zip(*(words[i:] for i in range(shingle_words)), strict=False))) or {b" ".join(words)}
-    return np.array([xxh64_intdigest(s, SEED) for s in several], dtype=np.uint64)
+    return np.sort(np.array([xxh64_intdigest(s, SEED) for s in several], dtype=np.uint64))
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def sketch(h: np.ndarray) -> np.ndarray:
+    """For each residue of SKETCH whether an odd number of hashes has it, as 64-bit numbers.
 
+    Each element that one of two sets has and the other hasn't turns one bit, so sketches differ in no more bits than the
+    sets in elements.
+    """
+    odd = np.bincount((h % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
-def _parts(h: np.ndarray, level: int, parts: int, most: int) -> np.ndarray:
-    """Keys of the parts of a set that may differ in at most ``most`` elements from another."""
-    name = lambda i: i.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level)
-    at = (h % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(at, kind="stable")
-    at = at[order]
-    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    keys = _mixed(_mixed(np.add.reduceat(h[order], starts)) + name(at[starts]))
-    if len(keys) <= most:
-        return np.r_[keys, _mixed(name(np.setdiff1d(np.arange(parts), at)))]
-    return keys[np.lexsort((keys, -np.diff(np.r_[starts, len(h)])))[: most + 1]]
 
+def prefix_length(n: int, similarity: float) -> int:
+    """How many of the n elements, in an order that all sets share, must hold one of any similar set."""
+    return n - math.ceil(similarity * n - 1e-9) + 1
 
-def part_keys(h: np.ndarray, similarity: float) -> np.ndarray:
-    """Keys of a set of hashes: two sets of at least this Jaccard similarity share one, for certain.
 
-    Sets of a and b elements then differ in at most (a + b)(1 - s) / (1 + s), so in at most as many parts of any division
-    of all hashes. Of its parts with elements, the largest first, each set gives one more than that; the first part that
-    two similar sets have in common is among those of both. A set with too few such parts gives all, and the empty
-    ones too. The division depends on the level of the larger set, so a set answers for each level that it reaches.
-    """
-    gap, reach = (1 - similarity) / (1 + similarity), len(h) / similarity + 1e-6
-    low, out = 1, []
-    while low <= reach:
-        after = max(low + 1, int(low * LEVEL))
-        if len(h) < after:
-            out.append(_parts(h, low, int(2.25 * gap * after) + 7, int(gap * (len(h) + min(after - 1, reach)) + 1e-6)))
-        low = after
-    return np.concatenate(out)
+class Order:
+    """An order of all shingles: common ones come last, the most common at the very end; others by their hash."""
+
+    def __init__(self, common: dict[int, int]):
+        self.keys = np.sort(np.array(list(common), dtype=np.uint64))
+        self.counts = np.array([common[int(k)] for k in self.keys], dtype=np.int64)
+
+    def first(self, h: np.ndarray, n: int) -> np.ndarray:
+        """The first n of the sorted hashes h."""
+        if not len(self.keys):
+            return h[:n]
+        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        count = np.where(self.keys[at] == h, self.counts[at], 0)
+        return h[np.argsort(count, kind="stable")[:n]]
 
 
 def _node() -> Column:
@@ -142,34 +142,75 @@ def _node() -> Column:
 
 def _texts(docs: DataFrame, copies: DataFrame) -> DataFrame:
     """(node, raw): docs without the rows that repeat the text of another; copies has (same, first_id) of repeated texts."""
-    side = F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies
-    joined = docs.select("doc_id", _node().alias("node"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw")).join(side, F.col("node") == F.col("same"), "left")
+    joined = docs.select("doc_id", _node().alias("node"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw"))
+    joined = joined.join(small_side(copies), F.col("node") == F.col("same"), "left")
     return joined.where("same IS NULL OR doc_id <=> first_id").select("node", "raw")
 
 
-def posts(texts: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
-    """(node, n, key): the keys of each text and its number of distinct shingles."""
+def learn_order(texts: DataFrame, shingle_words: int, n_texts: int) -> Order:
+    """The order by the counts of shingles in at most about ORDER_TEXTS of n_texts texts, chosen by a hash."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [shingle_set(x.as_py(), shingle_words) for x in b.column(0)]
+            if found:
+                key, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
+
+    share = int(1_000_000 * min(1.0, ORDER_TEXTS / max(1, n_texts)))
+    some = texts.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < share).select("raw")
+    counts = some.mapInArrow(shingles, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n >= 5")
+    found = counts.orderBy(F.desc("n"), "key").limit(ORDER_SHINGLES).toArrow()
+    return Order(dict(zip(found.column("key").to_numpy().view(np.uint64).tolist(), found.column("n").to_pylist(), strict=True)))
+
+
+def posts(texts: DataFrame, order: Order, shingle_words: int, similarity: float, more: int = 0) -> DataFrame:
+    """(node, n, p, sketch, keys) of each text: n shingles, of which the first p + more in order are its keys."""
+    sent = texts.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_set(x.as_py(), shingle_words) for x in b.column(1)]
-            keys = [part_keys(h, similarity).view(np.int64) for h in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int32()), pa.array(keys, pa.list_(pa.int64()))], names=["node", "n", "keys"])
+            p = [prefix_length(len(h), similarity) for h in sets]
+            keys = [sent.value.first(h, k + more).view(np.int64) for h, k in zip(sets, p, strict=True)]
+            longs = pa.list_(pa.int64())
+            columns = [b.column(0), pa.array(map(len, sets), pa.int32()), pa.array(p, pa.int32()), pa.array(map(sketch, sets), longs), pa.array(keys, longs)]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "p", "sketch", "keys"])
+
+    return texts.mapInArrow(run, "node long, n int, p int, sketch array<long>, keys array<long>")
+
 
-    return texts.mapInArrow(run, "node long, n int, keys array<long>").select("node", "n", F.explode("keys").alias("key"))
+def _ordered(pairs: DataFrame, p: str, q: str) -> DataFrame:
+    return pairs.select(F.greatest(f"{p}.node", f"{q}.node").alias("a"), F.least(f"{p}.node", f"{q}.node").alias("b")).distinct()
 
 
-def exact_pairs(texts: DataFrame, pairs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
-    """The (a, b) of pairs whose texts' sets of shingles have at least this Jaccard similarity; reads only those texts again."""
+def _may_fit(p: str, q: str, similarity: float) -> Column:
+    """Whether sizes and places in the order allow two texts with a shingle in common to be similar, if it is their first."""
+    size = lambda x: F.col(f"{x}.n")
+    left = lambda x: F.col(f"{x}.n") - F.col(f"{x}.pos")
+    fits = F.least(size(p), size(q)) >= similarity * F.greatest(size(p), size(q)) - 1e-6
+    return fits & (F.least(left(p), left(q)) >= similarity / (1 + similarity) * (size(p) + size(q)) - 1e-6)
+
+
+def exact_pairs(texts: DataFrame, sketches: DataFrame, pairs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
+    """The (a, b) of pairs whose texts' sets of shingles have at least this Jaccard similarity.
+
+    Sketches (node, n, sketch) rule out what they can for certain; the texts of the other pairs are read again.
+    """
+    side = lambda c, n, x: sketches.select(F.col("node").alias(c), F.col("n").alias(n), F.col("sketch").alias(x))
+    both = pairs.join(side("a", "na", "x"), "a").join(side("b", "nb", "y"), "b")
+    apart = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    pairs = materialise(both.where(apart <= (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + 1e-6).select("a", "b"), "pairs")
+    if pairs.isEmpty():
+        return pairs
     wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [np.sort(shingle_set(x.as_py(), shingle_words)).tobytes() for x in b.column(1)]
+            sets = [shingle_set(x.as_py(), shingle_words).tobytes() for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["node", "set"])
 
-    sets = texts.join(side, "node").mapInArrow(run, "node long, set binary").groupBy("node").agg(F.first("set").alias("set"))
+    sets = texts.join(small_side(wanted), "node").mapInArrow(run, "node long, set binary").groupBy("node").agg(F.first("set").alias("set"))
     sets = materialise(sets, "sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,58 +222,134 @@ def exact_pairs(texts: DataFrame, pairs: DataFrame, shingle_words: int, similari
                 kept.append(overlap / (len(x) + len(y) - overlap) >= similarity)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    both = pairs.select("a", "b").join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
     return materialise(both.mapInArrow(compare, "a long, b long"), "close")
 
 
-def _ordered(pairs: DataFrame, similarity: float) -> DataFrame:
-    """Distinct (a, b) with a > b of pairs of structs p and q (node, n) whose sizes allow this similarity."""
-    fits = F.least("p.n", "q.n") >= similarity * F.greatest("p.n", "q.n") - 1e-6
-    return pairs.where((F.col("p.node") != F.col("q.node")) & fits).select(F.greatest("p.node", "q.node").alias("a"), F.least("p.node", "q.node").alias("b")).distinct()
+def _leaders(shared: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of each text with four of every key: the least and greatest node, and those of a second order of nodes."""
+    me, code = F.struct("node", "n", "pos"), F.xxhash64("node")
+    lead = shared.groupBy("key").agg(F.min(me).alias("l1"), F.max(me).alias("l2"), F.min_by(me, code).alias("l3"), F.max_by(me, code).alias("l4"))
+    met = shared.join(lead, "key").select(me.alias("p"), F.explode(F.array_distinct(F.array("l1", "l2", "l3", "l4"))).alias("q"))
+    return _ordered(met.where((F.col("p.node") != F.col("q.node")) & _may_fit("p", "q", similarity)), "p", "q")
+
 
+def _open(shared: DataFrame, close: DataFrame) -> DataFrame:
+    """shared, for keys whose texts are in several classes, with each text's class root and the key's largest class big.
 
-def _across(shared: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of nodes that share a key and have different roots. A key of many nodes is dealt to pairs of blocks."""
-    rooted = shared.join(roots.withColumnRenamed("root", "r"), "node", "left").withColumn("r", F.coalesce("r", "node"))
-    keys = rooted.groupBy("key").agg(F.min("r").alias("low"), F.max("r").alias("high"), F.count("*").alias("m")).where("low <> high")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    open_ = rooted.join(keys.select("key", blocks.alias("blocks")), "key").withColumn("mine", F.pmod(F.hash("node"), F.col("blocks")))
-    open_ = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cell = [F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")]
-    one = open_.select("key", *cell, "mine", F.struct("node", "n").alias("p"), F.col("r").alias("rp"))
-    two = one.select("key", "i", "j", F.col("mine").alias("his"), F.col("p").alias("q"), F.col("rp").alias("rq"))
-    met = one.join(two, ["key", "i", "j"]).where("rp <> rq AND p.node > q.node AND (i = j OR mine <> his)")
-    return _ordered(met, similarity)
+    m: texts of the key; work: its comparisons, of every text outside its largest class with all others.
+    """
+    rooted = shared.join(components(close), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = rooted.groupBy("key", "root").agg(F.count("*").alias("m"))
+    keys = sizes.groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("big"), F.max("m").alias("most"), F.sum("m").alias("m"), F.count("*").alias("classes"))
+    keys = keys.where("classes > 1").select("key", "big", "m", ((F.col("m") - F.col("most")) * F.col("m")).alias("work"))
+    return materialise(rooted.join(keys, "key"), "open")
 
 
-def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, component_id) for every row of docs: classes of documents whose sets of shingles are similar.
+def _across(open_: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of texts that share a key and aren't in one class."""
+    sides = open_.where("root <> big").alias("p").join(open_.alias("q"), F.expr("p.key = q.key AND p.root <> q.root AND (q.root = q.big OR p.node > q.node)") & _may_fit("p", "q", similarity))
+    return _ordered(sides, "p", "q")
 
-    Exact: two documents are linked if and only if the Jaccard similarity of their sets of shingles is at least
-    ``similarity``, and classes are the components of these links. Candidates share a key of part_keys, which every such
-    pair does, and each is verified by the whole sets. First each text is compared with the least text of its key and
-    the one before it; then all texts that share a key and aren't in one class yet are compared with each other, so a
-    large group of copies costs no square, and an unrelated least text breaks no class.
 
-    Rows with equal texts count as one. component_id: the smallest doc_id that links reach. Texts without words form a
-    class; null ids keep their rows. Other columns are ignored; an empty table gives no rows.
+def _repeated(posted: DataFrame) -> DataFrame:
+    """(key, node, n, p, size, pos, times): the keys that several texts have, with their place in each; size: how many keys the text gave."""
+    every = posted.select("node", "n", "p", F.size("keys").alias("size"), F.posexplode("keys").alias("pos", "key"))
+    again = every.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
+    return every.join(again, "key")
+
+
+def _longer(texts: DataFrame, order: Order, crowd: DataFrame, more: int, shingle_words: int, similarity: float) -> DataFrame:
+    """Keys of the texts of crowd: of the first p + more shingles the p that the fewest of these texts have.
+
+    Similar sets have more than ``more`` of these first shingles in common, so the rarest of those is among the p of both.
+    """
+    again = texts.join(small_side(crowd), "node", "left_semi")
+    found = _repeated(materialise(posts(again, order, shingle_words, similarity, more).drop("sketch"), "ahead"))
+    kept = found.groupBy("node", "n", "p", "size").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("keys"))
+    room = F.greatest(F.lit(0), F.col("p") - (F.col("size") - F.size("keys")))  # keys that only one text has come first
+    rare = kept.select("node", "n", F.explode(F.slice("keys", F.lit(1), room)).alias("k"))
+    return materialise(rare.select(F.col("k.key").alias("key"), "node", "n", F.lit(0).alias("pos")), "longer")
+
+
+def text_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node) of every row, and (node, first_id, rows, root) of every text: classes of similar sets of shingles.
+
+    Exact: two texts are linked if and only if the Jaccard similarity of their sets of shingles is at least
+    ``similarity``, and classes are the components of these links.
+
+    1. In an order of all shingles a similar pair has one in common among the first few of each. Texts are compared with
+       four texts of each such shingle, which joins families of copies without listing their pairs.
+    2. All texts that still share a shingle and aren't in one class are compared with each other, unless so many share it
+       that this costs more than CROWD squared comparisons, and all such shingles more than CROWD comparisons a text.
+    3. Texts that share so common a shingle look further ahead in the order, which lets them leave out the most common
+       ones and meet at rarer ones; and so on, four times as far each time, up to the whole text.
+
+    Rows with equal texts count as one text, null and empty ones as equal.
     """
     rows = materialise(docs.select("doc_id", _node().alias("node")), "rows")
-    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows"))
-    nodes = materialise(nodes, "nodes")
-    texts = _texts(docs, nodes.where("rows > 1").select(F.col("node").alias("same"), "first_id"))
-    me, of_key = F.struct("node", "n"), Window.partitionBy("key")
-    in_order = of_key.orderBy("node")
-    shared = posts(texts, shingle_words, similarity).withColumn("least", F.first(me).over(in_order)).withColumn("before", F.lag(me).over(in_order))
-    shared = materialise(shared.withColumn("last", F.max("node").over(of_key)).where("least.node <> last").drop("last"), "shared")
-    first = shared.select(me.alias("p"), F.explode(F.array("least", "before")).alias("q"))
-    first = materialise(_ordered(first, similarity), "pairs")
-    close = exact_pairs(texts, first, shingle_words, similarity)
-    rest = _across(shared.select("key", "node", "n"), components(close), similarity)
-    rest = materialise(rest.join(first, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        close = close.unionByName(exact_pairs(texts, rest, shingle_words, similarity))
+    nodes = materialise(rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows")), "nodes")
+    copies = materialise(nodes.where("rows > 1").select(F.col("node").alias("same"), "first_id"), "copies")
+    texts = _texts(docs, copies)
+    n_texts = nodes.count()
+    order = learn_order(texts, shingle_words, n_texts)
+    posted = materialise(posts(texts, order, shingle_words, similarity), "posted")
+    shared = materialise(_repeated(posted).select("key", "node", "n", "pos"), "shared")
+    sketches = posted.select("node", "n", "sketch")
+    close = exact_pairs(texts, sketches, _leaders(shared, similarity), shingle_words, similarity)
+    more = 0
+    while True:
+        open_ = _open(shared, close)
+        crowd = open_.where(F.col("work") > CROWD**2)
+        crowd = materialise(crowd.groupBy("node").agg(F.max("n").alias("n"), F.sum(F.col("work") / F.col("m")).alias("work")), "crowd")
+        longest, work = crowd.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("work"), F.lit(0.0))).first()
+        last = more >= longest or work <= CROWD * n_texts  # no text could look further, or none need to
+        now = open_ if last else open_.where(F.col("work") <= CROWD**2)
+        close = close.unionByName(exact_pairs(texts, sketches, _across(now, similarity), shingle_words, similarity))
+        if last:
+            break
+        more = 4 * more or 64
+        shared = _longer(texts, order, crowd.select("node"), more, shingle_words, similarity)
+        close = close.unionByName(exact_pairs(texts, sketches, _leaders(shared, similarity), shingle_words, similarity))
     rooted = nodes.join(components(close), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(ids, "root").select("node", "component_id")
+    return rows, materialise(rooted, "classes")
+
+
+def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, component_id) for every row of docs: classes of documents whose sets of shingles are similar (see text_classes).
+
+    Rows with equal texts count as one. component_id: the smallest doc_id that links reach. Texts without words form a
+    class; null ids keep their rows. Other columns are ignored; an empty table gives no rows.
+    """
+    rows, classes = text_classes(docs, shingle_words, similarity)
+    ids = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = classes.join(ids, "root").select("node", "component_id")
     return rows.join(named, "node").select("doc_id", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of docs, one of each class of similar texts, with the columns of docs.
+
+    Of a class the row with the smallest doc_id stays (of equal ids that with the smallest text hash; a row without an id
+    only if no row of the class has one). Of rows with equal id and text one stays. Rows are judged by their own text, so
+    rows that share an id but not the text can both stay.
+    """
+    rows, classes = text_classes(docs, shingle_words, similarity)
+    best = classes.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull(), "first_id", "node")).alias("best"))
+    kept = best.select(F.col("best.node").alias("_node"), F.col("best.first_id").alias("_id"))
+    counted = rows.groupBy("doc_id", "node").agg(F.count("*").alias("_n"))
+    judged = counted.join(kept, F.col("node").eqNullSafe(F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    gone = judged.where("_node IS NULL OR _n > 1").select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"), F.col("_node").isNotNull().alias("_again"))
+    gone = materialise(gone, "gone")
+
+    def of(side: DataFrame) -> Column:
+        own = F.xxhash64(F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")))
+        return own.eqNullSafe(side["_node"]) & docs["doc_id"].eqNullSafe(side["_id"])
+
+    side = small_side(gone)
+    left = docs.join(side, of(side), "left_anti")
+    again = materialise(gone.where("_again"), "again")
+    if again.isEmpty():
+        return left
+    side = small_side(again)
+    return left.unionByName(docs.join(side, of(side), "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from pixelloom.llm.common import BROADCAST_IDS, materialise
+from pixelloom.llm.common import materialise, small_side
 
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -165,8 +165,7 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, window: int = 25, id
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("raw"))
     kept = materialise(suffixes(rows, core, window), "suffixes")
     again = materialise(kept.groupBy("sig").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("sig"), "cores")
-    again = F.broadcast(again) if again.count() <= BROADCAST_IDS else again
-    by_doc = kept.join(again, "sig", "left_semi").groupBy("doc_id").agg(F.collect_set(F.struct("pos", "sig")).alias("kept"))
+    by_doc = kept.join(small_side(again), "sig", "left_semi").groupBy("doc_id").agg(F.collect_set(F.struct("pos", "sig")).alias("kept"))
     around = contexts(rows.join(by_doc, "doc_id").select("doc_id", "raw", "kept"), core, reach)
     around = materialise(around.withColumn("context", F.xxhash64("left", "right")), "contexts")
 

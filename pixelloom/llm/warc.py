@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from pixelloom.llm.common import BROADCAST_IDS, materialise
+from pixelloom.llm.common import materialise, small_side
 
 #: Payloads below this many bytes are always stored whole.
 MIN_REVISIT_BYTES = 100
@@ -246,7 +246,7 @@ def write_archives(pages: DataFrame, path: str, compression: str = "none") -> No
 
     Of rows with equal payloads of at least MIN_REVISIT_BYTES bytes, that with the smallest page_id is the response and
     the others revisit it; repeated rows of that page_id are responses too. Where no row of a group has a page_id all
-    are responses. The html isn't shuffled unless repeated payloads are too many to broadcast (BROADCAST_IDS).
+    are responses. The html isn't shuffled unless repeated payloads are too many to broadcast (BROADCAST_BYTES).
     """
     spark = pages.sparkSession
     spark.dataSource.register(WarcSource)
@@ -255,7 +255,7 @@ def write_archives(pages: DataFrame, path: str, compression: str = "none") -> No
     size = F.octet_length("payload")
     first = rows.where(size >= MIN_REVISIT_BYTES).groupBy("payload_digest").agg(F.min("page_id").alias("refers_to"), F.min_by("target_uri", "page_id").alias("refers_to_uri"), F.count("*").alias("n"))
     first = materialise(first.where("n > 1 AND refers_to IS NOT NULL").drop("n"), "repeated")
-    first = F.broadcast(first) if first.count() <= BROADCAST_IDS else first
+    first = small_side(first)
     again = (size >= MIN_REVISIT_BYTES) & F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
     out = rows.join(first, "payload_digest", "left").withColumn("warc_type", F.when(again, "revisit").otherwise("response"))
     out = out.withColumn("refers_to", F.when(again, F.col("refers_to")))

@@ -56,19 +56,23 @@ def test_truncated_and_extended_copies(documents, prose):
     assert len(set(got.values())) == len(near)
 
 
-def test_similar_sets_share_a_key():
+def test_similar_sets_share_an_early_shingle():
     random.seed(2)
     number = lambda n: [random.getrandbits(64) for _ in range(n)]
+    pool = number(400)
+    order = simhash.Order({k: random.randint(5, 50) for k in pool})
     for bound in (0.5, 0.8, 0.95):
-        for n in [*range(1, 60), 100, 333, 1000] * 4:
-            both = number(n)
+        for n in [*range(1, 60), 100, 333] * 4:
+            both = random.sample(pool, min(n, 400) // 2) + number(n - min(n, 400) // 2)
             most = int(n / bound + 1e-9) - n  # as many elements as may differ
             mine = random.randint(0, most)
-            a, b = (np.array(both + number(m), dtype=np.uint64) for m in (mine, most - mine))
+            a, b = (np.sort(np.array(both + number(m), dtype=np.uint64)) for m in (mine, most - mine))
             assert n / (n + most) >= bound
-            assert np.intersect1d(simhash.part_keys(a, bound), simhash.part_keys(b, bound)).size, (bound, n, mine)
-    apart = [simhash.part_keys(np.array(number(300), dtype=np.uint64), 0.8) for _ in range(50)]
-    assert max(map(len, apart)) <= 160 and len(np.unique(np.concatenate(apart))) == sum(map(len, apart))
+            for more in (0, 5, 64):
+                first = [order.first(x, simhash.prefix_length(len(x), bound) + more) for x in (a, b)]
+                assert len(np.intersect1d(*first)) > min(more, n - 1), (bound, n, more)
+            apart = np.bitwise_count((simhash.sketch(a) ^ simhash.sketch(b)).view(np.uint64)).sum()
+            assert apart <= most
 
 
 def components(texts, bound=0.8):
@@ -89,8 +93,8 @@ def components(texts, bound=0.8):
 
 
 def test_families_that_share_a_template(documents, monkeypatch):
-    """Copy families with a long passage in common, so that texts of many families share each key."""
-    monkeypatch.setattr(simhash, "BLOCK", 16, raising=False)
+    """Copy families with a long passage in common, so that texts of many families share most shingles; all look further ahead."""
+    monkeypatch.setattr(simhash, "CROWD", 1)
     random.seed(4)
     template = [f"t{i}" for i in range(304)]
     texts = []
@@ -116,3 +120,29 @@ def test_families_of_one_vocabulary(documents):
             texts.append(" ".join(base[: at] + random.sample(base[at : at + 5 * c], 5 * c) + base[at + 5 * c :]))
     random.shuffle(texts)
     assert classes(documents, texts) == components(texts)
+
+
+def test_classes_of_the_table(spark, monkeypatch):
+    """Every text with every other one, with and without texts that look further ahead."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    want = components([t for _, t in rows])
+    ids = [i for i, _ in rows]
+    want = {ids[i]: ids[c] for i, c in want.items()}
+    assert {r.doc_id: r.component_id for r in simhash.similar_classes(docs).collect()} == want
+    kept = simhash.keep_one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+    monkeypatch.setattr(simhash, "CROWD", 0)
+    assert {r.doc_id: r.component_id for r in simhash.similar_classes(docs).collect()} == want
+
+
+def test_rows_that_stay(spark, prose):
+    """Rows are judged by their text, not by their id; columns with names of the operator's own are kept."""
+    a, b, c = prose("a", 80), prose("b", 80), prose("c", 80)
+    rows = [(1, a, "x"), (2, a + " more", "x"), (2, b, "x"), (3, b, "x"), (None, c, "x"), (4, c + " end", "x"), (None, None, "x"), (None, "", "y"), (5, "", "x"), (6, "solo", "x"), (6, "solo", "y"), (None, "lone", "x"), (None, "lone", "y"), (7, prose("l", 30_000), "x"), (8, prose("l", 30_000) + " tail", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node string").selectExpr("*", "node AS _node", "node AS _id", "node AS key")
+    kept = simhash.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    want = [(1, a), (2, b), (4, c + " end"), (5, ""), (6, "solo"), (None, "lone"), (7, rows[13][1])]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+    assert simhash.keep_one_of_each(docs.limit(0)).count() == 0
