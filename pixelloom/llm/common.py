@@ -39,10 +39,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame) -> DataFrame:
-    """df, which should be materialised, with a hint to broadcast if its rows take at most BROADCAST_BYTES."""
+def small_side(df: DataFrame, row_bytes: int = 0) -> DataFrame:
+    """df, which should be materialised, with a hint to broadcast if its rows take at most BROADCAST_BYTES.
+
+    Strings are counted as long as they are, other columns as 16 bytes; row_bytes: what arrays take besides.
+    """
     kinds = (StringType, BinaryType)
-    width = sum(8 if isinstance(f.dataType, kinds) else 16 for f in df.schema) + 24
+    width = sum(8 if isinstance(f.dataType, kinds) else 16 for f in df.schema) + 24 + row_bytes
     texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if isinstance(f.dataType, kinds)]
     size = df.agg(F.sum(sum(texts, F.lit(width)))).first()[0] or 0
     return F.broadcast(df) if size <= BROADCAST_BYTES else df

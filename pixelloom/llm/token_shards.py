@@ -13,8 +13,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import zstandard
 from pyarrow import fs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +26,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Id that ends every document and fills the last sequence; free in the vocabulary.
 END = 50256
 MANIFEST = "_MANIFEST.json"
-FIELDS = "shard int, place int, sequence long, file string, n_tokens int, sha256 string"
+FIELDS = "slot long, shard int, sequence long, file string, n_tokens int, sha256 string"
 
 
 @lru_cache(maxsize=2)
@@ -79,102 +79,119 @@ class Feistel:
         return self._walk(slot, True)
 
 
+def number_to_slot(number: np.ndarray, total: int, window: int | None, key: int) -> np.ndarray:
+    """Global slots of sequence numbers below total: the keyed permutation of all, or of each window of so many numbers."""
+    if window is None or window >= total:
+        return Feistel(max(1, total), key).slot(number) if len(number) else number
+    out = np.empty(len(number), np.int64)
+    for w in np.unique(number // window):
+        mine, start = number // window == w, int(w) * window
+        out[mine] = start + Feistel(min(window, total - start), key + int(w)).slot(number[mine] - start)
+    return out
+
+
 def write_shards(
     docs: DataFrame, path: str, seq_len: int = 2048, shard_sequences: int = 4096, key: int = 20_24, vocabulary: str = VOCABULARY, text_col: str = "text",
+    stream_col: str | None = None, window: int | None = None,
 ) -> DataFrame:
     """Tokenise whole texts, cut the stream into sequences, and write them in permuted order as binary shards under path.
 
-    Each document's ids are followed by END; each input partition's stream is cut every seq_len ids and its last sequence
-    filled with END. Sequences are numbered by partition: one has room for as many as its bytes, which bound its ids, so
-    numbers are known before a text is encoded. A Feistel permutation of all numbers gives each sequence its place; equal
-    ranges of places form the shards, and as numbers that no sequence has drop out everywhere alike, slots are the places
-    closed up. A shard is one file of at most about shard_sequences records of 2 * seq_len bytes in slot order, and the
-    manifest has each shard's first slot, so a reader can start or resume at any slot.
+    Each document's ids are followed by END; a stream is cut every seq_len ids and its last sequence filled with END. An
+    input partition is a stream, or with stream_col each run of rows with the same string in it, which must stand together
+    in one partition. Sequences are numbered in the order of the streams' names and in each as they come. A keyed Feistel
+    permutation gives number i its slot: of all numbers, or with ``window`` of each window of so many, so that an order of
+    the input (a schedule of sources) holds from window to window. Shard j is the range of slots from j * shard_sequences:
+    one file of as many records of 2 * seq_len bytes (the last of fewer), in slot order, so a reader can start or resume at
+    any slot, and which sequence is at a slot follows from the key alone.
 
     Returns (slot, shard, offset, sequence, n_tokens, sha256), a row for each sequence; n_tokens leaves out the filling.
     Null and empty texts are END alone; an empty table writes no shard. Other columns are ignored.
 
-    Texts are encoded once, and each sequence is shuffled once. The sizes of the partitions and the first slots of the
-    shards are all that the driver holds. A partition that has grown since its size was taken fails. Tasks name their
-    files anew at each attempt and only those of finished tasks enter the manifest, so lost executors leave nothing behind.
+    Texts are encoded once, into the shared folder, each sequence compressed; so the numbers are exact before the one
+    shuffle, in which task j receives shard j. The driver holds a count for each stream and a name for each shard. Tasks
+    name their files anew at each attempt and only those of finished tasks enter the manifest, so lost executors leave
+    nothing behind.
     """
     spark = docs.sparkSession
     with open(vocabulary, "rb") as f:
         vocab = spark.sparkContext.broadcast(f.read())  # about 1 MB
-    texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("n")
-    sizes = {r.part: r.n for r in texts.groupBy(F.spark_partition_id().alias("part")).agg(size).collect()}
-    room = {part: -(-n // seq_len) for part, n in sizes.items()}
-    first, numbers = {}, 0
-    for part in sorted(room):
-        first[part], numbers = numbers, numbers + room[part]
-    stride, n_shards = 2 * seq_len, max(1, -(-numbers // shard_sequences))
-    width = max(1, -(-numbers // n_shards))
+    stride = 2 * seq_len
+    stream = F.col(stream_col) if stream_col else F.lpad(F.spark_partition_id().cast("string"), 12, "0")
+    texts = docs.select(stream.cast("string").alias("stream"), F.col(text_col).cast("string").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"shard": pa.int32(), "at": pa.int64(), "sequence": pa.int64(), "ids": pa.binary()}
-        part = TaskContext.get().partitionId()
-        order, held, end, done = Feistel(max(1, numbers), key), bytearray(), np.uint16(END).tobytes(), 0
+        kinds = {"stream": pa.string(), "place": pa.int64(), "ids": pa.binary()}
+        pack, end = zstandard.ZstdCompressor(level=3), np.uint16(END).tobytes()
+        held, own, done = bytearray(), None, 0
 
         def ready(last: bool) -> pa.RecordBatch:
             nonlocal done
             n = -(-len(held) // stride) if last else len(held) // stride
-            if done + n > room.get(part, 0):
-                raise RuntimeError(f"partition {part} has grown between the passes")
-            own = np.arange(done, done + n) + first.get(part, 0)
-            at = order.slot(own) if n else own
-            ids = [bytes(held[i * stride : (i + 1) * stride]) for i in range(n)]
+            ids = [pack.compress(bytes(held[i * stride : (i + 1) * stride])) for i in range(n)]
             del held[: n * stride]
+            columns = ([own] * n, range(done, done + n), ids)
             done += n
-            columns = (at // width, at, own, ids)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
 
         for b in batches:
-            for t in b.column(0):
+            for name, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if name != own:
+                    if held:
+                        yield ready(True)
+                    own, done = name, 0
                 held += encode(vocab.value, t.as_py()) + end
                 if len(held) > 4 << 20:
                     yield ready(False)
         yield ready(True)
 
+    staged = materialise(texts.mapInArrow(cut, "stream string, place long, ids binary"), "sequences")
+    sizes = {r.stream: r.n for r in staged.groupBy("stream").agg(F.count("*").alias("n")).collect()}  # a row for each stream
+    first, total = {}, 0
+    for name in sorted(sizes, key=lambda x: (x is not None, x)):
+        first[name], total = total, total + sizes[name]
+    n_shards = max(1, -(-total // shard_sequences))
+    starts = spark.sparkContext.broadcast(first)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            number = np.array([starts.value[s] for s in b.column(0).to_pylist()], np.int64) + b.column(1).to_numpy()
+            slot = number_to_slot(number, total, window, key)
+            yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array(number, pa.int64()), b.column(2)], names=["slot", "sequence", "ids"])
+
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"shard": pa.int32(), "place": pa.int32(), "sequence": pa.int64(), "file": pa.string(), "n_tokens": pa.int32(), "sha256": pa.string()}
+        kinds = {"slot": pa.int64(), "shard": pa.int32(), "sequence": pa.int64(), "file": pa.string(), "n_tokens": pa.int32(), "sha256": pa.string()}
         target, root = fs.FileSystem.from_uri(path)
-        out, shard, name, place = None, None, None, 0
+        unpack, filling = zstandard.ZstdDecompressor(), np.uint16(END).tobytes() * seq_len
+        out, shard, name = None, None, None
         for b in batches:
             done = []
-            for s, own, ids in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3), strict=True):
-                if s != shard:
+            for slot, own, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                if slot // shard_sequences != shard:
                     if out:
                         out.close()
-                    shard, place, name = s, 0, f"shard-{s:06d}-{uuid.uuid4().hex}.bin"
+                    shard = slot // shard_sequences
+                    name = f"shard-{shard:06d}-{uuid.uuid4().hex}.bin"
                     target.create_dir(root, recursive=True)
                     out = target.open_output_stream(f"{root}/{name}", compression=None)
-                ids = ids.as_py()
-                n = len(ids) // 2
-                record = ids + np.uint16(END).tobytes() * (seq_len - n)
+                ids = unpack.decompress(ids.as_py())
+                record = ids + filling[len(ids) :]
                 out.write(record)
-                done.append((shard, place, own, name, n, hashlib.sha256(record).hexdigest()))
-                place += 1
+                done.append((slot, shard, own, name, len(ids) // 2, hashlib.sha256(record).hexdigest()))
             columns = zip(*done, strict=True) if done else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
         if out:
             out.close()
 
-    pieces = texts.mapInArrow(cut, "shard int, at long, sequence long, ids binary")
-    dealt = pieces.repartition(n_shards, "shard").sortWithinPartitions("shard", "at")
+    placed = staged.mapInArrow(place, "slot long, sequence long, ids binary")
+    dealt = placed.repartitionById(n_shards, F.floor(F.col("slot") / shard_sequences).cast("int")).sortWithinPartitions("slot")
     written = materialise(dealt.mapInArrow(store, FIELDS), "slots")
-    shards, n_sequences = [], 0
-    for r in written.groupBy("shard", "file").agg(F.count("*").alias("n")).orderBy("shard").collect():  # a row for each shard
-        shards.append((r.shard, r.file, n_sequences, r.n))
-        n_sequences += r.n
+    shards = [(r.shard, r.file, r.shard * shard_sequences, r.n) for r in written.groupBy("shard", "file").agg(F.count("*").alias("n")).orderBy("shard").collect()]  # a row for each shard
     target, root = fs.FileSystem.from_uri(path)
     target.create_dir(root, recursive=True)
-    meta = {"seq_len": seq_len, "stride": stride, "n_sequences": n_sequences, "numbers": numbers, "key": key, "shards": shards}
+    meta = {"seq_len": seq_len, "stride": stride, "n_sequences": total, "window": window, "key": key, "shards": shards}
     with target.open_output_stream(f"{root}/{MANIFEST}", compression=None) as f:
         f.write(json.dumps(meta).encode())
-    start = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps([{"shard": s, "start": n} for s, _, n, _ in shards])), "array<struct<shard int, start bigint>>")))
-    slots = written.join(F.broadcast(start), "shard")
-    return slots.select((F.col("start") + F.col("place")).alias("slot"), "shard", (F.col("place").cast("long") * stride).alias("offset"), "sequence", "n_tokens", "sha256")
+    return written.select("slot", "shard", (F.col("slot") % shard_sequences * stride).alias("offset"), "sequence", "n_tokens", "sha256")
 
 
 def read_manifest(path: str) -> dict:

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 
 import numpy as np
 import pytest
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pixelloom.llm import mixing, registry, token_shards
-from pixelloom.llm.common import scratch_path
-from pixelloom.llm.permutation_index import nearest_neighbours
+from pixelloom.llm.common import materialise, scratch_path
+from pixelloom.llm.permutation_index import InvertedFiles, nearest_neighbours, ordered_pivots
 from pixelloom.llm.warc import read_archives, write_archives
 
 SF = "/root/testdata/sf0.001"
@@ -29,10 +30,36 @@ def test_period_is_pfair(share):
         assert all(abs(done[x] - share[x] * (slot + 1) / d) < 1 for x in share)
 
 
-def test_shares():
-    assert mixing.shares({"a": 100, "b": 400}, slots=30) == {"a": 10, "b": 20}
-    assert mixing.shares({"a": 1, "b": 1}, {"a": 3, "b": 1}, slots=40) == {"a": 30, "b": 10}
-    assert min(mixing.shares({"a": 10**12, "b": 1}, slots=100).values()) == 1
+def test_targets_and_shares():
+    exact = lambda *a: mixing.shares(mixing.targets(*a))
+    assert exact({"a": 1, "b": 1}, {"a": 3, "b": 1}) == {"a": 3, "b": 1}
+    assert exact({"a": 1, "b": 1}, {"a": 1, "b": 2}) == {"a": 1, "b": 2}
+    assert exact({"a": 1, "b": 1}, {"a": 0.9996, "b": 0.0004}) == {"a": 2499, "b": 1}
+    assert exact({"a": 1, "b": 1, "c": 1}, {"a": 0.9998, "b": 0.0001, "c": 0.0001}) == {"a": 9998, "b": 1, "c": 1}
+    assert exact({"a": 100, "b": 400}) == {"a": 1, "b": 2} and exact({}) == {}
+    tight = mixing.shares(mixing.targets({"a": 1, "b": 1, "c": 1}, {"a": 10**6, "b": 1, "c": 1}), most=10)
+    assert tight == {"a": 8, "b": 1, "c": 1}
+    with pytest.raises(ValueError):
+        mixing.targets({"a": 1}, {"a": 0})
+
+
+@pytest.mark.parametrize("weights", [{"a": 1, "b": 2}, {"a": 0.9996, "b": 0.0004}, None])
+def test_deviation_from_the_target(weights):
+    """At every slot up to 100,000 each source has its unrounded weight to within one block."""
+    counts = {"a": 10, "b": 10} if weights else {f"s{i}": 7 ** (i % 6) + 13 * i for i in range(8)}
+    want = mixing.targets(counts, weights)
+    share = mixing.shares(want)
+    plan = [s for s, _, _ in mixing.period(share)]
+    if weights is None:  # irrational: the targets are those of four digits
+        most = max(counts.values()) ** 0.5
+        total = sum(n**0.5 / most for n in counts.values())
+        assert all(abs(float(want[s]) - n**0.5 / most / total) < 1e-4 for s, n in counts.items())
+    number = {s: (w.numerator, w.denominator) for s, w in want.items()}
+    done = dict.fromkeys(want, 0)
+    for t in range(100_000):
+        done[plan[t % len(plan)]] += 1
+        if t % 97 == 0 or t < 3000:
+            assert all(abs(done[s] * d - n * (t + 1)) < d for s, (n, d) in number.items())
 
 
 def test_schedule(spark, documents):
@@ -47,12 +74,22 @@ def test_schedule(spark, documents):
     for mine in by.values():
         assert sorted((r.mix_block * 7 + r.mix_place) for r in mine) == list(range(len(mine)))
         order = sorted(mine, key=lambda r: (r.mix_slot, r.mix_place))
-        key = [hashlib.md5(("" if r.doc_id is None else str(r.doc_id)).encode()).hexdigest() for r in order]
+        key = [hashlib.md5(str(r.doc_id).encode()).hexdigest() for r in order if r.doc_id is not None]
         assert key == sorted(key)
     assert len({(r.mix_slot, r.mix_place) for r in got}) == len(got)
+    nulls = [(None, f"n{i}", "en", "hot") for i in range(500)] + [(9, f"same {i}", "en", "hot") for i in range(500)]
+    first, second = ({r.text: (r.mix_slot, r.mix_place) for r in mixing.schedule(documents(x), block_rows=7).collect()} for x in (nulls, nulls[::-1]))
+    assert first == second and len(set(first.values())) == 1000  # no order of the input decides
+    with pytest.raises(ValueError):
+        mixing.schedule(df, max_sources=2)
     kept = mixing.mix(df, block_rows=7)
     assert kept.columns == df.columns and sorted(map(str, kept.collect())) == sorted(map(str, df.collect()))
-    assert mixing.schedule(documents([])).count() == 0
+    path = scratch_path(spark, "mixed")
+    mixing.mix(df, block_rows=7, file_slots=20).write.parquet(path)
+    read = spark.read.parquet(path).select(mixing.file_order().alias("o"), "_metadata.row_index", "doc_id", "source").orderBy("o", "row_index").collect()
+    assert [(r.doc_id, r.source) for r in read] == [(r.doc_id, r.source) for r in sorted(got, key=lambda r: (r.mix_slot, r.mix_place))]
+    assert len({r.o for r in read}) > 3
+    assert mixing.schedule(documents([])).count() == 0 and mixing.mix(documents([])).count() == 0
     plan = mixing.schedule(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
@@ -75,10 +112,23 @@ def test_neighbours(spark):
     assert hit >= 0.9 * 20 * len(queries)
 
 
+def test_inverted_files():
+    random.seed(5)
+    x, pivots = np.random.default_rng(5).normal(size=(60, 8)), np.random.default_rng(6).normal(size=(20, 8))
+    files = InvertedFiles(np.arange(60), x, pivots, 7)
+    lists = ordered_pivots(x, pivots, 7).tolist()
+    place = lambda a, p: a.index(p) if p in a else 7
+    for a in lists[:9]:
+        want = [sum(abs(place(a, p) - place(b, p)) for p in {*a, *b}) for b in lists]
+        assert files.footrule(np.array(a)).tolist() == want
+
+
 def test_neighbours_of_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.0, 1.0]), (3, [1.0, 0.0]), (2, [1.0, 0.0]), (4, [0.0, 0.0]), (5, None), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]), (40, [0.0, 0.0]), (9, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (3, [1.0, 0.0])]
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, rank string")
+    three = df.unionByName(df.where("vec_id = 9").selectExpr("60L AS vec_id", "embedding", "rank"))  # each dimension by itself
+    assert [(r.query_id, r.vec_id, r.score) for r in nearest_neighbours(three, F.col("vec_id") == 60).collect()] == [(60, 9, 14.0)]
     got = [(r.query_id, r.rank, r.vec_id, r.score) for r in nearest_neighbours(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 2, 1.0), (0, 2, 3, 1.0), (0, 3, 20, 0.0), (20, 1, 0, 0.0), (20, 2, 2, 0.0), (20, 3, 3, 0.0)]
     assert nearest_neighbours(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
@@ -95,15 +145,16 @@ def test_feistel(n):
 
 def test_shards_round_trip(spark, documents):
     texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
-    rows = [(i, t, "en", "s") for i, t in enumerate([*texts, None, "", "  two  spaces ", "x\n\n y\t<|endoftext|>", "é" * 5000, "same", "same"])]
+    rows = [(i, t, "en", "s") for i, t in enumerate([*texts, None, "", "  two  spaces ", "x\n\n y\t<|endoftext|>", "é" * 5000, "word " * 100_000, "same", "same"])]
     df, path = documents(rows).repartition(3).checkpoint(), scratch_path(spark, "t")
     made = token_shards.write_shards(df, path, seq_len=128, shard_sequences=50).collect()
     meta = token_shards.read_manifest(path)
     ids = {r.slot: np.array(r.ids) for r in token_shards.read_slots(spark, path).collect()}
     assert sorted(ids) == list(range(meta["n_sequences"])) == sorted(r.slot for r in made)
     assert all(r.sha256 == hashlib.sha256(ids[r.slot].astype(np.uint16).tobytes()).hexdigest() for r in made)
-    places = token_shards.Feistel(meta["numbers"], meta["key"]).slot([r.sequence for r in sorted(made, key=lambda r: r.slot)])
-    assert (np.diff(places) > 0).all()
+    assert list(token_shards.Feistel(meta["n_sequences"], meta["key"]).slot([r.sequence for r in made])) == [r.slot for r in made]
+    assert sorted(r.sequence for r in made) == sorted(ids) and all(r.shard == r.slot // 50 and r.offset == r.slot % 50 * 256 for r in made)
+    assert [n for *_, n in meta["shards"]] == [50] * (len(ids) // 50) + [len(ids) % 50] * (len(ids) % 50 > 0)
     stream = np.concatenate([ids[r.slot][: r.n_tokens] for r in sorted(made, key=lambda r: r.sequence)])
     with open(token_shards.VOCABULARY, "rb") as f:
         coder = token_shards._encoding(f.read())
@@ -112,6 +163,15 @@ def test_shards_round_trip(spark, documents):
         found.append(coder.decode(stream[start:end].tolist()))
         start = end + 1
     assert sorted(found) == sorted(t or "" for _, t, *_ in rows)
+    other = scratch_path(spark, "t")  # named streams, windows, and columns with names of the operator's own
+    one = df.coalesce(1).sortWithinPartitions("doc_id").selectExpr("text", "'s' || (doc_id DIV 100) AS s", "doc_id AS slot", "doc_id AS stream", "doc_id AS ids")
+    again = token_shards.write_shards(one, other, seq_len=128, shard_sequences=50, stream_col="s", window=40).collect()
+    total = token_shards.read_manifest(other)["n_sequences"]
+    assert sorted(r.slot for r in again) == list(range(total)) == sorted(r.sequence for r in again)
+    assert all(r.slot // 40 == r.sequence // 40 for r in again) and sum(r.slot == r.sequence for r in again) < 0.2 * total
+    read = {r.slot: np.array(r.ids) for r in token_shards.read_slots(spark, other).collect()}
+    flat = np.concatenate([read[r.slot][: r.n_tokens] for r in sorted(again, key=lambda r: r.sequence)])
+    assert sorted(coder.decode(flat[a + 1 : b].tolist()) for a, b in zip([-1, *np.flatnonzero(flat == token_shards.END)], np.flatnonzero(flat == token_shards.END), strict=False)) == sorted(found)
     part = {r.slot: np.array(r.ids) for r in token_shards.read_slots(spark, path, 37, 91).collect()}
     assert sorted(part) == list(range(37, 91)) and all((part[s] == ids[s]).all() for s in part)
     assert token_shards.write_shards(documents([]), scratch_path(spark, "t")).count() == 0
@@ -169,14 +229,36 @@ def test_pipeline(spark):
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in judged.where("NOT contaminated").collect()}
     mixed = stages["mixing"](spark, clean, SF)
     assert sorted(map(str, mixed.collect())) == sorted(map(str, clean.collect()))
-    rows = stages["token_shards"](spark, mixed, SF).collect()
+    rows = stages["token_shards"](spark, materialise(mixed, "mixed"), SF).collect()
     assert sorted(r.slot for r in rows) == list(range(len(rows)))
-    assert len(corpus_pipeline.run(spark, SF).collect()) >= math.ceil(0.5 * len(rows))
+    left = stages["decontamination"](spark, stages["near_duplicates"](spark, known, SF), SF)
+    last = corpus_pipeline.run(spark, SF).collect()
+    with open(token_shards.VOCABULARY, "rb") as f:
+        vocabulary = f.read()
+    tokens = sum(len(token_shards.encode(vocabulary, r.text)) // 2 + 1 for r in left.collect())
+    assert sum(r.n_tokens for r in last) == tokens and sorted(r.slot for r in last) == list(range(len(last)))
 
 
 def test_stages_on_odd_rows(spark, documents, prose):
-    plain = documents([(1, None, None, None), (2, "", None, None), (None, "some words here and there", "en", None), (3, prose("a", 50), "en", "s"), (3, prose("a", 50), "en", "s")]).drop("score")
+    """Nulls in all columns, empty and long texts, repeated rows, equal ids, and columns with names that operators use."""
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 200").first().text
+    rows = [(1, None, None, None), (2, "", None, None), (None, "some words here and there", "en", None), (3, prose("a", 50), "en", "s"), (3, prose("a", 50), "en", "s"), (4, prose("long", 30_000), "en", "s"), (5, leak, "en", "s"), (None, f"x {leak}", "en", "s"), (6, prose("b", 40), None, None), (6, prose("c", 40), "xx", "s")]
+    docs = documents(rows).selectExpr("*", "doc_id AS node", "text AS code", "source AS s", "lang AS mix_slot", "doc_id AS window", "doc_id AS stream")
+    texts = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    stages = dict(corpus_pipeline.STAGES)
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, plain, SF)
-        assert out.columns == plain.columns, name
-        assert stage(spark, plain.limit(0), SF).count() == 0, name
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+    every = [(r[0], r[1]) for r in rows]
+    once = sorted({(i, t) for i, t in every if (i, t) != (2, "")}, key=str)
+    once = [x for x in once if x[1] != f"x {leak}"]  # nearly the text of 5
+    assert texts(stages["near_duplicates"](spark, docs, SF)) == once
+    assert texts(stages["decontamination"](spark, docs, SF)) == sorted([x for x in every if leak not in (x[1] or "")], key=str)
+    assert texts(stages["mixing"](spark, docs, SF)) == sorted(every, key=str)
+    written = stages["token_shards"](spark, materialise(stages["mixing"](spark, docs, SF), "mixed"), SF).collect()
+    with open(token_shards.VOCABULARY, "rb") as f:
+        vocabulary = f.read()
+    assert sum(r.n_tokens for r in written) == sum(len(token_shards.encode(vocabulary, t)) // 2 + 1 for _, t in every)
+    empty = materialise(docs.limit(0), "none")
+    assert stages["token_shards"](spark, empty, SF).count() == 0
