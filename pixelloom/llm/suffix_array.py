@@ -120,26 +120,55 @@ def suffixes(docs: DataFrame, core: int, window: int) -> DataFrame:
     return docs.mapInArrow(run, "sig long, doc_id long, pos int")
 
 
-def contexts(docs: DataFrame, core: int, reach: int) -> DataFrame:
-    """(sig, doc_id, pos, left, right) from (doc_id, raw, kept array of (pos, sig)): 16-bit prints of the reach words on either side of the core, nearest first."""
+def surroundings(h: np.ndarray, pos: int, core: int, reach: int) -> int:
+    """A hash of the words up to reach on either side of a core, and of where the core stands among them."""
+    low = max(0, pos - reach)
+    return xxh64_intdigest(h[low : pos + core + reach].tobytes(), pos - low) - (1 << 63)
+
+
+def _of_kept(docs: DataFrame, core: int, reach: int, rows_of, schema: str) -> DataFrame:
+    """mapInArrow over (doc_id, raw, kept array of structs with pos and sig): rows_of(doc, word hashes, struct) for each suffix that the text has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = [f.split() for f in schema.split(", ")]
+        kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
         for b in batches:
             out: list[tuple] = []
             for doc, raw, kept in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
                 h = word_hashes(raw.as_py())
                 sigs = span_hashes(h, core).view(np.int64)
-                prints = (h >> np.uint64(48)).astype(np.uint16)
-                for x in kept:
-                    p = x["pos"]
-                    if p < len(sigs) and sigs[p] == x["sig"]:
-                        left, right = prints[max(0, p - reach) : p][::-1], prints[p + core : p + core + reach]
-                        out.append((x["sig"], doc, p, left.tobytes(), right.tobytes()))
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["sig", "doc_id", "pos", "left", "right"])
+                fit = [x for x in kept if x["pos"] < len(sigs) and sigs[x["pos"]] == x["sig"]]
+                out.extend(rows_of(doc, h, fit))
+            columns = list(zip(*out, strict=True)) or [()] * len(fields)
+            yield pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+    return docs.mapInArrow(run, schema)
+
+
+def contexts(docs: DataFrame, core: int, reach: int) -> DataFrame:
+    """(sig, doc_id, pos, left, right, context): 16-bit prints of the reach words on either side of the core, nearest first, and a hash of the words."""
+
+    def rows_of(doc: int, h: np.ndarray, kept: list) -> Iterator[tuple]:
+        prints = (h >> np.uint64(48)).astype(np.uint16)
+        for x in kept:
+            p = x["pos"]
+            left, right = prints[max(0, p - reach) : p][::-1], prints[p + core : p + core + reach]
+            yield x["sig"], doc, p, left.tobytes(), right.tobytes(), surroundings(h, p, core, reach)
+
+    return _of_kept(docs, core, reach, rows_of, "sig long, doc_id long, pos int, left binary, right binary, context long")
+
+
+def passages(docs: DataFrame, core: int, reach: int) -> DataFrame:
+    """(sig, context, a, b, l, passage): for each l from least to most a hash of the words that begin l words before the core."""
+
+    def rows_of(doc: int, h: np.ndarray, kept: list) -> Iterator[tuple]:
+        whole = span_hashes(h, core + reach).view(np.int64)
+        for x in kept:
+            if surroundings(h, x["pos"], core, reach) == x["context"]:
+                for before in range(x["least"], x["most"] + 1):
+                    yield x["sig"], x["context"], x["a"], x["b"], before, int(whole[x["pos"] - before])
 
-    return docs.mapInArrow(run, "sig long, doc_id long, pos int, left binary, right binary")
+    return _of_kept(docs, core, reach, rows_of, "sig long, context long, a long, b long, l int, passage long")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 50, window: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -151,9 +180,9 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, window: int = 25, id
     1. A suffix is retained where it is a minimiser. Any min_words words hold a retained suffix with its first
        min_words - window + 1 words, its core; suffixes whose core no other document has are dropped.
     2. The others are sorted by core and following words (and again by core and preceding words) over range partitions;
-       neighbours tell how far any match can extend to the right (and to the left).
+       neighbours, by short prints of these words, tell how far at most any match can extend to the right (and to the left).
     3. Surroundings that two documents share are certain. Of the others each extension to min_words within those bounds is
-       tested for a second document.
+       tested for a second document. Both compare 64-bit hashes of all the words, taken from the texts.
 
     Equal suffixes with equal surroundings count as one before sorting, and range partitions split a frequent core by its
     surroundings, so copies make no partition large. Texts below min_words words, empty texts, and rows with a null id or
@@ -167,10 +196,10 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, window: int = 25, id
     again = materialise(kept.groupBy("sig").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("sig"), "cores")
     by_doc = kept.join(small_side(again), "sig", "left_semi").groupBy("doc_id").agg(F.collect_set(F.struct("pos", "sig")).alias("kept"))
     around = contexts(rows.join(by_doc, "doc_id").select("doc_id", "raw", "kept"), core, reach)
-    around = materialise(around.withColumn("context", F.xxhash64("left", "right")), "contexts")
+    around = materialise(around, "contexts")
 
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    once = around.groupBy("sig", "context").agg(F.first("left").alias("left"), F.first("right").alias("right"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    once = around.groupBy("sig", "context").agg(F.first("left").alias("left"), F.first("right").alias("right"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.min(F.struct("doc_id", "pos")).alias("at"))
     for order, name in ((["sig", "right", "left"], "to_right"), (["sig", "left", "right"], "to_left")):
         schema = once.schema.add(name, T.IntegerType())
         once = materialise(once.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_neighbours(order, reach, name), schema), name)
@@ -178,10 +207,9 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, window: int = 25, id
     words = lambda c: (F.octet_length(c) / 2).cast("int")
     whole = F.col("a") != F.col("b")
     bounds = [(F.lit(reach) - F.least("to_right", words("right"))).alias("least"), F.least("to_left", words("left")).alias("most")]
-    tried = once.select("sig", "context", "a", "b", "left", "right", *bounds).where("least <= most")
-    tried = tried.select("sig", "context", "a", "b", "left", "right", F.explode(F.sequence("least", "most")).alias("l"))
-    tried = tried.select("sig", "context", "a", "b", "l", F.xxhash64("sig", "l", F.expr("substring(left, 1, 2 * l)"), F.expr(f"substring(right, 1, 2 * ({reach} - l))")).alias("passage"))
-    tried = materialise(tried, "passages")
+    tried = once.select("sig", "context", "a", "b", "at", *bounds).where("least <= most")
+    tried = tried.groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("at.pos", "sig", "context", "a", "b", "least", "most")).alias("kept"))
+    tried = materialise(passages(rows.join(tried, "doc_id").select("doc_id", "raw", "kept"), core, reach), "passages")
     shared = tried.groupBy("passage").agg(F.min("a").alias("x"), F.max("b").alias("y")).where("x <> y").select("passage")
     parts_of = tried.where("a = b").join(shared, "passage", "left_semi").groupBy("sig", "context").agg(F.min("l").alias("least"), F.max("l").alias("most"))
     sure = once.where(whole).select("sig", "context", (F.lit(reach) - words("right")).alias("least"), words("left").alias("most")).where("least <= most")

@@ -64,6 +64,20 @@ def test_passages_of_odd_rows(documents, prose):
     assert got_repeats(documents([]), 50, 25) == {}
 
 
+def test_words_with_equal_prints(documents, prose):
+    """Two words whose hashes begin alike are still two words."""
+    a, b = "q253", "q544"
+    assert xxhash.xxh64_intdigest(a.encode()) >> 48 == xxhash.xxh64_intdigest(b.encode()) >> 48
+    rows = []
+    for i in range(30):
+        w = prose(f"p{i}", 50).split()
+        at = (7 * i) % 50
+        rows += [(2 * i + k, " ".join([*w[:at], x, *w[at + 1 :]]), "en", "s") for k, x in enumerate((a, b))]
+    assert got_repeats(documents(rows), 50, 25) == {}
+    longer = [(100, f"{prose('p', 30)} {a} {prose('q', 40)}", "en", "s"), (101, f"{prose('p', 30)} {b} {prose('q', 40)}", "en", "s"), (102, f"x {prose('p', 30)} {a} {prose('q', 25)}", "en", "s")]
+    assert got_repeats(documents(rows + longer), 50, 25) == {100: [(0, 56)], 102: [(1, 57)]}
+
+
 def brute_fingerprint(text, k):
     w = (text or "").encode().lower().split()
     if not w:
