@@ -19,7 +19,8 @@ from pixelloom.llm.common import materialise, small_side
 
 #: Payloads below this many bytes are always stored whole.
 MIN_REVISIT_BYTES = 100
-MANIFEST = "_MANIFEST.json"
+#: Each write adds a manifest of its own under this name and a number; those that are there name the archives that count.
+MANIFEST = "_MANIFEST-"
 SCHEMA = (
     "warc_type string, record_id string, warc_date string, target_uri string, page_id bigint, refers_to bigint, "
     "payload_digest string, payload_bytes bigint, payload binary"
@@ -38,6 +39,20 @@ def record_id(page_id: int | None, uri: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {uri}')}>"
 
 
+def manifests(store: fs.FileSystem, root: str) -> list[str]:
+    found = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
+    return sorted(x.path for x in found if x.base_name.startswith(MANIFEST))
+
+
+def archives(store: fs.FileSystem, root: str, known: list[str]) -> list[tuple[str, int]]:
+    """(path, size) of the archives that the manifests name."""
+    out = []
+    for path in known:
+        with store.open_input_stream(path, compression=None) as f:
+            out += [(f"{root}/{name}", size) for name, size in json.loads(f.read())]
+    return out
+
+
 @dataclass
 class Part(InputPartition):
     files: list[tuple[str, int]]
@@ -67,13 +82,17 @@ class WarcSource(DataSource):
         return WarcReader(self.options)
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options)
+        return WarcWriter(self.options, overwrite)
 
 
 class WarcWriter(DataSourceArrowWriter):
-    """Each task writes one archive under a name of its own; only those in the manifest count, so a lost or repeated task leaves no trace."""
+    """Each task writes one archive under a name of its own; only those in a manifest count, so a lost or repeated task leaves no trace.
 
-    def __init__(self, options):
+    A write in mode append adds to what is there; one in mode overwrite takes its place once it is whole.
+    """
+
+    def __init__(self, options, overwrite: bool):
+        self.overwrite = overwrite
         self.path, self.gzip = options["path"], options.get("compression", "none") == "gzip"
         self.date = options.get("date", "1970-01-01T00:00:00Z")
 
@@ -107,9 +126,14 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list[Written | None]) -> None:
         store, root = fs.FileSystem.from_uri(self.path)
         store.create_dir(root, recursive=True)
+        before = manifests(store, root)
         files = sorted((m.file, m.size) for m in messages if m is not None)
-        with store.open_output_stream(f"{root}/{MANIFEST}", compression=None) as out:
+        with store.open_output_stream(f"{root}/{MANIFEST}{uuid.uuid4().hex}.json", compression=None) as out:
             out.write(json.dumps(files).encode())
+        for old in before if self.overwrite else ():
+            for name, _ in archives(store, root, [old]):
+                store.delete_file(name)
+            store.delete_file(old)
 
     def abort(self, messages: list[Written | None]) -> None:
         store, root = fs.FileSystem.from_uri(self.path)
@@ -140,10 +164,8 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[Part]:
         store, root = fs.FileSystem.from_uri(self.path)
-        info = store.get_file_info(f"{root}/{MANIFEST}")
-        if info.type == fs.FileType.File:
-            with store.open_input_stream(f"{root}/{MANIFEST}", compression=None) as f:
-                files = [(f"{root}/{name}", size) for name, size in json.loads(f.read())]
+        if known := manifests(store, root):
+            files = archives(store, root, known)
         else:
             found = store.get_file_info(fs.FileSelector(root, recursive=True))
             files = [(x.path, x.size) for x in found if x.path.endswith((".warc", ".warc.gz"))]
@@ -187,10 +209,12 @@ class WarcReader(DataSourceReader):
                 headers[key.strip().lower()] = value.strip()
             row = {c: headers.get(h.lower()) for c, h in HEADERS.items()}
             for c in NUMBERS:
-                row[c] = int(row[c]) if row[c] is not None else None
+                row[c] = int(row[c]) if row[c] and row[c].lstrip("-").isdecimal() else None
             if row["payload_digest"] is not None:
                 row["payload_digest"] = row["payload_digest"].rpartition(":")[2]
-            length = int(headers.get("content-length", 0))
+            if not headers.get("content-length", "").isdecimal():
+                raise ValueError(f"WARC record {row['record_id']} has no length")
+            length = int(headers["content-length"])
             if not self._keeps(row):
                 buffered.skip(length)
                 continue
@@ -232,18 +256,26 @@ class _Lines:
     def take(self, n: int) -> bytes:
         out = self.held[self.at : self.at + n]
         self.at += len(out)
-        return out + self.raw.read(n - len(out)) if len(out) < n else out
+        if len(out) < n:
+            out += self.raw.read(n - len(out))
+        if len(out) < n:
+            raise ValueError("WARC record ends before its length")
+        return out
 
     def skip(self, n: int) -> None:
-        have = min(n, len(self.held) - self.at)
+        """Passes over n bytes; the last is read, to see that it is there."""
+        have = min(max(0, n - 1), len(self.held) - self.at)
         self.at += have
-        if n > have:
-            self.raw.seek(self.raw.tell() + n - have)
+        if n - 1 > have:
+            self.raw.seek(self.raw.tell() + n - 1 - have)
+        self.take(min(n, 1))
 
 
-def write_archives(pages: DataFrame, path: str, compression: str = "none") -> None:
+def write_archives(pages: DataFrame, path: str, compression: str = "none", mode: str = "append") -> None:
     """One WARC record for each row of (page_id, url, html) under path; payload: the html in UTF-8, null as empty.
 
+    mode append leaves the archives of earlier writes in place, overwrite replaces them.
+
     Of rows with equal payloads of at least MIN_REVISIT_BYTES bytes, that with the smallest page_id is the response and
     the others revisit it; repeated rows of that page_id are responses too. Where no row of a group has a page_id all
     are responses. The html isn't shuffled unless repeated payloads are too many to broadcast (BROADCAST_BYTES).
@@ -253,18 +285,23 @@ def write_archives(pages: DataFrame, path: str, compression: str = "none") -> No
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", F.col("url").alias("target_uri"), payload.alias("payload"), F.sha2(payload, 256).alias("payload_digest"))
     size = F.octet_length("payload")
-    first = rows.where(size >= MIN_REVISIT_BYTES).groupBy("payload_digest").agg(F.min("page_id").alias("refers_to"), F.min_by("target_uri", "page_id").alias("refers_to_uri"), F.count("*").alias("n"))
-    first = materialise(first.where("n > 1 AND refers_to IS NOT NULL").drop("n"), "repeated")
+    first = rows.where(size >= MIN_REVISIT_BYTES).groupBy("payload_digest").agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "target_uri"))).alias("one"), F.count("*").alias("n"))
+    first = first.where("n > 1 AND one IS NOT NULL").select("payload_digest", F.col("one.page_id").alias("refers_to"), F.col("one.target_uri").alias("refers_to_uri"))
+    first = materialise(first, "repeated")
     first = small_side(first)
     again = (size >= MIN_REVISIT_BYTES) & F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
     out = rows.join(first, "payload_digest", "left").withColumn("warc_type", F.when(again, "revisit").otherwise("response"))
     out = out.withColumn("refers_to", F.when(again, F.col("refers_to")))
     columns = ["warc_type", "target_uri", "page_id", "refers_to", "refers_to_uri", "payload_digest", "payload"]
-    out.select(*columns).write.format("warc").option("path", path).option("compression", compression).mode("append").save()
+    out.select(*columns).write.format("warc").option("path", path).option("compression", compression).mode(mode).save()
 
 
 def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    """Records under path with the columns of SCHEMA. Equality and IN on header columns are pushed down to the reader."""
+    """Records under path with the columns of SCHEMA. Equality and IN on header columns are pushed down to the reader.
+
+    Numbers that a foreign archive's headers don't hold are null; a record that ends before its length is an error. Spark
+    asks sessions that read sources with filters for spark.sql.python.filterPushdown.enabled; it is switched on here.
+    """
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
     return spark.read.format("warc").option("path", path).option("payload", str(payload).lower()).load()

@@ -200,6 +200,30 @@ def test_archives(spark, compression):
     assert {r.page_id for r in pushed.collect()} == {2, 9}
 
 
+def test_archives_of_several_writes(spark):
+    path, one = scratch_path(spark, "w"), lambda i: spark.createDataFrame([(i, f"u{i}", "x" * 200)], "page_id long, url string, html string")
+    write_archives(one(1), path)
+    write_archives(one(2), path)
+    assert sorted(r.page_id for r in read_archives(spark, path).collect()) == [1, 2]
+    write_archives(one(3), path, mode="overwrite")
+    assert [r.page_id for r in read_archives(spark, path).collect()] == [3]
+    ties = spark.createDataFrame([(1, u, "y" * 200) for u in "cab"] + [(2, "z", "y" * 200)], "page_id long, url string, html string")
+    write_archives(ties, path, mode="overwrite")
+    assert [(r.page_id, r.refers_to) for r in read_archives(spark, path).where("warc_type = 'revisit'").collect()] == [(2, 1)]
+
+
+def test_foreign_archives(spark, tmp_path):
+    body = b"HTTP/1.1 200 OK\r\n\r\nhello"
+    head = b"WARC/1.0\r\nWARC-Type: response\r\nX-Page-ID: none\r\nContent-Type: application/http\r\nContent-Length: %d\r\n\r\n" % len(body)
+    (tmp_path / "a.warc").write_bytes((head + body + b"\r\n\r\n") * 2)
+    got = read_archives(spark, f"file://{tmp_path}").collect()
+    assert [(r.page_id, bytes(r.payload)) for r in got] == [(None, b"hello")] * 2
+    (tmp_path / "a.warc").write_bytes(head + body[:-3])
+    for payload in (True, False):
+        with pytest.raises(Exception, match="ends before its length"):
+            read_archives(spark, f"file://{tmp_path}", payload).collect()
+
+
 def test_archives_of_no_pages(spark):
     path = scratch_path(spark, "w")
     write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path)
