@@ -1,7 +1,9 @@
 """Toxicity, decontamination, URL rules and language ID."""
 
 import hashlib
+import itertools
 import math
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -67,12 +69,57 @@ def test_trie_prefers_longer_rules():
     assert trie.match("z.a.b", "")[1] == "allow" and trie.match("q", "/1")[1] == "block" and trie.match("q", "") is None
 
 
+def paths(machine, symbols):
+    """Every accepting path's outputs, by enumeration."""
+    found = [(machine.start, ())]
+    for s in symbols:
+        found = [(after, (*out, o)) for q, out in found for after, o in machine.arcs.get((q, s), ())]
+    return sorted(out for q, out in found if q in machine.finals)
+
+
+def test_composition_of_small_machines():
+    random.seed(4)
+    for _ in range(60):
+        a, b = (toxicity.reachable(0, "ab", lambda q, s, t={(q, s): [(random.randrange(3), random.choice("ab")) for _ in range(random.randrange(3))] for q in range(3) for s in "ab"}: t[q, s], lambda q: q != 1) for _ in range(2))
+        both = toxicity.compose(a, b)
+        for n in range(5):
+            for w in itertools.product("ab", repeat=n):
+                assert paths(both, w) == sorted(out for mid in paths(a, w) for out in paths(b, mid))
+
+
+def brute_labels(symbols):
+    """What each hit should be labelled, straight from the rules."""
+    out = []
+    target, report = "Y" in symbols, "R" in symbols
+    for i, s in enumerate(symbols):
+        if s == "T" and not target:
+            s = "x"
+        elif s in "IT":
+            s += "+" if target else ""
+            near = [j for j, n in enumerate(symbols) if n == "N" and (0 < i - j <= toxicity.REACH or 0 < j - i <= toxicity.REACH_BACK) and not set("CO") & set(symbols[min(i, j) : max(i, j)])]
+            s += "~" if report else "-" if near else ""
+        out.append(s)
+    return out
+
+
+def test_grammar_has_one_path_for_every_sentence():
+    random.seed(8)
+    machine = toxicity.grammar_machine()
+    for n in [*range(5)] * 40 + [12, 25] * 60:
+        symbols = random.choices(toxicity.SYMBOLS, [2, 1, 1, 2, 0.3, 1, 0.5, 8], k=n)
+        assert machine.outputs(symbols) == brute_labels(symbols), symbols
+        if n < 13:
+            assert len(paths(machine, symbols)) == 1
+
+
 def test_toxicity_grammar():
     g = toxicity.Grammar({"idiot": 6.0, "schwach*": 5.0})
+    at = toxicity.PLACES
     assert g.weight("idiot") == 6 and g.weight("schwachkopf") == 5 and g.weight("schwach") == 0 and g.weight("idiotic") == 0
-    plain, negated, reported = g.features("you idiot."), g.features("you are not an idiot."), g.features("they said: you idiot.")
-    assert plain[0] == 6 and negated[1] == 6 and reported[2] == 6 and plain[3] > 0
-    assert g.features("I will kill the lights.")[0] == 0 and g.features("I will kill you.")[0] > 0
+    said = {t: g.features(t) for t in ("you idiot.", "you are not an idiot.", "they said: you idiot.", "an idiot", "You fool, not an idiot", "not today, you idiot", "idiot you aren't", "I will kill the lights.", "I will kill you.", "I won't, never kill you")}
+    label = {t: [k for k in at if f[at[k]]] for t, f in said.items()}
+    assert list(label.values()) == [["I+"], ["I+-"], ["I+~"], ["I"], ["I+-"], ["I+"], ["I+-"], [], ["T+"], ["T+-"]]
+    assert said["you idiot."][at["I+"]] == 6 and said["you idiot."][-1] == math.log(2)
     assert g.score("you idiot") > g.score("you are not an idiot") > g.score("a fine day") == g.score(None) == g.score("")
 
 
