@@ -40,16 +40,26 @@ def erode_disk(pixels: DataFrame, flag: str, radius: int, keys: Sequence[str] =
     return dilate_disk(off, flag, radius, keys).withColumn(flag, ~F.col(flag))
 
 
-def dilate_square(pixels: DataFrame, flag: str, size: int, keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, x, y, flag): true where a flagged pixel lies within a size x size square; one pass along rows, one along columns.
+def dilate_square(pixels: DataFrame, flag: str, size: int | Column, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, x, y, flag): true where a flagged pixel lies within a size x size square; size may be a column of the keys.
 
-    A pixel that is absent passes nothing on: the first pass needs a pixel in the same row.
+    Flagged pixels are widened along their row and joined to runs; each run opens and closes in every row that its squares
+    meet, and a running sum along each row tells which pixels are covered. Work is runs x size, not pixels x size². Absent
+    pixels count as not flagged, and don't stand in the way.
     """
-    h = size // 2
-    wide = Window.partitionBy(*keys, "y").orderBy("x").rangeBetween(-h, h)
-    high = Window.partitionBy(*keys, "x").orderBy("y").rangeBetween(-h, h)
-    row = pixels.select(*keys, "x", "y", F.max(F.col(flag).cast("int")).over(wide).alias("m"))
-    return row.select(*keys, "x", "y", (F.max("m").over(high) == 1).alias(flag))
+    h = F.floor(F.lit(size) / 2).cast("int") if isinstance(size, int) else F.floor(size / 2).cast("int")
+    line = Window.partitionBy(*keys, "y").orderBy("x")
+    on = pixels.where(F.col(flag)).select(*keys, "y", "x", h.alias("h"))
+    ends = F.array(F.struct((F.col("x") - F.col("h")).alias("x"), F.lit(1).alias("d")), F.struct((F.col("x") + F.col("h") + 1).alias("x"), F.lit(-1).alias("d")))
+    edges = on.select(*keys, "y", "h", F.explode(ends).alias("e")).groupBy(*keys, "y", "h", F.col("e.x").alias("x")).agg(F.sum("e.d").alias("d"))
+    depth = edges.withColumn("s", F.sum("d").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = depth.withColumn("before", F.col("s") - F.col("d")).where("(s = 0) <> (before = 0)")
+    rows = F.explode(F.sequence(F.col("y") - F.col("h"), F.col("y") + F.col("h")))
+    spread = runs.select(*keys, "x", F.when(F.col("s") > 0, 1).otherwise(-1).alias("d"), rows.alias("y")).groupBy(*keys, "y", "x").agg(F.sum("d").alias("d"))
+    here = pixels.select(*keys, "y", "x", F.lit(0).cast("long").alias("d"), F.lit(True).alias("own"))
+    both = here.unionByName(spread.withColumn("own", F.lit(False)))
+    n = F.sum("d").over(line.rangeBetween(Window.unboundedPreceding, 0))
+    return both.withColumn(flag, n > 0).where("own").select(*keys, "x", "y", flag)
 
 
 def satio_mask(scl: DataFrame, keys: Sequence[str] = (), erode: int = 3, dilate: int = 21) -> DataFrame:
@@ -59,12 +69,16 @@ def satio_mask(scl: DataFrame, keys: Sequence[str] = (), erode: int = 3, dilate:
 
 
 def two_mask(cells: DataFrame, code: str, keep: Sequence[int], bad: Sequence[int], kernels: tuple[int, int] = (17, 77), erosion: int = 3, keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, x, y, mask): classes outside keep, eroded and grown by the first kernel, or in bad, by the second."""
-    outside = erode_disk(cells.select(*keys, "x", "y", (~F.col(code).isin(*keep)).alias("mask")), "mask", erosion, keys)
-    cloudy = erode_disk(cells.select(*keys, "x", "y", F.col(code).isin(*bad).alias("mask")), "mask", erosion, keys)
-    a = dilate_square(outside, "mask", kernels[0], keys)
-    b = dilate_square(cloudy, "mask", kernels[1], keys).withColumnRenamed("mask", "other")
-    return a.join(b, [*keys, "x", "y"]).select(*keys, "x", "y", (F.col("mask") | F.col("other")).alias("mask"))
+    """(keys, x, y, mask): classes outside keep, eroded and grown by the first kernel, or in bad, by the second.
+
+    Both go through one chain, told apart by the kernel.
+    """
+    flags = [(kernels[0], ~F.col(code).isin(*keep)), (kernels[1], F.col(code).isin(*bad))]
+    both = F.array(*[F.struct(F.lit(k).alias("kernel"), F.lit(i).alias("kind"), f.alias("mask")) for i, (k, f) in enumerate(flags)])
+    kinds = cells.select(*keys, "x", "y", F.explode(both).alias("m")).select(*keys, "m.kernel", "m.kind", "x", "y", "m.mask")
+    own = [*keys, "kernel", "kind"]
+    grown = dilate_square(erode_disk(kinds, "mask", erosion, own), "mask", F.col("kernel"), own)
+    return grown.groupBy(*keys, "x", "y").agg(F.max("mask").alias("mask"))
 
 
 def apply_mask(cube: DataFrame, mask: DataFrame, bands: Sequence[str], on: Sequence[str] = ("x", "y")) -> DataFrame:

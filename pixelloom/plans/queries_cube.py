@@ -41,13 +41,13 @@ for _p in temporal.PERIODS:
 for _r in REDUCER_SQL:
     _reducer_query(_r)
 
-_MONTHLY = f"c AS (SELECT x, y, {PERIOD_SQL['month']} AS t, avg(B04) AS B04 FROM refl_wide WHERE t >= '1997-01-01' AND t < '1998-01-01' GROUP BY ALL)"
-_DENSE = f"{_MONTHLY}, p AS (SELECT x, y, CAST(m AS DATE) AS t FROM (SELECT DISTINCT x, y FROM c), range(DATE '1997-01-01', DATE '1998-01-01', INTERVAL 1 MONTH) r(m)), dense AS (SELECT p.x, p.y, p.t, c.B04 FROM p LEFT JOIN c USING (x, y, t))"
+_MONTHLY = f"c AS (SELECT x, y, {PERIOD_SQL['month']} AS t, avg(B04) AS B04 FROM refl_wide GROUP BY ALL)"
+_DENSE = f"{_MONTHLY}, p AS (SELECT x, y, CAST(m AS DATE) AS t FROM (SELECT DISTINCT x, y FROM c), range(DATE '1992-01-01', DATE '2002-01-01', INTERVAL 1 MONTH) r(m)), dense AS (SELECT p.x, p.y, p.t, c.B04 FROM p LEFT JOIN c USING (x, y, t))"
 
 
 def _dense(spark, d):
-    rows = cube.load(view(spark, d, "refl_wide"), ("B04",), "1997-01-01", "1998-01-01")
-    return temporal.densify(temporal.composite(rows, ["B04"], "month", "mean"), "1997-01-01", "1998-01-01", "month")
+    rows = cube.load(view(spark, d, "refl_wide"), ("B04",), "1992-01-01", "2002-01-01")  # all of the table
+    return temporal.densify(temporal.composite(rows, ["B04"], "month", "mean"), "1992-01-01", "2002-01-01", "month")
 
 
 @query("densify_periods", with_rounds(_DENSE, "SELECT * FROM dense", "B04", 3), "refl_wide")
@@ -103,13 +103,13 @@ def stac_order_by_time(spark, d):
     return view(spark, d, "obs_long").groupBy("band").agg(F.min_by("obs_id", at).alias("first_item"), F.max_by("obs_id", at).alias("last_item"))
 
 
-_C1 = f"a AS (SELECT x, y, {PERIOD_SQL['month']} AS t, avg(VV) AS VV FROM refl_wide WHERE scl < 4 GROUP BY ALL), b AS (SELECT x, y, {PERIOD_SQL['month']} AS t, avg(B04) AS B04 FROM refl_wide WHERE scl > 6 GROUP BY ALL)"
+_C1 = f"a AS (SELECT x, y, {PERIOD_SQL['month']} AS t, avg(VV) AS VV FROM refl_wide WHERE scl <= 6 GROUP BY ALL), b AS (SELECT x, y, {PERIOD_SQL['month']} AS t, avg(B04) AS B04 FROM refl_wide WHERE scl >= 4 GROUP BY ALL)"
 
 
 @query("merge_cubes", with_rounds(_C1, "SELECT coalesce(a.x, b.x) AS x, coalesce(a.y, b.y) AS y, coalesce(a.t, b.t) AS t, VV, B04 FROM a FULL JOIN b ON a.x = b.x AND a.y = b.y AND a.t = b.t", "VV B04"), "refl_wide")
 def merge_cubes(spark, d):
     v = view(spark, d, "refl_wide")
-    return rounded(joins.merge_cubes(temporal.composite(v.where("scl < 4"), ["VV"], "month", "mean"), temporal.composite(v.where("scl > 6"), ["B04"], "month", "mean")))
+    return rounded(joins.merge_cubes(temporal.composite(v.where("scl <= 6"), ["VV"], "month", "mean"), temporal.composite(v.where("scl >= 4"), ["B04"], "month", "mean")))
 
 
 @query("merge_static", with_rounds("f AS (SELECT x, y, avg(B08) AS B08 FROM refl_wide GROUP BY x, y)", "SELECT f.x, f.y, B08, dem, soc FROM f LEFT JOIN static_cube USING (x, y)", "B08 dem soc", 3), "refl_wide static_cube")
@@ -158,15 +158,34 @@ def s2_cube(spark, d):
     return rounded(cube.s2_cube(_obs(spark, d), _FULL), 3)
 
 
-_SCENE = "sc AS (SELECT x, y, t, max(scl) IN (0, 1, 3, 8, 9, 10, 11) AS f FROM refl_wide WHERE cloud_cover <= 95 AND t < '1996-01-01' GROUP BY x, y, t)"
-_ER = "er AS (SELECT a.x, a.y, a.t, NOT coalesce(bool_or(NOT b.f), FALSE) AS f FROM sc a LEFT JOIN sc b ON a.t = b.t AND NOT b.f AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 25 GROUP BY a.x, a.y, a.t)"
-_DI = "di AS (SELECT a.x, a.y, a.t, coalesce(bool_or(b.f), FALSE) AS f FROM er a LEFT JOIN er b ON a.t = b.t AND b.f AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 100 GROUP BY a.x, a.y, a.t)"
+# The masks at their default sizes over all scenes; a scene holds few pixels, so comparing all pairs of one is cheap.
+_SCENE = "sc AS MATERIALIZED (SELECT x, y, t, max(scl) AS scl FROM refl_wide WHERE cloud_cover <= 95 GROUP BY x, y, t)"
 
 
-@query("s2_cube_satio", with_rounds(f"{_SCENE}, {_ER}, {_DI}", f"SELECT x, y, {PERIOD_SQL['month']} AS t, median(CASE WHEN f THEN NULL ELSE B04 END) AS B04 FROM refl_wide JOIN di USING (x, y, t) WHERE cloud_cover <= 95 GROUP BY ALL", "B04", 3), "refl_wide")
+def _scene_disk(name: str, flag: str, source: str, r: int, erode: bool = False) -> str:
+    n = "NOT " if erode else ""
+    return f"{name} AS MATERIALIZED (SELECT a.x, a.y, a.t, {n}coalesce(bool_or({n}({flag.format(s='b')})), FALSE) AS f FROM {source} a LEFT JOIN {source} b ON a.t = b.t AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= {r * r} GROUP BY a.x, a.y, a.t)"
+
+
+def _scene_square(name: str, source: str, k: int) -> str:
+    return f"{name} AS MATERIALIZED (SELECT a.x, a.y, a.t, bool_or(b.f) AS f FROM {source} a JOIN {source} b ON a.t = b.t AND abs(a.x - b.x) <= {k // 2} AND abs(a.y - b.y) <= {k // 2} GROUP BY a.x, a.y, a.t)"
+
+
+_SATIO_MASK = f"{_SCENE}, {_scene_disk('er', '{s}.scl IN (0, 1, 3, 8, 9, 10, 11)', 'sc', 3, True)}, {_scene_disk('di', '{s}.f', 'er', 21)}"
+_DILATION_MASK = f"{_SCENE}, {_scene_disk('oe', '{s}.scl NOT IN (2, 4, 5, 6, 7)', 'sc', 3, True)}, {_scene_disk('ce', '{s}.scl IN (3, 8, 9, 10, 11)', 'sc', 3, True)}, {_scene_square('od', 'oe', 17)}, {_scene_square('cd', 'ce', 77)}, di AS (SELECT x, y, t, od.f OR cd.f AS f FROM od JOIN cd USING (x, y, t))"
+_MASKED = "SELECT x, y, {period} AS t, {bands} FROM refl_wide JOIN di USING (x, y, t) WHERE cloud_cover <= 95 GROUP BY ALL"
+_S2_SATIO = f"{_SATIO_MASK}, s2 AS ({_MASKED.format(period=PERIOD_SQL['dekad'], bands=', '.join(f'median(CASE WHEN f THEN NULL ELSE {b} END) AS {b}' for b in cube.S2_BANDS))})"
+_SATIO = cube.options("feature", masking="satio")
+
+
+@query("s2_cube_satio", with_rounds(_SATIO_MASK, _MASKED.format(period=PERIOD_SQL["month"], bands="median(CASE WHEN f THEN NULL ELSE B04 END) AS B04"), "B04", 3), "refl_wide")
 def s2_cube_satio(spark, d):
-    opt = cube.options("feature", masking="satio", erode=5, dilate=10, ts_interval="month")
-    return rounded(cube.s2_cube(_obs(spark, d).where("t < '1996-01-01'"), opt, ("B04",)), 3)
+    return rounded(cube.s2_cube(_obs(spark, d), cube.options("feature", masking="satio", ts_interval="month"), ("B04",)), 3)
+
+
+@query("s2_cube_scl_dilation", with_rounds(_DILATION_MASK, _MASKED.format(period=PERIOD_SQL["month"], bands="median(CASE WHEN f THEN NULL ELSE B04 END) AS B04"), "B04", 3), "refl_wide")
+def s2_cube_scl_dilation(spark, d):
+    return rounded(cube.s2_cube(_obs(spark, d), cube.options("feature", masking="mask_scl_dilation", ts_interval="month"), ("B04",)), 3)
 
 
 @query("planet_cube", rounds(f"SELECT x, y, {PERIOD_SQL['dekad']} AS t, median(CASE WHEN scl = 4 THEN B04 END) AS B04, median(CASE WHEN scl = 4 THEN B08 END) AS B08 FROM refl_wide GROUP BY ALL", "B04 B08", 3), "refl_wide")
@@ -225,6 +244,12 @@ def s2_features(spark, d):
     return rounded(cube.s2_features(_obs(spark, d), _FULL), 2)
 
 
+@query("s2_features_satio", with_rounds(f"{_S2_SATIO}, {_S2I}", _feature_sql(_OPT, "s2i"), _names(_OPT), 2), "refl_wide")
+def s2_features_satio(spark, d):
+    """The feature cube with the default mask."""
+    return rounded(cube.s2_features(_obs(spark, d), _SATIO), 2)
+
+
 @query("planet_features", with_rounds(f"{_PL}, {_PLI}", _feature_sql(("NDVI", "NDWI"), "pli"), _names(("NDVI", "NDWI"))), "refl_wide")
 def planet_features(spark, d):
     return rounded(cube.features(_planet(spark, d)))
@@ -235,6 +260,11 @@ def master_features(spark, d):
     return rounded(cube.master_features(_obs(spark, d), _obs(spark, d), _FULL), 2)
 
 
+@query("master_features_satio", with_rounds(f"{_S1}, {_S2_SATIO}, {_S1I}, {_S2I}, fa AS ({_feature_sql(_R, 's1i')}), fb AS ({_feature_sql(_OPT, 's2i')})", "SELECT * FROM fa FULL JOIN fb USING (x, y)", f"{_names(_R)} {_names(_OPT)}", 2), "refl_wide")
+def master_features_satio(spark, d):
+    return rounded(cube.master_features(_obs(spark, d), _obs(spark, d), _SATIO), 2)
+
+
 @query("flagship_ndvi_features", with_rounds(f"{_S2}, n AS (SELECT x, y, t, {INDEX_SQL['NDVI']} AS NDVI FROM s2)", f"SELECT x, y, {_stats(['NDVI'])} FROM n GROUP BY x, y", _names(["NDVI"]), 5), "refl_wide")
 def flagship_ndvi_features(spark, d):
     opt = cube.options("feature", masking="classes", optical=("NDVI",), append=False)
@@ -244,13 +274,14 @@ def flagship_ndvi_features(spark, d):
     return rounded(cube.features(scenes.select("x", "y", "t", *optical(["NDVI"], {"R": "B04", "N": "B08"}, scale=10_000))), 5)
 
 
-@query("filter_feature_bands", with_rounds(f"{_S1}, {_S1I}", "SELECT x, y, count(VV) AS n FROM s1i GROUP BY x, y", "n"), "refl_wide")
+@query("filter_feature_bands", "WITH kept AS (SELECT b || '_' || s AS column_name FROM (VALUES ('VV'), ('VH'), ('RVI'), ('VHVVD'), ('VHVVR')) v(b), (VALUES ('p2'), ('p25'), ('median'), ('p75'), ('p98'), ('mean'), ('sd'), ('sum'), ('iqr')) w(s) WHERE b || '_' || s NOT IN ('VV_sum', 'VH_sum', 'VHVVD_sum')), n AS (SELECT count(DISTINCT (x, y)) AS n_pixels FROM refl_wide) SELECT column_name, n_pixels FROM kept, n", "refl_wide")
 def filter_feature_bands(spark, d):
-    made = temporal.temporal_features(cube.s1_indices(cube.s1_cube(_obs(spark, d), _FULL), _FULL), ["VV"])
-    kept = made.drop(*cube.MEANINGLESS)
+    """The names of the bands that are kept, each with the pixels that it has."""
+    kept = cube.s1_features(_obs(spark, d), _FULL)
     cube.check_bands(kept, ["VV_mean", "VV_iqr"])
-    n = F.round(F.try_divide(made["VV_sum"], made["VV_mean"])) if "VV_sum" not in kept.columns else F.lit(-1.0)
-    return rounded(made.select("x", "y", n.alias("n")))
+    names = [c for c in kept.columns if c not in ("x", "y")]
+    counts = kept.agg(*[F.count("*").alias(c) for c in names])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_pixels")) for c in names])).alias("k")).select("k.column_name", "k.n_pixels")
 
 
 @query("minmax_scale", rounds("SELECT x, y, coalesce((dem - min(dem) OVER w) / nullif(max(dem) OVER w - min(dem) OVER w, 0), 0) AS dem FROM static_cube WINDOW w AS (PARTITION BY x // 16, y // 16)", "dem"), "static_cube")

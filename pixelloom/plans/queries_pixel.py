@@ -272,6 +272,12 @@ def dilate_square(spark, d):
     return spatial.dilate_square(view(spark, d, "scl_raster").select("x", "y", (F.col("scl") == 9).alias("f")), "f", 5)
 
 
+@query("dilate_square_sparse", f"WITH cloud AS (SELECT x, y, scl = 9 AS f FROM scl_raster WHERE scl % 3 = 0) {_square('cloud', 5)}", "scl_raster")
+def dilate_square_sparse(spark, d):
+    """A table that lacks most pixels: those between a flagged pixel and another don't matter."""
+    return spatial.dilate_square(view(spark, d, "scl_raster").where("scl % 3 = 0").select("x", "y", (F.col("scl") == 9).alias("f")), "f", 5)
+
+
 @query("satio_scl_mask", f"WITH {_BAD}, e AS ({_erode('bad', 1)}), m AS ({_disk('e', 3)}) SELECT x, y, f AS mask FROM m", "scl_raster")
 def satio_scl_mask(spark, d):
     return spatial.satio_mask(view(spark, d, "scl_raster"), erode=1, dilate=3)
