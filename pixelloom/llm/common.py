@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +34,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+_passing: ContextVar[str | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables materialised inside are deleted at the end, but for those with keep; nothing that is still lazy may need the others."""
+    folder = scratch_path(spark, "passing")
+    token = _passing.set(folder)
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage and survives lost executors. See passing for keep."""
+    spark, folder = df.sparkSession, _passing.get()
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder and not keep else scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 from xxhash import xxh64_intdigest
 
-from pixelloom.llm.common import components, materialise, small_side
+from pixelloom.llm.common import components, materialise, passing, small_side
 
 SEED = 42
 
@@ -91,9 +91,9 @@ def near_duplicate_classes(docs: DataFrame, shingle_words: int = 3, max_distance
 
 #: Texts at most whose shingles set the order that all texts are read in, and shingles at most that it names. Both bear on
 #: speed alone: any order gives every pair.
-ORDER_TEXTS, ORDER_SHINGLES = 20_000, 100_000
+ORDER_TEXTS, ORDER_SHINGLES = 20_000, 400_000
 #: A shared shingle whose texts need more comparisons than the square of this is set aside for a longer look.
-CROWD = 32
+CROWD = 48
 #: Bits of the parity sketch that rules out pairs before whole sets are compared.
 SKETCH = 1024
 
@@ -159,7 +159,7 @@ def learn_order(texts: DataFrame, shingle_words: int, n_texts: int) -> Order:
 
     share = int(1_000_000 * min(1.0, ORDER_TEXTS / max(1, n_texts)))
     some = texts.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < share).select("raw")
-    counts = some.mapInArrow(shingles, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n >= 5")
+    counts = some.mapInArrow(shingles, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n >= 3")
     found = counts.orderBy(F.desc("n"), "key").limit(ORDER_SHINGLES).toArrow()
     return Order(dict(zip(found.column("key").to_numpy().view(np.uint64).tolist(), found.column("n").to_pylist(), strict=True)))
 
@@ -227,10 +227,10 @@ def exact_pairs(texts: DataFrame, sketches: DataFrame, pairs: DataFrame, shingle
 
 
 def _leaders(shared: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of each text with four of every key: the least and greatest node, and those of a second order of nodes."""
-    me, code = F.struct("node", "n", "pos"), F.xxhash64("node")
-    lead = shared.groupBy("key").agg(F.min(me).alias("l1"), F.max(me).alias("l2"), F.min_by(me, code).alias("l3"), F.max_by(me, code).alias("l4"))
-    met = shared.join(lead, "key").select(me.alias("p"), F.explode(F.array_distinct(F.array("l1", "l2", "l3", "l4"))).alias("q"))
+    """Pairs of each text with two of every key: the least node, and that of a second order of nodes."""
+    me = F.struct("node", "n", "pos")
+    lead = shared.groupBy("key").agg(F.min(me).alias("l1"), F.min_by(me, F.xxhash64("node")).alias("l2"))
+    met = shared.join(lead, "key").select(me.alias("p"), F.explode(F.array_distinct(F.array("l1", "l2"))).alias("q"))
     return _ordered(met.where((F.col("p.node") != F.col("q.node")) & _may_fit("p", "q", similarity)), "p", "q")
 
 
@@ -248,13 +248,14 @@ def _open(shared: DataFrame, close: DataFrame) -> DataFrame:
 
 def _across(open_: DataFrame, similarity: float) -> DataFrame:
     """All pairs of texts that share a key and aren't in one class."""
+    open_ = open_.select("key", "node", "n", "pos", "root", "big")
     sides = open_.where("root <> big").alias("p").join(open_.alias("q"), F.expr("p.key = q.key AND p.root <> q.root AND (q.root = q.big OR p.node > q.node)") & _may_fit("p", "q", similarity))
     return _ordered(sides, "p", "q")
 
 
-def _repeated(posted: DataFrame) -> DataFrame:
-    """(key, node, n, p, size, pos, times): the keys that several texts have, with their place in each; size: how many keys the text gave."""
-    every = posted.select("node", "n", "p", F.size("keys").alias("size"), F.posexplode("keys").alias("pos", "key"))
+def _repeated(posted: DataFrame, *columns: Column) -> DataFrame:
+    """(key, node, n, columns, times): the keys that several texts have; columns may use pos, the place of the key in its text."""
+    every = posted.select("node", "n", "p", "keys", F.posexplode_outer("keys").alias("pos", "key")).select("key", "node", "n", *columns)
     again = every.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
     return every.join(again, "key")
 
@@ -265,7 +266,7 @@ def _longer(texts: DataFrame, order: Order, crowd: DataFrame, more: int, shingle
     Similar sets have more than ``more`` of these first shingles in common, so the rarest of those is among the p of both.
     """
     again = texts.join(small_side(crowd), "node", "left_semi")
-    found = _repeated(materialise(posts(again, order, shingle_words, similarity, more).drop("sketch"), "ahead"))
+    found = _repeated(materialise(posts(again, order, shingle_words, similarity, more).drop("sketch"), "ahead"), F.col("p"), F.size("keys").alias("size"))
     kept = found.groupBy("node", "n", "p", "size").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("keys"))
     room = F.greatest(F.lit(0), F.col("p") - (F.col("size") - F.size("keys")))  # keys that only one text has come first
     rare = kept.select("node", "n", F.explode(F.slice("keys", F.lit(1), room)).alias("k"))
@@ -279,7 +280,7 @@ def text_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.
     ``similarity``, and classes are the components of these links.
 
     1. In an order of all shingles a similar pair has one in common among the first few of each. Texts are compared with
-       four texts of each such shingle, which joins families of copies without listing their pairs.
+       two texts of each such shingle, which joins families of copies without listing their pairs.
     2. All texts that still share a shingle and aren't in one class are compared with each other, unless so many share it
        that this costs more than CROWD squared comparisons, and all such shingles more than CROWD comparisons a text.
     3. Texts that share so common a shingle look further ahead in the order, which lets them leave out the most common
@@ -287,32 +288,33 @@ def text_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.
 
     Rows with equal texts count as one text, null and empty ones as equal.
     """
-    rows = materialise(docs.select("doc_id", _node().alias("node")), "rows")
-    nodes = materialise(rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows")), "nodes")
-    copies = materialise(nodes.where("rows > 1").select(F.col("node").alias("same"), "first_id"), "copies")
-    texts = _texts(docs, copies)
-    n_texts = nodes.count()
-    order = learn_order(texts, shingle_words, n_texts)
-    posted = materialise(posts(texts, order, shingle_words, similarity), "posted")
-    shared = materialise(_repeated(posted).select("key", "node", "n", "pos"), "shared")
-    sketches = posted.select("node", "n", "sketch")
-    close = exact_pairs(texts, sketches, _leaders(shared, similarity), shingle_words, similarity)
-    more = 0
-    while True:
-        open_ = _open(shared, close)
-        crowd = open_.where(F.col("work") > CROWD**2)
-        crowd = materialise(crowd.groupBy("node").agg(F.max("n").alias("n"), F.sum(F.col("work") / F.col("m")).alias("work")), "crowd")
-        longest, work = crowd.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("work"), F.lit(0.0))).first()
-        last = more >= longest or work <= CROWD * n_texts  # no text could look further, or none need to
-        now = open_ if last else open_.where(F.col("work") <= CROWD**2)
-        close = close.unionByName(exact_pairs(texts, sketches, _across(now, similarity), shingle_words, similarity))
-        if last:
-            break
-        more = 4 * more or 64
-        shared = _longer(texts, order, crowd.select("node"), more, shingle_words, similarity)
-        close = close.unionByName(exact_pairs(texts, sketches, _leaders(shared, similarity), shingle_words, similarity))
-    rooted = nodes.join(components(close), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return rows, materialise(rooted, "classes")
+    with passing(docs.sparkSession):
+        rows = materialise(docs.select("doc_id", _node().alias("node")), "rows", keep=True)
+        nodes = materialise(rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows")), "nodes")
+        copies = materialise(nodes.where("rows > 1").select(F.col("node").alias("same"), "first_id"), "copies")
+        texts = _texts(docs, copies)
+        n_texts = nodes.count()
+        order = learn_order(texts, shingle_words, n_texts)
+        posted = materialise(posts(texts, order, shingle_words, similarity), "posted")
+        shared = materialise(_repeated(posted, F.col("pos")).drop("times"), "shared")
+        sketches = posted.select("node", "n", "sketch")
+        close = exact_pairs(texts, sketches, _leaders(shared, similarity), shingle_words, similarity)
+        more = 0
+        while True:
+            open_ = _open(shared, close)
+            crowd = open_.where(F.col("work") > CROWD**2)
+            crowd = materialise(crowd.groupBy("node").agg(F.max("n").alias("n"), F.sum(F.col("work") / F.col("m")).alias("work")), "crowd")
+            longest, work = crowd.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("work"), F.lit(0.0))).first()
+            last = more >= longest or work <= CROWD * n_texts  # no text could look further, or none need to
+            now = open_ if last else open_.where(F.col("work") <= CROWD**2)
+            close = close.unionByName(exact_pairs(texts, sketches, _across(now, similarity), shingle_words, similarity))
+            if last:
+                break
+            more = 4 * more or 64
+            shared = _longer(texts, order, crowd.select("node"), more, shingle_words, similarity)
+            close = close.unionByName(exact_pairs(texts, sketches, _leaders(shared, similarity), shingle_words, similarity))
+        rooted = nodes.join(components(close), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        return rows, materialise(rooted, "classes", keep=True)
 
 
 def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -18,7 +18,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelloom.llm.common import materialise
+from pixelloom.llm.common import materialise, passing
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: the split pattern that the vocabulary was made with.
@@ -144,47 +144,48 @@ def write_shards(
                     yield ready(False)
         yield ready(True)
 
-    staged = materialise(texts.mapInArrow(cut, "stream string, place long, ids binary"), "sequences")
-    sizes = {r.stream: r.n for r in staged.groupBy("stream").agg(F.count("*").alias("n")).collect()}  # a row for each stream
-    first, total = {}, 0
-    for name in sorted(sizes, key=lambda x: (x is not None, x)):
-        first[name], total = total, total + sizes[name]
-    n_shards = max(1, -(-total // shard_sequences))
-    starts = spark.sparkContext.broadcast(first)
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            number = np.array([starts.value[s] for s in b.column(0).to_pylist()], np.int64) + b.column(1).to_numpy()
-            slot = number_to_slot(number, total, window, key)
-            yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array(number, pa.int64()), b.column(2)], names=["slot", "sequence", "ids"])
-
-    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"slot": pa.int64(), "shard": pa.int32(), "sequence": pa.int64(), "file": pa.string(), "n_tokens": pa.int32(), "sha256": pa.string()}
-        target, root = fs.FileSystem.from_uri(path)
-        unpack, filling = zstandard.ZstdDecompressor(), np.uint16(END).tobytes() * seq_len
-        out, shard, name = None, None, None
-        for b in batches:
-            done = []
-            for slot, own, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                if slot // shard_sequences != shard:
-                    if out:
-                        out.close()
-                    shard = slot // shard_sequences
-                    name = f"shard-{shard:06d}-{uuid.uuid4().hex}.bin"
-                    target.create_dir(root, recursive=True)
-                    out = target.open_output_stream(f"{root}/{name}", compression=None)
-                ids = unpack.decompress(ids.as_py())
-                record = ids + filling[len(ids) :]
-                out.write(record)
-                done.append((slot, shard, own, name, len(ids) // 2, hashlib.sha256(record).hexdigest()))
-            columns = zip(*done, strict=True) if done else [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
-        if out:
-            out.close()
-
-    placed = staged.mapInArrow(place, "slot long, sequence long, ids binary")
-    dealt = placed.repartitionById(n_shards, F.floor(F.col("slot") / shard_sequences).cast("int")).sortWithinPartitions("slot")
-    written = materialise(dealt.mapInArrow(store, FIELDS), "slots")
+    with passing(spark):
+        staged = materialise(texts.mapInArrow(cut, "stream string, place long, ids binary"), "sequences")
+        sizes = {r.stream: r.n for r in staged.groupBy("stream").agg(F.count("*").alias("n")).collect()}  # a row for each stream
+        first, total = {}, 0
+        for name in sorted(sizes, key=lambda x: (x is not None, x)):
+            first[name], total = total, total + sizes[name]
+        n_shards = max(1, -(-total // shard_sequences))
+        starts = spark.sparkContext.broadcast(first)
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                number = np.array([starts.value[s] for s in b.column(0).to_pylist()], np.int64) + b.column(1).to_numpy()
+                slot = number_to_slot(number, total, window, key)
+                yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array(number, pa.int64()), b.column(2)], names=["slot", "sequence", "ids"])
+
+        def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kinds = {"slot": pa.int64(), "shard": pa.int32(), "sequence": pa.int64(), "file": pa.string(), "n_tokens": pa.int32(), "sha256": pa.string()}
+            target, root = fs.FileSystem.from_uri(path)
+            unpack, filling = zstandard.ZstdDecompressor(), np.uint16(END).tobytes() * seq_len
+            out, shard, name = None, None, None
+            for b in batches:
+                done = []
+                for slot, own, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                    if slot // shard_sequences != shard:
+                        if out:
+                            out.close()
+                        shard = slot // shard_sequences
+                        name = f"shard-{shard:06d}-{uuid.uuid4().hex}.bin"
+                        target.create_dir(root, recursive=True)
+                        out = target.open_output_stream(f"{root}/{name}", compression=None)
+                    ids = unpack.decompress(ids.as_py())
+                    record = ids + filling[len(ids) :]
+                    out.write(record)
+                    done.append((slot, shard, own, name, len(ids) // 2, hashlib.sha256(record).hexdigest()))
+                columns = zip(*done, strict=True) if done else [()] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+            if out:
+                out.close()
+
+        placed = staged.mapInArrow(place, "slot long, sequence long, ids binary")
+        dealt = placed.repartitionById(n_shards, F.floor(F.col("slot") / shard_sequences).cast("int")).sortWithinPartitions("slot")
+        written = materialise(dealt.mapInArrow(store, FIELDS), "slots", keep=True)
     shards = [(r.shard, r.file, r.shard * shard_sequences, r.n) for r in written.groupBy("shard", "file").agg(F.count("*").alias("n")).orderBy("shard").collect()]  # a row for each shard
     target, root = fs.FileSystem.from_uri(path)
     target.create_dir(root, recursive=True)
