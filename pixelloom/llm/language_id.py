@@ -119,8 +119,8 @@ def identify(
 
     A row is accepted if its class is a language with at least min_posterior and its text has letters. Null and empty
     texts have no letters: their class follows the other evidence and they aren't accepted. Null evidence adds nothing.
-    Repeated rows repeat their result; other columns are ignored. Only hosts x languages counts are joined back, on the
-    host; they are broadcast while few.
+    Repeated rows repeat their result; very long texts are read whole; other columns are ignored, whatever their names.
+    Only hosts x languages counts are joined back, on the host; they are broadcast while few.
     """
     names = [*model.languages, NONE]
     kind = docs.schema[id_col].dataType
@@ -180,3 +180,8 @@ def url_host(url: Column) -> Column:
 def markup_language(html: Column) -> Column:
     """The lang attribute of the html element; null if there is none."""
     return F.nullif(F.regexp_extract(F.coalesce(html, F.lit("")), r"(?i)<html[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9_-]+)", 1), F.lit(""))
+
+
+def markup_text(html: Column) -> Column:
+    """The text of a page: scripts, styles, comments and tags become spaces."""
+    return F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")

@@ -66,8 +66,14 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return language_id.identify(docs, language_id.learn(docs), declared=F.col("lang"), host=F.col("source"))
+    """Documents (declared tag: lang, host: source) and pages (declared: the markup's language, host and suffix: those of the URL) in one call."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    none = F.lit(None).cast("long")
+    one = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), none.alias("page_id")).alias("id"), "text", F.col("lang").alias("tag"), F.col("source").alias("at"))
+    of_page = F.struct(none.alias("doc_id"), F.col("page_id").cast("long").alias("page_id")).alias("id")
+    two = pages.select(of_page, language_id.markup_text(F.col("html")).alias("text"), language_id.markup_language(F.col("html")).alias("tag"), language_id.url_host(F.col("url")).alias("at"))
+    found = language_id.identify(one.unionByName(two), language_id.learn(docs), declared=F.col("tag"), host=F.col("at"), id_col="id")
+    return found.select("doc_id.doc_id", "doc_id.page_id", *found.columns[1:])
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
