@@ -90,6 +90,17 @@ def number_to_slot(number: np.ndarray, total: int, window: int | None, key: int)
     return out
 
 
+def packing(texts: DataFrame, vocabulary: bytes, stride: int) -> zstandard.ZstdCompressionDict | None:
+    """A dictionary for compressing single sequences on their way, from the beginnings of at most 300 texts; None if they are too few."""
+    some = texts.where("text IS NOT NULL").select(F.substring("text", 1, 20_000).alias("text")).limit(300).collect()
+    ids = b"".join(encode(vocabulary, r.text) for r in some)
+    parts = [ids[i : i + stride] for i in range(0, len(ids) - stride + 1, stride)]
+    try:
+        return zstandard.train_dictionary(1 << 16, parts) if len(parts) >= 20 else None
+    except zstandard.ZstdError:
+        return None
+
+
 def write_shards(
     docs: DataFrame, path: str, seq_len: int = 2048, shard_sequences: int = 4096, key: int = 20_24, vocabulary: str = VOCABULARY, text_col: str = "text",
     stream_col: str | None = None, window: int | None = None,
@@ -119,9 +130,15 @@ def write_shards(
     stream = F.col(stream_col) if stream_col else F.lpad(F.spark_partition_id().cast("string"), 12, "0")
     texts = docs.select(stream.cast("string").alias("stream"), F.col(text_col).cast("string").alias("text"))
 
+    made = packing(texts, vocab.value, stride)
+    common = spark.sparkContext.broadcast(made.as_bytes() if made else None)  # 64 KB
+
+    def dictionary() -> dict:
+        return {"dict_data": zstandard.ZstdCompressionDict(common.value)} if common.value else {}
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"stream": pa.string(), "place": pa.int64(), "ids": pa.binary()}
-        pack, end = zstandard.ZstdCompressor(level=3), np.uint16(END).tobytes()
+        pack, end = zstandard.ZstdCompressor(level=6, **dictionary()), np.uint16(END).tobytes()
         held, own, done = bytearray(), None, 0
 
         def ready(last: bool) -> pa.RecordBatch:
@@ -162,7 +179,7 @@ def write_shards(
         def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kinds = {"slot": pa.int64(), "shard": pa.int32(), "sequence": pa.int64(), "file": pa.string(), "n_tokens": pa.int32(), "sha256": pa.string()}
             target, root = fs.FileSystem.from_uri(path)
-            unpack, filling = zstandard.ZstdDecompressor(), np.uint16(END).tobytes() * seq_len
+            unpack, filling = zstandard.ZstdDecompressor(**dictionary()), np.uint16(END).tobytes() * seq_len
             out, shard, name = None, None, None
             for b in batches:
                 done = []
