@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 def parse_list(text: Column) -> Column:
     """A JSON or Python list of strings, else a comma-separated string, as an array."""
-    as_json = F.from_json(F.regexp_replace(text, "'", '"'), "array<string>")
+    own = F.regexp_replace(text, r"(?<=[\[,]\s{0,9})'|'(?=\s*[\],])", '"')  # quotes at the ends of items, not apostrophes in them
+    as_json = F.coalesce(F.from_json(text, "array<string>"), F.from_json(own, "array<string>"))
     return F.when(F.trim(text).startswith("["), as_json).otherwise(F.transform(F.split(text, ","), lambda x: F.trim(x)))
 
 

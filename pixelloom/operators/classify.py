@@ -74,16 +74,50 @@ def minmax(df: DataFrame, bands: Sequence[str], chunk: Sequence[str] = ()) -> Da
     return joined.select(*[scaled(c) if c in bands else F.col(c) for c in df.columns])
 
 
+#: Bins of one pass over a band; a bin of at most so many distinct values is read to the end.
+BINS = 4096
+
+
+def _value_at(values: DataFrame, rank: int) -> float:
+    """The value at a rank (from 0) of the one column v: passes of counts by bins narrow down the range that holds it."""
+    while True:
+        lo, hi = values.agg(F.min("v"), F.max("v")).first()
+        if lo == hi:
+            return lo
+        bins = F.least(F.floor((F.col("v") - lo) / ((hi - lo) / BINS)), F.lit(BINS - 1))
+        for r in values.groupBy(bins.alias("bin")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("bin").collect():  # at most BINS rows
+            if rank < r.n:
+                break
+            rank -= r.n
+        if r.lo == r.hi:
+            return r.lo
+        values = values.where(F.col("v").between(r.lo, r.hi))
+
+
+def exact_percentiles(df: DataFrame, band: str, shares: Sequence[float]) -> list[float] | None:
+    """Percentiles with linear interpolation; None without values. Only counts by bins leave the tasks, however many values there are."""
+    values = df.select(F.col(band).cast("double").alias("v")).where("v IS NOT NULL")
+    n = values.count()
+    if not n:
+        return None
+    out = []
+    for p in shares:
+        at = p * (n - 1)
+        a = _value_at(values, int(at))
+        b = _value_at(values, min(int(at) + 1, n - 1)) if at > int(at) else a
+        out.append(a + (b - a) * (at - int(at)))
+    return out
+
+
 def percentile_stretch(df: DataFrame, bands: Sequence[str], low: float = 0.02, high: float = 0.98) -> DataFrame:
     """Bands clipped to two percentiles and scaled to 0 to 1."""
-    edges = df.agg(*[F.percentile(F.col(b).cast("double"), F.array(F.lit(low), F.lit(high))).alias(f"_{b}") for b in bands])  # one row
-    joined = df.crossJoin(F.broadcast(edges))
+    edges = {b: exact_percentiles(df, b, (low, high)) or (0.0, 0.0) for b in bands}
 
     def stretched(b: str) -> Column:
-        lo, hi = F.col(f"_{b}")[0], F.col(f"_{b}")[1]
+        lo, hi = map(F.lit, edges[b])
         return F.when(F.col(b).isNotNull(), F.try_divide(F.least(F.greatest(F.col(b).cast("double"), lo), hi) - lo, hi - lo)).alias(b)
 
-    return joined.select(*[stretched(c) if c in bands else F.col(c) for c in df.columns])
+    return df.select(*[stretched(c) if c in bands else F.col(c) for c in df.columns])
 
 
 def project(df: DataFrame, bands: Sequence[str], loadings: Sequence[Sequence[float]], keep: Sequence[str] = ("x", "y")) -> DataFrame:
@@ -108,6 +142,7 @@ def fit_pca(df: DataFrame, bands: Sequence[str], n: int):
 def loading_table(df: DataFrame, bands: Sequence[str], n: int) -> DataFrame:
     """(band, comp, loading) of a fitted PCA; its size is that of the band list."""
     pc = fit_pca(df, bands, n).pc.toArray()
+    pc = pc * [1 if column[abs(column).argmax()] > 0 else -1 for column in pc.T]  # a component's largest loading is positive
     rows = [(b, k + 1, float(pc[i, k])) for i, b in enumerate(bands) for k in range(n)]
     return df.sparkSession.createDataFrame(rows, "band string, comp int, loading double")
 

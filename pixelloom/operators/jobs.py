@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 # Points from which a group is split, attempts, price of a credit, catalogue page size.
 MAX_POINTS, MAX_ATTEMPTS, PRICE, PAGE = 256, 3, 0.01, 100
 
 
+def with_count(df: DataFrame, key: Column, name: str) -> DataFrame:
+    """df with how many rows have the same key (null is one): counts are summed first and joined, so no group of rows meets in one task."""
+    counts = df.groupBy(key.alias("_key")).agg(F.count("*").alias(name))
+    return df.join(counts, key.eqNullSafe(F.col("_key"))).drop("_key")
+
+
 def split_jobs(points: DataFrame, tile: str = "grid20id", limit: int = MAX_POINTS) -> DataFrame:
     """points with final_grouping: the 100 km id if it has fewer than limit points, else the strip's, else the tile's."""
     big, strip = F.substring(F.col(tile), 1, 5), F.substring(F.col(tile), 1, 6)
-    n_big, n_strip = F.count("*").over(Window.partitionBy(big)), F.count("*").over(Window.partitionBy(strip))
-    counted = points.withColumn("_b", n_big).withColumn("_s", n_strip)
+    counted = with_count(with_count(points, big, "_b"), strip, "_s")
     group = F.when(F.col("_b") < limit, big).when(F.col("_s") < limit, strip).otherwise(F.col(tile))
     return counted.withColumn("final_grouping", group).drop("_b", "_s")
 
@@ -48,6 +52,12 @@ def next_status(previous: Column, reported: Column, attempt: Column, reason: Col
     return out.when((reported == "canceled") & again, "not_started").otherwise(reported)
 
 
+def next_attempt(previous: Column, state: Column, attempt: Column) -> Column:
+    """Attempts after a report: one more where the job starts or downloads again (state: its next_status)."""
+    again = (state == "not_started") | ((previous == "downloading") & (state == "running"))
+    return F.when(F.coalesce(again, F.lit(False)), attempt + 1).otherwise(attempt)
+
+
 def update_by_key(table: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """A new snapshot of table with the columns of updates (one row for each key) where they aren't null."""
     changed = [c for c in updates.columns if c != key]
@@ -93,7 +103,7 @@ def tile_jobs(tiles: DataFrame, prefix: str, start: str, stop: str, model: str)
 def point_jobs(points: DataFrame, group: str = "final_grouping") -> DataFrame:
     """(group, n_points, geojson): a FeatureCollection of each group's points, in the order of their ids.
 
-    A group is a job of at most MAX_POINTS points, or one 20 km tile.
+    A group is a job of at most MAX_POINTS points, or one 20 km tile, whose points all stand in its one row.
     """
     feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates")).alias("geometry"), F.struct("point_id").alias("properties"))
     rows = points.groupBy(group).agg(F.count("*").alias("n_points"), F.array_sort(F.collect_list(F.struct("point_id", feature.alias("f")))).alias("fs"))

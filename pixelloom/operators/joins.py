@@ -75,6 +75,32 @@ def point_in_ring(x: Column, y: Column, ring: Column) -> Column:
     return F.size(F.filter(edges, crosses)) % 2 == 1
 
 
+def segment_meets_box(a: Column, b: Column, west: Column, south: Column, east: Column, north: Column) -> Column:
+    """Whether the segment between two (x, y) structs has a point in a closed box: the part of it inside each side's half-plane, intersected."""
+    dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+    low, high, out = [F.lit(0.0)], [F.lit(1.0)], F.lit(False)
+    for p, q in ((-dx, a["x"] - west), (dx, east - a["x"]), (-dy, a["y"] - south), (dy, north - a["y"])):
+        low.append(F.when(p < 0, q / p))
+        high.append(F.when(p > 0, q / p))
+        out = out | ((p == 0) & (q < 0))
+    return ~out & (F.greatest(*low) <= F.least(*high))
+
+
+def polygon_pairs(tiles: DataFrame, tile_id: str, aoi: DataFrame, aoi_id: str, ring: str, cell: float) -> DataFrame:
+    """(tile_id, aoi_id) of the tiles (boxes) that a polygon meets, touching included; ring is a closed array of (x, y) structs.
+
+    Pairs of meeting bounds come from box_pairs. Of those a polygon meets the tile if an edge does, or the tile is inside.
+    """
+    side = lambda f, c: f(F.transform(ring, lambda p: p[c]))
+    bounds = aoi.select(aoi_id, side(F.array_min, "x").alias("west"), side(F.array_min, "y").alias("south"), side(F.array_max, "x").alias("east"), side(F.array_max, "y").alias("north"))
+    near = box_pairs(tiles, tile_id, bounds, aoi_id, cell)
+    both = near.join(tiles.select(tile_id, *BOX), tile_id).join(aoi.select(aoi_id, F.col(ring).alias("_ring")), aoi_id)
+    edges = F.arrays_zip(F.slice("_ring", 1, F.size("_ring") - 1).alias("a"), F.slice("_ring", 2, F.size("_ring") - 1).alias("b"))
+    box = [F.col(c) for c in BOX]
+    meets = F.exists(edges, lambda e: segment_meets_box(e["a"], e["b"], *box)) | point_in_ring(F.col("west"), F.col("south"), F.col("_ring"))
+    return both.where(meets).select(tile_id, aoi_id)
+
+
 def sample_first(points: DataFrame, point_id: str, cube: DataFrame, bands: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Value of the cube at each point's pixel (x, y); of several rows the first by ``order``, then by the values."""
     hit = points.select(point_id, "x", "y").join(cube, ["x", "y"])

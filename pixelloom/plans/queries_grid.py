@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pixelloom.functions import crs, grid
 from pixelloom.operators import grids, joins
-from pixelloom.plans.registry import query, rounded
+from pixelloom.plans.registry import query, rounded, with_rounds
 from pixelloom.plans.views import view
 
 _LETTERS = "'CDEFGHJKLMNPQRSTUVWXX'"
@@ -122,17 +122,44 @@ def mgrs_center_ll(spark, d):
     return _points(spark, d).select("point_id", F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
 
 
-@query("reproject_points", "SELECT point_id, TRUE AS utm_back, TRUE AS laea_back FROM ref_points WHERE lat BETWEEN 35 AND 70 AND lon BETWEEN -15 AND 40", "ref_points")
+# Both projections once more, from their published series; e: eccentricity, b: authalic latitude.
+_UTM_SQL = """k AS (SELECT 1 / 298.257223563 / (2 - 1 / 298.257223563) AS n),
+u0 AS (SELECT point_id, lon, lat, n, 6378137 / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64) * 0.9996 AS r, 2 * sqrt(n) / (1 + n) AS h, radians(lat) AS f, radians(lon - (least(CAST(floor((lon + 180) / 6) AS INT), 59) * 6 - 177)) AS l FROM ref_points, k),
+u1 AS (SELECT *, sinh(atanh(sin(f)) - h * atanh(h * sin(f))) AS t FROM u0),
+u2 AS (SELECT *, atan2(t, cos(l)) AS x, atanh(sin(l) / sqrt(1 + t * t)) AS y, n / 2 - 2 * n ** 2 / 3 + 5 * n ** 3 / 16 + 41 * n ** 4 / 180 AS a1, 13 * n ** 2 / 48 - 3 * n ** 3 / 5 + 557 * n ** 4 / 1440 AS a2, 61 * n ** 3 / 240 - 103 * n ** 4 / 140 AS a3, 49561 * n ** 4 / 161280 AS a4 FROM u1),
+utm AS (SELECT point_id, 500000 + r * (y + a1 * cos(2 * x) * sinh(2 * y) + a2 * cos(4 * x) * sinh(4 * y) + a3 * cos(6 * x) * sinh(6 * y) + a4 * cos(8 * x) * sinh(8 * y)) AS easting,
+ CASE WHEN lat < 0 THEN 10000000 ELSE 0 END + r * (x + a1 * sin(2 * x) * cosh(2 * y) + a2 * sin(4 * x) * cosh(4 * y) + a3 * sin(6 * x) * cosh(6 * y) + a4 * sin(8 * x) * cosh(8 * y)) AS northing FROM u2)"""
+_LAEA_SQL = """c AS (SELECT sqrt(2 / 298.257222101 - 1 / 298.257222101 ** 2) AS e),
+q0 AS (SELECT point_id, radians(lon - 10) AS l, e, sin(radians(lat)) AS s, sin(radians(52)) AS s0, cos(radians(52)) AS c0 FROM ref_points, c),
+q1 AS (SELECT *, (1 - e * e) * (s / (1 - e * e * s * s) - ln((1 - e * s) / (1 + e * s)) / (2 * e)) AS q, (1 - e * e) * (s0 / (1 - e * e * s0 * s0) - ln((1 - e * s0) / (1 + e * s0)) / (2 * e)) AS qc, (1 - e * e) * (1 / (1 - e * e) - ln((1 - e) / (1 + e)) / (2 * e)) AS qp FROM q0),
+q2 AS (SELECT *, asin(q / qp) AS b, asin(qc / qp) AS b0, 6378137 * sqrt(qp / 2) AS r FROM q1),
+q3 AS (SELECT *, 6378137 * c0 / sqrt(1 - e * e * s0 * s0) / (r * cos(b0)) AS d, r * sqrt(2 / (1 + sin(b0) * sin(b) + cos(b0) * cos(b) * cos(l))) AS g FROM q2),
+laea AS (SELECT point_id, 4321000 + g * d * cos(b) * sin(l) AS x, 3210000 + g / d * (cos(b0) * sin(b) - sin(b0) * cos(b) * cos(l)) AS y FROM q3)"""
+
+
+@query("project_points", with_rounds(f"{_UTM_SQL}, {_LAEA_SQL}", "SELECT point_id, utm.easting, utm.northing, CASE WHEN lat BETWEEN 20 AND 80 AND lon BETWEEN -60 AND 80 THEN x END AS x, CASE WHEN lat BETWEEN 20 AND 80 AND lon BETWEEN -60 AND 80 THEN y END AS y FROM utm JOIN laea USING (point_id) JOIN ref_points USING (point_id)", "easting northing x y", 2), "ref_points")
+def project_points(spark, d):
+    """Points in UTM (zones without the northern exceptions) and, around Europe, in EPSG:3035, against both series written in SQL."""
+    lon, lat = F.col("lon"), F.col("lat")
+    zone = F.least(F.floor((lon + 180) / 6), F.lit(59)).cast("int") + 1
+    e, n = crs.to_utm(lon, lat, zone, lat >= 0)
+    x, y = crs.to_laea(lon, lat)
+    near = lat.between(20, 80) & lon.between(-60, 80)
+    return rounded(_points(spark, d).select("point_id", e.alias("easting"), n.alias("northing"), F.when(near, x).alias("x"), F.when(near, y).alias("y")), 2)
+
+
+@query("reproject_points", "SELECT point_id, TRUE AS utm_back, TRUE AS laea_back FROM ref_points", "ref_points")
 def reproject_points(spark, d):
-    """There and back on both projections: within about a millimetre of where it began."""
+    """There and back on both projections: within about a millimetre of where it began; EPSG:3035 is tried around Europe."""
     lon, lat = F.col("lon"), F.col("lat")
-    p = _points(spark, d).where((lat.between(35, 70)) & lon.between(-15, 40)).withColumn("z", grid.zone_number(lon, lat))
+    p = _points(spark, d).withColumn("z", grid.zone_number(lon, lat))
     e, n = crs.to_utm(lon, lat, F.col("z"), lat >= 0)
     x, y = crs.to_laea(lon, lat)
     p = p.select("point_id", "lon", "lat", "z", e.alias("e"), n.alias("n"), x.alias("x"), y.alias("y"))
     a, b = crs.from_utm(F.col("e"), F.col("n"), F.col("z"), lat >= 0), crs.from_laea(F.col("x"), F.col("y"))
     close = lambda q, e=1e-9: (F.abs(q[0] - lon) < e) & (F.abs(q[1] - lat) < e)
-    return p.select("point_id", close(a).alias("utm_back"), close(b, 1e-8).alias("laea_back"))
+    near = lat.between(35, 70) & lon.between(-15, 40)
+    return p.select("point_id", close(a).alias("utm_back"), (close(b, 1e-8) | ~near).alias("laea_back"))
 
 
 for _size in (20, 50, 100):
@@ -202,6 +229,21 @@ def aoi_tiler(spark, d):
     return joins.spatial_left_join(tiles, "name", aoi, "aoi_id", ["aoi_name"], 200_000).select("name", "aoi_id", "aoi_name")
 
 
+_TRIANGLE = f"""t AS (SELECT g.* FROM g JOIN laea_tiles USING (name)), a AS (SELECT *, (west + east) / 2 AS mid FROM aoi_boxes)
+SELECT t.name, a.aoi_id FROM t JOIN a ON {_MEET}
+ AND greatest((a.mid - a.east) * (t.south - a.south) - (a.north - a.south) * (t.west - a.east), (a.mid - a.east) * (t.north - a.south) - (a.north - a.south) * (t.west - a.east)) >= 0
+ AND greatest((a.west - a.mid) * (t.south - a.north) - (a.south - a.north) * (t.east - a.mid), (a.west - a.mid) * (t.north - a.north) - (a.south - a.north) * (t.east - a.mid)) >= 0"""
+
+
+@query("aoi_polygon_join", f"WITH {_BIG}, {_TRIANGLE}", "aoi_boxes laea_tiles")
+def aoi_polygon_join(spark, d):
+    """Tiles of triangles; the oracle looks for a line of a triangle's side that parts it from the tile."""
+    mid = (F.col("west") + F.col("east")) / 2
+    corner = lambda x, y: F.struct(x.cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    ring = F.array(corner(F.col("west"), "south"), corner(F.col("east"), "south"), corner(mid, "north"), corner(F.col("west"), "south"))
+    return joins.polygon_pairs(_used(spark, d), "name", view(spark, d, "aoi_boxes").select("aoi_id", ring.alias("ring")), "aoi_id", "ring", 200_000)
+
+
 @query("bbox_prefilter_join", f"SELECT a.aoi_id AS left_id, t.aoi_id AS right_id FROM aoi_boxes a JOIN aoi_boxes t ON {_MEET}", "aoi_boxes")
 def bbox_prefilter_join(spark, d):
     a = view(spark, d, "aoi_boxes")
@@ -312,7 +354,7 @@ def first_match_by_priority(spark, d):
     return met.groupBy("name").agg(F.min_by("tile", F.struct(rank, F.col("tile"))).alias("tile"))
 
 
-@query("segmentize")
+@query("segmentize", "SELECT aoi_id, CAST(2 * ceil((east - west) / 250) + 2 * ceil((north - south) / 250) + 1 AS INT) AS n_points FROM aoi_boxes", "aoi_boxes")
 def segmentize(spark, d):
     ring = F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("west", "south"), ("east", "south"), ("east", "north"), ("west", "north"), ("west", "south"))])
     return view(spark, d, "aoi_boxes").select("aoi_id", F.size(grids.segmentize(ring, 250.0)).alias("n_points"))

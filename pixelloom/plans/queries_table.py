@@ -33,9 +33,7 @@ def job_splitter(spark, d):
 
 @query("group_count_transform", "SELECT point_id, label, count(*) OVER (PARTITION BY label) AS n FROM ref_points", "ref_points")
 def group_count_transform(spark, d):
-    from pyspark.sql.window import Window
-
-    return view(spark, d, "ref_points").select("point_id", "label", F.count("*").over(Window.partitionBy("label")).alias("n"))
+    return jobs.with_count(view(spark, d, "ref_points").select("point_id", "label"), F.col("label"), "n")
 
 
 @query("split_by_key", f"WITH {_SPLIT} SELECT final_grouping, count(*) AS n, min(point_id) AS first_point FROM j GROUP BY final_grouping", "ref_points")
@@ -90,6 +88,13 @@ def next_job_status(spark, d):
     return j.select("id", state.alias("next"))
 
 
+@query("next_job_attempt", f"SELECT id, CASE WHEN next = 'not_started' OR (previous_status = 'downloading' AND next = 'running') THEN attempt + 1 ELSE attempt END AS attempt FROM ({_NEXT}) JOIN job_tracker USING (id)", "job_tracker")
+def next_job_attempt(spark, d):
+    j = view(spark, d, "job_tracker")
+    state = jobs.next_status(F.col("previous_status"), F.col("status"), F.col("attempt"), jobs.error_reason(F.col("log_text")), F.col("cost") < 100, F.col("cost") > 400)
+    return j.select("id", jobs.next_attempt(F.col("previous_status"), state, F.col("attempt")).alias("attempt"))
+
+
 @query("status_histogram", "SELECT status, count(*) AS n, bool_and(attempt < 6) AS all_under FROM job_tracker GROUP BY status", "job_tracker")
 def status_histogram(spark, d):
     return view(spark, d, "job_tracker").groupBy("status").agg(F.count("*").alias("n"), F.bool_and(F.col("attempt") < 6).alias("all_under"))
@@ -240,11 +245,12 @@ def model_output_names(spark, d):
     return each.select((F.col("id") * 10 + F.col("i") + 1).alias("pos"), "name")
 
 
-@query("parse_list_column", "SELECT point_id, label AS first_item, CAST(2 AS BIGINT) AS n FROM ref_points", "ref_points")
+@query("parse_list_column", "SELECT point_id, CASE WHEN point_id % 3 < 2 THEN 'l' || chr(39) || label ELSE label END AS first_item, CAST(2 AS BIGINT) AS n FROM ref_points", "ref_points")
 def parse_list_column(spark, d):
     p = view(spark, d, "ref_points")
-    py = F.concat(F.lit("['"), F.col("label"), F.lit("', 'b']"))
-    raw = F.when(F.col("point_id") % 2 == 0, py).otherwise(F.concat(F.col("label"), F.lit(", b")))
+    py = F.concat(F.lit("['l'"), F.col("label"), F.lit("', \"b\"]"))  # an apostrophe in the item
+    js = F.concat(F.lit('["l\'') , F.col("label"), F.lit('", "b"]'))
+    raw = F.when(F.col("point_id") % 3 == 0, py).when(F.col("point_id") % 3 == 1, js).otherwise(F.concat(F.col("label"), F.lit(", b")))
     items = text.parse_list(raw)
     return p.select("point_id", items[0].alias("first_item"), F.size(items).cast("long").alias("n"))
 
@@ -265,10 +271,9 @@ def is_valid_geojson(spark, d):
     return p.select("point_id", files.is_valid_geojson(raw).alias("valid"))
 
 
-@query("unique_id", "SELECT id, strftime(start_time, '%Y%m%d') AS day, CAST(40 AS INT) AS len FROM job_tracker", "job_tracker")
+@query("unique_id", "SELECT id, substr(strftime(start_time, '%Y%m%d') || '-' || regexp_replace(sha256(CAST(id AS VARCHAR)), '(.{6})', '\\1-', 'g'), 1, 40) AS uid FROM job_tracker", "job_tracker")
 def unique_id(spark, d):
-    uid = text.unique_id(F.col("start_time"), F.col("id"), 40)
-    return view(spark, d, "job_tracker").select("id", F.substring(uid, 1, 8).alias("day"), F.length(uid).alias("len"))
+    return view(spark, d, "job_tracker").select("id", text.unique_id(F.col("start_time"), F.col("id"), 40).alias("uid"))
 
 
 _LOADINGS = [[0.5, -0.2], [0.3, 0.7], [-0.4, 0.1]]
@@ -309,11 +314,32 @@ def max_loading_filter(spark, d):
     return rounded(by, 7)
 
 
-@query("select_significant_bands", "SELECT vec_id, p1, p2 FROM class_probs", "class_probs")
+# The first component by squaring the covariance matrix again and again, each time divided by its trace: what is left are
+# products of its loadings.
+_FIRST = """RECURSIVE q AS (SELECT p1, p2 * 2 AS p2, p3 * 3 AS p3 FROM class_probs),
+m AS (SELECT 0 AS i, var_samp(p1) AS a, covar_samp(p1, p2) AS b, covar_samp(p1, p3) AS c, var_samp(p2) AS d, covar_samp(p2, p3) AS e, var_samp(p3) AS f FROM q
+ UNION ALL SELECT i + 1, (a*a + b*b + c*c) / t, (a*b + b*d + c*e) / t, (a*c + b*e + c*f) / t, (b*b + d*d + e*e) / t, (b*c + d*e + e*f) / t, (c*c + e*e + f*f) / t
+ FROM (SELECT *, a*a + 2*b*b + 2*c*c + d*d + 2*e*e + f*f AS t FROM m) WHERE i < 30),
+v AS (SELECT unnest(['p1', 'p2', 'p3']) AS band, unnest([sqrt(a), sqrt(d), sqrt(f)]) AS size FROM m WHERE i = 30)"""
+
+
+def _scaled_probs(spark, d):
+    return view(spark, d, "class_probs").select("vec_id", "p1", (F.col("p2") * 2).alias("p2"), (F.col("p3") * 3).alias("p3"))
+
+
+@query("first_component", f"WITH {_FIRST} {rounds('SELECT band, size FROM v', 'size', 5)}".replace("WITH RECURSIVE q", "WITH RECURSIVE class_probs AS (SELECT vec_id, abs(CAST(embedding[1] AS DOUBLE)) AS p1, abs(CAST(embedding[2] AS DOUBLE)) AS p2, abs(CAST(embedding[3] AS DOUBLE)) AS p3 FROM embeddings), q"))
+def first_component(spark, d):
+    loads = classify.loading_table(_scaled_probs(spark, d), ["p1", "p2", "p3"], 1)
+    return rounded(loads.select("band", F.abs("loading").alias("size")), 5)
+
+
+@query("select_significant_bands", f"WITH {_FIRST}, k AS (SELECT band FROM v ORDER BY size DESC, band LIMIT 2) SELECT vec_id, band, CASE band WHEN 'p1' THEN p1 WHEN 'p2' THEN p2 * 2 ELSE p3 * 3 END AS value FROM class_probs, k".replace("WITH RECURSIVE q", "WITH RECURSIVE class_probs AS (SELECT vec_id, abs(CAST(embedding[1] AS DOUBLE)) AS p1, abs(CAST(embedding[2] AS DOUBLE)) AS p2, abs(CAST(embedding[3] AS DOUBLE)) AS p3 FROM embeddings), q"))
 def select_significant_bands(spark, d):
-    v = view(spark, d, "class_probs")
-    loads = v.agg(F.lit(0.6).alias("p1"), F.lit(0.3).alias("p2"), F.lit(0.1).alias("p3")).unpivot([], ["p1", "p2", "p3"], "band", "score")
-    return classify.select_bands(v, loads, ["vec_id"], k=2)
+    """Fit, score by contribution to the first component, select two of the three bands."""
+    v = _scaled_probs(spark, d)
+    scores = classify.contribution(classify.loading_table(v, ["p1", "p2", "p3"], 1))
+    kept = classify.select_bands(v, scores, ["vec_id"], k=2)
+    return kept.unpivot(["vec_id"], [c for c in kept.columns if c != "vec_id"], "band", "value")
 
 
 @query("cumulative_variance", rounds("SELECT tile_id, sum(v) OVER (ORDER BY tile_id) AS share FROM (SELECT tile_id, sum(cost) / (SELECT sum(cost) FROM job_tracker) AS v FROM job_tracker GROUP BY tile_id)", "share", 6), "job_tracker")
@@ -326,16 +352,19 @@ def cumulative_variance(spark, d):
     return rounded(j.select("tile_id", (run / total).alias("share")), 6)
 
 
-@query("model_ensemble_inference", rounds("SELECT vec_id, CAST(floor(CAST(CAST(p1 AS FLOAT) AS DOUBLE) * 100) AS INT) AS a1 FROM class_probs", "a1", 0).replace("round(a1 + 0.123::DOUBLE, 0) + 0.0 AS a1", "a1 AS a1"), "class_probs")
+@query("model_ensemble_inference", "SELECT vec_id, CAST(floor(q1 * 100) AS INT) AS a1, CAST(floor(q2 * 100) AS INT) AS a2, CAST(floor((0.5::DOUBLE * q3 + 0.25::DOUBLE * q1) * 100) AS INT) AS b1 FROM (SELECT vec_id, CAST(CAST(p1 AS FLOAT) AS DOUBLE) AS q1, CAST(CAST(p2 AS FLOAT) AS DOUBLE) AS q2, CAST(CAST(p3 AS FLOAT) AS DOUBLE) AS q3 FROM class_probs)", "class_probs")
 def model_ensemble_inference(spark, d):
-    models = [{"id": "a", "inputs": ["p1", "p2"], "outputs": ["a1", "a2"]}]
-    return classify.score_models(view(spark, d, "class_probs"), models, _load_identity, ["vec_id"]).select("vec_id", "a1")
+    """Two models with inputs and classes of their own, in one pass."""
+    models = [{"id": "a", "inputs": ["p1", "p2"], "outputs": ["a1", "a2"]}, {"id": "b", "inputs": ["p3", "p1"], "outputs": ["b1"]}]
+    return classify.score_models(view(spark, d, "class_probs"), models, _load_linear, ["vec_id"])
 
 
-def _load_identity(_: str):
+def _load_linear(model: str):
+    """Weights of a model by its id; a is the identity."""
     import numpy as np
 
-    return lambda x: x.astype(np.float64)
+    weights = {"a": [[1.0, 0.0], [0.0, 1.0]], "b": [[0.5], [0.25]]}[model]
+    return lambda x: x.astype(np.float64) @ np.array(weights)
 
 
 # Sources and sinks: written from the tables to a temporary folder and read back.
@@ -348,6 +377,8 @@ def _shared(spark) -> str:
     import uuid
 
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return f"{base.rstrip('/')}/io-{uuid.uuid4().hex}" if base else _folder()
 
 
@@ -388,18 +419,36 @@ def read_geojson(spark, d):
     return got.select(F.element_at("properties", "point_id").cast("long").alias("point_id"), "geometry")
 
 
-@query("list_files")
+@query("list_files", "SELECT 'scl=' || scl AS folder, count(*) AS n_rows, TRUE AS has_bytes FROM scl_raster GROUP BY scl", "scl_raster")
 def list_files(spark, d):
+    """A folder for each class is written; the listing must name each, and the footers their rows."""
     root = _shared(spark) + "/files"
-    view(spark, d, "scl_raster").repartition(3).write.parquet(root)
-    return files.list_files(spark, root, ".parquet").select(F.regexp_extract("path", r"part-(\d+)", 1).alias("part"), "length")
+    files.write_cube(view(spark, d, "scl_raster"), root, ["scl"])
+    folder = F.regexp_extract("path", r"(scl=\d+)/part-", 1)
+    sizes = files.list_files(spark, root, ".parquet").groupBy(folder.alias("folder")).agg((F.min("length") > 0).alias("has_bytes"))
+    return sizes.join(files.parquet_footers(spark, root).groupBy(folder.alias("folder")).agg(F.sum("n_rows").alias("n_rows")), "folder").select("folder", "n_rows", "has_bytes")
+
 
+@query("parquet_footers", "SELECT c AS column_name, (SELECT count(*) FROM class_probs) AS n_rows, u AS unit FROM (VALUES ('vec_id', NULL), ('p1', 'percent'), ('p2', NULL)) v(c, u)", "class_probs")
+def parquet_footers(spark, d):
+    """The schema and a column's unit from the key-value metadata in the footers of written files."""
+    root = _shared(spark) + "/footers"
+    v = view(spark, d, "class_probs").select("vec_id", F.col("p1").alias("p1", metadata={"unit": "percent"}), "p2")
+    v.repartition(3).write.parquet(root)
+    fields = F.from_json(F.col("metadata")["org.apache.spark.sql.parquet.row.metadata"], "fields array<struct<name:string,metadata:struct<unit:string>>>")["fields"]
+    rows = files.parquet_footers(spark, root).select("n_rows", F.explode(fields).alias("f"))
+    return rows.groupBy(F.col("f.name").alias("column_name"), F.col("f.metadata.unit").alias("unit")).agg(F.sum("n_rows").alias("n_rows"))
 
-@query("verify_checksums", "SELECT point_id AS path, TRUE AS ok FROM ref_points", "ref_points")
+
+@query("verify_checksums", "SELECT point_id AS path, point_id % 4 <> 3 AS ok, md5(repeat(label, 5)) AS whole, CASE WHEN point_id % 2 = 1 THEN md5(unhex(md5(substr(repeat(label, 5), 1, 16))) || unhex(md5(substr(repeat(label, 5), 17, 16))) || unhex(md5(substr(repeat(label, 5), 33)))) || '-3' END AS parted FROM ref_points WHERE length(label) * 5 BETWEEN 33 AND 48", "ref_points")
 def verify_checksums(spark, d):
-    f = view(spark, d, "ref_points").select(F.col("point_id").alias("path"), F.encode(F.repeat("label", 5), "utf-8").alias("content"))
-    tag = F.when(F.col("path") % 2 == 0, F.md5("content")).otherwise(files.multipart_etag(F.col("content"), 16))
-    return files.verify_checksums(f, f.select("path", tag.alias("etag")), [8, 16]).select("path", "ok")
+    """A third of the odd ids have one byte changed after their tag was made."""
+    p = view(spark, d, "ref_points").where("length(label) * 5 BETWEEN 33 AND 48").select(F.col("point_id").alias("path"), F.repeat("label", 5).alias("s"))
+    content = F.when(F.col("path") % 4 == 3, F.concat(F.lit("#"), F.expr("substring(s, 2)"))).otherwise(F.col("s"))
+    tag = F.when(F.col("path") % 2 == 0, F.md5(F.encode("s", "utf-8"))).otherwise(files.multipart_etag(F.encode("s", "utf-8"), 16))
+    made = p.select("path", F.encode(content, "utf-8").alias("content"), F.md5(F.encode("s", "utf-8")).alias("whole"), tag.alias("etag"))
+    checked = files.verify_checksums(made.select("path", "content"), made.select("path", "etag"), [8, 16]).select("path", "ok")
+    return checked.join(made, "path").select("path", "ok", "whole", F.when(F.col("path") % 2 == 1, F.col("etag")).alias("parted"))
 
 
 @query("load_stac", "SELECT obs_id, band, value FROM obs_long WHERE t >= '2024-01-05' AND t < '2024-01-12'", "obs_long")
@@ -430,14 +479,12 @@ def stream_period_composite(spark, d):
 
 @query("stream_job_status", "SELECT user_id AS id, arg_max(event_type, (ts, event_type)) AS status, count(*) AS n_reports FROM events GROUP BY user_id")
 def stream_job_status(spark, d):
-    import uuid
-
     from pixelloom.streaming import jobs as streams
 
-    name = f"status_{uuid.uuid4().hex}"
+    root = _shared(spark)
     rows = _events(spark, d).selectExpr("user_id AS id", "event_type AS status", "CAST(ts AS TIMESTAMP) AS t")
-    streams.status_stream(rows, name, f"{_shared(spark)}/checkpoint").awaitTermination()
-    return spark.table(name).select("id", "status", "n_reports")
+    streams.status_stream(rows, f"{root}/status", f"{root}/checkpoint").awaitTermination()
+    return streams.latest_status(spark, f"{root}/status").select("id", "status", "n_reports")
 
 
 @query("stream_dedup_items", "SELECT count(DISTINCT event_id) AS n FROM events")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,28 @@ def read_results(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
+def parquet_footers(spark: SparkSession, root: str) -> DataFrame:
+    """(path, n_rows, metadata) of every Parquet file under root: the rows and the key-value metadata that its footer tells; tasks read footers only."""
+
+    def read(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for b in batches:
+            rows = []
+            for path in b.column(0).to_pylist():
+                store, name = fs.FileSystem.from_uri(path)
+                with store.open_input_file(name) as f:
+                    footer = pq.read_metadata(f)
+                rows.append((path, footer.num_rows, [(k.decode(), v.decode()) for k, v in (footer.metadata or {}).items()]))
+            kinds = (pa.string(), pa.int64(), pa.map_(pa.string(), pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["path", "n_rows", "metadata"])
+
+    found = list_files(spark, root, ".parquet").select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"))
+    return found.mapInArrow(read, "path string, n_rows long, metadata map<string,string>")
+
+
 def list_files(spark: SparkSession, root: str, suffix: str = "", recursive: bool = True) -> DataFrame:
     """(path, length, modificationTime) of files; contents aren't read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
@@ -106,8 +129,8 @@ def persist_jobs(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
     try:
         return spark.read.parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
     df.write.parquet(path)
     return spark.read.parquet(path)

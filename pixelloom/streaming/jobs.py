@@ -23,8 +23,9 @@ def composite_stream(observations: DataFrame, bands: Sequence[str], period: str,
         spark = batch.sparkSession
         rows = batch.withColumn("period", temporal.period_start(F.col("t"), period))
         rows.withColumn("batch", F.lit(number)).write.partitionBy("batch", "period").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(store)
-        stored = spark.read.parquet(store).where(F.col("batch") <= number)
         touched = rows.select("x", "y", "period").distinct()
+        periods = [r.period for r in rows.select("period").distinct().collect()]  # as few as a batch spans
+        stored = spark.read.parquet(store).where((F.col("batch") <= number) & F.col("period").isin(periods))  # other folders aren't listed
         again = stored.join(touched, ["x", "y", "period"], "left_semi").select("x", "y", "t", *bands)
         new = temporal.composite(again, bands, period, reducer).withColumn("batch", F.lit(number))
         new.write.partitionBy("batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(out)
@@ -38,10 +39,20 @@ def latest_composites(spark: SparkSession, out: str, bands: Sequence[str]) -> Da
     return rows.groupBy("x", "y", "t").agg(F.max_by(F.struct(*bands), "batch").alias("v")).select("x", "y", "t", *[F.col(f"v.{b}").alias(b) for b in bands])
 
 
-def status_stream(events: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
-    """Latest status, its time and the number of reports for each job, as an in-memory table that is updated in place."""
+def status_stream(events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Latest status, its time and the number of reports of each job; each batch writes the jobs that it changed as a version under out."""
     latest = events.groupBy("id").agg(F.max_by("status", F.struct("t", "status")).alias("status"), F.max("t").alias("t"), F.count("*").alias("n_reports"))
-    return latest.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.partitionBy("batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(out)
+
+    return latest.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest_status(spark: SparkSession, out: str) -> DataFrame:
+    """The newest version of every job."""
+    rows = spark.read.parquet(out).groupBy("id").agg(F.max_by(F.struct("status", "t", "n_reports"), "batch").alias("v"))
+    return rows.select("id", "v.status", "v.t", "v.n_reports")
 
 
 def first_items(items: DataFrame, keys: Sequence[str], late: str = "2 days") -> DataFrame:
