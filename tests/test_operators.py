@@ -171,3 +171,72 @@ def test_plans(spark):
         assert name in names
         assert "CartesianProduct" not in plan(catalog.queries()[name](spark, SF))
     assert plan(cube.s1_features(view(spark, SF, "refl_wide"), cube.options("feature"))).split("== Physical Plan ==")[1].count("Exchange hashpartitioning") <= 2
+
+
+def test_entry_without_the_optional_part(monkeypatch):
+    """A library that only the training-data part needs is missing: all other queries are there."""
+    import importlib
+    import sys
+
+    monkeypatch.setitem(sys.modules, "xxhash", None)
+    for name in [m for m in sys.modules if m.startswith("pixelloom.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    entry = importlib.import_module("__spark_entry__")
+    found = entry.queries()
+    assert "flagship_ndvi_features" in found and not [q for q in found if q.startswith("op1_") or q == "pipeline"]
+    assert entry.oracle_sql().keys() <= found.keys()
+
+
+def test_dilate_square_over_absent_pixels(spark):
+    import random
+
+    from pixelloom.operators import spatial
+
+    random.seed(2)
+    cells = {(random.randrange(20), random.randrange(20), k): random.random() < 0.1 for k in (1, 2) for _ in range(60)} | {(30, 30, 1): True, (31, 31, 1): False}
+    df = spark.createDataFrame([(*c, f) for c, f in cells.items()], "x int, y int, k int, f boolean")
+    for size in (1, 2, 5, 9):
+        want = {(x, y, k): any(f and j == k and abs(x - a) <= size // 2 and abs(y - b) <= size // 2 for (a, b, j), f in cells.items()) for x, y, k in cells}
+        assert {(r.x, r.y, r.k): r.f for r in spatial.dilate_square(df, "f", size, ["k"]).collect()} == want
+    assert spatial.dilate_square(df.where("NOT f"), "f", 5, ["k"]).where("f").count() == 0
+
+
+def test_segments_and_polygons(spark):
+    from pixelloom.operators import joins
+
+    tiles = spark.createDataFrame([("a", 0.0, 0.0, 10.0, 10.0), ("b", 20.0, 0.0, 30.0, 10.0), ("c", 0.0, 20.0, 10.0, 30.0), ("d", 12.0, 12.0, 13.0, 13.0)], "t string, west double, south double, east double, north double")
+    rings = {
+        "around": [(-5, -5), (50, -5), (50, 50), (-5, 50)], "inside": [(2, 2), (3, 2), (3, 3)], "corner": [(10, 10), (11, 10), (11, 11)], "edge": [(5, 10), (6, 12), (4, 12)],
+        "notch": [(-1, -1), (11, -1), (11, 11), (14, 11), (14, 14), (11, 14), (5, 10.5), (-1, 40)], "bounds only": [(-40, 9), (11, 45), (-40, 45)], "far": [(90, 90), (91, 90), (91, 91)],
+    }
+    rows = [(k, [tuple(map(float, p)) for p in [*r, r[0]]]) for k, r in rings.items()]
+    aoi = spark.createDataFrame(rows, "p string, ring array<struct<x:double,y:double>>")
+    got = {(r.p, r.t) for r in joins.polygon_pairs(tiles, "t", aoi, "p", "ring", 7.0).collect()}
+    assert got == {("around", t) for t in "abcd"} | {("inside", "a"), ("corner", "a"), ("edge", "a"), ("notch", "a"), ("notch", "c"), ("notch", "d")}
+
+
+def test_exact_percentiles(spark, monkeypatch):
+    import numpy as np
+
+    from pixelloom.operators import classify
+
+    monkeypatch.setattr(classify, "BINS", 7)
+    rng = np.random.default_rng(3)
+    v = np.concatenate([rng.normal(size=500), [5.0] * 300, [1e9, -1e9]])
+    df = spark.createDataFrame([(float(x),) for x in v] + [(None,)], "v double")
+    shares = (0.0, 0.02, 0.37, 0.5, 0.98, 1.0)
+    assert np.allclose(classify.exact_percentiles(df, "v", shares), np.quantile(v, shares), rtol=0, atol=1e-12)
+    assert classify.exact_percentiles(df.where("v IS NULL"), "v", shares) is None
+    assert classify.percentile_stretch(df.where("v = 5 OR v IS NULL"), ["v"]).where("v IS NOT NULL").count() == 0
+
+
+def test_counts_of_null_groups_and_lists(spark):
+    from pyspark.sql import functions as F
+
+    from pixelloom.functions import text
+    from pixelloom.operators import jobs
+
+    df = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",)], "k string")
+    assert sorted((str(r.k), r.n) for r in jobs.with_count(df, F.col("k"), "n").collect()) == [("None", 2), ("None", 2), ("a", 2), ("a", 2), ("b", 1)]
+    raw = spark.createDataFrame([("['l'Orme', 'b c']",), ('["l\'Orme"]',), ("x, y",), ("[]",), ('["a\'", "b"]',)], "s string")
+    assert [r[0] for r in raw.select(text.parse_list(F.col("s"))).collect()] == [["l'Orme", "b c"], ["l'Orme"], ["x", "y"], [], ["a'", "b"]]
