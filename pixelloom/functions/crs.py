@@ -187,7 +187,8 @@ def bbox_area_km2(west: Column, south: Column, east: Column, north: Column, lonl
     return (east - west) * (north - south) / 1e6
 
 
-def reproject_bbox(west: Column, south: Column, east: Column, north: Column, buffer: float = 0.0) -> dict[str, Column]:
-    """An EPSG:3035 box as lon/lat bounds through its two opposite corners, widened by buffer degrees."""
-    (w, s), (e, n) = from_laea(west, south), from_laea(east, north)
+def reproject_bbox(west: Column, south: Column, east: Column, north: Column, buffer: float = 0.0, zone: Column | None = None, northern: Column | None = None) -> dict[str, Column]:
+    """An EPSG:3035 box, or with zone a UTM one, as lon/lat bounds through its two opposite corners, widened by buffer degrees."""
+    back = from_laea if zone is None else lambda x, y: from_utm(x, y, zone, northern)
+    (w, s), (e, n) = back(west, south), back(east, north)
     return {"west": w - buffer, "south": s - buffer, "east": e + buffer, "north": n + buffer}

@@ -460,6 +460,57 @@ def load_stac(spark, d):
     return got.select(F.col("id").alias("obs_id"), "band", "value")
 
 
+@query("read_stac_items", "SELECT 'i' || obs_id AS id, band, 'a/' || obs_id AS href FROM obs_long WHERE t >= '2024-01-05' AND t < '2024-01-20' AND x <= 9 AND x + 1 >= 4 AND y <= 6 AND y + 1 >= 0 AND band <> 'click'", "obs_long")
+def read_stac_items(spark, d):
+    """Items are written as JSON and read back by time, box and band."""
+    root = _shared(spark) + "/stac"
+    o = view(spark, d, "obs_long")
+    box = F.array(*[F.col(c).cast("double") + i for i in (0, 1) for c in ("x", "y")])
+    assets = F.create_map(F.col("band"), F.struct(F.concat(F.lit("a/"), F.col("obs_id").cast("string")).alias("href")))
+    o.select(F.concat(F.lit("i"), F.col("obs_id").cast("string")).alias("id"), box.alias("bbox"), F.struct(F.col("t").cast("timestamp").alias("datetime")).alias("properties"), assets.alias("assets")).write.json(root)
+    bands = [r.band for r in o.select("band").distinct().where("band <> 'click'").collect()]  # the few bands of the cube
+    return files.read_stac(spark, root, "2024-01-05", "2024-01-20", (4, 0, 9, 6), bands).select("id", "band", "href")
+
+
+def _database(spark) -> tuple[str, dict]:
+    """The database that spark.pixelloom.jdbc.url names; without one a local session uses the one embedded in Spark's libraries."""
+    url = spark.conf.get("spark.pixelloom.jdbc.url", None)
+    if url:
+        return url, {}
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.pixelloom.jdbc.url must name a database")
+    return "jdbc:derby:memory:pixelloom;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def _table(spark, d) -> tuple[str, dict, str]:
+    """The job tracker as a new table of the database, its cost NaN for every tenth id."""
+    import uuid
+
+    (url, more), name = _database(spark), f"T{uuid.uuid4().hex[:20]}"
+    cost = F.when(F.col("id") % 10 == 0, F.lit(float("nan"))).otherwise(F.col("cost"))
+    files.jdbc_insert(view(spark, d, "job_tracker").select("id", "status", cost.alias("cost")), url, name, **more)
+    return url, more, name
+
+
+@query("jdbc_bulk_insert", rounds("SELECT id, status, CASE WHEN id % 10 <> 0 THEN cost END AS cost FROM job_tracker", "cost", 3), "job_tracker")
+def jdbc_bulk_insert(spark, d):
+    url, more, name = _table(spark, d)
+    return rounded(files.jdbc_read(spark, url, name, ["id", "status", "cost"], **more), 3)
+
+
+@query("jdbc_read", "SELECT id, status FROM job_tracker", "job_tracker")
+def jdbc_read(spark, d):
+    url, more, name = _table(spark, d)
+    return files.jdbc_read(spark, url, name, ["id", "status"], **more)
+
+
+@query("jdbc_query", "SELECT status, count(*) AS n, count(CASE WHEN id % 10 <> 0 THEN 1 END) AS with_cost FROM job_tracker GROUP BY status", "job_tracker")
+def jdbc_query(spark, d):
+    url, more, name = _table(spark, d)
+    rows = files.jdbc_query(spark, url, f'SELECT s, count(*) AS n, count("cost") AS with_cost FROM (SELECT CAST("status" AS VARCHAR(40)) AS s, "cost" FROM {name}) v GROUP BY s', **more)
+    return rows.select(F.col("S").alias("status"), F.col("N").cast("long").alias("n"), F.col("WITH_COST").cast("long").alias("with_cost"))
+
+
 # Streams: their results equal the batch results.
 def _events(spark, d):
     import os

@@ -95,6 +95,23 @@ def load_stac(spark: SparkSession, items: DataFrame, assets: DataFrame, start: s
     return wanted.join(assets, "href")
 
 
+STAC_ITEM = "id string, bbox array<double>, properties struct<datetime:timestamp>, assets map<string,struct<href:string>>"
+
+
+def read_stac(spark: SparkSession, path: str, start: str | None = None, stop: str | None = None, bbox: Sequence[float] | None = None, bands: Sequence[str] = ()) -> DataFrame:
+    """(id, t, band, href) of the assets of STAC items (a JSON object a line): items of [start, stop) whose box meets (west, south, east, north), assets of some bands or all."""
+    items = spark.read.schema(STAC_ITEM).json(path).withColumn("t", F.col("properties.datetime"))
+    if start:
+        items = items.where(F.col("t") >= F.lit(start).cast("timestamp"))
+    if stop:
+        items = items.where(F.col("t") < F.lit(stop).cast("timestamp"))
+    if bbox:
+        west, south, east, north = bbox
+        items = items.where((F.col("bbox")[0] <= east) & (F.col("bbox")[2] >= west) & (F.col("bbox")[1] <= north) & (F.col("bbox")[3] >= south))
+    rows = items.select("id", "t", F.explode("assets").alias("band", "asset")).select("id", "t", "band", "asset.href")
+    return rows.where(F.col("band").isin(*bands)) if bands else rows
+
+
 def jdbc_read(spark: SparkSession, url: str, table: str, columns: Sequence[str], fetch: int = 500_000, **options) -> DataFrame:
     """Columns of a table with a server-side cursor."""
     return spark.read.format("jdbc").options(url=url, dbtable=table, fetchsize=fetch, **options).load().select(*columns)

@@ -28,6 +28,14 @@ def test_projection_anchors(spark):
     assert [round(v, 2) for v in got] == [3962799.45, 2999718.85, 630084.30, 4833438.59]
 
 
+def test_bbox_of_utm(spark):
+    lit = lambda *v: [F.lit(float(x)) for x in v]
+    box = crs.reproject_bbox(*lit(630084.30, 4833438.59, 640000, 4843438), zone=F.lit(17), northern=F.lit(True))
+    e, n = crs.to_utm(box["east"], box["north"], F.lit(17), F.lit(True))
+    got = one(spark, box["west"], box["south"], e, n)
+    assert [round(v, 5) for v in got[:2]] == [-79.38714, 43.64257] and [round(v, 2) for v in got[2:]] == [640000, 4843438]
+
+
 def test_equal_area_of_the_globe(spark):
     area = crs.bbox_area_km2(F.lit(-180.0), F.lit(-90.0), F.lit(180.0), F.lit(90.0), lonlat=True)
     assert abs(one(spark, area)[0] - 510_065_621.7) < 1
