@@ -95,7 +95,7 @@ def s1_cube(df: DataFrame, opt: CubeOptions) -> DataFrame:
     """Backscatter as 16-bit numbers: composite, interpolate, scale."""
     cube = load(df, S1_BANDS, orbit=opt.s1_orbit)
     if opt.ts_interval:
-        cube = temporal.composite(cube, S1_BANDS, opt.ts_interval, opt.s1_reducer)
+        cube = temporal.composite(cube, S1_BANDS, opt.ts_interval, opt.s1_reducer, by_pixel=True)
     if opt.time_interpolation:
         cube = temporal.interpolate(cube, S1_BANDS)
     return cube.select("x", "y", "t", *[pixel.power_to_dn(F.col(b)).alias(b) for b in S1_BANDS])
@@ -125,7 +125,7 @@ def s2_cube(df: DataFrame, opt: CubeOptions, bands: Sequence[str] = S2_BANDS) ->
             cube = spatial.mask_as_band(cube.drop("scl"), mask.withColumn("mask", F.col("mask").cast("int")), on=("x", "y", "t"))
             bands = [*bands, "S2-CLOUD-MASK"]
     if opt.ts_interval:
-        cube = temporal.composite(cube, bands, opt.ts_interval, opt.s2_reducer)
+        cube = temporal.composite(cube, bands, opt.ts_interval, opt.s2_reducer, by_pixel=True)
     if opt.time_interpolation:
         cube = temporal.interpolate(cube, bands)
     return cube.select("x", "y", "t", *[pixel.linear_scale(F.col(b), 0, 65534, 0, 65534).alias(b) for b in bands])
