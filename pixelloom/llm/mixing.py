@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from pixelloom.llm.common import materialise, small_side
 
 #: Most slots of one period of the schedule, which the driver works out (about 100 bytes a slot).
-MAX_SLOTS = 200_000
+MAX_SLOTS = 100_000
 #: Rows that one window group of the ranking holds on average at most.
 GROUP_ROWS = 5_000
 #: Stands for the null source.
@@ -25,14 +25,14 @@ def targets(counts: dict[str, int], weights: dict[str, float] | None = None, tem
     """Exact target share of each source; shares add up to one.
 
     weights: any positive numbers, taken as the decimal fractions that they are written as (ints, floats, strings,
-    Fractions). Without them a source's weight is its number of rows to the power temperature, to four digits of the
+    Fractions). Without them a source's weight is its number of rows to the power temperature, to three digits of the
     largest, one at least.
     """
     if not counts:
         return {}
     if weights is None:
         most = max(counts.values()) ** temperature
-        want = {s: Fraction(max(1, round(n**temperature / most * 10_000))) for s, n in counts.items()}
+        want = {s: Fraction(max(1, round(n**temperature / most * 1_000))) for s, n in counts.items()}
     else:
         want = {s: Fraction(str(weights[s])) for s in counts}
     if any(w <= 0 for w in want.values()):

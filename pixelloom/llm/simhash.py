@@ -91,9 +91,9 @@ def near_duplicate_classes(docs: DataFrame, shingle_words: int = 3, max_distance
 
 #: Texts at most whose shingles set the order that all texts are read in, and shingles at most that it names. Both bear on
 #: speed alone: any order gives every pair.
-ORDER_TEXTS, ORDER_SHINGLES = 20_000, 400_000
+ORDER_TEXTS, ORDER_SHINGLES = 20_000, 100_000
 #: A shared shingle whose texts need more comparisons than the square of this is set aside for a longer look.
-CROWD = 48
+CROWD = 24
 #: Bits of the parity sketch that rules out pairs before whole sets are compared.
 SKETCH = 1024
 
@@ -282,7 +282,7 @@ def text_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.
     1. In an order of all shingles a similar pair has one in common among the first few of each. Texts are compared with
        two texts of each such shingle, which joins families of copies without listing their pairs.
     2. All texts that still share a shingle and aren't in one class are compared with each other, unless so many share it
-       that this costs more than CROWD squared comparisons, and all such shingles more than CROWD comparisons a text.
+       that this costs more than CROWD squared comparisons, and all such shingles more than four comparisons a text.
     3. Texts that share so common a shingle look further ahead in the order, which lets them leave out the most common
        ones and meet at rarer ones; and so on, four times as far each time, up to the whole text.
 
@@ -305,7 +305,7 @@ def text_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.
             crowd = open_.where(F.col("work") > CROWD**2)
             crowd = materialise(crowd.groupBy("node").agg(F.max("n").alias("n"), F.sum(F.col("work") / F.col("m")).alias("work")), "crowd")
             longest, work = crowd.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("work"), F.lit(0.0))).first()
-            last = more >= longest or work <= CROWD * n_texts  # no text could look further, or none need to
+            last = more >= longest or work <= 4 * n_texts  # no text could look further, or none need to
             now = open_ if last else open_.where(F.col("work") <= CROWD**2)
             close = close.unionByName(exact_pairs(texts, sketches, _across(now, similarity), shingle_words, similarity))
             if last:
