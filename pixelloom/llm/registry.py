@@ -7,16 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelloom.llm import language_id
+from pixelloom.llm.collocations import collocations
 from pixelloom.llm.common import scratch_path
 from pixelloom.llm.decontaminate import decontaminate
 from pixelloom.llm.mixing import schedule
 from pixelloom.llm.permutation_index import nearest_neighbours
 from pixelloom.llm.simhash import near_duplicate_classes
 from pixelloom.llm.suffix_array import repeated_passages
+from pixelloom.llm.token_counts import token_counts
 from pixelloom.llm.token_shards import write_shards
 from pixelloom.llm.toxicity import learn, sample_labelled, score_texts
 from pixelloom.llm.url_filter import judge_urls
 from pixelloom.llm.warc import read_archives, write_archives
+from pixelloom.llm.whitening import whiten
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
@@ -87,12 +90,41 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), k=32)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), min_count=10, words=3, top=2000, share=50)
+
+
 ORACLE = {
     "op10_warc": """
 WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
 SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM p LEFT JOIN f USING (payload_digest)
+""",
+    "op13_collocations": r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), x -> x <> '') AS w FROM p),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+f AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS gram, count(*) AS a FROM i, (VALUES (1), (2), (3)) v(m) WHERE i + m - 1 <= len(w) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, gram, a, string_split(gram, ' ') AS w FROM f WHERE m > 1 AND a >= 10),
+longer AS (SELECT lang, array_to_string(w[k:k + 1], ' ') AS gram, max(a) AS most FROM c, (VALUES (1), (2)) v(k) WHERE m = 3 GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN longer USING (lang, gram) WHERE most IS NULL OR 100 * most < 50 * a),
+cut AS (SELECT kept.lang, kept.gram, kept.a, k, l.a AS l, r.a AS r, CAST(1000000::HUGEINT * kept.a * kept.a // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+  FROM kept JOIN (VALUES (1), (2)) v(k) ON k < m JOIN f l ON l.lang = kept.lang AND l.gram = array_to_string(w[1:k], ' ') JOIN f r ON r.lang = kept.lang AND r.gram = array_to_string(w[k + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1)
+SELECT lang, CAST(row_number() OVER o AS INTEGER) AS rank, gram AS phrase, a, l, r, n, score FROM best JOIN n USING (lang)
+QUALIFY row_number() OVER o <= 2000 WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, gram)
 """,
     "op5_decontaminate": r"""
 WITH d AS (SELECT doc_id, xxhash AS h, w FROM (SELECT doc_id, hash(text) AS xxhash,
