@@ -78,11 +78,12 @@ class Centred:
 
 def orthonormal(new: np.ndarray, *against: np.ndarray) -> np.ndarray:
     """An orthonormal basis of what new adds to the spaces of against, projected twice."""
-    for _ in range(2):
+    for turn in range(3):
+        size = np.linalg.norm(new, axis=0)
+        some = size > (1e-10 if turn else 0)  # corrections become small, but their directions count
+        new = new[:, some] / size[some]
         for q in against:
             new = new - q @ (q.T @ new)
-        size = np.linalg.norm(new, axis=0)
-        new = new[:, size > 1e-10] / size[size > 1e-10]
     u, s, _ = np.linalg.svd(new, full_matrices=False)
     return u[:, s > 1e-8]
 
