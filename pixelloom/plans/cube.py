@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pixelloom.functions import indices, pixel
 from pixelloom.operators import joins, spatial, temporal
+from pixelloom.operators.warp import Grid, warp
 
 S1_BANDS, S2_BANDS = ("VV", "VH"), ("B02", "B03", "B04", "B05", "B06", "B07", "B08", "B8A", "B11", "B12")
 # Feature bands without meaning.
@@ -37,8 +38,12 @@ class CubeOptions:
     radar: tuple[str, ...] = tuple(indices.RADAR)
     append: bool = True
     s1_db: bool = True
+    source_grid: Grid | None = None
+    target_grid: Grid | None = None
 
     def __post_init__(self):
+        if (self.source_grid is None) != (self.target_grid is None):
+            raise ValueError("source_grid and target_grid go together")
         if self.ts_interval not in (*temporal.PERIODS, "P1M", None):
             raise ValueError(f"ts_interval must be one of {temporal.PERIODS} or None")
         for r in (self.s1_reducer, self.s2_reducer):
@@ -91,9 +96,14 @@ def load(
     return filter_tiles(df, tiles).select("x", "y", "t", *keep, *bands)
 
 
+def placed(cube: DataFrame, bands: Sequence[str], opt: CubeOptions) -> DataFrame:
+    """The cube on the target grid of the options, if there is one: nearest neighbours, before anything else is done."""
+    return warp(cube, bands, opt.source_grid, opt.target_grid) if opt.target_grid else cube
+
+
 def s1_cube(df: DataFrame, opt: CubeOptions) -> DataFrame:
     """Backscatter as 16-bit numbers: composite, interpolate, scale."""
-    cube = load(df, S1_BANDS, orbit=opt.s1_orbit)
+    cube = placed(load(df, S1_BANDS, orbit=opt.s1_orbit), S1_BANDS, opt)
     if opt.ts_interval:
         cube = temporal.composite(cube, S1_BANDS, opt.ts_interval, opt.s1_reducer, by_pixel=True)
     if opt.time_interpolation:
@@ -114,6 +124,7 @@ def cloud_mask(scenes: DataFrame, opt: CubeOptions) -> DataFrame:
 def s2_cube(df: DataFrame, opt: CubeOptions, bands: Sequence[str] = S2_BANDS) -> DataFrame:
     """Reflectances in 0 to 65534: cloud filter, mask, composite, interpolate. Rows of a pixel and time are reduced together."""
     cube = load(df, bands, max_cloud_cover=opt.max_cloud_cover, tiles=opt.s2_tiles, keep=("scl",))
+    cube = placed(cube, ["scl", *bands], opt)
     if opt.masking == "classes":
         cube = cube.select("x", "y", "t", *pixel.mask_bands(bands, pixel.scl_bad(F.col("scl"))))
     elif opt.masking:

@@ -133,8 +133,8 @@ def percentile_stretch(spark, d):
 
 
 # The pipelines. Their oracles share these steps.
-_DN = "least(greatest(pow(10, (10 * log10({v}) + 83) / 20), 1.0), 65534.0)"
-_S1 = f"s1 AS (SELECT x, y, t, {_DN.format(v='a')} AS VV, {_DN.format(v='b')} AS VH FROM (SELECT x, y, {PERIOD_SQL['dekad']} AS t, avg(VV) AS a, avg(VH) AS b FROM refl_wide GROUP BY ALL))"
+DN_SQL = "least(greatest(pow(10, (10 * log10({v}) + 83) / 20), 1.0), 65534.0)"
+_S1 = f"s1 AS (SELECT x, y, t, {DN_SQL.format(v='a')} AS VV, {DN_SQL.format(v='b')} AS VH FROM (SELECT x, y, {PERIOD_SQL['dekad']} AS t, avg(VV) AS a, avg(VH) AS b FROM refl_wide GROUP BY ALL))"
 _S2_MASK = "CASE WHEN scl IN (0, 1, 3, 8, 9, 10, 11) THEN NULL ELSE {b} END"
 _S2 = f"s2 AS (SELECT x, y, {PERIOD_SQL['dekad']} AS t, {', '.join(f'median({_S2_MASK.format(b=b)}) AS {b}' for b in cube.S2_BANDS)} FROM refl_wide WHERE cloud_cover <= 95 GROUP BY ALL)"
 _S1I = "s1i AS (SELECT x, y, t, VV, VH, 4 * VH / nullif(VV + VH, 0) AS RVI, VH - VV AS VHVVD, VH / nullif(VV, 0) AS VHVVR FROM (SELECT x, y, t, 20 * log10(VV) - 83 AS VV, 20 * log10(VH) - 83 AS VH FROM s1))"
