@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from xxhash import xxh64_intdigest
 
 from pixelloom.llm.common import materialise, passing, small_side
 
 #: Edges at most in one row of a compacted path; a longer one continues in another row.
 PATH_EDGES = 4096
-#: Pieces of a text end at these, words at blanks and tabs.
-PIECE_END, BLANK = r"[.,;:!?\x0A-\x0D]", r"[\x20\x09]+"
+#: Bytes of text that a task takes apart at a time; a longer text is taken alone.
+CHUNK_BYTES = 8 << 20
+#: Word pairs are counted by hashes of so many bits. Those that are frequent set a bit in a table of 2^TABLE_BITS bits, which
+#: every task holds. A bit set by another pair too costs work, not truth.
+HASH_BITS, TABLE_BITS = 40, 28
+PAGE = 4096
+# Pieces of a text end at these, words at blanks and tabs.
+PIECE_END, BLANK = b".,;:!?\n\x0b\x0c\r", b" \t"
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + PIECE_END, b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(PIECE_END))
 
 
 def words_of(gram: str | Column, k: int | Column) -> Column:
@@ -19,19 +32,111 @@ def words_of(gram: str | Column, k: int | Column) -> Column:
     return F.call_function("substring_index", F.col(gram) if isinstance(gram, str) else gram, F.lit(" "), F.lit(k))
 
 
-def edges(docs: DataFrame, words: int, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, gram, size, c): how often each gram of ``words`` words occurs, an edge of the graph, and piece-end corrections.
+class Words:
+    """The words of some texts in a row: numbers into a list of distinct words, with their language and the words left in their piece."""
+
+    def __init__(self, langs: list[str | None], texts: list[bytes | None]):
+        words: list[bytes] = []
+        ends, lang_ends = [], []
+        for raw in texts:
+            for piece in (raw or b"").translate(_LOWER).split(b"\n"):
+                words += piece.split()
+                ends.append(len(words))
+            lang_ends.append(len(words))
+        coded = pa.array(words, pa.binary()).dictionary_encode()
+        self.ids, self.words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        self.langs = sorted({x or "und" for x in langs})
+        number = {x: i for i, x in enumerate(self.langs)}
+        counts = np.diff(np.array([0, *lang_ends]))
+        self.lang = np.repeat(np.array([number[x or "und"] for x in langs], np.int64), counts)
+        ends = np.array(ends, np.int64)
+        self.left = ends[np.searchsorted(ends, np.arange(len(words)), side="right")] - np.arange(len(words)) if len(words) else np.zeros(0, np.int64)
+
+    def pairs(self) -> np.ndarray:
+        """A hash of each word, the next, and the language; of no use where a piece ends."""
+        h = np.array([xxh64_intdigest(w) for w in self.words], np.uint64)[self.ids]
+        lang = np.array([xxh64_intdigest(x.encode()) for x in self.langs], np.uint64)[self.lang]
+        mixed = (h * np.uint64(0x9E3779B97F4A7C15) + np.roll(h, -1)) * np.uint64(0xC2B2AE3D27D4EB4F) ^ lang
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(0x165667B19E3779F9)
+        return (mixed >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
+    for b in batches:
+        langs, texts, size = [], [], 0
+        for lang, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            langs.append(lang)
+            texts.append(raw)
+            size += len(raw or b"")
+            if size >= CHUNK_BYTES:
+                yield Words(langs, texts)
+                langs, texts, size = [], [], 0
+        if texts:
+            yield Words(langs, texts)
+
+
+def frequent_pairs(texts: DataFrame, min_count: int) -> Broadcast:
+    """A table of bits of all pairs of words, by language, that occur min_count times, and of few others. texts: (lang, raw)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for w in _chunks(batches):
+            h, n = np.unique(w.pairs()[w.left > 1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], names=["h", "n"])
+
+    def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for bits in b.column(1).to_pylist():
+                page = np.zeros(PAGE, np.uint8)
+                page[bits] = 1
+                out.append(np.packbits(page, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["page", "bits"])
+
+    often = texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    at = F.pmod("h", F.lit(1 << TABLE_BITS))
+    paged = often.select(F.floor(at / PAGE).cast("int").alias("page"), F.pmod(at, F.lit(PAGE)).cast("int").alias("bit"))
+    found = paged.groupBy("page").agg(F.collect_set("bit").alias("bits")).mapInArrow(pages, "page int, bits binary").toArrow()  # 2^TABLE_BITS bits at most
+    table = np.zeros((1 << TABLE_BITS) // 8, np.uint8)
+    for page, bits in zip(found.column("page").to_pylist(), found.column("bits").to_pylist(), strict=True):
+        table[page * PAGE // 8 : (page + 1) * PAGE // 8] = np.frombuffer(bits, np.uint8)
+    return texts.sparkSession.sparkContext.broadcast(table)
+
+
+def edges(docs: DataFrame, words: int, min_count: int = 1, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """(lang, gram, size, c): how often each gram of ``words`` words occurs, an edge of the graph, and corrections.
 
     Every occurrence of a word counts once, in the gram that starts there. Where its piece ends before the gram is full,
-    the shorter gram, size < words, is the correction for the counts of its nodes. Counts are summed in each task first.
+    the shorter gram, size < words, is the correction for the counts of its nodes. So it is where a pair of words that
+    occurs fewer than min_count times would be the next: such nodes are contracted, which keeps the flow of all others
+    whole. Counts are summed in each task first; the frequent pairs are found by a pass over the texts before.
     """
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    text = F.translate(F.coalesce(F.col(text_col), F.lit("")), upper, lower)
-    pieces = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.explode(F.split(text, PIECE_END)).alias("piece"))
-    split = pieces.select("lang", F.array_remove(F.split("piece", BLANK), "").alias("w")).where("size(w) > 0")
-    grams = F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.array_join(F.slice("w", i, words), " "))
-    counted = split.select("lang", F.explode(grams).alias("gram")).groupBy("lang", "gram").agg(F.count("*").alias("c"))
-    return counted.select("lang", "gram", F.size(F.split("gram", " ")).alias("size"), "c")
+    texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("raw"))
+    often = frequent_pairs(texts, min_count) if min_count > 1 else None
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for w in _chunks(batches):
+            go = w.left > 1
+            if often is not None:
+                at = w.pairs() & ((1 << TABLE_BITS) - 1)
+                go &= (often.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            size, on = np.ones(len(w.ids), np.int64), go.copy()
+            for i in range(1, words):
+                size += on
+                on = on & np.append(go[i:], np.zeros(min(i, len(go)), bool))
+            for m in range(1, words + 1):
+                start = np.flatnonzero(size == m)
+                key = w.lang[start]
+                for i in range(m):
+                    key = np.unique(key, return_inverse=True)[1] * len(w.words) + w.ids[start + i]
+                _key, first, n = np.unique(key, return_index=True, return_counts=True)
+                first = start[first]
+                text = [b" ".join(w.words[j] for j in w.ids[i : i + m]) for i in first]
+                lang = [w.langs[i] for i in w.lang[first]]
+                yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(text, pa.binary()), pa.array(np.full(len(n), m, np.int32)), pa.array(n)], names=["lang", "gram", "size", "c"])
+
+    counted = texts.mapInArrow(grams, "lang string, gram binary, size int, c long").select("lang", F.col("gram").cast("string").alias("gram"), "size", "c")
+    return counted.groupBy("lang", "gram", "size").agg(F.sum("c").alias("c"))
 
 
 def shorter(grams: DataFrame, k: int) -> DataFrame:
@@ -92,8 +197,8 @@ def collocations(docs: DataFrame, min_count: int = 10, words: int = 3, top: int
 
     Texts are lower-cased (A-Z), split into pieces and words; everything is counted per lang, null as ``und``. Grams of
     ``words`` words are edges between nodes of one word less. Edge counts, and the corrections for pieces that end, are
-    aggregated once; all shorter counts follow from them, by the flow of each node. Edges with at least min_count
-    occurrences make the graph whose unary paths are compacted; a phrase drops out if a longer candidate around it has at
+    aggregated once, with pairs rarer than min_count contracted; all shorter counts follow from them, by the flow of each
+    node. Edges with at least min_count occurrences make the graph whose unary paths are compacted; a phrase drops out if a longer candidate around it has at
     least share percent of its count, which is read off the paths.
 
     score: floor(1,000,000 a² / (l r)) of the cut that makes it least (ties: the first), in decimals of 38 digits. Order:
@@ -103,7 +208,7 @@ def collocations(docs: DataFrame, min_count: int = 10, words: int = 3, top: int
     if words < 2:
         raise ValueError("phrases have two words or more")
     with passing(docs.sparkSession):
-        levels = {words: materialise(edges(docs, words, lang_col, text_col), "edges")}
+        levels = {words: materialise(edges(docs, words, min_count, lang_col, text_col), "edges")}
         for k in range(words - 1, 0, -1):
             levels[k] = materialise(shorter(levels[k + 1], k), "counts")
         total = materialise(levels[1].groupBy("lang").agg(F.sum("c").alias("n")), "totals")

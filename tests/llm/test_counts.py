@@ -133,6 +133,7 @@ def test_collocations_equal_brute_force(spark, words, least, top):
 
 def test_collocations_of_odd_rows(spark, prose, monkeypatch):
     monkeypatch.setattr(collocations, "PATH_EDGES", 7)
+    monkeypatch.setattr(collocations, "CHUNK_BYTES", 50)
     rows = [(None, "New York is big. new york"), ("en", None), ("en", ""), ("en", " \t "), ("und", "new york, new york!"), ("en", "a a a a a a a"), ("en", "a b c a b c a b c a"), ("en", "x\x0by z\x0cx y z " * 3), ("en", "é é é É"), ("de", prose(1, 60)), ("de", prose(1, 60)), ("de", prose(1, 6_000))]
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "lang string, text string, n int, phrase string")
     got = collocations.collocations(docs, min_count=2)
