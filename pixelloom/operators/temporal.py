@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,30 +53,97 @@ def composite(df: DataFrame, bands: Sequence[str], period: str, reducer: str = "
     return df.groupBy(*keys, period_start(F.col(t), period).alias("period")).agg(*[f(F.col(b)).alias(b) for b in bands]).withColumnRenamed("period", t)
 
 
+def calendar(start: str, stop: str, period: str) -> list[date]:
+    """First days of the periods that days from start up to stop are in; worked out on the driver."""
+    first, last = date.fromisoformat(start), date.fromisoformat(stop) - timedelta(1)
+    if period in ("day", "week"):
+        step = 7 if period == "week" else 1
+        first -= timedelta(first.weekday() if period == "week" else 0)
+        return [first + timedelta(i) for i in range(0, (last - first).days + 1, step)]
+    months = [(y, m) for y in range(first.year - 1, last.year + 1) for m in range(1, 13)]
+    starts = {
+        "month": [date(y, m, 1) for y, m in months], "P1M": [date(y, m, 1) for y, m in months], "year": [date(y, 1, 1) for y, m in months if m == 1],
+        "season": [date(y, m, 1) for y, m in months if m % 3 == 0], "dekad": [date(y, m, d) for y, m in months for d in (1, 11, 21)],
+    }
+    if period not in starts:
+        raise ValueError(f"period must be one of {PERIODS}")
+    found = starts[period]
+    begin = max((i for i, d in enumerate(found) if d <= first), default=0)
+    return [d for d in found[begin:] if d <= last]
+
+
+def _place(t: Column, first: date, period: str) -> Column:
+    """How many periods t, the first day of one, lies after the period that begins with first."""
+    months = (F.year(t) - first.year) * 12 + F.month(t) - first.month
+    if period in ("day", "week"):
+        return F.floor(F.datediff(t, F.lit(first)) / (7 if period == "week" else 1)).cast("int")
+    if period == "dekad":
+        return (months * 3 + F.floor(F.dayofmonth(t) / 10) - first.day // 10).cast("int")
+    return F.floor(months / {"year": 12, "season": 3}.get(period, 1)).cast("int")
+
+
+def pack(df: DataFrame, keys: Sequence[str], first: Sequence[str | Column], where: Column | None = None) -> DataFrame:
+    """(keys, s): one row for each pixel, s its rows as structs in the order of ``first`` and the other columns; no shuffle of its own after one by the keys."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in keys and c not in first]
+    row = F.struct(*first, *rest)
+    return df.groupBy(*keys).agg(F.array_sort(F.collect_list(row if where is None else F.when(where, row))).alias("s"))
+
+
 def densify(df: DataFrame, start: str, stop: str, period: str, t: str = "t", keys: Sequence[str] = PIXEL) -> DataFrame:
-    """df with a row for every pixel and every period from start up to stop; bands are null where there was none."""
-    spark = df.sparkSession
-    days = spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(start)), F.date_sub(F.to_date(F.lit(stop)), 1))).alias("d"))
-    calendar = days.select(period_start(F.col("d"), period).alias(t)).distinct()
-    every = df.select(*keys).distinct().withColumn(t, F.explode(F.array(*[F.lit(r[0]) for r in calendar.orderBy(t).collect()])))  # a value for each period of the extent
-    return every.join(df, [*keys, t], "left")
+    """df with a row for every pixel and every period from start up to stop; bands are null where there was none.
+
+    A pixel's rows are packed into one by a single shuffle; the periods between two of its times are cut out of the
+    calendar, so no table of pixels and periods is made or joined. Rows off the calendar drop out; times stay dates.
+    """
+    days = calendar(start, stop, period)
+    others = [c for c in df.columns if c not in keys and c != t]
+    kinds = {f.name: f.dataType for f in df.schema}
+    if not days:
+        return df.limit(0)
+    place = _place(F.to_date(t), days[0], period)
+    on = F.col(t).isNotNull() & (period_start(F.col(t), period) == F.col(t)) & place.between(0, len(days) - 1)
+    packed = pack(df.select(*keys, place.alias("_i"), F.to_date(t).alias(t), *others), keys, ["_i", t], on)
+    every = F.array(*map(F.lit, days))
+    blank = lambda d: F.struct(d.alias(t), *[F.lit(None).cast(kinds[c]).alias(c) for c in others])
+    own = lambda p: F.struct(p[t].alias(t), *[p[c].alias(c) for c in others])
+    cut = lambda i, n: F.transform(F.slice(every, i + 1, F.greatest(n, F.lit(0))), blank)
+    known = F.transform("s", lambda p, k: F.concat(F.array(own(p)), cut(p["_i"] + 1, F.coalesce(F.get("s", k + 1)["_i"], F.lit(len(days))) - p["_i"] - 1)))
+    filled = F.concat(cut(F.lit(0), F.coalesce(F.get("s", F.lit(0))["_i"], F.lit(len(days)))), F.flatten(known))
+    return packed.select(*keys, F.inline(filled)).select(*df.columns)
+
+
+def fill_linear(at: Column, v: Column) -> Column:
+    """The array v with nulls between two values filled linearly along the array at; linear in their length.
+
+    Between one known value and the next a run of values is worked out; the runs are put together.
+    """
+    points = F.filter(F.transform(v, lambda x, i: F.struct(i.alias("i"), F.get(at, i).alias("at"), x.cast("double").alias("v"))), lambda p: p["v"].isNotNull())
+
+    def runs(known: Column) -> Column:
+        def run(a: Column, k: Column) -> Column:
+            b = F.get(known, k + 1)
+            inner = F.transform(F.slice(at, a["i"] + 2, F.greatest(b["i"] - a["i"] - 1, F.lit(0))), lambda x: a["v"] + (b["v"] - a["v"]) * F.try_divide(x - a["at"], b["at"] - a["at"]))
+            return F.when(b.isNull(), F.array(a["v"])).otherwise(F.concat(F.array(a["v"]), inner))
+
+        none = lambda n: F.array_repeat(F.lit(None).cast("double"), n.cast("int"))
+        last = F.get(known, F.size(known) - 1)["i"]
+        return F.when(F.size(known) == 0, none(F.size(v))).otherwise(F.concat(none(F.get(known, F.lit(0))["i"]), F.flatten(F.transform(known, run)), none(F.size(v) - 1 - last)))
+
+    return F.transform(F.array(points), runs)[0]
 
 
 def interpolate(df: DataFrame, bands: Sequence[str], t: str = "t", keys: Sequence[str] = PIXEL, on_time: bool = False) -> DataFrame:
-    """Fill nulls between two values linearly by position (or by time); nulls before the first and after the last stay."""
-    order = Window.partitionBy(*keys).orderBy(t)
-    at = F.unix_timestamp(F.col(t).cast("timestamp")).cast("double") if on_time else F.col("_at").cast("double")
-    numbered = df if on_time else df.withColumn("_at", F.row_number().over(order))
-    back, ahead = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
-    known = {b: F.when(F.col(b).isNotNull(), F.struct(at.alias("at"), F.col(b).cast("double").alias("v"))) for b in bands}
-    around = numbered.select("*", *[F.last(k, True).over(back).alias(f"_{b}_a") for b, k in known.items()], *[F.first(k, True).over(ahead).alias(f"_{b}_b") for b, k in known.items()])
-
-    def value(b: str) -> Column:
-        lo, hi = F.col(f"_{b}_a"), F.col(f"_{b}_b")
-        between = lo["v"] + (hi["v"] - lo["v"]) * F.try_divide(at - lo["at"], hi["at"] - lo["at"])
-        return F.coalesce(F.col(b).cast("double"), F.when(lo.isNotNull() & hi.isNotNull(), between)).alias(b)
-
-    return around.select(*[value(c) if c in bands else F.col(c) for c in df.columns])
+    """Fill nulls between two values linearly by position (or by time); nulls before the first and after the last stay.
+
+    A pixel's rows are packed into arrays of times and bands by one shuffle; time is linear in the length of its series.
+    """
+    packed = pack(df, keys, [t])
+    at = F.transform("s", (lambda p: F.unix_timestamp(p[t].cast("timestamp")).cast("double")) if on_time else (lambda p, i: i.cast("double")))
+    arrays = packed.select(*keys, "s", at.alias("_at"))
+    filled = arrays.select(*keys, "s", *[fill_linear(F.col("_at"), F.col(f"s.`{b}`")).alias(f"_f{i}") for i, b in enumerate(bands)])
+    row = F.explode(F.arrays_zip("s", *[f"_f{i}" for i in range(len(bands))])).alias("r")
+    value = lambda c: F.col(f"r._f{list(bands).index(c)}").alias(c) if c in bands else F.col(f"r.s.`{c}`").alias(c)
+    return filled.select(*keys, row).select(*[F.col(c) if c in keys else value(c) for c in df.columns])
 
 
 # Names and order of the statistics of a feature cube.

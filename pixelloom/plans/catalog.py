@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pixelloom.plans import queries_cube, queries_grid, queries_pixel, queries_table, queries_warp  # noqa: F401  (they register)
+from pixelloom.plans import queries_cube, queries_grid, queries_pixel, queries_polygon, queries_table, queries_warp  # noqa: F401  (they register)
 from pixelloom.plans.registry import ORACLES, QUERIES
 
 

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pixelloom.operators.polygons import rings_of
+
 GEOJSON = "type string, features array<struct<type:string, id:string, geometry:struct<type:string, coordinates:string>, properties:map<string,string>>>"
 # The kinds of a valid GeoJSON object.
 GEOMETRIES = ("Point", "MultiPoint", "LineString", "MultiLineString", "Polygon", "MultiPolygon")
@@ -18,10 +20,11 @@ def read_points_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """(path, id, geometry type, coordinates as JSON, properties): a row for each feature of every file under path."""
+    """(path, id, geometry type, coordinates as JSON, rings, properties): a row for each feature of every file under path; rings of polygons only."""
     text = spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name())
     f = text.select("path", F.explode(F.from_json("value", GEOJSON)["features"]).alias("f"))
-    return f.select("path", F.col("f.id").alias("id"), F.col("f.geometry.type").alias("geometry"), F.col("f.geometry.coordinates").alias("coordinates"), F.col("f.properties").alias("properties"))
+    kind, coordinates = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
+    return f.select("path", F.col("f.id").alias("id"), kind.alias("geometry"), coordinates.alias("coordinates"), rings_of(kind, coordinates).alias("rings"), F.col("f.properties").alias("properties"))
 
 
 def is_valid_geojson(text: Column) -> Column:

@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -248,3 +249,30 @@ def test_counts_of_null_groups_and_lists(spark):
     assert sorted((str(r.k), r.n) for r in jobs.with_count(df, F.col("k"), "n").collect()) == [("None", 2), ("None", 2), ("a", 2), ("a", 2), ("b", 1)]
     raw = spark.createDataFrame([("['l'Orme', 'b c']",), ('["l\'Orme"]',), ("x, y",), ("[]",), ('["a\'", "b"]',)], "s string")
     assert [r[0] for r in raw.select(text.parse_list(F.col("s"))).collect()] == [["l'Orme", "b c"], ["l'Orme"], ["x", "y"], [], ["a'", "b"]]
+
+
+@pytest.mark.parametrize("period", temporal.PERIODS)
+def test_calendar_and_densify_equal_days_one_by_one(spark, period):
+    start, stop = "1999-11-14", "2001-03-03"
+    days = spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(start)), F.date_sub(F.to_date(F.lit(stop)), 1))).alias("d"))
+    want = [r.t for r in days.select(temporal.period_start(F.col("d"), period).alias("t")).distinct().orderBy("t").collect()]
+    assert temporal.calendar(start, stop, period) == want
+    rows = [(1, 1, want[i], float(i), "k") for i in {0, 1, 3 % len(want), len(want) - 1}] + [(2, 1, want[0], 7.0, None), (2, 1, want[0], 8.0, None), (3, 1, None, 1.0, "x"), (3, 1, dt.date(1990, 1, 1), 1.0, "x")]
+    df = spark.createDataFrame(rows, "x int, y int, t date, b double, note string")
+    every = {(x, 1, d): [] for x in (1, 2, 3) for d in want}
+    for x, y, d, b, note in rows:
+        if (x, y, d) in every:
+            every[x, y, d].append((b, note))
+    got = sorted(((r.x, r.y, r.t, r.b, r.note) for r in temporal.densify(df, start, stop, period).collect()), key=str)
+    assert got == sorted(((*k, *v) for k, vs in every.items() for v in vs or [(None, None)]), key=str)
+
+
+def test_interpolation_is_one_shuffle_and_keeps_other_columns(spark):
+    rows = [(1, 1, i, None if i % 3 else float(i * i), None if i < 2 else float(i), str(i)) for i in range(10)]
+    df = spark.createDataFrame(rows, "x int, y int, t int, a double, b double, note string")
+    out = temporal.interpolate(df, ["a", "b"])
+    assert [(r.t, r.a, r.b, r.note) for r in out.orderBy("t").collect()] == [(i, float(np.interp(i, [0, 3, 6, 9], [0, 9, 36, 81])), None if i < 2 else float(i), str(i)) for i in range(10)]
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert out.columns == df.columns and temporal.interpolate(df.where("false"), ["a"]).count() == 0
+    alone = temporal.interpolate(df.withColumn("a", F.lit(None).cast("double")), ["a"])
+    assert alone.where("a IS NOT NULL").count() == 0 and alone.count() == 10
