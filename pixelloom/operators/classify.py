@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -74,48 +76,84 @@ def minmax(df: DataFrame, bands: Sequence[str], chunk: Sequence[str] = ()) -> Da
     return joined.select(*[scaled(c) if c in bands else F.col(c) for c in df.columns])
 
 
-#: Bins of one pass over a band; a bin of at most so many distinct values is read to the end.
-BINS = 4096
+#: Bins of a counting pass, and accuracy of the sketch that brackets the wanted ranks before it.
+BINS, ACCURACY = 4096, 10_000
 
 
-def _value_at(values: DataFrame, rank: int) -> float:
-    """The value at a rank (from 0) of the one column v: passes of counts by bins narrow down the range that holds it."""
-    while True:
-        lo, hi = values.agg(F.min("v"), F.max("v")).first()
-        if lo == hi:
-            return lo
-        bins = F.least(F.floor((F.col("v") - lo) / ((hi - lo) / BINS)), F.lit(BINS - 1))
-        for r in values.groupBy(bins.alias("bin")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("bin").collect():  # at most BINS rows
-            if rank < r.n:
-                break
-            rank -= r.n
-        if r.lo == r.hi:
-            return r.lo
-        values = values.where(F.col("v").between(r.lo, r.hi))
+def exact_percentiles_of(df: DataFrame, bands: Sequence[str], shares: Sequence[float]) -> dict[str, list[float] | None]:
+    """Percentiles with linear interpolation of all bands together; None for a band without finite values.
+
+    Null, NaN and infinite values take no part. One scan merges a quantile sketch of every band, which brackets the wanted
+    ranks. The next counts, in one aggregation for all bands and ranks, what is below each bracket and in BINS bins of it,
+    with each bin's least and greatest value; where these differ for a wanted bin it becomes the bracket of another scan, so
+    two scans do for values of limited digits; at most BINS values of a bracket are read as they are. A bracket that misses its rank falls back to the whole range: the result
+    doesn't rest on the sketch. A scan always parts the ends of a bracket, so it comes to an end. Only counts leave the tasks.
+    """
+    values = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("band"), F.col(f"`{b}`").cast("double").alias("v")) for i, b in enumerate(bands)])).alias("r")).select("r.band", "r.v")
+    values = values.where(F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") < float("inf"))).withColumn("v", F.col("v") + 0.0)
+    around = [min(1.0, max(0.0, p + e)) for p in shares for e in (-3 / ACCURACY, 3 / ACCURACY)]
+    sketch = F.percentile_approx("v", F.array(*map(F.lit, around)), ACCURACY).alias("q")
+    found = {r.band: r for r in values.groupBy("band").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), sketch).collect()}  # a row for each band
+    bracket: dict[tuple[int, int], tuple[float, float]] = {}  # of each band and rank
+    for band, r in found.items():
+        for i, p in enumerate(shares):
+            for rank in (int(p * (r.n - 1)), min(int(p * (r.n - 1)) + 1, r.n - 1)):
+                bracket[band, rank] = (r.q[2 * i], r.q[2 * i + 1])
+    sure: set[tuple[int, int]] = set()
+    few: dict[tuple[int, int], int] = {}  # places among the values of small brackets
+    while open_ := sorted({(band, *bracket[band, rank]) for band, rank in bracket if (band, rank) not in sure}):
+        ranges = F.array(*[F.struct(F.lit(b).alias("band"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"), F.lit(k).alias("k")) for k, (b, lo, hi) in enumerate(open_)])
+        met = values.select("v", F.explode(F.filter(ranges, lambda r: (r["band"] == F.col("band")) & (F.col("v") <= r["hi"]))).alias("r"))
+        v, lo, hi = F.col("v"), F.col("r.lo"), F.col("r.hi")
+        share = F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2)  # halves: the width may be more than a double holds
+        bins = F.when(v < lo, -1).when(share.isNull(), (v > lo).cast("int")).otherwise(F.least(F.floor(share * BINS), F.lit(BINS - 1)))
+        counts: dict[int, list] = {}
+        binned = met.groupBy("r.k", bins.alias("bin")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()  # BINS for each bracket
+        for r in sorted(binned, key=lambda r: (r.k, r.bin)):
+            counts.setdefault(r.k, []).append(r)
+        for band, rank in set(bracket) - sure:
+            left, hit = rank, None
+            for r in counts.get(open_.index((band, *bracket[band, rank])), []):
+                if left < r.n:
+                    hit = r
+                    break
+                left -= r.n
+            if hit is None or hit.bin < 0:
+                bracket[band, rank] = (found[band].lo, found[band].hi)
+                continue
+            bracket[band, rank] = (hit.lo, hit.hi)
+            if hit.lo == hit.hi or hit.n <= BINS:
+                sure.add((band, rank))
+                few |= {(band, rank): left} if hit.lo < hit.hi else {}
+    if few:
+        spans = {(band, *bracket[band, rank]) for band, rank in few}
+        met = values.where(functools.reduce(operator.or_, [(F.col("band") == b) & F.col("v").between(lo, hi) for b, lo, hi in sorted(spans)])).collect()  # BINS for each bracket at most
+        for (band, rank), left in few.items():
+            lo, hi = bracket[band, rank]
+            bracket[band, rank] = (sorted(r.v for r in met if r.band == band and lo <= r.v <= hi)[left],) * 2
+    out: dict[str, list[float] | None] = {}
+    for i, b in enumerate(bands):
+        out[b] = None if i not in found else []
+        for p in shares if i in found else ():
+            x = p * (found[i].n - 1)
+            lo, hi = bracket[i, int(x)][0], bracket[i, min(int(x) + 1, found[i].n - 1)][0]
+            out[b].append(lo + (hi - lo) * (x - int(x)) if x > int(x) else lo)
+    return out
 
 
 def exact_percentiles(df: DataFrame, band: str, shares: Sequence[float]) -> list[float] | None:
-    """Percentiles with linear interpolation; None without values. Only counts by bins leave the tasks, however many values there are."""
-    values = df.select(F.col(band).cast("double").alias("v")).where("v IS NOT NULL")
-    n = values.count()
-    if not n:
-        return None
-    out = []
-    for p in shares:
-        at = p * (n - 1)
-        a = _value_at(values, int(at))
-        b = _value_at(values, min(int(at) + 1, n - 1)) if at > int(at) else a
-        out.append(a + (b - a) * (at - int(at)))
-    return out
+    """exact_percentiles_of one band."""
+    return exact_percentiles_of(df, [band], shares)[band]
 
 
 def percentile_stretch(df: DataFrame, bands: Sequence[str], low: float = 0.02, high: float = 0.98) -> DataFrame:
-    """Bands clipped to two percentiles and scaled to 0 to 1."""
-    edges = {b: exact_percentiles(df, b, (low, high)) or (0.0, 0.0) for b in bands}
+    """Bands clipped to two percentiles of their finite values and scaled to 0 to 1; infinite values are clipped too, NaN becomes null."""
+    edges = exact_percentiles_of(df, bands, (low, high))
 
     def stretched(b: str) -> Column:
-        lo, hi = map(F.lit, edges[b])
-        return F.when(F.col(b).isNotNull(), F.try_divide(F.least(F.greatest(F.col(b).cast("double"), lo), hi) - lo, hi - lo)).alias(b)
+        lo, hi = map(F.lit, edges[b] or (0.0, 0.0))
+        v = F.nanvl(F.col(b).cast("double"), F.lit(None).cast("double"))
+        return F.when(v.isNotNull(), F.try_divide(F.least(F.greatest(v, lo), hi) - lo, hi - lo)).alias(b)
 
     return df.select(*[stretched(c) if c in bands else F.col(c) for c in df.columns])
 

@@ -29,14 +29,35 @@ def convolve_disk(pixels: DataFrame, flag: str, radius: int, keys: Sequence[str]
     return rows.withColumn("n", F.sum("d").over(along)).where("own").select(*keys, "x", "y", "n")
 
 
+def flagged_runs(pixels: DataFrame, flag: str, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, y, west, east): the runs of neighbouring flagged pixels of each row."""
+    row = Window.partitionBy(*keys, "y").orderBy("x")
+    on = pixels.where(F.col(flag)).select(*keys, "y", "x").distinct()
+    return on.withColumn("_run", F.col("x") - F.row_number().over(row)).groupBy(*keys, "y", "_run").agg(F.min("x").alias("west"), F.max("x").alias("east")).drop("_run")
+
+
 def dilate_disk(pixels: DataFrame, flag: str, radius: int, keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, x, y, flag): true where a flagged pixel lies within the disk."""
-    return convolve_disk(pixels, flag, radius, keys).select(*keys, "x", "y", (F.col("n") > 0).alias(flag))
+    """(keys, x, y, flag): true where a flagged pixel lies within the disk x² + y² <= radius².
+
+    Flagged pixels are joined to runs along their rows first. A run reaches, in each row that its disks meet, from its west
+    end less the disk's half width to its east end more that; runs that touch in a row are one there. Work is runs x
+    (2 radius + 1), however wide they are. Absent pixels count as not flagged, and don't stand in the way.
+    """
+    half = F.array(*[F.lit(math.isqrt(radius * radius - dy * dy)) for dy in range(-radius, radius + 1)])
+    runs = flagged_runs(pixels, flag, keys)
+    reach = runs.select(*keys, "y", "west", "east", F.posexplode(half).alias("i", "w"))
+    ends = F.array(F.struct((F.col("west") - F.col("w")).alias("x"), F.lit(1).alias("d")), F.struct((F.col("east") + F.col("w") + 1).alias("x"), F.lit(-1).alias("d")))
+    edges = reach.select(*keys, (F.col("y") + F.col("i") - radius).cast("int").alias("y"), F.explode(ends).alias("e"))
+    edges = edges.groupBy(*keys, "y", F.col("e.x").alias("x")).agg(F.sum("e.d").alias("d"))
+    here = pixels.select(*keys, "y", "x", F.lit(0).cast("long").alias("d"), F.lit(True).alias("own"))
+    both = here.unionByName(edges.withColumn("own", F.lit(False)))
+    along = Window.partitionBy(*keys, "y").orderBy("x").rangeBetween(Window.unboundedPreceding, 0)
+    return both.withColumn(flag, F.sum("d").over(along) > 0).where("own").select(*keys, "x", "y", flag)
 
 
 def erode_disk(pixels: DataFrame, flag: str, radius: int, keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, x, y, flag): true where no unflagged pixel of the table lies within the disk."""
-    off = pixels.select(*keys, "x", "y", (~F.col(flag)).alias(flag))
+    """(keys, x, y, flag): true where no unflagged pixel of the table lies within the disk; a null flag counts as unflagged."""
+    off = pixels.select(*keys, "x", "y", (~F.coalesce(F.col(flag), F.lit(False))).alias(flag))
     return dilate_disk(off, flag, radius, keys).withColumn(flag, ~F.col(flag))
 
 
@@ -71,9 +92,9 @@ def satio_mask(scl: DataFrame, keys: Sequence[str] = (), erode: int = 3, dilate:
 def two_mask(cells: DataFrame, code: str, keep: Sequence[int], bad: Sequence[int], kernels: tuple[int, int] = (17, 77), erosion: int = 3, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, x, y, mask): classes outside keep, eroded and grown by the first kernel, or in bad, by the second.
 
-    Both go through one chain, told apart by the kernel.
+    A null class is in neither: it masks nothing, and keeps what is around it from standing after the erosion. Both go through one chain, told apart by the kernel.
     """
-    flags = [(kernels[0], ~F.col(code).isin(*keep)), (kernels[1], F.col(code).isin(*bad))]
+    flags = [(kernels[0], F.coalesce(~F.col(code).isin(*keep), F.lit(False))), (kernels[1], F.coalesce(F.col(code).isin(*bad), F.lit(False)))]
     both = F.array(*[F.struct(F.lit(k).alias("kernel"), F.lit(i).alias("kind"), f.alias("mask")) for i, (k, f) in enumerate(flags)])
     kinds = cells.select(*keys, "x", "y", F.explode(both).alias("m")).select(*keys, "m.kernel", "m.kind", "x", "y", "m.mask")
     own = [*keys, "kernel", "kind"]

@@ -276,3 +276,51 @@ def test_interpolation_is_one_shuffle_and_keeps_other_columns(spark):
     assert out.columns == df.columns and temporal.interpolate(df.where("false"), ["a"]).count() == 0
     alone = temporal.interpolate(df.withColumn("a", F.lit(None).cast("double")), ["a"])
     assert alone.where("a IS NOT NULL").count() == 0 and alone.count() == 10
+
+
+@pytest.mark.parametrize("extra", [[], [float("inf")], [float("-inf"), float("nan")], [None, float("nan")]])
+@pytest.mark.parametrize("finite", [[1.0, 2.0, 3.0], [5e-324, 0.0, -5e-324, 1e-323], [-1.7e308, 1.7e308, 0.0, 3.0], [7.0] * 5, [10.0**i for i in range(-300, 300, 7)], [i % 97 / 7 for i in range(4000)]])
+def test_percentiles_end_and_are_exact(spark, finite, extra):
+    df = spark.createDataFrame([(v, v if i % 2 else None) for i, v in enumerate([*finite, *extra])], "a double, b double")
+    shares = (0.0, 0.02, 0.5, 0.98, 1.0)
+    got = classify.exact_percentiles_of(df, ["a", "b"], shares)
+    for band, values in (("a", finite), ("b", [v for i, v in enumerate([*finite, *extra]) if i % 2 and v is not None and np.isfinite(v)])):
+        ordered, want = sorted(values), []
+        for p in shares:
+            x = p * (len(ordered) - 1)
+            lo, hi = ordered[int(x)], ordered[min(int(x) + 1, len(ordered) - 1)]
+            want.append(lo + (hi - lo) * (x - int(x)) if x > int(x) else lo)
+        assert got[band] == want
+
+
+def test_percentiles_take_two_scans(spark):
+    df = spark.range(100_000).select((F.col("id") % 1000).cast("double").alias("a"), (F.col("id") % 77).cast("double").alias("b"))
+    jobs, group = spark.sparkContext, "percentiles-scans"
+    jobs.setJobGroup(group, "count jobs")
+    try:
+        got = classify.exact_percentiles_of(df, ["a", "b"], (0.02, 0.98))
+        assert got["a"] == pytest.approx([19.98, 979.02]) and got["b"] == [1.0, 75.0]
+        assert len(jobs.statusTracker().getJobIdsForGroup(group)) <= 5  # of two scans, each in a stage before its result
+    finally:
+        jobs._jsc.clearJobGroup()
+    none = classify.exact_percentiles_of(df.select(F.lit(float("nan")).alias("a"), "b").limit(3), ["a"], (0.5,))
+    assert none == {"a": None}
+    out = classify.percentile_stretch(spark.createDataFrame([(1, 1.0), (2, 3.0), (3, float("inf")), (4, float("nan")), (5, None)], "x int, a double"), ["a"], 0.0, 1.0)
+    assert [r.a for r in out.orderBy("x").collect()] == [0.0, 1.0, 1.0, None, None]
+
+
+def test_null_classes_mask_nothing(spark):
+    cells = spark.createDataFrame([(0, 0, None), (20, 0, 4), (30, 0, 4), (100, 0, 4), (200, 0, 9)], "x int, y int, scl int")
+    got = {r.x: r.mask for r in spatial.two_mask(cells, "scl", pixel.SCL_KEEP, pixel.SCL_CLOUDY).collect()}
+    assert got == {0: False, 20: False, 30: False, 100: False, 200: True}
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3, 9])
+def test_disks_over_gaps_equal_all_pairs(spark, radius):
+    cells = [(x, y, k, (x * 5 + y * 3 + k) % 7 < 2 or x in (20, 21, 22)) for k in (1, 2) for x in range(-5, 30) for y in range(25) if (x * x + 3 * y + k) % 5]
+    df = spark.createDataFrame(cells, "x int, y int, k int, f boolean")
+    near = lambda a, b: a[2] == b[2] and (a[0] - b[0]) ** 2 + (a[1] - b[1]) ** 2 <= radius**2
+    grown = {a[:3]: any(b[3] and near(a, b) for b in cells) for a in cells}
+    shrunk = {a[:3]: all(b[3] or not near(a, b) for b in cells) for a in cells}
+    assert {(r.x, r.y, r.k): r.f for r in spatial.dilate_disk(df, "f", radius, ["k"]).collect()} == grown
+    assert {(r.x, r.y, r.k): r.f for r in spatial.erode_disk(df, "f", radius, ["k"]).collect()} == shrunk
