@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +18,10 @@ from pixelloom.llm.common import materialise, passing, small_side
 #: Edges at most in one row of a compacted path; a longer one continues in another row.
 PATH_EDGES = 4096
 #: Bytes of text that a task takes apart at a time; a longer text is taken alone.
-CHUNK_BYTES = 8 << 20
-#: Word pairs are counted by hashes of so many bits. Those that are frequent set a bit in a table of 2^TABLE_BITS bits, which
-#: every task holds. A bit set by another pair too costs work, not truth.
-HASH_BITS, TABLE_BITS = 40, 28
+CHUNK_BYTES = 2 << 20
+#: Words and pairs are counted by hashes of so many bits. Those that are frequent set a bit in a table of 2^TABLE_BITS bits,
+#: which every task holds. A bit set by another one too costs work, not truth.
+HASH_BITS, TABLE_BITS = 40, 27
 PAGE = 4096
 # Pieces of a text end at these, words at blanks and tabs.
 PIECE_END, BLANK = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -44,28 +45,48 @@ class Words:
                 ends.append(len(words))
             lang_ends.append(len(words))
         coded = pa.array(words, pa.binary()).dictionary_encode()
-        self.ids, self.words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        self.ids, self.words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        del words, coded
         self.langs = sorted({x or "und" for x in langs})
         number = {x: i for i, x in enumerate(self.langs)}
         counts = np.diff(np.array([0, *lang_ends]))
         self.lang = np.repeat(np.array([number[x or "und"] for x in langs], np.int64), counts)
         ends = np.array(ends, np.int64)
-        self.left = ends[np.searchsorted(ends, np.arange(len(words)), side="right")] - np.arange(len(words)) if len(words) else np.zeros(0, np.int64)
+        self.left = ends[np.searchsorted(ends, np.arange(len(self.ids)), side="right")] - np.arange(len(self.ids)) if len(self.ids) else np.zeros(0, np.int64)
 
-    def pairs(self) -> np.ndarray:
-        """A hash of each word, the next, and the language; of no use where a piece ends."""
-        h = np.array([xxh64_intdigest(w) for w in self.words], np.uint64)[self.ids]
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word and its language, and of the word, the next and the language, of no use where a piece ends."""
+        h = np.array([xxh64_intdigest(w) for w in self.words.to_pylist()], np.uint64)[self.ids]
         lang = np.array([xxh64_intdigest(x.encode()) for x in self.langs], np.uint64)[self.lang]
-        mixed = (h * np.uint64(0x9E3779B97F4A7C15) + np.roll(h, -1)) * np.uint64(0xC2B2AE3D27D4EB4F) ^ lang
-        mixed ^= mixed >> np.uint64(29)
-        mixed *= np.uint64(0x165667B19E3779F9)
-        return (mixed >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+
+        def mixed(x: np.ndarray) -> np.ndarray:
+            x = x * np.uint64(0xC2B2AE3D27D4EB4F) ^ lang
+            x ^= x >> np.uint64(29)
+            return (x * np.uint64(0x165667B19E3779F9) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+
+        return mixed(h), mixed(h * np.uint64(0x9E3779B97F4A7C15) + np.roll(h, -1))
+
+    def grams(self, start: np.ndarray, m: int) -> pa.RecordBatch:
+        """(lang, gram, size, c) of the grams of m words from each of start on."""
+        key, room = self.lang[start], len(self.langs)
+        for i in range(m):
+            if room * len(self.words) >= 1 << 62:
+                values, key = np.unique(key, return_inverse=True)
+                room = len(values)
+            key, room = key * len(self.words) + self.ids[start + i], room * len(self.words)
+        first, n = np.unique(key, return_index=True, return_counts=True)[1:]
+        first = start[first]
+        parts = [self.words.take(pa.array(self.ids[first + i])) for i in range(m)]
+        gram = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())) if m else pa.array([b""] * len(n), pa.binary())
+        lang = pa.array(self.langs, pa.string()).take(pa.array(self.lang[first]))
+        return pa.RecordBatch.from_arrays([lang, gram, pa.array(np.full(len(n), m, np.int32)), pa.array(n)], names=["lang", "gram", "size", "c"])
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
     for b in batches:
         langs, texts, size = [], [], 0
-        for lang, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        for lang, raw in zip(b.column(0), b.column(1), strict=True):
+            lang, raw = lang.as_py(), raw.as_py()
             langs.append(lang)
             texts.append(raw)
             size += len(raw or b"")
@@ -76,12 +97,13 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
             yield Words(langs, texts)
 
 
-def frequent_pairs(texts: DataFrame, min_count: int) -> Broadcast:
-    """A table of bits of all pairs of words, by language, that occur min_count times, and of few others. texts: (lang, raw)."""
+def frequent(texts: DataFrame, min_count: int) -> Broadcast:
+    """A table of bits of all words and pairs of words, by language, that occur min_count times, and of few others. texts: (lang, raw)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in _chunks(batches):
-            h, n = np.unique(w.pairs()[w.left > 1], return_counts=True)
+            word, pair = w.hashes()
+            h, n = np.unique(np.concatenate([word, pair[w.left > 1]]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], names=["h", "n"])
 
     def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,33 +129,31 @@ def edges(docs: DataFrame, words: int, min_count: int = 1, lang_col: str = "lang
     """(lang, gram, size, c): how often each gram of ``words`` words occurs, an edge of the graph, and corrections.
 
     Every occurrence of a word counts once, in the gram that starts there. Where its piece ends before the gram is full,
-    the shorter gram, size < words, is the correction for the counts of its nodes. So it is where a pair of words that
-    occurs fewer than min_count times would be the next: such nodes are contracted, which keeps the flow of all others
-    whole. Counts are summed in each task first; the frequent pairs are found by a pass over the texts before.
+    the shorter gram, size < words, is the correction for the counts of its nodes. So it is where a word or pair of words
+    that occurs fewer than min_count times would be the next: such nodes are contracted, which keeps the flow of all others
+    whole; a gram of size 0 counts the contracted words. Counts are summed in each task first; what is frequent is found by
+    a pass over the texts before.
     """
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("raw"))
-    often = frequent_pairs(texts, min_count) if min_count > 1 else None
+    often = frequent(texts, min_count) if min_count > 1 else None
+
+    def known(h: np.ndarray) -> np.ndarray:
+        at = h & ((1 << TABLE_BITS) - 1)
+        return (often.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in _chunks(batches):
-            go = w.left > 1
+            go, size = w.left > 1, np.ones(len(w.ids), np.int64)
             if often is not None:
-                at = w.pairs() & ((1 << TABLE_BITS) - 1)
-                go &= (often.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-            size, on = np.ones(len(w.ids), np.int64), go.copy()
+                word, pair = w.hashes()
+                go &= known(pair)
+                size[~known(word) & ~go] = 0
+            on = go
             for i in range(1, words):
                 size += on
                 on = on & np.append(go[i:], np.zeros(min(i, len(go)), bool))
-            for m in range(1, words + 1):
-                start = np.flatnonzero(size == m)
-                key = w.lang[start]
-                for i in range(m):
-                    key = np.unique(key, return_inverse=True)[1] * len(w.words) + w.ids[start + i]
-                _key, first, n = np.unique(key, return_index=True, return_counts=True)
-                first = start[first]
-                text = [b" ".join(w.words[j] for j in w.ids[i : i + m]) for i in first]
-                lang = [w.langs[i] for i in w.lang[first]]
-                yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(text, pa.binary()), pa.array(np.full(len(n), m, np.int32)), pa.array(n)], names=["lang", "gram", "size", "c"])
+            for m in range(words + 1):
+                yield w.grams(np.flatnonzero(size == m), m)
 
     counted = texts.mapInArrow(grams, "lang string, gram binary, size int, c long").select("lang", F.col("gram").cast("string").alias("gram"), "size", "c")
     return counted.groupBy("lang", "gram", "size").agg(F.sum("c").alias("c"))
