@@ -73,31 +73,46 @@ def tile_combinations(candidates: DataFrame, cell: str, tile: str, n: int) -> Da
     return out
 
 
-def assign_tiles(cells: DataFrame, tiles: DataFrame, cell: float, samples: int = 5) -> DataFrame:
-    """(name, match_type, tiles): for each cell the fewest tiles whose boxes cover it.
+def assign_tiles(cells: DataFrame, tiles: DataFrame, cell: float, most: int = 4) -> DataFrame:
+    """(name, match_type, tiles): for each cell the fewest tiles whose boxes cover it, exactly.
 
-    A single tile that contains the cell, first by id; else two, three, or four tiles that together cover a samples x
-    samples lattice of the cell's points, first by ids; else all that meet it. Cells without tiles have no row.
+    A single tile that contains the cell, first by id; else two, three, or four tiles that together cover it, first by
+    ids; else all that meet it. Cells without tiles have no row.
+
+    The sides of a cell's few candidates cut it into elementary rectangles; tiles cover the cell if and only if they hold
+    the middle of each. Candidates that lie within another with a smaller id are left out, then sets are searched by size,
+    each tile taking away the rectangles that it holds. One join by coarse cells, then one row for each cell.
     """
-    lattice = F.array(*[F.lit(i / (samples - 1)) for i in range(samples)])
-    met = box_pairs(cells, "name", tiles, "tile", cell, touch=False)
-    pts = cells.withColumn("fx", F.explode(lattice)).withColumn("fy", F.explode(lattice))
-    pts = pts.select("name", F.struct("fx", "fy").alias("p"), (F.col("west") + (F.col("east") - F.col("west")) * F.col("fx")).alias("px"), (F.col("south") + (F.col("north") - F.col("south")) * F.col("fy")).alias("py"))
-    boxes = tiles.select("tile", *BOX)
-    inside = (F.col("px") >= F.col("west")) & (F.col("px") <= F.col("east")) & (F.col("py") >= F.col("south")) & (F.col("py") <= F.col("north"))
-    hold = met.join(boxes, "tile").join(pts, "name").where(inside).groupBy("name", "tile").agg(F.array_sort(F.collect_set("p")).alias("ps"))
-    hold = met.join(hold, ["name", "tile"], "left").withColumn("ps", F.coalesce("ps", F.array().cast("array<struct<fx:double,fy:double>>")))
-    found = None
-    for n, kind in ((1, "single"), (2, "pair"), (3, "triple"), (4, "quad")):
-        combos = tile_combinations(met, "name", "tile", n)
-        for i in range(1, n + 1):
-            combos = combos.join(hold.select(F.col("name"), F.col("tile").alias(f"t{i}"), F.col("ps").alias(f"p{i}")), ["name", f"t{i}"])
-        union = F.array_distinct(F.flatten(F.array(*[f"p{i}" for i in range(1, n + 1)])))
-        rows = combos.where(F.size(union) == samples * samples).select("name", F.lit(n).alias("n"), F.lit(kind).alias("match_type"), F.array_join(F.array(*[f"t{i}" for i in range(1, n + 1)]), ",").alias("tiles"))
-        found = rows if found is None else found.unionByName(rows)
-    rest = met.groupBy("name").agg(F.array_join(F.array_sort(F.collect_list("tile")), ",").alias("tiles")).select("name", F.lit(9).alias("n"), F.lit("all").alias("match_type"), "tiles")
-    best = Window.partitionBy("name").orderBy("n", "tiles")
-    return found.unionByName(rest).withColumn("_r", F.row_number().over(best)).where("_r = 1").select("name", "match_type", "tiles")
+    met = box_pairs(cells, "name", tiles, "tile", cell, touch=False).join(tiles.select("tile", *BOX), "tile")
+    own = met.groupBy("name").agg(F.array_sort(F.collect_set(F.struct("tile", *BOX))).alias("c")).join(cells.select("name", *BOX), "name")
+    clip = lambda t: F.struct(t["tile"].alias("tile"), F.greatest(t["west"], "west").alias("w"), F.greatest(t["south"], "south").alias("s"), F.least(t["east"], "east").alias("e"), F.least(t["north"], "north").alias("n"))
+    own = own.select("name", "west", "south", "east", "north", F.transform("c", clip).alias("c"))
+    within = lambda t, o: (o["tile"] < t["tile"]) & (o["w"] <= t["w"]) & (o["s"] <= t["s"]) & (o["e"] >= t["e"]) & (o["n"] >= t["n"])
+    own = own.withColumn("k", F.filter("c", lambda t: ~F.exists("c", lambda o: within(t, o))))
+
+    def middles(lo: str, hi: str, first: str, last: str) -> Column:
+        sides = F.array_sort(F.array_distinct(F.concat(F.transform("k", lambda t: t[lo].cast("double")), F.transform("k", lambda t: t[hi].cast("double")), F.array(F.col(first).cast("double"), F.col(last).cast("double")))))
+        return F.transform(F.array(sides), lambda v: F.transform(F.slice(v, 1, F.size(v) - 1), lambda x, i: (x + F.get(v, i + 1)) / 2))[0]
+
+    own = own.withColumn("xs", middles("w", "e", "west", "east")).withColumn("ys", middles("s", "n", "south", "north"))
+    own = own.withColumn("p", F.flatten(F.transform("xs", lambda x: F.transform("ys", lambda y: F.struct(x.alias("x"), y.alias("y"))))))
+    holds = lambda t, p: (p["x"] > t["w"]) & (p["x"] < t["e"]) & (p["y"] > t["s"]) & (p["y"] < t["n"])
+
+    def sets(size: int, after: Column, left: Column) -> Column:
+        """Sets of so many tiles after a place in the list that hold all that is left, as lists of ids."""
+        if size == 1:
+            return F.transform(F.filter("k", lambda t, i: (i > after) & F.forall(left, lambda p: holds(t, p))), lambda t: t["tile"])
+        with_ = lambda t, i: F.when(i > after, F.transform(sets(size - 1, i, F.filter(left, lambda p: ~holds(t, p))), lambda ids: F.concat_ws(",", t["tile"], ids))).otherwise(F.array().cast("array<string>"))
+        return F.flatten(F.transform("k", with_))
+
+    kinds = ("single", "pair", "triple", "quad")[:most]
+    found = [_named(kind, F.array_min(sets(n, F.lit(-1), F.col("p")))) for n, kind in enumerate(kinds, 1)]
+    rest = F.struct(F.lit("all").alias("match_type"), F.array_join(F.transform("c", lambda t: t["tile"]), ",").alias("tiles"))
+    return own.select("name", F.coalesce(*found, rest).alias("m")).select("name", "m.match_type", "m.tiles")
+
+
+def _named(kind: str, ids: Column) -> Column:
+    return F.transform(F.array(ids), lambda i: F.when(i.isNotNull(), F.struct(F.lit(kind).alias("match_type"), i.alias("tiles"))))[0]
 
 
 def segmentize(ring: Column, step: float) -> Column:

@@ -331,15 +331,19 @@ def tile_combinations(spark, d):
     return grids.tile_combinations(met, "name", "tile", 2)
 
 
-_PT = "pt AS (SELECT name, fx, fy, west + (east - west) * fx AS px, south + (north - south) * fy AS py FROM ce, (VALUES (0.0), (0.25), (0.5), (0.75), (1.0)) a(fx), (VALUES (0.0), (0.25), (0.5), (0.75), (1.0)) b(fy))"
-_HOLD = "hold AS (SELECT met.name, tl.tile, fx, fy FROM met JOIN tl USING (tile) JOIN pt ON pt.name = met.name AND px BETWEEN tl.west AND tl.east AND py BETWEEN tl.south AND tl.north)"
+# The middles of the rectangles into which the sides of its tiles cut a cell.
+_PT = """cut AS (SELECT met.name, greatest(tl.west, ce.west) AS w, least(tl.east, ce.east) AS e, greatest(tl.south, ce.south) AS s, least(tl.north, ce.north) AS n FROM met JOIN tl USING (tile) JOIN ce ON ce.name = met.name),
+xs AS (SELECT name, w AS x FROM cut UNION SELECT name, e FROM cut UNION SELECT name, west FROM ce UNION SELECT name, east FROM ce), ys AS (SELECT name, s AS y FROM cut UNION SELECT name, n FROM cut UNION SELECT name, south FROM ce UNION SELECT name, north FROM ce),
+xm AS (SELECT name, (x + lead(x) OVER (PARTITION BY name ORDER BY x)) / 2 AS px FROM xs), ym AS (SELECT name, (y + lead(y) OVER (PARTITION BY name ORDER BY y)) / 2 AS py FROM ys),
+pt AS (SELECT name, px, py FROM xm JOIN ym USING (name) WHERE px IS NOT NULL AND py IS NOT NULL), np AS (SELECT name, count(*) AS np FROM pt GROUP BY name)"""
+_HOLD = "hold AS (SELECT met.name, tl.tile, px, py FROM met JOIN tl USING (tile) JOIN pt ON pt.name = met.name AND px BETWEEN tl.west AND tl.east AND py BETWEEN tl.south AND tl.north)"
 _COMBO = """co AS (SELECT name, 1 AS n, [tile] AS ts FROM met UNION ALL SELECT a.name, 2, [a.tile, b.tile] FROM met a JOIN met b ON a.name = b.name AND a.tile < b.tile
  UNION ALL SELECT a.name, 3, [a.tile, b.tile, c.tile] FROM met a JOIN met b ON a.name = b.name AND a.tile < b.tile JOIN met c ON a.name = c.name AND b.tile < c.tile
  UNION ALL SELECT a.name, 4, [a.tile, b.tile, c.tile, d.tile] FROM met a JOIN met b ON a.name = b.name AND a.tile < b.tile JOIN met c ON a.name = c.name AND b.tile < c.tile JOIN met d ON a.name = d.name AND c.tile < d.tile)"""
 
 
 @query("assign_s2_tiles", f"""WITH {_TILES}, {_CELLS}, {_MET}, {_PT}, {_HOLD}, {_COMBO},
-ok AS (SELECT co.name, n, array_to_string(ts, ',') AS tiles FROM co JOIN hold ON hold.name = co.name AND list_contains(ts, hold.tile) GROUP BY co.name, n, ts HAVING count(DISTINCT (fx, fy)) = 25),
+ok AS (SELECT co.name, n, array_to_string(ts, ',') AS tiles FROM co JOIN hold ON hold.name = co.name AND list_contains(ts, hold.tile) JOIN np ON np.name = co.name GROUP BY co.name, n, ts, np HAVING count(DISTINCT (px, py)) = np),
 al AS (SELECT * FROM ok UNION ALL SELECT name, 9, string_agg(tile, ',' ORDER BY tile) FROM met GROUP BY name),
 r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY n, tiles) AS k FROM al)
 SELECT name, CASE n WHEN 1 THEN 'single' WHEN 2 THEN 'pair' WHEN 3 THEN 'triple' WHEN 4 THEN 'quad' ELSE 'all' END AS match_type, tiles FROM r WHERE k = 1""", "aoi_boxes")

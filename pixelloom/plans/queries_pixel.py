@@ -288,6 +288,16 @@ def scl_dilation_mask(spark, d):
     return spatial.two_mask(view(spark, d, "scl_raster"), "scl", pixel.SCL_KEEP, pixel.SCL_CLOUDY, (3, 7), 1)
 
 
+_HOLES = "h AS (SELECT x, y, CASE WHEN (x + y) % 6 <> 0 THEN scl END AS scl FROM scl_raster)"
+
+
+@query("scl_dilation_mask_nulls", f"WITH {_HOLES}, o AS (SELECT x, y, coalesce(scl NOT IN (2, 4, 5, 6, 7), FALSE) AS f FROM h), c AS (SELECT x, y, coalesce(scl IN (3, 8, 9, 10, 11), FALSE) AS f FROM h), oe AS ({_erode('o', 1)}), ce AS ({_erode('c', 1)}), od AS ({_square('oe', 3)}), cd AS ({_square('ce', 7)}) SELECT od.x, od.y, od.f OR cd.f AS mask FROM od JOIN cd USING (x, y)", "scl_raster")
+def scl_dilation_mask_nulls(spark, d):
+    """Pixels without a class mask nothing."""
+    cells = view(spark, d, "scl_raster").withColumn("scl", F.when((F.col("x") + F.col("y")) % 6 != 0, F.col("scl")))
+    return spatial.two_mask(cells, "scl", pixel.SCL_KEEP, pixel.SCL_CLOUDY, (3, 7), 1)
+
+
 _CLASS = f"k AS (SELECT x, y, CASE WHEN cloud = 1 THEN 7 WHEN heavy = 1 THEN 6 WHEN light = 1 THEN 5 WHEN shadow = 1 THEN 4 WHEN snow = 1 THEN 3 WHEN conf < 0.8 THEN 2 ELSE 1 END AS c FROM (SELECT x, y, {_UDM} FROM scl_raster))"
 
 
