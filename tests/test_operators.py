@@ -324,3 +324,21 @@ def test_disks_over_gaps_equal_all_pairs(spark, radius):
     shrunk = {a[:3]: all(b[3] or not near(a, b) for b in cells) for a in cells}
     assert {(r.x, r.y, r.k): r.f for r in spatial.dilate_disk(df, "f", radius, ["k"]).collect()} == grown
     assert {(r.x, r.y, r.k): r.f for r in spatial.erode_disk(df, "f", radius, ["k"]).collect()} == shrunk
+
+
+def test_tiles_cover_a_cell_without_the_narrowest_gap(spark):
+    box = "west double, south double, east double, north double"
+    cell = spark.createDataFrame([("c", 0.0, 0.0, 100.0, 100.0)], f"name string, {box}")
+    a, b, c, whole = ("A", -10.0, -10.0, 49.9, 110.0), ("B", 50.1, -10.0, 120.0, 110.0), ("C", 40.0, -5.0, 60.0, 105.0), ("W", -1.0, -1.0, 101.0, 101.0)
+    quarters = [(f"Q{i}{j}", i * 50.0, j * 50.0, i * 50.0 + 50, j * 50.0 + 50) for i in (0, 1) for j in (0, 1)]
+
+    def assigned(*tiles):
+        out = grids.assign_tiles(cell, spark.createDataFrame(list(tiles), f"tile string, {box}"), 200.0).collect()
+        return [(r.match_type, r.tiles) for r in out]
+
+    assert assigned(a, b) == [("all", "A,B")]  # a lattice of points doesn't see the gap
+    assert assigned(a, b, c) == [("triple", "A,B,C")]
+    assert assigned(a, b, c, whole) == [("single", "W")]
+    assert assigned(*quarters) == [("quad", "Q00,Q01,Q10,Q11")]
+    assert assigned(a, ("B2", 49.0, -1.0, 100.0, 100.0), *quarters) == [("pair", "A,B2")]
+    assert assigned(("F", 500.0, 500.0, 600.0, 600.0)) == []
