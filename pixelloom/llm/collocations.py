@@ -19,7 +19,7 @@ from pixelloom.llm.common import materialise, passing, small_side
 PATH_EDGES = 4096
 #: Bytes of text that a task takes apart at a time; a longer text is taken alone.
 CHUNK_BYTES = 2 << 20
-#: Words and pairs are counted by hashes of so many bits. Those that are frequent set a bit in a table of 2^TABLE_BITS bits,
+#: Grams are counted by hashes of so many bits. Those that are frequent set a bit in a table of 2^TABLE_BITS bits,
 #: which every task holds. A bit set by another one too costs work, not truth.
 HASH_BITS, TABLE_BITS = 40, 27
 PAGE = 4096
@@ -54,17 +54,17 @@ class Words:
         ends = np.array(ends, np.int64)
         self.left = ends[np.searchsorted(ends, np.arange(len(self.ids)), side="right")] - np.arange(len(self.ids)) if len(self.ids) else np.zeros(0, np.int64)
 
-    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        """Of each word and its language, and of the word, the next and the language, of no use where a piece ends."""
+    def hashes(self, words: int) -> list[np.ndarray]:
+        """For 1 to ``words`` words from each on, with their language, a hash; of no use where a piece ends before."""
         h = np.array([xxh64_intdigest(w) for w in self.words.to_pylist()], np.uint64)[self.ids]
         lang = np.array([xxh64_intdigest(x.encode()) for x in self.langs], np.uint64)[self.lang]
-
-        def mixed(x: np.ndarray) -> np.ndarray:
-            x = x * np.uint64(0xC2B2AE3D27D4EB4F) ^ lang
+        out, chain = [], np.zeros(len(h), np.uint64)
+        for i in range(words):
+            chain = chain * np.uint64(0x9E3779B97F4A7C15) + np.roll(h, -i)
+            x = chain * np.uint64(0xC2B2AE3D27D4EB4F) ^ lang
             x ^= x >> np.uint64(29)
-            return (x * np.uint64(0x165667B19E3779F9) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
-
-        return mixed(h), mixed(h * np.uint64(0x9E3779B97F4A7C15) + np.roll(h, -1))
+            out.append((x * np.uint64(0x165667B19E3779F9) >> np.uint64(64 - HASH_BITS)).astype(np.int64))
+        return out
 
     def grams(self, start: np.ndarray, m: int) -> pa.RecordBatch:
         """(lang, gram, size, c) of the grams of m words from each of start on."""
@@ -97,13 +97,12 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
             yield Words(langs, texts)
 
 
-def frequent(texts: DataFrame, min_count: int) -> Broadcast:
-    """A table of bits of all words and pairs of words, by language, that occur min_count times, and of few others. texts: (lang, raw)."""
+def frequent(texts: DataFrame, words: int, min_count: int) -> Broadcast:
+    """A table of bits of all grams of 1 to ``words`` words, by language, that occur min_count times, and of few others. texts: (lang, raw)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in _chunks(batches):
-            word, pair = w.hashes()
-            h, n = np.unique(np.concatenate([word, pair[w.left > 1]]), return_counts=True)
+            h, n = np.unique(np.concatenate([x[w.left > i] for i, x in enumerate(w.hashes(words))]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], names=["h", "n"])
 
     def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,13 +128,13 @@ def edges(docs: DataFrame, words: int, min_count: int = 1, lang_col: str = "lang
     """(lang, gram, size, c): how often each gram of ``words`` words occurs, an edge of the graph, and corrections.
 
     Every occurrence of a word counts once, in the gram that starts there. Where its piece ends before the gram is full,
-    the shorter gram, size < words, is the correction for the counts of its nodes. So it is where a word or pair of words
-    that occurs fewer than min_count times would be the next: such nodes are contracted, which keeps the flow of all others
+    the shorter gram, size < words, is the correction for the counts of its nodes. So it is where the next word would make
+    a gram that occurs fewer than min_count times: such nodes and edges are contracted, which keeps the flow of all others
     whole; a gram of size 0 counts the contracted words. Counts are summed in each task first; what is frequent is found by
-    a pass over the texts before.
+    a pass over the texts before, which counts hashes of all grams.
     """
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("raw"))
-    often = frequent(texts, min_count) if min_count > 1 else None
+    often = frequent(texts, words, min_count) if min_count > 1 else None
 
     def known(h: np.ndarray) -> np.ndarray:
         at = h & ((1 << TABLE_BITS) - 1)
@@ -143,15 +142,11 @@ def edges(docs: DataFrame, words: int, min_count: int = 1, lang_col: str = "lang
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in _chunks(batches):
-            go, size = w.left > 1, np.ones(len(w.ids), np.int64)
-            if often is not None:
-                word, pair = w.hashes()
-                go &= known(pair)
-                size[~known(word) & ~go] = 0
-            on = go
-            for i in range(1, words):
+            size, on = np.zeros(len(w.ids), np.int64), np.ones(len(w.ids), bool)
+            for i, h in enumerate(w.hashes(words) if often is not None else [None] * words):
+                on = on & (w.left > i)
+                on = on & known(h) if h is not None else on
                 size += on
-                on = on & np.append(go[i:], np.zeros(min(i, len(go)), bool))
             for m in range(words + 1):
                 yield w.grams(np.flatnonzero(size == m), m)
 
@@ -217,7 +212,7 @@ def collocations(docs: DataFrame, min_count: int = 10, words: int = 3, top: int
 
     Texts are lower-cased (A-Z), split into pieces and words; everything is counted per lang, null as ``und``. Grams of
     ``words`` words are edges between nodes of one word less. Edge counts, and the corrections for pieces that end, are
-    aggregated once, with pairs rarer than min_count contracted; all shorter counts follow from them, by the flow of each
+    aggregated once, with grams rarer than min_count contracted; all shorter counts follow from them, by the flow of each
     node. Edges with at least min_count occurrences make the graph whose unary paths are compacted; a phrase drops out if a longer candidate around it has at
     least share percent of its count, which is read off the paths.
 

@@ -113,7 +113,7 @@ SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN page_id <> first_id T
 """,
     "op13_collocations": r"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
-w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), x -> x <> '') AS w FROM p),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
 i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
 f AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS gram, count(*) AS a FROM i, (VALUES (1), (2), (3)) v(m) WHERE i + m - 1 <= len(w) GROUP BY ALL),
 n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
@@ -124,7 +124,7 @@ cut AS (SELECT kept.lang, kept.gram, kept.a, k, l.a AS l, r.a AS r, CAST(1000000
   FROM kept JOIN (VALUES (1), (2)) v(k) ON k < m JOIN f l ON l.lang = kept.lang AND l.gram = array_to_string(w[1:k], ' ') JOIN f r ON r.lang = kept.lang AND r.gram = array_to_string(w[k + 1:], ' ')),
 best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1)
 SELECT lang, CAST(row_number() OVER o AS INTEGER) AS rank, gram AS phrase, a, l, r, n, score FROM best JOIN n USING (lang)
-QUALIFY row_number() OVER o <= 2000 WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, gram)
+WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, gram) QUALIFY row_number() OVER o <= 2000
 """,
     "op5_decontaminate": r"""
 WITH d AS (SELECT doc_id, xxhash AS h, w FROM (SELECT doc_id, hash(text) AS xxhash,
