@@ -227,10 +227,13 @@ def exact_pairs(texts: DataFrame, sketches: DataFrame, pairs: DataFrame, shingle
 
 
 def _leaders(shared: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of each text with two of every key: the least node, and that of a second order of nodes."""
+    """Pairs of each text with three of every key: the least node, that of a second order of nodes, and the text with the
+    fewest rarer shingles for its size, which in a family of edited copies is the one nearest to all others.
+    """
     me = F.struct("node", "n", "pos")
-    lead = shared.groupBy("key").agg(F.min(me).alias("l1"), F.min_by(me, F.xxhash64("node")).alias("l2"))
-    met = shared.join(lead, "key").select(me.alias("p"), F.explode(F.array_distinct(F.array("l1", "l2"))).alias("q"))
+    near = F.struct(F.col("rank") / F.col("n"), F.col("node"))
+    lead = shared.groupBy("key").agg(F.min(me).alias("l1"), F.min_by(me, F.xxhash64("node")).alias("l2"), F.min_by(me, near).alias("l3"))
+    met = shared.join(lead, "key").select(me.alias("p"), F.explode(F.array_distinct(F.array("l1", "l2", "l3"))).alias("q"))
     return _ordered(met.where((F.col("p.node") != F.col("q.node")) & _may_fit("p", "q", similarity)), "p", "q")
 
 
@@ -260,17 +263,21 @@ def _repeated(posted: DataFrame, *columns: Column) -> DataFrame:
     return every.join(again, "key")
 
 
-def _longer(texts: DataFrame, order: Order, crowd: DataFrame, more: int, shingle_words: int, similarity: float) -> DataFrame:
+def _longer(texts: DataFrame, order: Order, crowd: DataFrame, more: int, whole: bool, shingle_words: int, similarity: float) -> DataFrame:
     """Keys of the texts of crowd: of the first p + more shingles the p that the fewest of these texts have.
 
     Similar sets have more than ``more`` of these first shingles in common, so the rarest of those is among the p of both.
+    whole: p + more shingles are all that any of these texts has. Then a key's place among them, after those that no other
+    text has and those that fewer have, bounds what two texts can share if it is their first; else its place is 0. The
+    order of places is in rank either way.
     """
     again = texts.join(small_side(crowd), "node", "left_semi")
     found = _repeated(materialise(posts(again, order, shingle_words, similarity, more).drop("sketch"), "ahead"), F.col("p"), F.size("keys").alias("size"))
     kept = found.groupBy("node", "n", "p", "size").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("keys"))
-    room = F.greatest(F.lit(0), F.col("p") - (F.col("size") - F.size("keys")))  # keys that only one text has come first
-    rare = kept.select("node", "n", F.explode(F.slice("keys", F.lit(1), room)).alias("k"))
-    return materialise(rare.select(F.col("k.key").alias("key"), "node", "n", F.lit(0).alias("pos")), "longer")
+    alone = F.col("size") - F.size("keys")  # keys that only one text has come first
+    rare = kept.select("node", "n", alone.alias("alone"), F.posexplode(F.slice("keys", F.lit(1), F.greatest(F.lit(0), F.col("p") - alone))).alias("i", "k"))
+    rank = F.col("alone") + F.col("i")
+    return materialise(rare.select(F.col("k.key").alias("key"), "node", "n", (rank if whole else F.lit(0)).alias("pos"), rank.alias("rank")), "longer")
 
 
 def text_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -280,7 +287,7 @@ def text_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.
     ``similarity``, and classes are the components of these links.
 
     1. In an order of all shingles a similar pair has one in common among the first few of each. Texts are compared with
-       two texts of each such shingle, which joins families of copies without listing their pairs.
+       three texts of each such shingle, which joins families of copies without listing their pairs.
     2. All texts that still share a shingle and aren't in one class are compared with each other, unless so many share it
        that this costs more than CROWD squared comparisons, and all such shingles more than four comparisons a text.
     3. Texts that share so common a shingle look further ahead in the order, which lets them leave out the most common
@@ -296,7 +303,7 @@ def text_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.
         n_texts = nodes.count()
         order = learn_order(texts, shingle_words, n_texts)
         posted = materialise(posts(texts, order, shingle_words, similarity), "posted")
-        shared = materialise(_repeated(posted, F.col("pos")).drop("times"), "shared")
+        shared = materialise(_repeated(posted, F.col("pos"), F.col("pos").alias("rank")).drop("times"), "shared")
         sketches = posted.select("node", "n", "sketch")
         close = exact_pairs(texts, sketches, _leaders(shared, similarity), shingle_words, similarity)
         more = 0
@@ -311,7 +318,7 @@ def text_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.
             if last:
                 break
             more = 4 * more or 64
-            shared = _longer(texts, order, crowd.select("node"), more, shingle_words, similarity)
+            shared = _longer(texts, order, crowd.select("node"), more, more >= longest, shingle_words, similarity)
             close = close.unionByName(exact_pairs(texts, sketches, _leaders(shared, similarity), shingle_words, similarity))
         rooted = nodes.join(components(close), "node", "left").withColumn("root", F.coalesce("root", "node"))
         return rows, materialise(rooted, "classes", keep=True)
