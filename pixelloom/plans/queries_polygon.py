@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pixelloom.operators import grids, polygons
+from pixelloom.operators import grids, outlines, polygons
 from pixelloom.plans.registry import query
 from pixelloom.plans.views import view
 
@@ -61,3 +61,21 @@ _PLACES = "p AS (SELECT c_custkey AS point_id, 900000.5 + (c_custkey * 7919) % 7
 def points_in_multipolygons(spark, d):
     places = spark.read.parquet(f"{d}/customer.parquet").selectExpr("c_custkey AS point_id", "900000.5D + (c_custkey * 7919) % 7000000 AS x", "800000.5D + (c_custkey * 104729) % 6600000 AS y")
     return polygons.points_inside(places, "point_id", _covered(spark, d)[1])
+
+
+# Independent of rings: sides with one cell, and the cells around each corner point (Euler's number from quads of cells).
+_OUTLINE = """c AS (SELECT DISTINCT CASE WHEN zone_letter >= 'N' THEN 'north' ELSE 'south' END AS half, CAST(floor(easting / 100000) AS BIGINT) AS i, CAST(floor(northing / 100000) AS BIGINT) AS j FROM ref_points),
+ sides AS (SELECT half, count(*) AS n FROM (SELECT half, x, y, flat FROM (SELECT half, i AS x, j AS y, 1 AS flat FROM c UNION ALL SELECT half, i, j + 1, 1 FROM c UNION ALL SELECT half, i, j, 0 FROM c UNION ALL SELECT half, i + 1, j, 0 FROM c) GROUP BY ALL HAVING count(*) = 1) GROUP BY half),
+ quads AS (SELECT half, x, y, sum(q) AS q FROM (SELECT half, i AS x, j AS y, 1 AS q FROM c UNION ALL SELECT half, i + 1, j, 2 FROM c UNION ALL SELECT half, i, j + 1, 4 FROM c UNION ALL SELECT half, i + 1, j + 1, 8 FROM c) GROUP BY half, x, y),
+ turns AS (SELECT half, count(*) FILTER (q IN (1, 2, 4, 8)) AS one, count(*) FILTER (q IN (7, 11, 13, 14)) AS three, count(*) FILTER (q IN (6, 9)) AS two FROM quads GROUP BY half),
+ cells AS (SELECT half, count(*) AS n FROM c GROUP BY half)"""
+
+
+@query("dissolve_outlines", f"WITH {_OUTLINE} SELECT half, CAST((one - three + 2 * two) // 4 AS BIGINT) AS parts_less_holes, cells.n * 10000 AS area_km2, sides.n * 100 AS length_km, one + three + 2 * two AS corners FROM turns JOIN cells USING (half) JOIN sides USING (half)", "ref_points")
+def dissolve_outlines(spark, d):
+    w, s = F.floor(F.col("easting") / 100_000) * 100_000, F.floor(F.col("northing") / 100_000) * 100_000
+    squares = view(spark, d, "ref_points").select("zone_letter", w.alias("west"), s.alias("south"), (w + 100_000).alias("east"), (s + 100_000).alias("north"))
+    half = F.when(F.col("zone_letter") >= "N", "north").otherwise("south")  # zones are laid over each other
+    rings = outlines.outlines(squares, half, "half", 100_000)
+    parts, area, length, corners = outlines.measures(F.col("rings"))
+    return rings.select("half", parts.cast("long").alias("parts_less_holes"), F.round(area / 1e6).cast("long").alias("area_km2"), F.round(length / 1000).cast("long").alias("length_km"), corners.cast("long").alias("corners"))
