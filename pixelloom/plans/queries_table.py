@@ -501,7 +501,7 @@ def jdbc_bulk_insert(spark, d):
 @query("jdbc_read", "SELECT id, status FROM job_tracker", "job_tracker")
 def jdbc_read(spark, d):
     url, more, name = _table(spark, d)
-    return files.jdbc_read(spark, url, name, ["id", "status"], **more)
+    return files.jdbc_read(spark, url, name, ["id", "status"], key="id", **more)
 
 
 @query("jdbc_query", "SELECT status, count(*) AS n, count(CASE WHEN id % 10 <> 0 THEN 1 END) AS with_cost FROM job_tracker GROUP BY status", "job_tracker")

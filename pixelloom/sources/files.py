@@ -115,8 +115,17 @@ def read_stac(spark: SparkSession, path: str, start: str | None = None, stop: st
     return rows.where(F.col("band").isin(*bands)) if bands else rows
 
 
-def jdbc_read(spark: SparkSession, url: str, table: str, columns: Sequence[str], fetch: int = 500_000, **options) -> DataFrame:
-    """Columns of a table with a server-side cursor."""
+def jdbc_read(spark: SparkSession, url: str, table: str, columns: Sequence[str], fetch: int = 500_000, key: str | None = None, parts: int = 8, quote: str = '"', **options) -> DataFrame:
+    """Columns of a table with a server-side cursor.
+
+    With key, a column of whole numbers or times, the table is read by up to so many tasks, each a range of equal width
+    between the bounds, which the database is asked for. Rows without a key come with the first. quote: the database's
+    quotation mark for names.
+    """
+    if key:
+        bounds = jdbc_query(spark, url, f"SELECT min({quote}{key}{quote}) AS low, max({quote}{key}{quote}) AS high FROM {table}", **options).first()
+        if bounds[0] is not None:
+            options |= {"partitionColumn": key, "lowerBound": str(bounds[0]), "upperBound": str(bounds[1]), "numPartitions": parts}
     return spark.read.format("jdbc").options(url=url, dbtable=table, fetchsize=fetch, **options).load().select(*columns)
 
 
