@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Points from which a group is split, attempts, price of a credit, catalogue page size.
 MAX_POINTS, MAX_ATTEMPTS, PRICE, PAGE = 256, 3, 0.01, 100
+# The statuses of jobs that are still asked for, and of those that wait for a new start.
+ACTIVE = ("created", "queued", "queued_for_start", "running", "downloading", "not_started")
 
 
 def with_count(df: DataFrame, key: Column, name: str) -> DataFrame:
@@ -58,6 +60,35 @@ def next_attempt(previous: Column, state: Column, attempt: Column) -> Column:
     return F.when(F.coalesce(again, F.lit(False)), attempt + 1).otherwise(attempt)
 
 
+def clean_reports(reports: DataFrame) -> DataFrame:
+    """(id, t in microseconds, status, reason, downloaded) of the reports with an id, a time and a status; downloaded is false where null."""
+    known = reports.where("id IS NOT NULL AND t IS NOT NULL AND status IS NOT NULL")
+    return known.select("id", F.unix_micros("t").alias("t"), "status", F.col("reason").cast("string").alias("reason"), F.coalesce("downloaded", F.lit(False)).alias("downloaded"))
+
+
+def fold_reports(reports: DataFrame, limit_s: float) -> DataFrame:
+    """(id, status, attempt, n_reports, t) of each job after all its reports (id, t, status, reason, downloaded), in the order of time.
+
+    A job begins as created, at its first attempt. Each report moves it by next_status and next_attempt; a download is
+    late when more than limit_s seconds have passed since it began. A job whose status isn't in ACTIVE has ended: reports
+    after that change nothing and don't count. Reports of equal time go by status, reason and downloaded. The reports of
+    one job, which are as many as it was asked for, are folded in one row.
+    """
+    rows = clean_reports(reports).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("t", "status", F.coalesce("reason", F.lit("")).alias("reason"), "downloaded"))).alias("rs"))
+    none = F.lit(None).cast("long")
+    start = F.struct(F.lit("created").alias("status"), F.lit(1).alias("attempt"), none.alias("since"), F.lit(0).cast("long").alias("n_reports"), none.alias("t"))
+
+    def step(job: Column, r: Column) -> Column:
+        late = F.coalesce(r["t"] - job["since"] > int(limit_s * 1_000_000), F.lit(False))
+        state = next_status(job["status"], r["status"], job["attempt"], F.nullif(r["reason"], F.lit("")), r["downloaded"], late)
+        since = F.when(state == "downloading", F.when(job["status"] == "downloading", job["since"]).otherwise(r["t"]))
+        moved = F.struct(state.alias("status"), next_attempt(job["status"], state, job["attempt"]).alias("attempt"), since.alias("since"), (job["n_reports"] + 1).alias("n_reports"), r["t"].alias("t"))
+        return F.when(job["status"].isin(*ACTIVE), moved).otherwise(job)
+
+    done = rows.select("id", F.aggregate("rs", start, step).alias("job"))
+    return done.select("id", "job.status", "job.attempt", "job.n_reports", F.timestamp_micros("job.t").alias("t"))
+
+
 def update_by_key(table: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """A new snapshot of table with the columns of updates (one row for each key) where they aren't null."""
     changed = [c for c in updates.columns if c != key]

@@ -538,6 +538,47 @@ def stream_job_status(spark, d):
     return streams.latest_status(spark, f"{root}/status").select("id", "status", "n_reports")
 
 
+_REPORTS = """SELECT user_id AS id, ts AS t, CASE CAST(event_id % 7 AS INT) WHEN 0 THEN 'error' WHEN 1 THEN 'running' WHEN 2 THEN 'canceled' ELSE 'finished' END AS status,
+    CASE WHEN event_id % 35 = 0 THEN 'OOM' END AS reason, event_id % 11 = 0 AS downloaded FROM events"""
+#: The rules of a job's reports, one report a step: r is the next report, j the job before it.
+_FOLD = f"""WITH RECURSIVE r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t, status, coalesce(reason, ''), downloaded) AS i FROM ({_REPORTS})),
+j AS (SELECT DISTINCT id, 0::BIGINT AS i, 'created' AS status, 1 AS attempt, NULL::TIMESTAMP AS since FROM r
+UNION ALL SELECT id, i, s, CASE WHEN s = 'not_started' OR (p = 'downloading' AND s = 'running') THEN attempt + 1 ELSE attempt END,
+    CASE WHEN s = 'downloading' AND p = 'downloading' THEN since WHEN s = 'downloading' THEN t END
+FROM (SELECT r.id, r.i, r.t, j.attempt, j.since, j.status AS p, CASE
+    WHEN j.status = 'downloading' AND NOT r.downloaded AND coalesce(r.t - j.since > INTERVAL 2 DAY, FALSE) THEN CASE WHEN j.attempt <= 5 THEN 'running' ELSE 'error_downloading' END
+    WHEN (j.status = 'downloading' AND NOT r.downloaded) OR (j.status <> 'downloading' AND r.status = 'finished') THEN 'downloading'
+    WHEN r.status = 'error' THEN coalesce(r.reason, CASE WHEN j.attempt <= 3 THEN 'not_started' ELSE 'error_openeo' END)
+    WHEN r.status = 'canceled' AND j.attempt <= 3 THEN 'not_started' ELSE r.status END AS s
+    FROM j JOIN r ON r.id = j.id AND r.i = j.i + 1 WHERE j.status IN ('created', 'queued', 'queued_for_start', 'running', 'downloading', 'not_started')) x)
+SELECT id, arg_max(status, i) AS status, arg_max(attempt, i) AS attempt, max(i) AS n_reports FROM j GROUP BY id"""
+
+
+@query("fold_job_reports", _FOLD)
+def fold_job_reports(spark, d):
+    return jobs.fold_reports(spark.read.parquet(f"{d}/events.parquet").selectExpr(*_report_columns()), 2 * 86_400).select("id", "status", "attempt", "n_reports")
+
+
+def _report_columns() -> list[str]:
+    kinds = "CASE CAST(event_id % 7 AS INT) WHEN 0 THEN 'error' WHEN 1 THEN 'running' WHEN 2 THEN 'canceled' ELSE 'finished' END"
+    return ["user_id AS id", "CAST(ts AS TIMESTAMP) AS t", f"{kinds} AS status", "CASE WHEN event_id % 35 = 0 THEN 'OOM' END AS reason", "event_id % 11 = 0 AS downloaded"]
+
+
+@query("stream_job_attempts", _FOLD)
+def stream_job_attempts(spark, d):
+    """The reports come in two parts, by time; the stream ends after the first and is started anew from its checkpoint."""
+    from pixelloom.streaming import jobs as streams
+
+    root = _shared(spark)
+    rows = spark.read.parquet(f"{d}/events.parquet").selectExpr(*_report_columns())
+    middle = rows.agg(F.timestamp_micros(((F.min(F.unix_micros("t")) + F.max(F.unix_micros("t"))) / 2).cast("long"))).first()[0]
+    for part in (F.col("t") < F.lit(middle), F.col("t") >= F.lit(middle)):
+        rows.where(part).write.mode("append").parquet(f"{root}/reports")
+        reports = spark.readStream.schema(rows.schema).parquet(f"{root}/reports")
+        streams.attempts_stream(reports, 2 * 86_400, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return streams.latest_attempts(spark, f"{root}/out").select("id", "status", "attempt", "n_reports")
+
+
 @query("stream_dedup_items", "SELECT count(DISTINCT event_id) AS n FROM events")
 def stream_dedup_items(spark, d):
     import uuid
