@@ -263,6 +263,19 @@ def test_pipeline(spark):
     assert sum(r.n_tokens for r in last) == tokens and sorted(r.slot for r in last) == list(range(len(last)))
 
 
+def test_language_stage_judges_rows(spark):
+    """Rows in no language go by themselves: without an id, beside a good row of their id, null, empty and repeated ones."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source")
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    first = docs.orderBy("doc_id").first()
+    bad = [(first.doc_id, "123 456", "en", "s"), (None, "!!!", None, None), (None, "!!!", None, None), (-1, None, "en", "s"), (-2, "", None, "s")]
+    both = docs.unionByName(spark.createDataFrame(bad, docs.schema)).unionByName(docs.where(docs["doc_id"] == first.doc_id).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "lang", "source"))
+    kept = sorted(((r.doc_id, r.text) for r in stage(spark, both, SF).collect()), key=str)
+    want = [(r.doc_id, r.text) for r in stage(spark, docs, SF).collect()]
+    assert (first.doc_id, first.text) in want and len(want) >= 0.99 * docs.count()
+    assert kept == sorted([*want, (None, first.text)], key=str)
+
+
 def test_stages_on_odd_rows(spark, documents, prose):
     """Nulls in all columns, empty and long texts, repeated rows, equal ids, and columns with names that operators use."""
     leak = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 200").first().text
