@@ -70,7 +70,7 @@ def fold_reports(reports: DataFrame, limit_s: float) -> DataFrame:
     """(id, status, attempt, n_reports, t) of each job after all its reports (id, t, status, reason, downloaded), in the order of time.
 
     A job begins as created, at its first attempt. Each report moves it by next_status and next_attempt; a download is
-    late when more than limit_s seconds have passed since it began. A job whose status isn't in ACTIVE has ended: reports
+    late when more than limit_s seconds for each attempt so far have passed since it began. A job whose status isn't in ACTIVE has ended: reports
     after that change nothing and don't count. Reports of equal time go by status, reason and downloaded. The reports of
     one job, which are as many as it was asked for, are folded in one row.
     """
@@ -79,7 +79,7 @@ def fold_reports(reports: DataFrame, limit_s: float) -> DataFrame:
     start = F.struct(F.lit("created").alias("status"), F.lit(1).alias("attempt"), none.alias("since"), F.lit(0).cast("long").alias("n_reports"), none.alias("t"))
 
     def step(job: Column, r: Column) -> Column:
-        late = F.coalesce(r["t"] - job["since"] > int(limit_s * 1_000_000), F.lit(False))
+        late = F.coalesce(r["t"] - job["since"] > job["attempt"] * F.lit(int(limit_s * 1_000_000)), F.lit(False))
         state = next_status(job["status"], r["status"], job["attempt"], F.nullif(r["reason"], F.lit("")), r["downloaded"], late)
         since = F.when(state == "downloading", F.when(job["status"] == "downloading", job["since"]).otherwise(r["t"]))
         moved = F.struct(state.alias("status"), next_attempt(job["status"], state, job["attempt"]).alias("attempt"), since.alias("since"), (job["n_reports"] + 1).alias("n_reports"), r["t"].alias("t"))

@@ -546,7 +546,7 @@ j AS (SELECT DISTINCT id, 0::BIGINT AS i, 'created' AS status, 1 AS attempt, NUL
 UNION ALL SELECT id, i, s, CASE WHEN s = 'not_started' OR (p = 'downloading' AND s = 'running') THEN attempt + 1 ELSE attempt END,
     CASE WHEN s = 'downloading' AND p = 'downloading' THEN since WHEN s = 'downloading' THEN t END
 FROM (SELECT r.id, r.i, r.t, j.attempt, j.since, j.status AS p, CASE
-    WHEN j.status = 'downloading' AND NOT r.downloaded AND coalesce(r.t - j.since > INTERVAL 2 DAY, FALSE) THEN CASE WHEN j.attempt <= 5 THEN 'running' ELSE 'error_downloading' END
+    WHEN j.status = 'downloading' AND NOT r.downloaded AND coalesce(r.t - j.since > INTERVAL 2 DAY * j.attempt, FALSE) THEN CASE WHEN j.attempt <= 5 THEN 'running' ELSE 'error_downloading' END
     WHEN (j.status = 'downloading' AND NOT r.downloaded) OR (j.status <> 'downloading' AND r.status = 'finished') THEN 'downloading'
     WHEN r.status = 'error' THEN coalesce(r.reason, CASE WHEN j.attempt <= 3 THEN 'not_started' ELSE 'error_openeo' END)
     WHEN r.status = 'canceled' AND j.attempt <= 3 THEN 'not_started' ELSE r.status END AS s

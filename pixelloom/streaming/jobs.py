@@ -65,7 +65,7 @@ def move_job(job: tuple[str, int, int | None, int], t: int, reported: str, reaso
         return job
     loading = not downloaded if previous == "downloading" else False
     loading = loading or (reported == "finished" and previous != "downloading")
-    late = since is not None and t - since > limit
+    late = since is not None and t - since > limit * attempt
     if loading and previous == "downloading" and late:
         status = "running" if attempt <= jobs.MAX_ATTEMPTS + 2 else "error_downloading"
     elif loading:

@@ -49,7 +49,7 @@ def test_rules_of_single_values_are_those_of_columns(spark):
     for g in got:
         since = 0 if g.p == "downloading" else None
         late = g.late and g.p == "downloading"
-        assert streams.move_job((g.p, g.a, since, 0), 100 if late else 10, g.r, g.e, g.d, 50)[:2] == (g.state, g.n), g
+        assert streams.move_job((g.p, g.a, since, 0), 1000 if late else 10, g.r, g.e, g.d, 50)[:2] == (g.state, g.n), g
 
 
 @pytest.mark.parametrize("late,want", [([0, 10, 20, 90, 95, 96], ("finished", 2, 6)), ([0, 10, 20, 30, 35, 36], ("finished", 1, 5))])
