@@ -511,6 +511,18 @@ def jdbc_query(spark, d):
     return rows.select(F.col("S").alias("status"), F.col("N").cast("long").alias("n"), F.col("WITH_COST").cast("long").alias("with_cost"))
 
 
+@query("jdbc_upsert", rounds("SELECT id, status, CASE WHEN id % 3 = 0 THEN cost + 1 WHEN id % 10 <> 0 THEN cost END AS cost FROM job_tracker UNION ALL SELECT -id, 'created', CAST(attempt AS DOUBLE) FROM job_tracker WHERE id % 4 = 0 AND id > 0", "cost", 3), "job_tracker")
+def jdbc_upsert(spark, d):
+    """A third of the jobs get a new cost, nulls change nothing, new ids are added; written twice."""
+    url, more, name = _table(spark, d)
+    j = view(spark, d, "job_tracker")
+    new = F.when(F.col("id") % 3 == 0, F.col("cost") + 1)
+    added = j.where("id % 4 = 0 AND id > 0").select((-F.col("id")).alias("id"), F.lit("created").alias("status"), F.col("attempt").cast("double").alias("cost"))
+    for _ in range(2):
+        files.jdbc_upsert(j.select("id", F.lit(None).cast("string").alias("status"), new.alias("cost")).unionByName(added), url, name, "id", **more)
+    return rounded(files.jdbc_query(spark, url, f'SELECT "id", "status", "cost" FROM {name}', key="id", **more), 3)
+
+
 # Streams: their results equal the batch results.
 def _events(spark, d):
     import os

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -129,7 +130,10 @@ def jdbc_read(spark: SparkSession, url: str, table: str, columns: Sequence[str],
     return spark.read.format("jdbc").options(url=url, dbtable=table, fetchsize=fetch, **options).load().select(*columns)
 
 
-def jdbc_query(spark: SparkSession, url: str, query: str, **options) -> DataFrame:
+def jdbc_query(spark: SparkSession, url: str, query: str, key: str | None = None, parts: int = 8, **options) -> DataFrame:
+    """Rows of a query that the database runs; with key, one of its columns, by ranges of it as jdbc_read does."""
+    if key:
+        return jdbc_read(spark, url, f"({query}) q", ["*"], key=key, parts=parts, **options)
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()
 
 
@@ -140,6 +144,42 @@ def jdbc_insert(df: DataFrame, url: str, table: str, **options) -> None:
     clean.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
 
 
+def jdbc_upsert(updates: DataFrame, url: str, table: str, key: str, quote: str = '"', **options) -> None:
+    """Rows of a table are updated by key (one row of updates for each) where the update isn't null; rows of other keys are added.
+
+    Tasks append the updates to a staging table of a new name, the database merges it by one statement, and it is dropped,
+    also after a failure. So readers see all of the updates or none, and a repeated call changes nothing more. Null keys
+    are left out. NaN becomes null.
+    """
+    stage = f"STAGE_{uuid.uuid4().hex[:16].upper()}"
+    name = lambda c, of="": f"{of}{quote}{c}{quote}"
+    changed = [c for c in updates.columns if c != key]
+    sets = ", ".join(f"{name(c)} = COALESCE({name(c, 's.')}, {name(c, 't.')})" for c in changed)
+    merge = f"MERGE INTO {table} t USING {stage} s ON {name(key, 't.')} = {name(key, 's.')}"
+    merge += f" WHEN MATCHED THEN UPDATE SET {sets}" if changed else ""
+    merge += f" WHEN NOT MATCHED THEN INSERT ({', '.join(map(name, updates.columns))}) VALUES ({', '.join(name(c, 's.') for c in updates.columns)})"
+    try:
+        jdbc_insert(updates.where(F.col(key).isNotNull()), url, stage, **options)
+        _run(updates.sparkSession, url, merge, options)
+    finally:
+        _run(updates.sparkSession, url, f"DROP TABLE {stage}", options)
+
+
+def _run(spark: SparkSession, url: str, statement: str, options: dict) -> None:
+    """One statement, from the driver."""
+    jvm = spark.sparkContext._jvm
+    properties = jvm.java.util.Properties()
+    for k, v in options.items():
+        properties.setProperty(k, str(v))
+    connection = jvm.java.sql.DriverManager.getConnection(url, properties)
+    try:
+        todo = connection.createStatement()
+        todo.executeUpdate(statement)
+        todo.close()
+    finally:
+        connection.close()
+
+
 def write_cube(df: DataFrame, path: str, partition: Sequence[str] = (), fmt: str = "parquet") -> None:
     """A cube as Parquet or CSV, a folder for each value of the partition columns; reruns replace those they write."""
     out = df.repartition(*partition) if partition else df

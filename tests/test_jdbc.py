@@ -29,3 +29,18 @@ def test_read_without_keys(spark, url):
     files.jdbc_insert(spark.createDataFrame([(None, 1), (None, 2)], "k long, v long"), url, "T_NONE", **MORE)
     df = files.jdbc_read(spark, url, "T_NONE", ["v"], key="k", parts=5, **MORE)
     assert sorted(r.v for r in df.collect()) == [1, 2]
+
+
+def test_upsert_by_key(spark, url):
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    kind = "id long, a double, b int"
+    files.jdbc_insert(spark.createDataFrame([(1, 1.0, 1), (2, 2.0, 2), (3, None, 3)], kind), url, "T_UP", **MORE)
+    new = spark.createDataFrame([(2, None, 20), (3, 3.5, None), (4, float("nan"), 4), (None, 9.0, 9)], kind)
+    for _ in range(2):
+        files.jdbc_upsert(new, url, "T_UP", "id", **MORE)
+        assert rows(files.jdbc_read(spark, url, "T_UP", ["id", "a", "b"], **MORE)) == [(1, 1.0, 1), (2, 2.0, 20), (3, 3.5, 3), (4, None, 4)]
+    files.jdbc_upsert(new.limit(0), url, "T_UP", "id", **MORE)
+    got = files.jdbc_query(spark, url, 'SELECT "id", "b" FROM T_UP WHERE "b" > 1', key="id", parts=3, **MORE)
+    assert rows(got) == [(2, 20), (3, 3), (4, 4)] and got.rdd.getNumPartitions() > 1
+    left = files.jdbc_query(spark, url, "SELECT count(*) AS n FROM SYS.SYSTABLES WHERE TABLENAME LIKE 'STAGE%'", **MORE)
+    assert left.first()[0] == 0
