@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,77 +32,147 @@ def convolve_disk(pixels: DataFrame, flag: str, radius: int, keys: Sequence[str]
     return rows.withColumn("n", F.sum("d").over(along)).where("own").select(*keys, "x", "y", "n")
 
 
-def flagged_runs(pixels: DataFrame, flag: str, keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, y, west, east): the runs of neighbouring flagged pixels of each row."""
-    row = Window.partitionBy(*keys, "y").orderBy("x")
-    on = pixels.where(F.col(flag)).select(*keys, "y", "x").distinct()
-    return on.withColumn("_run", F.col("x") - F.row_number().over(row)).groupBy(*keys, "y", "_run").agg(F.min("x").alias("west"), F.max("x").alias("east")).drop("_run")
+#: Pixels on a side of the chunks that masks are worked out in, and rows that a task holds at once at least, if it has them.
+CHUNK, ROWS = 512, 1 << 18
+
+
+class Near:
+    """Pixels of several groups, in order of group, row and column; places (x, y) are whole numbers, ``known`` tells who has one."""
+
+    def __init__(self, group: np.ndarray, x: np.ndarray, y: np.ndarray, known: np.ndarray, reach: int):
+        x, y = (np.where(known, v, v[known].min() if known.any() else 0) for v in (x, y))
+        self.reach, self.known = reach, known
+        self.wide = int(x.max() - x.min()) + 1 + 2 * reach
+        high = int(y.max() - y.min()) + 1 + 2 * reach
+        self.key = (group * high + y - y.min() + reach) * self.wide + x - x.min() + reach
+        self.order = np.argsort(self.key, kind="stable")
+        self.sorted = self.key[self.order]
+
+    def within(self, flag: np.ndarray, half: Sequence[int]) -> np.ndarray:
+        """Whether a flagged pixel of the group lies at most half[i] columns away in the row i - len(half) // 2 away.
+
+        Each row is one binary search in the flagged pixels for the pixels that none was found for so far.
+        """
+        hit = np.zeros(len(flag), bool)
+        on, left = self.sorted[(flag & self.known)[self.order]], self.order[self.known[self.order]]
+        for i in sorted(range(len(half)), key=lambda i: abs(i - len(half) // 2)):
+            if not len(on) or not len(left):
+                break
+            at = self.key[left] + (i - len(half) // 2) * self.wide
+            first = np.searchsorted(on, at - half[i])
+            found = (first < len(on)) & (on[np.minimum(first, len(on) - 1)] <= at + half[i])
+            hit[left[found]] = True
+            left = left[~found]
+        return hit
+
+    def first(self) -> np.ndarray:
+        """Whether a pixel is the first of its group and place."""
+        out = np.zeros(len(self.key), bool)
+        out[self.order[np.append(True, self.sorted[1:] != self.sorted[:-1])]] = True
+        return out
+
+    def disk(self, flag: np.ndarray, radius: int) -> np.ndarray:
+        return self.within(flag, [math.isqrt(radius * radius - dy * dy) for dy in range(-radius, radius + 1)])
+
+    def square(self, flag: np.ndarray, size: int) -> np.ndarray:
+        return self.within(flag, [size // 2] * (2 * (size // 2) + 1))
+
+
+def by_chunks(pixels: DataFrame, keys: Sequence[str], flags: Sequence[Column], reach: int | Column, work: Callable[..., np.ndarray], name: str, once: bool = False) -> DataFrame:
+    """(keys, x, y, name): a row for each pixel with what work(near, *flags) says of it; work looks no further than reach pixels.
+
+    Pixels are dealt once to square chunks of CHUNK pixels and those whose halo of ``reach`` holds them, the only shuffle,
+    and a task works on whole chunks, many small ones at once: memory is bound by a chunk and its halo, and what is
+    shuffled is the pixels and their halo, whatever the reach. Chunks are laid around the origin, so a raster that begins
+    there needs no chunk before it. reach may be a column of the keys. A pixel without a place keeps its row; it is near none. once: a
+    row for each place.
+    """
+    reach = F.lit(reach) if isinstance(reach, int) else reach.cast("int")
+    at = lambda v, d: F.floor((F.col(v) + d + CHUNK // 2) / CHUNK)
+    dealt = pixels.select(*keys, "x", "y", reach.alias("_reach"), *[F.coalesce(f, F.lit(False)).alias(f"_f{i}") for i, f in enumerate(flags)])
+    for v in ("x", "y"):
+        dealt = dealt.withColumn(f"_c{v}", F.explode_outer(F.sequence(at(v, -F.col("_reach")), at(v, F.col("_reach")))))
+    dealt = dealt.withColumn("_own", F.col("_cx").eqNullSafe(at("x", F.lit(0))) & F.col("_cy").eqNullSafe(at("y", F.lit(0))))
+    parts, own_columns, names = [*keys, "_cx", "_cy"], [*keys, "x", "y"], [f"_f{i}" for i in range(len(flags))]
+    schema = pixels.select(*keys, "x", "y", F.lit(True).alias(name)).schema
+
+    def groups(table: pa.Table) -> np.ndarray:
+        same = np.ones(max(0, table.num_rows - 1), bool)
+        for c in parts:
+            code = table[c].combine_chunks().dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+            same &= code[1:] == code[:-1]
+        return np.concatenate([[0], np.cumsum(~same)])
+
+    def judged(table: pa.Table, group: np.ndarray) -> pa.Table:
+        known = pc.and_(table["x"].is_valid(), table["y"].is_valid()).to_numpy()
+        x, y = (pc.fill_null(table[v].cast(pa.int64()), 0).to_numpy() for v in ("x", "y"))
+        far = table["_reach"].to_numpy()
+        out, own = np.zeros(len(x), bool), table["_own"].to_numpy().copy()
+        for r in np.unique(far):
+            some = far == r
+            near = Near(group[some], x[some], y[some], known[some], int(r))
+            out[some] = work(near, *[table[c].to_numpy()[some] for c in names])
+            if once:
+                own[some] &= near.first() | ~known[some]
+        return table.select(own_columns).append_column(name, pa.array(out)).filter(pa.array(own)).combine_chunks()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, enough = [], 0, ROWS
+        for b in batches:
+            held.append(b)
+            n += b.num_rows
+            if n < enough:
+                continue
+            table = pa.Table.from_batches(held)
+            group = groups(table)
+            cut = int(np.searchsorted(group, group[-1]))
+            if cut:
+                yield from judged(table.slice(0, cut), group[:cut]).to_batches()
+            held, n = table.slice(cut).to_batches(), n - cut
+            enough = max(ROWS, 2 * n)
+        if n:
+            table = pa.Table.from_batches(held)
+            yield from judged(table, groups(table)).to_batches()
+
+    return dealt.repartition(*parts).sortWithinPartitions(*parts).mapInArrow(run, schema)
 
 
 def dilate_disk(pixels: DataFrame, flag: str, radius: int, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, x, y, flag): true where a flagged pixel lies within the disk x² + y² <= radius².
 
-    Flagged pixels are joined to runs along their rows first. A run reaches, in each row that its disks meet, from its west
-    end less the disk's half width to its east end more that; runs that touch in a row are one there. Work is runs x
-    (2 radius + 1), however wide they are. Absent pixels count as not flagged, and don't stand in the way.
+    Absent pixels count as not flagged, and don't stand in the way.
     """
-    half = F.array(*[F.lit(math.isqrt(radius * radius - dy * dy)) for dy in range(-radius, radius + 1)])
-    runs = flagged_runs(pixels, flag, keys)
-    reach = runs.select(*keys, "y", "west", "east", F.posexplode(half).alias("i", "w"))
-    ends = F.array(F.struct((F.col("west") - F.col("w")).alias("x"), F.lit(1).alias("d")), F.struct((F.col("east") + F.col("w") + 1).alias("x"), F.lit(-1).alias("d")))
-    edges = reach.select(*keys, (F.col("y") + F.col("i") - radius).cast("int").alias("y"), F.explode(ends).alias("e"))
-    edges = edges.groupBy(*keys, "y", F.col("e.x").alias("x")).agg(F.sum("e.d").alias("d"))
-    here = pixels.select(*keys, "y", "x", F.lit(0).cast("long").alias("d"), F.lit(True).alias("own"))
-    both = here.unionByName(edges.withColumn("own", F.lit(False)))
-    along = Window.partitionBy(*keys, "y").orderBy("x").rangeBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(flag, F.sum("d").over(along) > 0).where("own").select(*keys, "x", "y", flag)
+    return by_chunks(pixels, keys, [F.col(flag)], radius, lambda near, f: near.disk(f, radius), flag)
 
 
 def erode_disk(pixels: DataFrame, flag: str, radius: int, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, x, y, flag): true where no unflagged pixel of the table lies within the disk; a null flag counts as unflagged."""
-    off = pixels.select(*keys, "x", "y", (~F.coalesce(F.col(flag), F.lit(False))).alias(flag))
-    return dilate_disk(off, flag, radius, keys).withColumn(flag, ~F.col(flag))
+    return by_chunks(pixels, keys, [F.col(flag)], radius, lambda near, f: ~near.disk(~f, radius), flag)
 
 
 def dilate_square(pixels: DataFrame, flag: str, size: int | Column, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, x, y, flag): true where a flagged pixel lies within a size x size square; size may be a column of the keys.
 
-    Flagged pixels are widened along their row and joined to runs; each run opens and closes in every row that its squares
-    meet, and a running sum along each row tells which pixels are covered. Work is runs x size, not pixels x size². Absent
-    pixels count as not flagged, and don't stand in the way.
+    Absent pixels count as not flagged, and don't stand in the way.
     """
-    h = F.floor(F.lit(size) / 2).cast("int") if isinstance(size, int) else F.floor(size / 2).cast("int")
-    line = Window.partitionBy(*keys, "y").orderBy("x")
-    on = pixels.where(F.col(flag)).select(*keys, "y", "x", h.alias("h"))
-    ends = F.array(F.struct((F.col("x") - F.col("h")).alias("x"), F.lit(1).alias("d")), F.struct((F.col("x") + F.col("h") + 1).alias("x"), F.lit(-1).alias("d")))
-    edges = on.select(*keys, "y", "h", F.explode(ends).alias("e")).groupBy(*keys, "y", "h", F.col("e.x").alias("x")).agg(F.sum("e.d").alias("d"))
-    depth = edges.withColumn("s", F.sum("d").over(line.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = depth.withColumn("before", F.col("s") - F.col("d")).where("(s = 0) <> (before = 0)")
-    rows = F.explode(F.sequence(F.col("y") - F.col("h"), F.col("y") + F.col("h")))
-    spread = runs.select(*keys, "x", F.when(F.col("s") > 0, 1).otherwise(-1).alias("d"), rows.alias("y")).groupBy(*keys, "y", "x").agg(F.sum("d").alias("d"))
-    here = pixels.select(*keys, "y", "x", F.lit(0).cast("long").alias("d"), F.lit(True).alias("own"))
-    both = here.unionByName(spread.withColumn("own", F.lit(False)))
-    n = F.sum("d").over(line.rangeBetween(Window.unboundedPreceding, 0))
-    return both.withColumn(flag, n > 0).where("own").select(*keys, "x", "y", flag)
+    half = size // 2 if isinstance(size, int) else F.floor(size / 2)
+    return by_chunks(pixels, keys, [F.col(flag)], half, lambda near, f: near.square(f, 2 * near.reach), flag)
 
 
 def satio_mask(scl: DataFrame, keys: Sequence[str] = (), erode: int = 3, dilate: int = 21) -> DataFrame:
-    """(keys, x, y, mask): bad scene classes, specks removed by erosion, then grown."""
-    bad = scl.select(*keys, "x", "y", F.coalesce(scl_bad(F.col("scl")), F.lit(False)).alias("mask"))
-    return dilate_disk(erode_disk(bad, "mask", erode, keys), "mask", dilate, keys)
+    """(keys, x, y, mask): bad scene classes, specks removed by erosion, then grown; both in one pass over the chunks."""
+    grown = lambda near, bad: near.disk(~near.disk(~bad, erode), dilate)
+    return by_chunks(scl, keys, [scl_bad(F.col("scl"))], erode + dilate, grown, "mask")
 
 
 def two_mask(cells: DataFrame, code: str, keep: Sequence[int], bad: Sequence[int], kernels: tuple[int, int] = (17, 77), erosion: int = 3, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, x, y, mask): classes outside keep, eroded and grown by the first kernel, or in bad, by the second.
 
-    A null class is in neither: it masks nothing, and keeps what is around it from standing after the erosion. Both go through one chain, told apart by the kernel.
+    A null class is in neither: it masks nothing, and keeps what is around it from standing after the erosion. A row for each place.
     """
-    flags = [(kernels[0], F.coalesce(~F.col(code).isin(*keep), F.lit(False))), (kernels[1], F.coalesce(F.col(code).isin(*bad), F.lit(False)))]
-    both = F.array(*[F.struct(F.lit(k).alias("kernel"), F.lit(i).alias("kind"), f.alias("mask")) for i, (k, f) in enumerate(flags)])
-    kinds = cells.select(*keys, "x", "y", F.explode(both).alias("m")).select(*keys, "m.kernel", "m.kind", "x", "y", "m.mask")
-    own = [*keys, "kernel", "kind"]
-    grown = dilate_square(erode_disk(kinds, "mask", erosion, own), "mask", F.col("kernel"), own)
-    return grown.groupBy(*keys, "x", "y").agg(F.max("mask").alias("mask"))
+    flags = [~F.col(code).isin(*keep), F.col(code).isin(*bad)]
+    grown = lambda near, *f: np.logical_or(*[near.square(~near.disk(~m, erosion), k) for m, k in zip(f, kernels, strict=True)])
+    return by_chunks(cells, keys, flags, erosion + max(kernels) // 2, grown, "mask", once=True)
 
 
 def apply_mask(cube: DataFrame, mask: DataFrame, bands: Sequence[str], on: Sequence[str] = ("x", "y")) -> DataFrame:

@@ -42,14 +42,14 @@ def reducers(t: str = "t") -> dict[str, Callable[[Column], Column]]:
     }
 
 
-def composite(df: DataFrame, bands: Sequence[str], period: str, reducer: str = "median", t: str = "t", keys: Sequence[str] = PIXEL, by_pixel: bool = False) -> DataFrame:
-    """One row for each pixel and period with every band reduced; one shuffle.
+def composite(df: DataFrame, bands: Sequence[str], period: str, reducer: str = "median", t: str = "t", keys: Sequence[str] = PIXEL, by_pixel: bool = False, dealt: bool = False) -> DataFrame:
+    """One row for each pixel and period with every band reduced; one shuffle, or none where rows are dealt by pixel already.
 
     by_pixel, and the median, whose partial results are as large as its input, shuffle the rows by pixel first: statistics
     and interpolation over time that follow then need no shuffle of their own. Otherwise rows are reduced before the shuffle.
     """
     f = reducers(t)[reducer]
-    df = df.repartition(*keys) if by_pixel or reducer == "median" else df
+    df = df.repartition(*keys) if not dealt and (by_pixel or reducer == "median") else df
     return df.groupBy(*keys, period_start(F.col(t), period).alias("period")).agg(*[f(F.col(b)).alias(b) for b in bands]).withColumnRenamed("period", t)
 
 

@@ -128,15 +128,16 @@ def s2_cube(df: DataFrame, opt: CubeOptions, bands: Sequence[str] = S2_BANDS) ->
     if opt.masking == "classes":
         cube = cube.select("x", "y", "t", *pixel.mask_bands(bands, pixel.scl_bad(F.col("scl"))))
     elif opt.masking:
+        cube = cube.repartition("x", "y")  # the one shuffle of the bands: for the mask, the composite and what follows
         scenes = cube.groupBy("x", "y", "t").agg(F.max("scl").alias("scl"))
-        mask = cloud_mask(scenes, opt)
+        mask = cloud_mask(scenes, opt).repartition("x", "y").hint("merge")  # as long as the cube, whatever its estimate
         if opt.apply_cloud_mask:
             cube = spatial.apply_mask(cube.drop("scl"), mask, bands, ("x", "y", "t"))
         else:
             cube = spatial.mask_as_band(cube.drop("scl"), mask.withColumn("mask", F.col("mask").cast("int")), on=("x", "y", "t"))
             bands = [*bands, "S2-CLOUD-MASK"]
     if opt.ts_interval:
-        cube = temporal.composite(cube, bands, opt.ts_interval, opt.s2_reducer, by_pixel=True)
+        cube = temporal.composite(cube, bands, opt.ts_interval, opt.s2_reducer, by_pixel=True, dealt=opt.masking not in ("classes", None))
     if opt.time_interpolation:
         cube = temporal.interpolate(cube, bands)
     return cube.select("x", "y", "t", *[pixel.linear_scale(F.col(b), 0, 65534, 0, 65534).alias(b) for b in bands])

@@ -342,3 +342,27 @@ def test_tiles_cover_a_cell_without_the_narrowest_gap(spark):
     assert assigned(*quarters) == [("quad", "Q00,Q01,Q10,Q11")]
     assert assigned(a, ("B2", 49.0, -1.0, 100.0, 100.0), *quarters) == [("pair", "A,B2")]
     assert assigned(("F", 500.0, 500.0, 600.0, 600.0)) == []
+
+
+def test_masks_deal_pixels_once(spark):
+    """Work and shuffle are the pixels and their halo: no row for each row of a disk or square; chunks and their seams make no difference."""
+    import random
+
+    from pixelloom.operators import spatial
+
+    random.seed(5)
+    seams = [v + d for v in (-256, 256, 768) for d in range(-30, 31)]
+    cells = {(random.choice(seams), random.choice(seams), t): random.randrange(12) for t in (1, 2) for _ in range(700)}
+    df = spark.createDataFrame([(*c, s) for c, s in cells.items()] + [(None, 5, 1, 9)], "x int, y int, t int, scl int")
+    near = lambda a, b, r: a[2] == b[2] and (a[0] - b[0]) ** 2 + (a[1] - b[1]) ** 2 <= r * r
+    square = lambda a, b, k: a[2] == b[2] and max(abs(a[0] - b[0]), abs(a[1] - b[1])) <= k // 2
+    eroded = lambda f: [c for c in cells if all(f(cells[b]) for b in cells if near(b, c, 3))]
+    bad, outside, cloudy = (eroded(lambda s, k=k: s in k) for k in (pixel.SCL_BAD, set(range(12)) - {*pixel.SCL_KEEP}, pixel.SCL_CLOUDY))
+    satio = spatial.satio_mask(df, ["t"])
+    two = spatial.two_mask(df, "scl", pixel.SCL_KEEP, pixel.SCL_CLOUDY, keys=["t"])
+    place = lambda r: (r.x, r.y, r.t)
+    assert {place(r): r.mask for r in satio.collect()} == {c: any(near(c, b, 21) for b in bad) for c in cells} | {(None, 5, 1): False}
+    assert {place(r): r.mask for r in two.collect()} == {c: any(square(c, b, 17) for b in outside) or any(square(c, b, 77) for b in cloudy) for c in cells} | {(None, 5, 1): False}
+    for df in (satio, two):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RepartitionByExpression") == 1 and not any(step in plan for step in ("Window", "Aggregate", "Join"))
