@@ -361,7 +361,7 @@ def first_match_by_priority(spark, d):
 @query("segmentize", "SELECT aoi_id, CAST(2 * ceil((east - west) / 250) + 2 * ceil((north - south) / 250) + 1 AS INT) AS n_points FROM aoi_boxes", "aoi_boxes")
 def segmentize(spark, d):
     ring = F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("west", "south"), ("east", "south"), ("east", "north"), ("west", "north"), ("west", "south"))])
-    return view(spark, d, "aoi_boxes").select("aoi_id", F.size(grids.segmentize(ring, 250.0)).alias("n_points"))
+    return joins.spread(view(spark, d, "aoi_boxes")).select("aoi_id", F.size(grids.segmentize(ring, 250.0)).alias("n_points"))
 
 
 @query("collection_bbox", "SELECT label, min(lon) AS west, min(lat) AS south, max(lon) AS east, max(lat) AS north FROM ref_points GROUP BY label", "ref_points")

@@ -366,3 +366,9 @@ def test_masks_deal_pixels_once(spark):
     for df in (satio, two):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("RepartitionByExpression") == 1 and not any(step in plan for step in ("Window", "Aggregate", "Join"))
+
+
+def test_segments_are_worked_out_by_all_cores(spark):
+    from pixelloom.plans import catalog
+
+    assert catalog.queries()["segmentize"](spark, SF).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
