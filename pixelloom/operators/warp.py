@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pixelloom.functions import crs
+from pixelloom.operators.joins import spread
 
 METHODS = ("near", "bilinear")
 #: Target rows that one row of a block's targets holds.
@@ -73,6 +74,15 @@ def _blocks(v: str, block: int, halo: int) -> Column:
     return F.when(F.pmod(F.col(v), F.lit(block)) < halo, F.array(own, own - 1)).otherwise(F.array(own))
 
 
+def _cells(cube: DataFrame, bands: Sequence[str], keys: Sequence[str], block: int, halo: int) -> DataFrame:
+    """(keys, bx, by, e): the pixels that a block has, as structs (i, v) in the order of their place i; of several rows of a pixel the least."""
+    wide = block + halo
+    dealt = cube.select(*keys, "x", "y", F.struct(*bands).alias("v")).withColumn("bx", F.explode(_blocks("x", block, halo))).withColumn("by", F.explode(_blocks("y", block, halo)))
+    place = ((F.col("y") - F.col("by") * block) * wide + F.col("x") - F.col("bx") * block).cast("int")
+    rows = dealt.groupBy(*keys, "bx", "by").agg(F.array_sort(F.collect_list(F.struct(place.alias("i"), "v"))).alias("e"))
+    return rows.withColumn("e", F.filter("e", lambda p, k: (k == 0) | (F.get("e", k - 1)["i"] != p["i"])))
+
+
 def pack(cube: DataFrame, bands: Sequence[str], keys: Sequence[str] = (), block: int = 64, halo: int = 0) -> DataFrame:
     """(keys, bx, by, cells): blocks of pixels as dense arrays, row by row, one shuffle; an absent pixel is null.
 
@@ -80,17 +90,14 @@ def pack(cube: DataFrame, bands: Sequence[str], keys: Sequence[str] = (), block:
     of a pixel the least by its bands counts.
     """
     wide = block + halo
-    dealt = cube.select(*keys, "x", "y", F.struct(*bands).alias("v")).withColumn("bx", F.explode(_blocks("x", block, halo))).withColumn("by", F.explode(_blocks("y", block, halo)))
-    place = ((F.col("y") - F.col("by") * block) * wide + F.col("x") - F.col("bx") * block).cast("int")
-    rows = dealt.groupBy(*keys, "bx", "by").agg(F.array_sort(F.collect_list(F.struct(place.alias("i"), "v"))).alias("e"))
-    rows = rows.withColumn("e", F.filter("e", lambda p, k: (k == 0) | (F.get("e", k - 1)["i"] != p["i"])))
-    none = F.lit(None).cast(dealt.schema["v"].dataType)
+    rows = _cells(cube, bands, keys, block, halo)
+    none = F.lit(None).cast(rows.schema["e"].dataType.elementType["v"].dataType)
     gaps = F.transform("e", lambda p, k: F.concat(F.array(p["v"]), F.array_repeat(none, F.coalesce(F.get("e", k + 1)["i"], F.lit(wide * wide)) - p["i"] - 1)))
     return rows.select(*keys, "bx", "by", F.concat(F.array_repeat(none, F.col("e")[0]["i"]), F.flatten(gaps)).alias("cells"))
 
 
 def targets(blocks: DataFrame, source: Grid, target: Grid, method: str, block: int) -> DataFrame:
-    """(bx, by, at): for each source block and up to ROWS target rows the pixels whose centres it serves, as structs (tx, ty, u, v).
+    """(bx, by, part, at): for each source block and up to ROWS target rows the pixels whose centres it serves, as structs (tx, ty, u, v).
 
     A block serves the centres whose nearest pixel, or whose upper left pixel of the four around, is its own: so each centre
     has one block. The outline of the block, with points along its sides, bounds the target rows and columns to try.
@@ -102,7 +109,7 @@ def targets(blocks: DataFrame, source: Grid, target: Grid, method: str, block: i
     outline = blocks.select("bx", "by", F.transform(sides, lambda p: between(source, target, p["x"], p["y"])).alias("o"))
     reach = lambda c, end: (F.floor(F.array_min(F.transform("o", lambda p: p[c]))) - 1 if end < 0 else F.floor(F.array_max(F.transform("o", lambda p: p[c]))) + 1).cast("int")
     spans = outline.select("bx", "by", reach("u", -1).alias("west"), reach("u", 1).alias("east"), reach("v", -1).alias("top"), reach("v", 1).alias("foot"))
-    spans = spans.withColumn("part", F.explode(F.sequence(F.floor(F.col("top") / ROWS), F.floor(F.col("foot") / ROWS))))
+    spans = spread(spans.withColumn("part", F.explode(F.sequence(F.floor(F.col("top") / ROWS), F.floor(F.col("foot") / ROWS)))))
     rows = F.sequence(F.greatest("top", F.col("part") * ROWS).cast("int"), F.least("foot", F.col("part") * ROWS + ROWS - 1).cast("int"))
 
     def centre(tx: Column, ty: Column) -> Column:
@@ -110,7 +117,7 @@ def targets(blocks: DataFrame, source: Grid, target: Grid, method: str, block: i
 
     own = lambda p: (F.floor(p["u"] / block) == F.col("bx")) & (F.floor(p["v"] / block) == F.col("by"))
     every = F.flatten(F.transform(rows, lambda ty: F.transform(F.sequence("west", "east"), lambda tx: centre(tx, ty))))
-    return spans.select("bx", "by", F.filter(every, own).alias("at")).where(F.size("at") > 0)
+    return spans.select("bx", "by", "part", F.filter(every, own).alias("at")).where(F.size("at") > 0)
 
 
 def warp(cube: DataFrame, bands: Sequence[str], source: Grid, target: Grid, method: str = "near", keys: Sequence[str] = ("t",), block: int = 64) -> DataFrame:
@@ -120,30 +127,35 @@ def warp(cube: DataFrame, bands: Sequence[str], source: Grid, target: Grid, meth
     around the centre, by their distances, over those present and not null; a row if any with a weight is there.
 
     Source pixels are packed into blocks by one shuffle. For every block of the grid, not of every date, the target pixels
-    that it serves are worked out by the inverse projections in closed form, joined to the packed blocks, and their values
-    taken out of the arrays: no join meets single pixels. Work is source and target pixels.
+    that it serves are worked out by the inverse projections in closed form and joined to the packed blocks: no join meets
+    single pixels. near: a block holds the pixels that a date has, and each looks up those that it serves, so work is rows
+    and results however few pixels a date has. bilinear: it is a dense array, out of which each target takes its values.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     halo = int(method == "bilinear")
     wide = block + halo
-    kinds = dict(cube.dtypes)
-    packed = pack(cube, bands, keys, block, halo)
     near = cube.select("x", "y").withColumn("bx", F.explode(_blocks("x", block, halo))).withColumn("by", F.explode(_blocks("y", block, halo))).select("bx", "by").distinct()
-    met = packed.join(targets(near, source, target, method, block), ["bx", "by"])
+    served = targets(near, source, target, method, block)
+    if not halo:
+        each = served.select("part", F.explode("at").alias("p")).groupBy("part", F.floor("p.u").alias("x"), F.floor("p.v").alias("y"))
+        places = pack(each.agg(F.collect_list(F.struct("p.tx", "p.ty")).alias("to")), ["to"], ("part",), block)
+        met = _cells(cube, bands, keys, block, 0).join(places.drop("part"), ["bx", "by"])
+        serve = lambda p: F.transform(F.get("cells", p["i"])["to"], lambda q: F.struct(q["tx"], q["ty"], p["v"]))
+        found = F.flatten(F.transform(F.filter("e", lambda p: F.get("cells", p["i"]).isNotNull()), serve))
+        out = met.select(*keys, F.explode(found).alias("p"))
+        return out.select(*keys, F.col("p.tx").alias("x"), F.col("p.ty").alias("y"), *[f"p.v.{b}" for b in bands])
+    met = pack(cube, bands, keys, block, halo).join(served, ["bx", "by"])
 
     def values(p: Column) -> Column:
         x, y = F.floor(p["u"]), F.floor(p["v"])
         at = ((y - F.col("by") * block) * wide + x - F.col("bx") * block).cast("int")
-        if not halo:
-            return F.struct(p["tx"].alias("x"), p["ty"].alias("y"), F.get("cells", at).alias("v"))
         wx, wy = p["u"] - x, p["v"] - y
         taps = F.array(*[F.struct(F.get("cells", at + dy * wide + dx).alias("v"), ((wx if dx else 1 - wx) * (wy if dy else 1 - wy)).alias("w")) for dy in (0, 1) for dx in (0, 1)])
         return F.transform(F.array(F.filter(taps, lambda q: q["v"].isNotNull() & (q["w"] > TINY))), lambda q: F.struct(p["tx"].alias("x"), p["ty"].alias("y"), F.when(F.size(q) > 0, F.struct(*[_mean(q, b).alias(b) for b in bands])).alias("v")))[0]
 
     out = met.select(*keys, F.explode(F.filter(F.transform("at", values), lambda p: p["v"].isNotNull())).alias("p"))
-    kept = lambda b: F.col(f"p.v.{b}").cast(kinds[b]) if not halo else F.col(f"p.v.{b}")
-    return out.select(*keys, F.col("p.x").alias("x"), F.col("p.y").alias("y"), *[kept(b).alias(b) for b in bands])
+    return out.select(*keys, F.col("p.x").alias("x"), F.col("p.y").alias("y"), *[F.col(f"p.v.{b}").alias(b) for b in bands])
 
 
 def _mean(taps: Column, band: str) -> Column:

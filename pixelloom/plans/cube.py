@@ -98,7 +98,7 @@ def load(
 
 def placed(cube: DataFrame, bands: Sequence[str], opt: CubeOptions) -> DataFrame:
     """The cube on the target grid of the options, if there is one: nearest neighbours, before anything else is done."""
-    return warp(cube, bands, opt.source_grid, opt.target_grid) if opt.target_grid else cube
+    return warp(cube, bands, opt.source_grid, opt.target_grid, block=16) if opt.target_grid else cube
 
 
 def s1_cube(df: DataFrame, opt: CubeOptions) -> DataFrame:

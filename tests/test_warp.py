@@ -84,3 +84,13 @@ def test_empty_cube_and_unknown_arguments(cube):
         Grid(32661, 0, 0, 1)
     with pytest.raises(ValueError):
         Grid(3035, 0, 0, 0)
+
+
+def test_near_blocks_hold_only_pixels_that_a_date_has(spark):
+    sparse = spark.range(500).selectExpr("CAST(id AS INT) AS t", "CAST(id % 7 AS INT) AS x", "CAST(id % 5 AS INT) AS y", "CAST(id AS DOUBLE) AS a")
+    out = warp(sparse, ["a"], UTM, LAEA, block=16)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    dates = [line for line in plan.splitlines() if "[t#" in line]
+    assert dates and not any("array_repeat" in line for line in dates)  # no dense blocks
+    served = {(r.x, r.y): r.n for r in warp(sparse.selectExpr("0 AS t", "x", "y", "y * 7 + x AS c").distinct(), ["c"], UTM, LAEA, block=16).groupBy("c").count().selectExpr("c % 7 AS x", "c DIV 7 AS y", "count AS n").collect()}
+    assert out.count() == sum(served.get((i % 7, i % 5), 0) for i in range(500)) > 0
