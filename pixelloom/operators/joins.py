@@ -10,16 +10,32 @@ from pyspark.sql import functions as F
 BOX = ("west", "south", "east", "north")
 
 
+#: Rows of a task that reduces or joins a cube by pixel: their groups take about 150 MB.
+TASK_ROWS = 500_000
+
+
+def by_rows(df: DataFrame) -> int | None:
+    """Tasks of about TASK_ROWS rows for df, a core's worth at least, so that a task's memory doesn't grow with the input; None for a stream.
+
+    Counts the rows when the plan is made: of Parquet without filters only its footers are read.
+    """
+    if df.isStreaming:
+        return None
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df dealt to four tasks a core: for few rows that are much work each, which a small file would leave to one task."""
     return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
 
 
-def merge_cubes(a: DataFrame, b: DataFrame, on: Sequence[str] = ("x", "y", "t")) -> DataFrame:
-    """Full outer join of two cubes with different bands; the union of their labels stays."""
+def merge_cubes(a: DataFrame, b: DataFrame, on: Sequence[str] = ("x", "y", "t"), tasks: int | None = None) -> DataFrame:
+    """Full outer join of two cubes with different bands, in so many tasks if given; the union of their labels stays."""
     shared = (set(a.columns) & set(b.columns)) - set(on)
     if shared:
         raise ValueError(f"both cubes have {sorted(shared)}")
+    if tasks:
+        a, b = a.repartition(tasks, *on), b.repartition(tasks, *on)
     return a.join(b, list(on), "full_outer")
 
 

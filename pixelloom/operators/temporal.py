@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pixelloom.operators.joins import by_rows
+
 PIXEL = ("x", "y")
 PERIODS = ("day", "week", "dekad", "month", "season", "year")
 
@@ -42,15 +44,38 @@ def reducers(t: str = "t") -> dict[str, Callable[[Column], Column]]:
     }
 
 
-def composite(df: DataFrame, bands: Sequence[str], period: str, reducer: str = "median", t: str = "t", keys: Sequence[str] = PIXEL, by_pixel: bool = False, dealt: bool = False) -> DataFrame:
+def _medians(rows: GroupedData, bands: Sequence[str]) -> DataFrame:
+    """The median of each band as an exact percentile gives it, from one list of rows instead of a table of values for each band.
+
+    Falling order puts nulls last, so the count of values tells the two in the middle.
+    """
+    kept = rows.agg(F.collect_list(F.struct(*[F.col(f"`{b}`") for b in bands])).alias("_s"), *[F.count(F.col(f"`{b}`")).alias(f"_n{i}") for i, b in enumerate(bands)])
+    keys = [c for c in kept.columns if c != "_s" and c not in {f"_n{i}" for i in range(len(bands))}]
+
+    def middle(i: int, b: str) -> Column:
+        values, n = F.sort_array(F.col(f"_s.`{b}`"), False), F.col(f"_n{i}")
+        low, high = F.get(values, F.floor((n - 1) / 2).cast("int")), F.get(values, F.floor(n / 2).cast("int"))
+        return F.when(n > 0, low.cast("double") * 0.5 + high.cast("double") * 0.5 + 0.0).alias(b)
+
+    return kept.select(*keys, *[middle(i, b) for i, b in enumerate(bands)])
+
+
+def composite(
+    df: DataFrame, bands: Sequence[str], period: str, reducer: str = "median", t: str = "t", keys: Sequence[str] = PIXEL, by_pixel: bool = False, dealt: bool = False, tasks: int | None = None
+) -> DataFrame:
     """One row for each pixel and period with every band reduced; one shuffle, or none where rows are dealt by pixel already.
 
     by_pixel, and the median, whose partial results are as large as its input, shuffle the rows by pixel first: statistics
     and interpolation over time that follow then need no shuffle of their own. Otherwise rows are reduced before the shuffle.
+    tasks: how many tasks rows are dealt to by pixel; as many as df has rows for if not given.
     """
     f = reducers(t)[reducer]
-    df = df.repartition(*keys) if not dealt and (by_pixel or reducer == "median") else df
-    return df.groupBy(*keys, period_start(F.col(t), period).alias("period")).agg(*[f(F.col(b)).alias(b) for b in bands]).withColumnRenamed("period", t)
+    if not dealt and (by_pixel or reducer == "median"):
+        tasks = tasks or by_rows(df)
+        df = df.repartition(tasks, *keys) if tasks else df.repartition(*keys)
+    rows = df.groupBy(*keys, period_start(F.col(t), period).alias("period"))
+    out = _medians(rows, bands) if reducer == "median" else rows.agg(*[f(F.col(b)).alias(b) for b in bands])
+    return out.withColumnRenamed("period", t)
 
 
 def calendar(start: str, stop: str, period: str) -> list[date]:

@@ -105,7 +105,7 @@ def s1_cube(df: DataFrame, opt: CubeOptions) -> DataFrame:
     """Backscatter as 16-bit numbers: composite, interpolate, scale."""
     cube = placed(load(df, S1_BANDS, orbit=opt.s1_orbit), S1_BANDS, opt)
     if opt.ts_interval:
-        cube = temporal.composite(cube, S1_BANDS, opt.ts_interval, opt.s1_reducer, by_pixel=True)
+        cube = temporal.composite(cube, S1_BANDS, opt.ts_interval, opt.s1_reducer, by_pixel=True, tasks=joins.by_rows(df))
     if opt.time_interpolation:
         cube = temporal.interpolate(cube, S1_BANDS)
     return cube.select("x", "y", "t", *[pixel.power_to_dn(F.col(b)).alias(b) for b in S1_BANDS])
@@ -137,7 +137,7 @@ def s2_cube(df: DataFrame, opt: CubeOptions, bands: Sequence[str] = S2_BANDS) ->
             cube = spatial.mask_as_band(cube.drop("scl"), mask.withColumn("mask", F.col("mask").cast("int")), on=("x", "y", "t"))
             bands = [*bands, "S2-CLOUD-MASK"]
     if opt.ts_interval:
-        cube = temporal.composite(cube, bands, opt.ts_interval, opt.s2_reducer, by_pixel=True, dealt=opt.masking not in ("classes", None))
+        cube = temporal.composite(cube, bands, opt.ts_interval, opt.s2_reducer, by_pixel=True, dealt=opt.masking not in ("classes", None), tasks=joins.by_rows(df))
     if opt.time_interpolation:
         cube = temporal.interpolate(cube, bands)
     return cube.select("x", "y", "t", *[pixel.linear_scale(F.col(b), 0, 65534, 0, 65534).alias(b) for b in bands])
@@ -152,7 +152,7 @@ def planet_cube(df: DataFrame, bands: Sequence[str], period: str = "dekad", redu
 
 def ts_cube(s1: DataFrame, s2: DataFrame, opt: CubeOptions) -> DataFrame:
     """Sentinel-1 and Sentinel-2 bands of the same times in one cube."""
-    return joins.merge_cubes(s1_cube(s1, opt), s2_cube(s2, opt))
+    return joins.merge_cubes(s1_cube(s1, opt), s2_cube(s2, opt), tasks=joins.by_rows(s1.select("x").unionByName(s2.select("x"))))
 
 
 def s1_indices(cube: DataFrame, opt: CubeOptions) -> DataFrame:
@@ -191,7 +191,8 @@ def planet_features(df: DataFrame, bands: Sequence[str]) -> DataFrame:
 
 
 def master_indices(s1: DataFrame, s2: DataFrame, opt: CubeOptions) -> DataFrame:
-    return joins.merge_cubes(s1_indices(s1_cube(s1, opt), opt), s2_indices(s2_cube(s2, opt), opt))
+    tasks = joins.by_rows(s1.select("x").unionByName(s2.select("x")))
+    return joins.merge_cubes(s1_indices(s1_cube(s1, opt), opt), s2_indices(s2_cube(s2, opt), opt), tasks=tasks)
 
 
 def master_features(s1: DataFrame, s2: DataFrame, opt: CubeOptions) -> DataFrame:

@@ -372,3 +372,21 @@ def test_segments_are_worked_out_by_all_cores(spark):
     from pixelloom.plans import catalog
 
     assert catalog.queries()["segmentize"](spark, SF).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_composites_are_dealt_by_rows(spark, monkeypatch):
+    """Tasks grow with the rows, whatever the session's number of shuffle partitions."""
+    monkeypatch.setattr(joins, "TASK_ROWS", 100)
+    for name in ("s1_cube", "ts_cube", "agg_period_week"):
+        assert catalog.queries()[name](spark, SF).rdd.getNumPartitions() >= 60, name
+
+
+def test_median_of_odd_values(spark):
+    """Null, infinite, NaN, equal and single values, integers and odd names, against the built-in median."""
+    inf, nan = float("inf"), float("nan")
+    values = [[None], [None, 2.0], [1.0, 4.0], [3.0, 1.0, 2.0], [inf, 1.0], [-inf, inf, 5.0], [nan, 1.0, 2.0], [nan, nan, 1.0, None], [0.1, 0.1], [-0.0, 0.0, 7.0], [1e308, 1.7e308]]
+    rows = [(i, 0, dt.datetime(2020, 1, 1 + k), v, None if v is None or v != v or abs(v) > 1e9 else int(v)) for i, vs in enumerate(values) for k, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "x int, y int, t timestamp, `B-1` double, n int")
+    got = {r.x: (str(r["B-1"]), r.n) for r in temporal.composite(df, ["B-1", "n"], "year", "median").collect()}
+    want = {r.x: (str(r.b), r.n) for r in df.groupBy("x").agg(F.median("`B-1`").alias("b"), F.median("n").alias("n")).collect()}
+    assert got == want
