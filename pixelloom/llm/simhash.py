@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -94,6 +94,8 @@ def near_duplicate_classes(docs: DataFrame, shingle_words: int = 3, max_distance
 ORDER_TEXTS, ORDER_SHINGLES = 20_000, 100_000
 #: A shared shingle whose texts need more comparisons than the square of this is set aside for a longer look.
 CROWD = 24
+#: Words of a shingle of the fingerprints that propose pairs first.
+FINGERPRINT_WORDS = 3
 #: Bits of the parity sketch that rules out pairs before whole sets are compared.
 SKETCH = 1024
 
@@ -140,9 +142,14 @@ def _node() -> Column:
     return F.xxhash64(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
 
 
-def _texts(docs: DataFrame, copies: DataFrame) -> DataFrame:
-    """(node, raw): docs without the rows that repeat the text of another; copies has (same, first_id) of repeated texts."""
+def _texts(docs: DataFrame, copies: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """(node, raw): docs without the rows that repeat the text of another; copies has (same, first_id) of repeated texts.
+
+    wanted: a column node; only these texts are read on, before they meet copies.
+    """
     joined = docs.select("doc_id", _node().alias("node"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw"))
+    if wanted is not None:
+        joined = joined.join(small_side(wanted), "node", "left_semi")
     joined = joined.join(small_side(copies), F.col("node") == F.col("same"), "left")
     return joined.where("same IS NULL OR doc_id <=> first_id").select("node", "raw")
 
@@ -192,10 +199,22 @@ def _may_fit(p: str, q: str, similarity: float) -> Column:
     return fits & (F.least(left(p), left(q)) >= similarity / (1 + similarity) * (size(p) + size(q)) - 1e-6)
 
 
-def exact_pairs(texts: DataFrame, sketches: DataFrame, pairs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
+def fingerprint_pairs(texts: DataFrame, shingle_words: int, max_distance: int = 2) -> DataFrame:
+    """Pairs (a, b) of nodes that join all texts whose SimHash fingerprints are linked: each text with the least of its
+    fingerprint, and the least of a fingerprint with that of each that ``links`` joins to it.
+    """
+    fps = materialise(fingerprints(texts, shingle_words, "node", "raw"), "fingerprints").withColumnRenamed("doc_id", "node")
+    least = materialise(fps.groupBy("fp").agg(F.min("node").alias("least")), "least")
+    own = fps.join(least, "fp").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    side = lambda c, x: least.select(F.col("fp").alias(c), F.col("least").alias(x))
+    other = links(least.select("fp"), max_distance).join(side("a", "x"), "a").join(side("b", "y"), "b").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+    return own.unionByName(other)
+
+
+def exact_pairs(read: Callable[[DataFrame], DataFrame], sketches: DataFrame, pairs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
     """The (a, b) of pairs whose texts' sets of shingles have at least this Jaccard similarity.
 
-    Sketches (node, n, sketch) rule out what they can for certain; the texts of the other pairs are read again.
+    Sketches (node, n, sketch) rule out what they can for certain; the texts of the other pairs, and no others, are read again.
     """
     side = lambda c, n, x: sketches.select(F.col("node").alias(c), F.col("n").alias(n), F.col("sketch").alias(x))
     both = pairs.join(side("a", "na", "x"), "a").join(side("b", "nb", "y"), "b")
@@ -210,7 +229,7 @@ def exact_pairs(texts: DataFrame, sketches: DataFrame, pairs: DataFrame, shingle
             sets = [shingle_set(x.as_py(), shingle_words).tobytes() for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["node", "set"])
 
-    sets = texts.join(small_side(wanted), "node").mapInArrow(run, "node long, set binary").groupBy("node").agg(F.first("set").alias("set"))
+    sets = read(wanted).mapInArrow(run, "node long, set binary").groupBy("node").agg(F.first("set").alias("set"))
     sets = materialise(sets, "sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +282,7 @@ def _repeated(posted: DataFrame, *columns: Column) -> DataFrame:
     return every.join(again, "key")
 
 
-def _longer(texts: DataFrame, order: Order, crowd: DataFrame, more: int, whole: bool, shingle_words: int, similarity: float) -> DataFrame:
+def _longer(read: Callable[[DataFrame], DataFrame], order: Order, crowd: DataFrame, more: int, whole: bool, shingle_words: int, similarity: float) -> DataFrame:
     """Keys of the texts of crowd: of the first p + more shingles the p that the fewest of these texts have.
 
     Similar sets have more than ``more`` of these first shingles in common, so the rarest of those is among the p of both.
@@ -271,8 +290,7 @@ def _longer(texts: DataFrame, order: Order, crowd: DataFrame, more: int, whole:
     text has and those that fewer have, bounds what two texts can share if it is their first; else its place is 0. The
     order of places is in rank either way.
     """
-    again = texts.join(small_side(crowd), "node", "left_semi")
-    found = _repeated(materialise(posts(again, order, shingle_words, similarity, more).drop("sketch"), "ahead"), F.col("p"), F.size("keys").alias("size"))
+    found = _repeated(materialise(posts(read(crowd), order, shingle_words, similarity, more).drop("sketch"), "ahead"), F.col("p"), F.size("keys").alias("size"))
     kept = found.groupBy("node", "n", "p", "size").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("keys"))
     alone = F.col("size") - F.size("keys")  # keys that only one text has come first
     rare = kept.select("node", "n", alone.alias("alone"), F.posexplode(F.slice("keys", F.lit(1), F.greatest(F.lit(0), F.col("p") - alone))).alias("i", "k"))
@@ -286,6 +304,7 @@ def text_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.
     Exact: two texts are linked if and only if the Jaccard similarity of their sets of shingles is at least
     ``similarity``, and classes are the components of these links.
 
+    0. Texts with linked SimHash fingerprints (of FINGERPRINT_WORDS words, two bits apart at most) are compared.
     1. In an order of all shingles a similar pair has one in common among the first few of each. Texts are compared with
        three texts of each such shingle, which joins families of copies without listing their pairs.
     2. All texts that still share a shingle and aren't in one class are compared with each other, unless so many share it
@@ -300,12 +319,14 @@ def text_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.
         nodes = materialise(rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows")), "nodes")
         copies = materialise(nodes.where("rows > 1").select(F.col("node").alias("same"), "first_id"), "copies")
         texts = _texts(docs, copies)
+        read = lambda wanted: _texts(docs, copies, wanted)
         n_texts = nodes.count()
         order = learn_order(texts, shingle_words, n_texts)
         posted = materialise(posts(texts, order, shingle_words, similarity), "posted")
         shared = materialise(_repeated(posted, F.col("pos"), F.col("pos").alias("rank")).drop("times"), "shared")
         sketches = posted.select("node", "n", "sketch")
-        close = exact_pairs(texts, sketches, _leaders(shared, similarity), shingle_words, similarity)
+        close = exact_pairs(read, sketches, fingerprint_pairs(texts, FINGERPRINT_WORDS), shingle_words, similarity)
+        close = close.unionByName(exact_pairs(read, sketches, _leaders(shared, similarity), shingle_words, similarity))
         more = 0
         while True:
             open_ = _open(shared, close)
@@ -314,12 +335,12 @@ def text_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.
             longest, work = crowd.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("work"), F.lit(0.0))).first()
             last = more >= longest or work <= 4 * n_texts  # no text could look further, or none need to
             now = open_ if last else open_.where(F.col("work") <= CROWD**2)
-            close = close.unionByName(exact_pairs(texts, sketches, _across(now, similarity), shingle_words, similarity))
+            close = close.unionByName(exact_pairs(read, sketches, _across(now, similarity), shingle_words, similarity))
             if last:
                 break
             more = 4 * more or 64
-            shared = _longer(texts, order, crowd.select("node"), more, more >= longest, shingle_words, similarity)
-            close = close.unionByName(exact_pairs(texts, sketches, _leaders(shared, similarity), shingle_words, similarity))
+            shared = _longer(read, order, crowd.select("node"), more, more >= longest, shingle_words, similarity)
+            close = close.unionByName(exact_pairs(read, sketches, _leaders(shared, similarity), shingle_words, similarity))
         rooted = nodes.join(components(close), "node", "left").withColumn("root", F.coalesce("root", "node"))
         return rows, materialise(rooted, "classes", keep=True)
 

@@ -146,3 +146,13 @@ def test_rows_that_stay(spark, prose):
     want = [(1, a), (2, b), (4, c + " end"), (5, ""), (6, "solo"), (None, "lone"), (7, rows[13][1])]
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
     assert simhash.keep_one_of_each(docs.limit(0)).count() == 0
+
+
+def test_fingerprints_propose_pairs_that_whole_sets_decide(documents, prose, monkeypatch):
+    """The classes come by SimHash links too: without any shared shingle to meet at, linked fingerprints still join copies, and only similar ones."""
+    base = prose("f", 2000)
+    rows = [(1, base, "en", "s"), (2, f"{base} end", "en", "s"), (3, prose("g", 60), "en", "s"), (4, base.upper(), "en", "s")]
+    monkeypatch.setattr(simhash, "_leaders", lambda shared, similarity: shared.selectExpr("node AS a", "node AS b").limit(0))
+    monkeypatch.setattr(simhash, "_across", lambda open_, similarity: open_.selectExpr("node AS a", "node AS b").limit(0))
+    got = {r.doc_id: r.component_id for r in simhash.similar_classes(documents(rows)).collect()}
+    assert got[3] == 3 and got[4] == 1 and got[2] == 1
