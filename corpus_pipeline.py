@@ -10,7 +10,7 @@ from pixelloom.llm import language_id as _language
 from pixelloom.llm import mixing as _mixing
 from pixelloom.llm import simhash as _simhash
 from pixelloom.llm import token_shards as _tokens
-from pixelloom.llm.common import materialise, scratch_path, small_side
+from pixelloom.llm.common import materialise, scratch_path, small_batches, small_side
 
 #: Words of a shingle where a stage compares documents.
 SHINGLE_WORDS = 5
@@ -27,7 +27,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     parts = [F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")), *[F.coalesce(docs[c].cast("string"), F.lit("")) for c in ("lang", "source")]]
     key = F.concat_ws("\x00", *parts)
-    judged = _language.identify(docs.select(key.alias("doc_id"), "text", "lang", "source"), _language.learn(docs), declared=F.col("lang"), host=F.col("source"))
+    with small_batches(spark):
+        judged = _language.identify(docs.select(key.alias("doc_id"), "text", "lang", "source"), _language.learn(docs), declared=F.col("lang"), host=F.col("source"))
     gone = small_side(materialise(judged.where("NOT accepted").select("doc_id").distinct(), "rejected"))
     return docs.join(gone, key == gone["doc_id"], "left_anti")
 

@@ -14,6 +14,8 @@ from pyspark.sql.types import BinaryType, StringType
 
 #: Most bytes of a table that may be broadcast, counted before it is; beyond it the join shuffles.
 BROADCAST_BYTES = 32 << 20
+#: Bytes of an Arrow batch between Spark and Python where whole texts are sent (see small_batches).
+BATCH_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,6 +52,23 @@ def passing(spark: SparkSession) -> Iterator[None]:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside send rows to Python in batches that end once they have BATCH_BYTES, or as many as are set if fewer.
+
+    Without it a batch has 10,000 rows or 64 MB, which a task holds several times over: in Spark's buffers, in the worker and
+    in what the worker returns.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    if int(before.removesuffix("b")) > BATCH_BYTES:
+        spark.conf.set(name, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors. See passing for keep."""
     spark, folder = df.sparkSession, _passing.get()

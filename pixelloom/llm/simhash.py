@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 from xxhash import xxh64_intdigest
 
-from pixelloom.llm.common import components, materialise, passing, small_side
+from pixelloom.llm.common import components, materialise, passing, small_batches, small_side
 
 SEED = 42
 
@@ -94,6 +94,8 @@ def near_duplicate_classes(docs: DataFrame, shingle_words: int = 3, max_distance
 ORDER_TEXTS, ORDER_SHINGLES = 20_000, 100_000
 #: A shared shingle whose texts need more comparisons than the square of this is set aside for a longer look.
 CROWD = 24
+#: How many earlier shared shingles of a text are looked at, so that a pair with many in common is listed once or a few times.
+EARLIER = 12
 #: Words of a shingle of the fingerprints that propose pairs first.
 FINGERPRINT_WORDS = 3
 #: Bits of the parity sketch that rules out pairs before whole sets are compared.
@@ -269,9 +271,15 @@ def _open(shared: DataFrame, close: DataFrame) -> DataFrame:
 
 
 def _across(open_: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of texts that share a key and aren't in one class."""
-    open_ = open_.select("key", "node", "n", "pos", "root", "big")
-    sides = open_.where("root <> big").alias("p").join(open_.alias("q"), F.expr("p.key = q.key AND p.root <> q.root AND (q.root = q.big OR p.node > q.node)") & _may_fit("p", "q", similarity))
+    """All pairs of texts that share a key and aren't in one class.
+
+    A pair is left out at a key where one of the EARLIER keys before it is also common to both, as it is listed at that one:
+    all keys are in one order, and an earlier place allows more. So the first key that two texts share always lists them.
+    """
+    before = F.collect_list("key").over(Window.partitionBy("node").orderBy("rank", "key").rowsBetween(-EARLIER, -1))
+    open_ = open_.select("key", "node", "n", "pos", "root", "big", before.alias("before"))
+    met = F.expr("p.key = q.key AND p.root <> q.root AND (q.root = q.big OR p.node > q.node)") & _may_fit("p", "q", similarity)
+    sides = open_.where("root <> big").alias("p").join(open_.alias("q"), met & ~F.arrays_overlap("p.before", "q.before"))
     return _ordered(sides, "p", "q")
 
 
@@ -314,7 +322,7 @@ def text_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.
 
     Rows with equal texts count as one text, null and empty ones as equal.
     """
-    with passing(docs.sparkSession):
+    with passing(docs.sparkSession), small_batches(docs.sparkSession):
         rows = materialise(docs.select("doc_id", _node().alias("node")), "rows", keep=True)
         nodes = materialise(rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows")), "nodes")
         copies = materialise(nodes.where("rows > 1").select(F.col("node").alias("same"), "first_id"), "copies")

@@ -3,8 +3,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
-from pixelloom.llm import simhash
+from pixelloom.llm import common, simhash
 
 
 def shingles(text, k=5):
@@ -156,3 +158,35 @@ def test_fingerprints_propose_pairs_that_whole_sets_decide(documents, prose, mon
     monkeypatch.setattr(simhash, "_across", lambda open_, similarity: open_.selectExpr("node AS a", "node AS b").limit(0))
     got = {r.doc_id: r.component_id for r in simhash.similar_classes(documents(rows)).collect()}
     assert got[3] == 3 and got[4] == 1 and got[2] == 1
+
+
+def test_a_pair_with_many_keys_in_common_is_listed_once(spark, monkeypatch):
+    """Two families with 30 keys in common, and texts with keys by chance: few rows, every pair of different classes that shares a key."""
+    random.seed(8)
+    rows = [(k, f * 100 + c, 40, k, f, 0) for f in (1, 2) for c in range(10) for k in range(30)]
+    for node in range(1000, 1060):
+        rows += [(100 + k, node, 40, i, node, 1000) for i, k in enumerate(sorted(random.sample(range(200), 25)))]
+    open_ = spark.createDataFrame(rows, "key long, node long, n int, rank int, root long, big long").withColumn("pos", F.lit(0)).withColumn("m", F.lit(1))
+    want = {(max(a, b), min(a, b)) for k, a, _, _, r, _ in rows for j, b, _, _, s, _ in rows if k == j and r != s}
+    assert {tuple(r) for r in simhash._across(open_, 0.8).collect()} == want
+    monkeypatch.setattr(simhash, "_ordered", lambda pairs, p, q: pairs.select(F.greatest(f"{p}.node", f"{q}.node"), F.least(f"{p}.node", f"{q}.node")))
+    listed = [tuple(r) for r in simhash._across(open_, 0.8).collect()]
+    assert set(listed) == want
+    assert sum(a < 1000 for a, _ in listed) == 100 and len(listed) < 2.5 * len(want)
+
+
+def test_texts_go_to_python_in_small_batches(documents, prose, spark, monkeypatch):
+    name, seen, posts = "spark.sql.execution.arrow.maxBytesPerBatch", [], simhash.posts
+    before = spark.conf.get(name)
+    monkeypatch.setattr(simhash, "posts", lambda *a: (seen.append(spark.conf.get(name)), posts(*a))[1])
+    docs = documents([(i, prose(i, 9000), "en", "s") for i in range(80)])
+    simhash.similar_classes(docs)
+    assert [int(x.removesuffix("b")) for x in seen] == [common.BATCH_BYTES] and spark.conf.get(name) == before
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    with common.small_batches(spark):
+        got = docs.select("text").coalesce(1).mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 80 and max(r.size for r in got) < 1.2 * common.BATCH_BYTES
