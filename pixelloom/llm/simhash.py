@@ -98,7 +98,7 @@ CROWD = 24
 EARLIER = 12
 #: Words of a shingle of the fingerprints that propose pairs first.
 FINGERPRINT_WORDS = 3
-#: Bits of the parity sketch that rules out pairs before whole sets are compared.
+#: Bits at least of the parity sketch that rules out pairs before whole sets are compared; long texts have more.
 SKETCH = 1024
 
 
@@ -109,16 +109,32 @@ def shingle_set(raw: bytes | None, shingle_words: int) -> np.ndarray:
     return np.sort(np.array([xxh64_intdigest(s, SEED) for s in several], dtype=np.uint64))
 
 
-def sketch(h: np.ndarray) -> np.ndarray:
-    """For each residue of SKETCH whether an odd number of hashes has it, as 64-bit numbers.
+def sketch_bits(n: int) -> int:
+    """A power of two: SKETCH, and twice the n elements at least, as a sketch that is full of bits rules out nothing."""
+    return max(SKETCH, 1 << (2 * n - 1).bit_length())
+
+
+def sketch(h: np.ndarray, bits: int = SKETCH) -> np.ndarray:
+    """For each residue of bits, a power of two, whether an odd number of hashes has it, as 64-bit numbers.
 
     Each element that one of two sets has and the other hasn't turns one bit, so sketches differ in no more bits than the
-    sets in elements.
+    sets in elements; a longer one is folded to the length of a shorter one by XOR of its parts (see _apart).
     """
-    odd = np.bincount((h % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    odd = np.bincount((h % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def _apart(x: str, y: str) -> Column:
+    """The bits in which two sketches differ, the longer one folded to the length of the shorter."""
+    words = F.least(F.size(x), F.size(y))
+
+    def folded(c: str) -> Column:
+        parts = lambda i: F.aggregate(F.sequence(i, F.size(c) - 1, words), F.lit(0).cast("long"), lambda s, at: s.bitwiseXOR(F.get(c, at)))
+        return F.when(F.size(c) == words, F.col(c)).otherwise(F.transform(F.sequence(F.lit(0), words - 1), parts))
+
+    return F.aggregate(F.zip_with(folded(x), folded(y), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, d: n + d)
+
+
 def prefix_length(n: int, similarity: float) -> int:
     """How many of the n elements, in an order that all sets share, must hold one of any similar set."""
     return n - math.ceil(similarity * n - 1e-9) + 1
@@ -183,7 +199,7 @@ def posts(texts: DataFrame, order: Order, shingle_words: int, similarity: float,
             p = [prefix_length(len(h), similarity) for h in sets]
             keys = [sent.value.first(h, k + more).view(np.int64) for h, k in zip(sets, p, strict=True)]
             longs = pa.list_(pa.int64())
-            columns = [b.column(0), pa.array(map(len, sets), pa.int32()), pa.array(p, pa.int32()), pa.array(map(sketch, sets), longs), pa.array(keys, longs)]
+            columns = [b.column(0), pa.array(map(len, sets), pa.int32()), pa.array(p, pa.int32()), pa.array([sketch(h, sketch_bits(len(h))) for h in sets], longs), pa.array(keys, longs)]
             yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "p", "sketch", "keys"])
 
     return texts.mapInArrow(run, "node long, n int, p int, sketch array<long>, keys array<long>")
@@ -216,23 +232,37 @@ def fingerprint_pairs(texts: DataFrame, shingle_words: int, max_distance: int =
 def exact_pairs(read: Callable[[DataFrame], DataFrame], sketches: DataFrame, pairs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
     """The (a, b) of pairs whose texts' sets of shingles have at least this Jaccard similarity.
 
-    Sketches (node, n, sketch) rule out what they can for certain; the texts of the other pairs, and no others, are read again.
+    Sketches (node, n, sketch) of these texts rule out what they can for certain; the texts of the other pairs, and no
+    others, are read again. Their sets stay where they are read: each is sent once for every pair that it is the a of, and
+    once more if it is the b of any.
     """
+    pairs = materialise(pairs, "met")
+    if pairs.isEmpty():
+        return pairs
+    met = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes-met")
+    sketches = sketches.join(small_side(met), "node", "left_semi")
     side = lambda c, n, x: sketches.select(F.col("node").alias(c), F.col("n").alias(n), F.col("sketch").alias(x))
     both = pairs.join(side("a", "na", "x"), "a").join(side("b", "nb", "y"), "b")
-    apart = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    pairs = materialise(both.where(apart <= (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + 1e-6).select("a", "b"), "pairs")
+    both = both.where(F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-6)
+    pairs = materialise(both.where(_apart("x", "y") <= (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + 1e-6).select("a", "b"), "pairs")
     if pairs.isEmpty():
         return pairs
     wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # rows may repeat
         for b in batches:
-            sets = [shingle_set(x.as_py(), shingle_words).tobytes() for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["node", "set"])
+            new = {node: x for node, x in zip(b.column(0).to_pylist(), b.column(1), strict=True) if node not in seen}
+            seen.update(new)
+            sets = [shingle_set(x.as_py(), shingle_words).tobytes() for x in new.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.int64()), pa.array(sets, pa.binary())], names=["node", "set"])
 
-    sets = read(wanted).mapInArrow(run, "node long, set binary").groupBy("node").agg(F.first("set").alias("set"))
+    sets = read(wanted).mapInArrow(run, "node long, set binary").withColumn("at", F.monotonically_increasing_id())
     sets = materialise(sets, "sets")
+    again = sets.groupBy("node").agg(F.min("at").alias("first"), F.count("*").alias("times")).where("times > 1")
+    again = materialise(again.select(F.col("node").alias("same"), "first"), "again")
+    sets = sets.join(small_side(again), F.col("node") == F.col("same"), "left").where("same IS NULL OR at = first").select("node", "set")
+    right = materialise(pairs.select(F.col("b").alias("node")).distinct(), "right")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -243,7 +273,8 @@ def exact_pairs(read: Callable[[DataFrame], DataFrame], sketches: DataFrame, pai
                 kept.append(overlap / (len(x) + len(y) - overlap) >= similarity)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    left = sets.toDF("a", "x").join(small_side(pairs), "a")
+    both = left.join(sets.join(small_side(right), "node", "left_semi").toDF("b", "y"), "b").select("a", "b", "x", "y")
     return materialise(both.mapInArrow(compare, "a long, b long"), "close")
 
 

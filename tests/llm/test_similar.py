@@ -190,3 +190,35 @@ def test_texts_go_to_python_in_small_batches(documents, prose, spark, monkeypatc
     with common.small_batches(spark):
         got = docs.select("text").coalesce(1).mapInArrow(sizes, "n long, size long").collect()
     assert sum(r.n for r in got) == 80 and max(r.size for r in got) < 1.2 * common.BATCH_BYTES
+
+
+def test_long_texts_that_differ_are_ruled_out_unread(spark, prose):
+    """Sketches grow with the text, and those of unlike lengths meet by folding; only the texts of pairs that may be similar are read again, once each."""
+    base = prose("k", 4000)
+    texts = {1: base, 2: f"{base} {prose('t', 300)}", 3: f"{prose('k', 2600)} {prose('u', 1400)}", 4: prose("v", 50)}
+    docs = spark.createDataFrame([(i, t.encode()) for i, t in texts.items()] + [(1, base.encode())], "node long, raw binary")
+    posted = common.materialise(simhash.posts(docs.distinct(), simhash.Order({}), 5, 0.8), "posted")
+    assert len({len(r.sketch) for r in posted.collect()}) == 3
+    asked = []
+
+    def read(wanted):
+        asked.extend(r.node for r in wanted.collect())
+        return docs.join(wanted, "node", "left_semi")
+
+    pairs = spark.createDataFrame([(2, 1), (3, 1), (3, 2), (4, 1)], "a long, b long")
+    close = simhash.exact_pairs(read, posted.select("node", "n", "sketch"), pairs, 5, 0.8)
+    assert [tuple(r) for r in close.collect()] == [(2, 1)] and sorted(asked) == [1, 2]
+
+
+def test_folded_sketches_never_differ_in_more_bits_than_the_sets(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for both, mine, yours in [(400, 90, 30), (500, 0, 20), (1000, 30, 100), (2040, 10, 300), (2000, 900, 0), (100, 0, 4000), (3, 1, 1)]:
+        h = np.unique(rng.integers(0, 1 << 63, both + mine + yours, dtype=np.uint64))
+        rng.shuffle(h)
+        a, b = np.sort(h[: both + mine]), np.sort(np.concatenate([h[:both], h[both + mine :]]))
+        x, y = (simhash.sketch(v, simhash.sketch_bits(len(v))).tolist() for v in (a, b))
+        rows += [(x, y, mine + yours), (y, x, mine + yours)]
+    assert sum(len(x) != len(y) for x, y, _ in rows) == 6
+    got = spark.createDataFrame(rows, "x array<long>, y array<long>, d int").select(simhash._apart("x", "y").alias("n"), "d").collect()
+    assert all(r.n <= r.d and (r.d - r.n) % 2 == 0 and (r.n > 0) == (r.d > 0) for r in got)
