@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -58,12 +59,28 @@ def _conformal(t: Column, e: float) -> Column:
     return t * F.sqrt(1 + s * s) - s * F.sqrt(1 + t * t)
 
 
-def _let(value: Column, use) -> Column:
-    """use(value) with value evaluated once: keeps nested formulas from growing with every use."""
+#: let(value, use) is use(value), with value evaluated once: keeps nested formulas from growing with every use.
+Let = Callable[[Column, Callable[[Column], Column]], Column]
+
+
+def inline(value: Column, use: Callable[[Column], Column]) -> Column:
+    """A ``let`` within one column expression."""
     return F.transform(F.array(value), use)[0]
 
 
-def utm_struct(lon: Column, lat: Column, zone: Column, north: Column) -> Column:
+class Staged:
+    """A ``let`` that makes every value a column of a frame: for many rows, as its steps are compiled, which lambdas aren't."""
+
+    def __init__(self, df: DataFrame):
+        self.df, self.n = df, 0
+
+    def __call__(self, value: Column, use: Callable[[Column], Column]) -> Column:
+        self.n += 1
+        self.df = self.df.select("*", value.alias(f"_let{self.n}"))
+        return use(F.col(f"_let{self.n}"))
+
+
+def utm_struct(lon: Column, lat: Column, zone: Column, north: Column, let: Let = inline) -> Column:
     """Struct (e, n) in a UTM zone; select it before its fields are used more than once."""
     radius, series, _ = _krueger(WGS84.n)
     k = UTM_SCALE * WGS84.a * radius
@@ -80,8 +97,8 @@ def utm_struct(lon: Column, lat: Column, zone: Column, north: Column) -> Column:
             y = y + c * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
         return F.struct((FALSE_EAST + k * x).alias("e"), (F.when(north, 0.0).otherwise(FALSE_NORTH) + k * y).alias("n"))
 
-    tangent = _let(F.tan(F.radians(lat)), lambda t: _conformal(t, WGS84.e))
-    return _let(_let(tangent, sphere), place)
+    tangent = let(F.tan(F.radians(lat)), lambda t: _conformal(t, WGS84.e))
+    return let(let(tangent, sphere), place)
 
 
 def to_utm(lon: Column, lat: Column, zone: Column, north: Column) -> tuple[Column, Column]:
@@ -90,7 +107,7 @@ def to_utm(lon: Column, lat: Column, zone: Column, north: Column) -> tuple[Colum
     return out["e"], out["n"]
 
 
-def lonlat_struct(easting: Column, northing: Column, zone: Column, north: Column) -> Column:
+def lonlat_struct(easting: Column, northing: Column, zone: Column, north: Column, let: Let = inline) -> Column:
     """Struct (lon, lat) of UTM coordinates."""
     n = WGS84.n
     radius, _, series = _krueger(n)
@@ -109,15 +126,15 @@ def lonlat_struct(easting: Column, northing: Column, zone: Column, north: Column
     def place(s: Column) -> Column:
         lon = F.degrees(F.atan2(F.sinh(s["x"]), F.cos(s["y"]))) + (zone * 6 - 183)
         chi = F.asin(F.sin(s["y"]) / F.cosh(s["x"]))
-        return F.struct(lon.alias("lon"), _let(chi, lambda v: F.degrees(v + sum((c * F.sin(2 * j * v) for j, c in enumerate(to_lat, 1)), F.lit(0.0)))).alias("lat"))
+        return F.struct(lon.alias("lon"), let(chi, lambda v: F.degrees(v + sum((c * F.sin(2 * j * v) for j, c in enumerate(to_lat, 1)), F.lit(0.0)))).alias("lat"))
 
     start = F.struct(((northing - F.when(north, 0.0).otherwise(FALSE_NORTH)) / k).alias("xi"), ((easting - FALSE_EAST) / k).alias("eta"))
-    return _let(_let(start, sphere), place)
+    return let(let(start, sphere), place)
 
 
-def from_utm(easting: Column, northing: Column, zone: Column, north: Column) -> tuple[Column, Column]:
+def from_utm(easting: Column, northing: Column, zone: Column, north: Column, let: Let = inline) -> tuple[Column, Column]:
     """(lon, lat) of UTM coordinates."""
-    out = lonlat_struct(easting, northing, zone, north)
+    out = lonlat_struct(easting, northing, zone, north, let)
     return out["lon"], out["lat"]
 
 
@@ -144,7 +161,7 @@ def _laea() -> tuple[float, float, float, float]:
     return qp, rq, beta0, d
 
 
-def to_laea(lon: Column, lat: Column) -> tuple[Column, Column]:
+def to_laea(lon: Column, lat: Column, let: Let = inline) -> tuple[Column, Column]:
     """(x, y) on EPSG:3035."""
     qp, rq, beta0, d = _laea()
     dl = F.radians(lon - LAEA_LON)
@@ -154,11 +171,11 @@ def to_laea(lon: Column, lat: Column) -> tuple[Column, Column]:
         x = LAEA_X + b * d * F.cos(beta) * F.sin(dl)
         return F.struct(x.alias("x"), (LAEA_Y + b / d * (math.cos(beta0) * F.sin(beta) - math.sin(beta0) * F.cos(beta) * F.cos(dl))).alias("y"))
 
-    out = _let(F.asin(_let(F.sin(F.radians(lat)), lambda s: _authalic(s, GRS80.e)) / qp), place)
+    out = let(F.asin(let(F.sin(F.radians(lat)), lambda s: _authalic(s, GRS80.e)) / qp), place)
     return out["x"], out["y"]
 
 
-def from_laea(x: Column, y: Column) -> tuple[Column, Column]:
+def from_laea(x: Column, y: Column, let: Let = inline) -> tuple[Column, Column]:
     """(lon, lat) of EPSG:3035 coordinates."""
     qp, rq, beta0, d = _laea()
     u, v = (x - LAEA_X) / d, (y - LAEA_Y) * d
@@ -167,9 +184,9 @@ def from_laea(x: Column, y: Column) -> tuple[Column, Column]:
         c = 2 * F.asin(rho / (2 * rq))
         beta = F.asin(F.cos(c) * math.sin(beta0) + F.coalesce(F.try_divide(v * F.sin(c) * math.cos(beta0), rho), F.lit(0.0)))
         lon = LAEA_LON + F.degrees(F.atan2(u * F.sin(c), rho * math.cos(beta0) * F.cos(c) - v * math.sin(beta0) * F.sin(c)))
-        return F.struct(lon.alias("lon"), _let(beta, lambda b: F.degrees(_latitude(b, GRS80.e))).alias("lat"))
+        return F.struct(lon.alias("lon"), let(beta, lambda b: F.degrees(_latitude(b, GRS80.e))).alias("lat"))
 
-    out = _let(F.sqrt(u * u + v * v), place)
+    out = let(F.sqrt(u * u + v * v), place)
     return out["lon"], out["lat"]
 
 

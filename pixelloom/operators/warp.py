@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pixelloom.functions import crs
-from pixelloom.operators.joins import spread
-
 METHODS = ("near", "bilinear")
 #: Target rows that one row of a block's targets holds.
 ROWS = 32
+#: Target rows and columns of the tiles that are tried or not as a whole, from large to small.
+TILES = (32, 8)
 #: Weights up to this are those of a centre on a pixel's centre, and count as none.
 TINY = 1e-6
 
@@ -36,14 +36,14 @@ class Grid:
         if self.size <= 0:
             raise ValueError("size must be positive")
 
-    def lonlat(self, x: Column, y: Column) -> tuple[Column, Column]:
+    def lonlat(self, x: Column, y: Column, let: crs.Let = crs.inline) -> tuple[Column, Column]:
         """(lon, lat) of a place in pixels; (0, 0) is the upper left corner of the first pixel."""
         e, n = self.west + x * self.size, self.north - y * self.size
         if self.epsg == 4326:
             return e, n
-        return crs.from_laea(e, n) if self.epsg == 3035 else crs.from_utm(e, n, F.lit(self.epsg % 100), F.lit(self.epsg // 100 == 326))
+        return crs.from_laea(e, n, let) if self.epsg == 3035 else crs.from_utm(e, n, F.lit(self.epsg % 100), F.lit(self.epsg // 100 == 326), let)
 
-    def pixels(self, lon: Column, lat: Column) -> Column:
+    def pixels(self, lon: Column, lat: Column, let: crs.Let = crs.inline) -> Column:
         """Struct (u, v): the place of lon, lat in pixels, not rounded."""
 
         def place(p: Column) -> Column:
@@ -52,18 +52,24 @@ class Grid:
         if self.epsg == 4326:
             point = F.struct(lon.alias("e"), lat.alias("n"))
         elif self.epsg == 3035:
-            x, y = crs.to_laea(lon, lat)
+            x, y = crs.to_laea(lon, lat, let)
             point = F.struct(x.alias("e"), y.alias("n"))
         else:
-            point = crs.utm_struct(lon, lat, F.lit(self.epsg % 100), F.lit(self.epsg // 100 == 326))
-        return F.transform(F.array(point), place)[0]
+            point = crs.utm_struct(lon, lat, F.lit(self.epsg % 100), F.lit(self.epsg // 100 == 326), let)
+        return let(point, place)
 
 
-def between(source: Grid, target: Grid, x: Column, y: Column) -> Column:
+def between(source: Grid, target: Grid, x: Column, y: Column, let: crs.Let = crs.inline) -> Column:
     """Struct (u, v): a place in pixels of source as one in pixels of target; the geographic point is worked out once."""
-    lon, lat = source.lonlat(x, y)
-    point = F.array(F.struct(lon.alias("lon"), lat.alias("lat")))
-    return F.transform(point, lambda p: target.pixels(p["lon"], p["lat"]))[0]
+    lon, lat = source.lonlat(x, y, let)
+    return let(F.struct(lon.alias("lon"), lat.alias("lat")), lambda p: target.pixels(p["lon"], p["lat"], let))
+
+
+def _placed(df: DataFrame, source: Grid, target: Grid, x: Column, y: Column) -> DataFrame:
+    """df with u, v: a place in pixels of source as one in pixels of target, worked out step by step as columns."""
+    let = crs.Staged(df)
+    p = between(source, target, x, y, let)
+    return let.df.select(*df.columns, p["u"].alias("u"), p["v"].alias("v"))
 
 
 def _blocks(v: str, block: int, halo: int) -> Column:
@@ -96,28 +102,66 @@ def pack(cube: DataFrame, bands: Sequence[str], keys: Sequence[str] = (), block:
     return rows.select(*keys, "bx", "by", F.concat(F.array_repeat(none, F.col("e")[0]["i"]), F.flatten(gaps)).alias("cells"))
 
 
+def _around(df: DataFrame, west: Column, top: Column, east: Column, foot: Column, steps: int) -> DataFrame:
+    """df with rows for places x, y along the sides of a box, ``steps`` to a side."""
+    ends = [i / steps for i in range(steps)]
+    unit = [p for s in ends for p in ((s, 0.0), (1.0, s), (1.0 - s, 1.0), (0.0, 1.0 - s))]
+    point = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in unit])).alias("_p")
+    return df.select("*", point).select(*df.columns, (west + F.col("_p.a") * (east - west)).alias("x"), (top + F.col("_p.b") * (foot - top)).alias("y"))
+
+
+def _cut(tiles: DataFrame, size: int) -> DataFrame:
+    """Tiles (left, right, first, last) cut into some of up to size rows and columns."""
+    for low, high in (("left", "right"), ("first", "last")):
+        tiles = tiles.withColumn("_at", F.explode(F.sequence(low, high, F.lit(size)))).withColumn(low, F.col("_at")).withColumn(high, F.least(high, F.col("_at") + size - 1)).drop("_at")
+    return tiles
+
+
+def _meeting(tiles: DataFrame, source: Grid, target: Grid, shift: float, block: int) -> DataFrame:
+    """The tiles whose outline, carried back to the source and widened by a quarter, meets their block (bx, by).
+
+    One on the rim of EPSG:3035, which is a disk of 12,742 km, is kept; one wholly off it isn't, unless the disk fits in.
+    """
+    corners = _around(tiles, F.col("left"), F.col("first"), F.col("right") + 1, F.col("last") + 1, 4)
+    back = _placed(corners, target, source, F.col("x"), F.col("y")).groupBy(*tiles.columns)
+    off = F.isnan("u") | F.isnan("v")
+    rim = ~F.min(off) | F.lit(target.size * TILES[0] > 12_000_000)
+    bounds = back.agg(F.max(off).alias("off"), rim.alias("rim"), *[f(c).alias(f"{c}{i}") for c in "uv" for i, f in enumerate((F.min, F.max))])
+    meets = F.lit(True)
+    for c, k in (("u", "bx"), ("v", "by")):
+        wide = 1 + (F.col(f"{c}1") - F.col(f"{c}0")) / 4
+        meets = meets & (F.col(f"{c}1") - shift >= F.col(k) * block - wide) & (F.col(f"{c}0") - shift <= (F.col(k) + 1) * block + wide)
+    return bounds.where(F.when(F.col("off"), F.col("rim")).otherwise(meets)).select(*tiles.columns)
+
+
 def targets(blocks: DataFrame, source: Grid, target: Grid, method: str, block: int) -> DataFrame:
-    """(bx, by, part, at): for each source block and up to ROWS target rows the pixels whose centres it serves, as structs (tx, ty, u, v).
+    """(bx, by, part, tx, ty, u, v): for each source block the target pixels whose centres it serves, with their places; part: of ROWS target rows.
 
     A block serves the centres whose nearest pixel, or whose upper left pixel of the four around, is its own: so each centre
-    has one block. The outline of the block, with points along its sides, bounds the target rows and columns to try.
+    has one block. The outline of the block, with points along its sides, bounds the target rows and columns to try; where
+    the projection draws it out into a long bow, that is a large box for few pixels. So the box is cut into tiles, large and
+    then small, and only those are tried whose own outline, carried back, meets the block. Work is then about the block's
+    own pixels, and next to none for blocks off the projection's range, which no centre leads back to.
     """
     shift = 0.5 if method == "bilinear" else 0.0
-    steps = F.transform(F.sequence(F.lit(0), F.lit(8)), lambda i: i / 8.0)
-    x0, y0 = F.col("bx") * block + shift, F.col("by") * block + shift
-    sides = F.flatten(F.transform(steps, lambda s: F.array(*[F.struct((x0 + a * block).alias("x"), (y0 + b * block).alias("y")) for a, b in ((s, F.lit(0.0)), (s, F.lit(1.0)), (F.lit(0.0), s), (F.lit(1.0), s))])))
-    outline = blocks.select("bx", "by", F.transform(sides, lambda p: between(source, target, p["x"], p["y"])).alias("o"))
-    reach = lambda c, end: (F.floor(F.array_min(F.transform("o", lambda p: p[c]))) - 1 if end < 0 else F.floor(F.array_max(F.transform("o", lambda p: p[c]))) + 1).cast("int")
-    spans = outline.select("bx", "by", reach("u", -1).alias("west"), reach("u", 1).alias("east"), reach("v", -1).alias("top"), reach("v", 1).alias("foot"))
-    spans = spread(spans.withColumn("part", F.explode(F.sequence(F.floor(F.col("top") / ROWS), F.floor(F.col("foot") / ROWS)))))
-    rows = F.sequence(F.greatest("top", F.col("part") * ROWS).cast("int"), F.least("foot", F.col("part") * ROWS + ROWS - 1).cast("int"))
-
-    def centre(tx: Column, ty: Column) -> Column:
-        return F.transform(F.array(between(target, source, tx + 0.5, ty + 0.5)), lambda p: F.struct(tx.alias("tx"), ty.alias("ty"), (p["u"] - shift).alias("u"), (p["v"] - shift).alias("v")))[0]
-
-    own = lambda p: (F.floor(p["u"] / block) == F.col("bx")) & (F.floor(p["v"] / block) == F.col("by"))
-    every = F.flatten(F.transform(rows, lambda ty: F.transform(F.sequence("west", "east"), lambda tx: centre(tx, ty))))
-    return spans.select("bx", "by", "part", F.filter(every, own).alias("at")).where(F.size("at") > 0)
+    many, keys = 4 * blocks.sparkSession.sparkContext.defaultParallelism, ["bx", "by"]
+    west, top = F.col("bx") * block + shift, F.col("by") * block + shift
+    outline = _around(blocks.repartition(many, *keys), west, top, west + block, top + block, 8)
+    seen = _placed(outline, source, target, F.col("x"), F.col("y"))
+    some = lambda c: F.nanvl(c, F.lit(None).cast("double"))
+    reach = lambda c, end: (F.floor(F.min(some(c))) - 1 if end < 0 else F.floor(F.max(some(c))) + 1).cast("int")
+    spans = seen.groupBy(*keys).agg(reach("u", -1).alias("west"), reach("u", 1).alias("east"), reach("v", -1).alias("top"), reach("v", 1).alias("foot"))
+    parts = spans.withColumn("part", F.explode(F.sequence(F.floor(F.col("top") / ROWS), F.floor(F.col("foot") / ROWS))))
+    own_rows = F.greatest("top", F.col("part") * ROWS).cast("int"), F.least("foot", F.col("part") * ROWS + ROWS - 1).cast("int")
+    tried = parts.select(*keys, "part", F.col("west").alias("left"), F.col("east").alias("right"), own_rows[0].alias("first"), own_rows[1].alias("last"))
+    for size in TILES:
+        tried = _meeting(_cut(tried, size).repartition(many, *keys, "left", "first"), source, target, shift, block)
+    tried = tried.select(*keys, "part", F.explode(F.sequence("left", "right")).alias("tx"), "first", "last")
+    tried = tried.select(*keys, "part", "tx", F.explode(F.sequence("first", "last")).alias("ty"))
+    # the row number keeps the filter behind the places: pushed below them, it would work them out again
+    placed = _placed(tried, target, source, F.col("tx") + 0.5, F.col("ty") + 0.5).select(*tried.columns, (F.col("u") - shift).alias("u"), (F.col("v") - shift).alias("v"), F.monotonically_increasing_id().alias("_row"))
+    own = (F.floor(F.col("u") / block) == F.col("bx")) & (F.floor(F.col("v") / block) == F.col("by"))
+    return placed.where(own & (F.col("_row") >= 0)).drop("_row")
 
 
 def warp(cube: DataFrame, bands: Sequence[str], source: Grid, target: Grid, method: str = "near", keys: Sequence[str] = ("t",), block: int = 64) -> DataFrame:
@@ -138,29 +182,33 @@ def warp(cube: DataFrame, bands: Sequence[str], source: Grid, target: Grid, meth
     near = cube.select("x", "y").withColumn("bx", F.explode(_blocks("x", block, halo))).withColumn("by", F.explode(_blocks("y", block, halo))).select("bx", "by").distinct()
     served = targets(near, source, target, method, block)
     if not halo:
-        each = served.select("part", F.explode("at").alias("p")).groupBy("part", F.floor("p.u").alias("x"), F.floor("p.v").alias("y"))
-        places = pack(each.agg(F.collect_list(F.struct("p.tx", "p.ty")).alias("to")), ["to"], ("part",), block)
+        each = served.groupBy("part", F.floor("u").alias("x"), F.floor("v").alias("y"))
+        places = pack(each.agg(F.collect_list(F.struct("tx", "ty")).alias("to")), ["to"], ("part",), block)
         met = _cells(cube, bands, keys, block, 0).join(places.drop("part"), ["bx", "by"])
         serve = lambda p: F.transform(F.get("cells", p["i"])["to"], lambda q: F.struct(q["tx"], q["ty"], p["v"]))
         found = F.flatten(F.transform(F.filter("e", lambda p: F.get("cells", p["i"]).isNotNull()), serve))
         out = met.select(*keys, F.explode(found).alias("p"))
         return out.select(*keys, F.col("p.tx").alias("x"), F.col("p.ty").alias("y"), *[f"p.v.{b}" for b in bands])
-    met = pack(cube, bands, keys, block, halo).join(served, ["bx", "by"])
-
-    def values(p: Column) -> Column:
-        x, y = F.floor(p["u"]), F.floor(p["v"])
-        at = ((y - F.col("by") * block) * wide + x - F.col("bx") * block).cast("int")
-        wx, wy = p["u"] - x, p["v"] - y
-        taps = F.array(*[F.struct(F.get("cells", at + dy * wide + dx).alias("v"), ((wx if dx else 1 - wx) * (wy if dy else 1 - wy)).alias("w")) for dy in (0, 1) for dx in (0, 1)])
-        return F.transform(F.array(F.filter(taps, lambda q: q["v"].isNotNull() & (q["w"] > TINY))), lambda q: F.struct(p["tx"].alias("x"), p["ty"].alias("y"), F.when(F.size(q) > 0, F.struct(*[_mean(q, b).alias(b) for b in bands])).alias("v")))[0]
-
-    out = met.select(*keys, F.explode(F.filter(F.transform("at", values), lambda p: p["v"].isNotNull())).alias("p"))
-    return out.select(*keys, F.col("p.x").alias("x"), F.col("p.y").alias("y"), *[F.col(f"p.v.{b}").alias(b) for b in bands])
-
-
-def _mean(taps: Column, band: str) -> Column:
-    add = lambda s, q: F.when(q["v"][band].isNull(), s).otherwise(F.struct((s["s"] + q["w"] * q["v"][band].cast("double")).alias("s"), (s["w"] + q["w"]).alias("w")))
-    return F.aggregate(taps, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("w")), add, lambda s: F.try_divide(s["s"], s["w"]))
+    dealt = served.groupBy("bx", "by", "part").agg(F.collect_list(F.struct("tx", "ty", "u", "v")).alias("at"))
+    met = pack(cube, bands, keys, block, halo).join(dealt, ["bx", "by"])
+
+    # flat rows and plain sums, as lambdas aren't compiled
+    each = met.select(*keys, "bx", "by", "cells", F.explode("at").alias("p")).select("*", F.floor("p.u").alias("_x"), F.floor("p.v").alias("_y"))
+    at = ((F.col("_y") - F.col("by") * block) * wide + F.col("_x") - F.col("bx") * block).cast("int")
+    wx, wy = F.col("p.u") - F.col("_x"), F.col("p.v") - F.col("_y")
+    weights = {f"_w{dy}{dx}": (wx if dx else 1 - wx) * (wy if dy else 1 - wy) for dy in (0, 1) for dx in (0, 1)}
+    cells = {f"_v{dy}{dx}": F.get("cells", at + dy * wide + dx) for dy in (0, 1) for dx in (0, 1)}
+    taps = each.select(*keys, F.col("p.tx").alias("x"), F.col("p.ty").alias("y"), *[c.alias(n) for n, c in (weights | cells).items()])
+    some = [F.col(v).isNotNull() & (F.col(w) > TINY) for v, w in zip(cells, weights, strict=True)]
+    return taps.where(some[0] | some[1] | some[2] | some[3]).select(*keys, "x", "y", *[_mean(b, list(cells), list(weights)).alias(b) for b in bands])
+
+
+def _mean(band: str, cells: Sequence[str], weights: Sequence[str]) -> Column:
+    total = weight = F.lit(0.0)
+    for v, w in zip(cells, weights, strict=True):
+        value, has = F.col(f"{v}.{band}"), (F.col(w) > TINY) & F.col(f"{v}.{band}").isNotNull()
+        total, weight = total + F.when(has, F.col(w) * value.cast("double")).otherwise(0.0), weight + F.when(has, F.col(w)).otherwise(0.0)
+    return F.try_divide(total, weight)
 
 
 def mosaic(layers: Sequence[DataFrame], bands: Sequence[str], keys: Sequence[str] = ("t",)) -> DataFrame:

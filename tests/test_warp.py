@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pixelloom.operators import warp as warps
 from pixelloom.operators.warp import Grid, between, mosaic, warp
 from pyspark.sql import functions as F
 
@@ -94,3 +95,30 @@ def test_near_blocks_hold_only_pixels_that_a_date_has(spark):
     assert dates and not any("array_repeat" in line for line in dates)  # no dense blocks
     served = {(r.x, r.y): r.n for r in warp(sparse.selectExpr("0 AS t", "x", "y", "y * 7 + x AS c").distinct(), ["c"], UTM, LAEA, block=16).groupBy("c").count().selectExpr("c % 7 AS x", "c DIV 7 AS y", "count AS n").collect()}
     assert out.count() == sum(served.get((i % 7, i % 5), 0) for i in range(500)) > 0
+
+
+@pytest.mark.parametrize("method", ["near", "bilinear"])
+def test_blocks_drawn_out_or_off_the_range_cost_few_tries(spark, method):
+    """Near the antipode of the target's centre a block is a long bow in a large box; a turn of the Earth further on no centre leads back to it."""
+    source, target, block = Grid(32632, 270_000.0, 5_700_000.0, 1000.0), Grid(3035, 3_990_000.0, 3_180_000.0, 2000.0), 16
+    shift = 0.5 if method == "bilinear" else 0.0
+    by = 1240  # rows 19840 to 19855
+    blocks = spark.createDataFrame([(0, by), (0, by + 2500)], "bx int, by int")
+    outline = places_around(spark, source, target, block, by)
+    west, east, top, foot = min(u for u, _ in outline) - 4, max(u for u, _ in outline) + 4, min(v for _, v in outline) - 4, max(v for _, v in outline) + 4
+    box = spark.createDataFrame([(0, by, 0, int(west), int(east), int(top), int(foot)), (0, by + 2500, 0, int(west), int(east), int(top), int(foot))], "bx int, by int, part int, left int, right int, first int, last int")
+    kept = warps._meeting(warps._cut(box, 8), source, target, shift, block)
+    pixels = F.expr("(right - left + 1) * (last - first + 1)")
+    every, tried = box.where(F.col("by") == by).select(pixels).first()[0], {r.by: r.n for r in kept.groupBy("by").agg(F.sum(pixels).alias("n")).collect()}
+    assert every > 200_000 and tried[by] < every / 20 and tried.get(by + 2500, 0) < every / 20
+    got = {(r.tx, r.ty) for r in warps.targets(blocks, source, target, method, block).collect()}
+    frame = spark.range(int(west), int(east) + 1).select(F.col("id").alias("tx")).crossJoin(spark.range(int(top), int(foot) + 1).select(F.col("id").alias("ty")))
+    places = warps._placed(frame, target, source, F.col("tx") + 0.5, F.col("ty") + 0.5).collect()
+    assert got == {(r.tx, r.ty) for r in places if r.u == r.u and math.floor((r.u - shift) / block) == 0 and math.floor((r.v - shift) / block) == by} and got
+
+
+def places_around(spark, source, target, block, by):
+    """(u, v) in the target of places along the sides of a block of column 0."""
+    at = [(a * block / 64, by * block + b * block) for a in range(65) for b in (0, 1)] + [(b * block, by * block + a * block / 64) for a in range(65) for b in (0, 1)]
+    frame = spark.createDataFrame([(float(x), float(y)) for x, y in at], "x double, y double")
+    return [(r.u, r.v) for r in warps._placed(frame, source, target, F.col("x"), F.col("y")).collect()]
